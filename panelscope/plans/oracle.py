@@ -103,7 +103,7 @@ ship_lines AS (
   SELECT l.l_suppkey, l.l_quantity, l.l_shipdate, c.c_nationkey, c.c_mktsegment
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey),
 qcew_base AS (
-  SELECT year(l_shipdate) AS year, CAST(quarter(l_shipdate) AS VARCHAR) AS qtr,
+  SELECT CAST(year(l_shipdate) AS INTEGER) AS year, CAST(quarter(l_shipdate) AS VARCHAR) AS qtr,
     lpad(CAST(c_nationkey + 1 AS VARCHAR), 2, '0') AS st,
     {_case('c_mktsegment', SEGMENT_QCEW_INDUSTRY)} AS industry_code,
     month(l_shipdate) - (quarter(l_shipdate) - 1) * 3 AS pos, l_quantity, l_suppkey
@@ -231,6 +231,8 @@ def with_ctes(body: str, extra: str = "") -> str:
 def rounded(sql_body: str, dbl: list[str], digits: int = 6) -> str:
     """Round the double columns of a query result (both engines round the same way)."""
     if not dbl:
+        if sql_body.lstrip().upper().startswith("WITH"):
+            return f"SELECT * FROM ({sql_body}) AS _q"
         return sql_body
     rep = ", ".join(f"round({c}, {digits}) AS {c}" for c in dbl)
     return f"SELECT * REPLACE ({rep}) FROM ({sql_body}) AS _q"

@@ -52,6 +52,7 @@ def main():
         try:
             sdf = q.spark(spark, sf)
             scols = sdf.columns
+            stypes = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
             srows = [tuple(r) for r in sdf.collect()]
         except Exception as exc:  # report and continue
             print(f"FAIL {name}: spark error {str(exc)[:400]}")
@@ -65,6 +66,7 @@ def main():
         try:
             rel = con.sql(sql)
             ocols = rel.columns
+            otypes = dict(zip(rel.columns, [str(t) for t in rel.types]))
             orows = rel.fetchall()
         except Exception as exc:
             print(f"FAIL {name}: duckdb error {str(exc)[:400]}")
@@ -74,6 +76,11 @@ def main():
             print(f"FAIL {name}: columns differ\n  spark {scols}\n  duck  {ocols}")
             bad += 1
             continue
+        tmap = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+                "boolean": "BOOLEAN"}
+        tdiff = [(c, stypes[c], otypes[c]) for c in scols if tmap.get(stypes[c], stypes[c]) != otypes[c]]
+        if tdiff:
+            print(f"TYPE {name}: {tdiff}")
         order = sorted(scols)
         si = [scols.index(c) for c in order]
         oi = [ocols.index(c) for c in order]
