@@ -2,40 +2,132 @@
 
 from __future__ import annotations
 
+import uuid
+
+import numpy as np
+import pandas as pd
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelscope.functions.cols import td
-from panelscope.functions.stats import _null_safe_on
 from panelscope.session import ensure_checkpoint_dir
 
 
-def rake_cells(payroll: DataFrame, official: DataFrame, dimensions: list[str], max_iter: int = 100,
-               tolerance: float = 1e-6, employment_col: str = "qualified_employment") -> tuple[DataFrame, list[str], int]:
-    """IPF on the cell table (weights are constant inside a cell).
-
-    Returns (cells with ``rake_weight``, cell key columns, iterations run).
-    One small job per round; lineage is cut with ``checkpoint()`` in the
-    session's checkpoint directory.
-    """
-    spark = payroll.sparkSession
+def _cells_and_margins(payroll: DataFrame, official: DataFrame, dimensions: list[str], employment_col: str):
     emp_col = "qcew_employment"
     if emp_col not in official.columns and "month1_emplvl" in official.columns:
         emp_col = "month1_emplvl"
     dims = [d for d in dimensions if d in payroll.columns and d in official.columns]
     period = [c for c in ("ref_date", "quarter") if c in payroll.columns and c in official.columns]
-    keys = period + dims
     cells = (payroll.groupBy(*[c for c in ("ref_date", "quarter") if c in payroll.columns] + dims)
-             .agg(F.sum(employment_col).cast("double").alias("_e"))
-             .withColumn("rake_weight", F.lit(1.0)))
-    cell_keys = [c for c in cells.columns if c not in ("_e", "rake_weight")]
-    if emp_col not in official.columns or not dims:
-        return cells, cell_keys, 0
+             .agg(F.sum(employment_col).cast("double").alias("_e")))
+    cell_keys = [c for c in cells.columns if c != "_e"]
     margins = {}
+    if emp_col in official.columns:
+        for d in dims:
+            margins[d] = official.groupBy(*period, d).agg(F.sum(emp_col).cast("double").alias("_q"))
+    return cells, cell_keys, dims, period, margins
+
+
+def _ipf_arrays(e: np.ndarray, codes: list[np.ndarray], targets: list[np.ndarray], iterations: int,
+                tolerance: float | None):
+    """IPF on one period's cells. codes[k][i] = index of cell i's value in dimension k (-1 = NULL);
+    targets[k][j] = official margin of value j (NaN = missing). Returns (weights, changes per iteration)."""
+    w = np.ones_like(e)
+    changes = []
+    for _ in range(iterations):
+        max_change = 0.0
+        for code, target in zip(codes, targets):
+            valid = code >= 0
+            tot = np.bincount(code[valid], weights=(e * w)[valid], minlength=len(target))
+            with np.errstate(divide="ignore", invalid="ignore"):
+                ratio = np.where((tot != 0) & ~np.isnan(target), target / tot, 1.0)
+            r = np.ones_like(w)
+            r[valid] = ratio[code[valid]]
+            new_w = w * r
+            max_change = max(max_change, float(np.max(np.abs(new_w - w))) if len(w) else 0.0)
+            w = new_w
+        changes.append(max_change)
+        if tolerance is not None and max_change < tolerance:
+            break
+    return w, changes
+
+
+def _period_ipf(cells: DataFrame, dims: list[str], period: list[str], margins: dict, max_iter: int,
+                tolerance: float) -> DataFrame:
+    """IPF per period with applyInPandas: margins never cross periods, so periods are independent.
+
+    Pass 1 records each period's max weight change per iteration; the global
+    stop is the first iteration whose maximum over periods is below tolerance
+    (the same rule as one global loop). Pass 2 runs exactly that many
+    iterations. A group holds one period's cells, bounded by the product of the
+    dimension domains, never by the number of payroll rows.
+    """
+    t = cells
     for d in dims:
-        jc = period + [d]
-        margins[d] = official.groupBy(*jc).agg(F.sum(emp_col).cast("double").alias("_q")).cache()
-    ensure_checkpoint_dir(spark)
+        t = t.join(margins[d].withColumnRenamed("_q", f"_q_{d}"), period + [d], "left")
+    schema_cols = t.columns
+    key_cols = [c for c in schema_cols if not c.startswith("_q_") and c != "_e"]
+
+    def run(pdf: pd.DataFrame, iterations: int, tol):
+        codes, targets = [], []
+        for d in dims:
+            vals = pdf[d]
+            cat = pd.Categorical(vals)
+            code = np.asarray(cat.codes, dtype=np.int64)
+            tgt = np.full(len(cat.categories), np.nan)
+            q = pdf[f"_q_{d}"].to_numpy(dtype="float64")
+            valid = code >= 0
+            tgt[code[valid]] = q[valid]
+            codes.append(code)
+            targets.append(tgt)
+        return _ipf_arrays(pdf["_e"].to_numpy(dtype="float64"), codes, targets, iterations, tol)
+
+    def changes_fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        _, ch = run(pdf, max_iter, None)
+        return pd.DataFrame({"_it": np.arange(1, len(ch) + 1, dtype="int32"), "_chg": np.asarray(ch, dtype="float64")})
+
+    ch = t.groupBy(*period).applyInPandas(changes_fn, "_it int, _chg double")
+    per_it = ch.groupBy("_it").agg(F.max("_chg").alias("_m"))
+    stop = per_it.filter(F.col("_m") < F.lit(tolerance)).agg(F.min("_it")).first()[0]
+    iterations = int(stop) if stop is not None else max_iter
+
+    out_schema = t.select(*key_cols, "_e", F.lit(1.0).alias("rake_weight")).schema
+
+    def weights_fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        w, _ = run(pdf, iterations, None)
+        out = pdf[key_cols + ["_e"]].copy()
+        out["rake_weight"] = w
+        return out
+
+    return t.groupBy(*period).applyInPandas(weights_fn, out_schema), iterations
+
+
+def rake_cells(payroll: DataFrame, official: DataFrame, dimensions: list[str], max_iter: int = 100,
+               tolerance: float = 1e-6, employment_col: str = "qualified_employment",
+               method: str = "auto", on_iteration=None) -> tuple[DataFrame, list[str], int]:
+    """IPF on the cell table (weights are constant inside a cell).
+
+    Returns (cells with ``rake_weight``, cell key columns, iterations run).
+    ``method='period'`` (chosen when both sides carry ref_date/quarter) rakes
+    each period in its own task; ``method='rounds'`` runs one small DataFrame
+    job per round, writing each round's cell table as parquet under the
+    session's checkpoint directory (a shared folder on a cluster) and reading
+    it back, which cuts lineage; a lost executor only recomputes one round.
+    """
+    spark = payroll.sparkSession
+    cells, cell_keys, dims, period, margins = _cells_and_margins(payroll, official, dimensions, employment_col)
+    if not margins or not dims:
+        return cells.withColumn("rake_weight", F.lit(1.0)), cell_keys, 0
+    if method == "auto":
+        method = "period" if period else "rounds"
+    if method == "period":
+        out, iterations = _period_ipf(cells, dims, period, margins, max_iter, tolerance)
+        return out, cell_keys, iterations
+
+    cells = cells.withColumn("rake_weight", F.lit(1.0))
+    base_dir = f"{ensure_checkpoint_dir(spark).rstrip('/')}/panelscope-rake-{uuid.uuid4().hex}"
     it = 0
     for it in range(1, max_iter + 1):
         cells = cells.withColumn("_chg", F.lit(0.0))
@@ -50,12 +142,14 @@ def rake_cells(payroll: DataFrame, official: DataFrame, dimensions: list[str], m
                 "_chg": F.greatest(F.col("_chg"), F.abs(new_w - F.col("rake_weight"))),
                 "rake_weight": new_w,
             }).drop("_r")
-        cells = cells.checkpoint(eager=True)
+        path = f"{base_dir}/round={it}"
+        cells.write.mode("overwrite").parquet(path)
+        cells = spark.read.parquet(path)
         max_change = cells.agg(F.max("_chg")).first()[0] or 0.0
+        if on_iteration is not None:
+            on_iteration(it, max_change)
         if max_change < tolerance:
             break
-    for m in margins.values():
-        m.unpersist()
     return cells.drop("_chg"), cell_keys, it
 
 
@@ -63,10 +157,15 @@ def rake_to_qcew(payroll: DataFrame, official: DataFrame, dimensions: list[str],
                  tolerance: float = 1e-6) -> DataFrame:
     """Payroll rows plus ``rake_weight`` so weighted margins match the official ones."""
     cells, keys, _ = rake_cells(payroll, official, dimensions, max_iter, tolerance)
-    w = cells.select(*keys, "rake_weight")
-    on = _null_safe_on(payroll, w, keys)
+    # cells are bounded by the (month x dimension values) domain, not by the rows
+    renamed = [f"_k{i}" for i in range(len(keys))]
+    w = cells.select(*[F.col(k).alias(r) for k, r in zip(keys, renamed)], F.col("rake_weight").alias("_w"))
+    on = None
+    for k, r in zip(keys, renamed):
+        e = F.col(k).eqNullSafe(F.col(r))
+        on = e if on is None else on & e
     j = payroll.join(w, on, "left")
-    return j.select(*[payroll[c] for c in payroll.columns], F.coalesce(w["rake_weight"], F.lit(1.0)).alias("rake_weight"))
+    return j.select(*payroll.columns, F.coalesce(F.col("_w"), F.lit(1.0)).alias("rake_weight"))
 
 
 def reweighting_impact(growth: DataFrame, reweighted: DataFrame) -> DataFrame:

@@ -234,7 +234,7 @@ def rounded(sql_body: str, dbl: list[str], digits: int = 6) -> str:
         if sql_body.lstrip().upper().startswith("WITH"):
             return f"SELECT * FROM ({sql_body}) AS _q"
         return sql_body
-    rep = ", ".join(f"round({c}, {digits}) AS {c}" for c in dbl)
+    rep = ", ".join(f'round("{c}", {digits}) AS "{c}"' for c in dbl)
     return f"SELECT * REPLACE ({rep}) FROM ({sql_body}) AS _q"
 
 

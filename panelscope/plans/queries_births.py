@@ -1 +1,224 @@
-"""Registered queries (filled in below)."""
+"""Queries for births, lead tests, survival and raking."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from panelscope.operators import births as B
+from panelscope.operators import growth as G
+from panelscope.operators import reweight as R
+from panelscope.plans.catalog import register
+from panelscope.plans.inputs import bed, official, panel_at, payroll
+from panelscope.plans.queries_core import panel_level_sql
+from panelscope.plans.queries_dynamics import growth_sql
+
+BIRTH_SQL = f"""SELECT ref_date, quarter, births, determinable,
+      CAST(births AS DOUBLE) / NULLIF(CAST(determinable AS DOUBLE), 0) AS birth_rate
+    FROM (SELECT ref_date, quarter, CAST(sum(birth_count) AS BIGINT) AS births,
+                 CAST(sum(birth_determinable_count) AS BIGINT) AS determinable
+          FROM ({panel_level_sql('national')}) x GROUP BY ref_date, quarter) a"""
+
+
+def payroll_births(spark, d, level="national", groups=()):
+    return B.compute_payroll_birth_rates(panel_at(spark, d, level), list(groups))
+
+
+def official_births(spark, d):
+    return B.official_birth_rates(bed(spark, d))
+
+
+@register("bed_normalise", "SELECT * FROM bed", ["births", "deaths", "total_establishments", "birth_rate",
+                                                 "death_rate"])
+def q_bed(spark, d):
+    return bed(spark, d)
+
+
+@register("birth_rates", BIRTH_SQL, ["birth_rate"])
+def q_birth_rates(spark, d):
+    return payroll_births(spark, d)
+
+
+@register("birth_rates_supersector", f"""SELECT ref_date, quarter, supersector, births, determinable,
+      CAST(births AS DOUBLE) / NULLIF(CAST(determinable AS DOUBLE), 0) AS birth_rate
+    FROM (SELECT ref_date, quarter, supersector, CAST(sum(birth_count) AS BIGINT) AS births,
+                 CAST(sum(birth_determinable_count) AS BIGINT) AS determinable
+          FROM ({panel_level_sql('supersector')}) x GROUP BY ref_date, quarter, supersector) a""", ["birth_rate"])
+def q_birth_rates_ss(spark, d):
+    return payroll_births(spark, d, "supersector", ["supersector"])
+
+
+@register("compare_birth_rates", f"""SELECT p.*, o.bed_births, o.bed_deaths, o.bed_establishments, o.bed_birth_rate,
+      p.birth_rate - coalesce(o.bed_birth_rate, 0.0) AS birth_rate_diff,
+      p.birth_rate / NULLIF(coalesce(o.bed_birth_rate, 1.0), 0) AS birth_rate_ratio
+    FROM ({BIRTH_SQL}) p LEFT JOIN bed_national o USING (quarter)""",
+          ["birth_rate", "bed_births", "bed_deaths", "bed_establishments", "bed_birth_rate", "birth_rate_diff",
+           "birth_rate_ratio"])
+def q_compare_birth_rates(spark, d):
+    return B.compare_birth_rates(payroll_births(spark, d), official_births(spark, d), [])
+
+
+def _shares(src: str, name: str) -> str:
+    return f"""SELECT dimension, value, CAST(_n AS DOUBLE) / NULLIF(sum(_n) OVER (PARTITION BY dimension), 0) AS {name}
+      FROM (SELECT dimension, value, count(*) AS _n FROM (
+              SELECT 'supersector' AS dimension, supersector AS value FROM {src}
+              UNION ALL SELECT 'state_fips', state_fips FROM {src}
+              UNION ALL SELECT 'size_class', size_class FROM {src}) u GROUP BY dimension, value) c"""
+
+
+@register("birth_composition", f"""SELECT dimension, sum(abs(coalesce(share_det, 0.0) - coalesce(share_full, 0.0))) / 2
+      AS misallocation_index
+    FROM ({_shares('(SELECT * FROM payroll WHERE is_birth IS NOT NULL)', 'share_det')}) a
+    FULL OUTER JOIN ({_shares('payroll', 'share_full')}) b USING (dimension, value)
+    GROUP BY dimension""", ["misallocation_index"])
+def q_birth_composition(spark, d):
+    p = payroll(spark, d)
+    return B.compare_birth_determinable_composition(p.filter(F.col("is_birth").isNotNull()), p)
+
+
+MERGED_SQL = f"""m AS (SELECT quarter, x, bed_birth_rate AS y
+            FROM (SELECT quarter, avg(birth_rate) AS x FROM ({BIRTH_SQL}) b GROUP BY quarter) p
+            JOIN bed_national USING (quarter)),
+      mi AS (SELECT *, row_number() OVER (ORDER BY quarter) - 1 AS _i, count(*) OVER () AS _n,
+                    lag(x) OVER (ORDER BY quarter) AS x_lag, lag(y) OVER (ORDER BY quarter) AS y_lag FROM m)"""
+
+LEAD_SQL = f"""WITH {MERGED_SQL},
+      l AS (SELECT 'concurrent' AS model, 1 AS _o, y, x AS x1, CAST(NULL AS DOUBLE) AS x2 FROM mi WHERE _n >= 10
+            UNION ALL SELECT 'leading', 2, y, x, x_lag FROM mi WHERE _n >= 10 AND _i >= 1
+            UNION ALL SELECT 'incremental', 3, y, y_lag, x_lag FROM mi WHERE _n >= 10 AND _i >= 1),
+      s AS (SELECT model, _o, count(*) AS n, CAST(count(*) AS DOUBLE) AS nd, var_samp(x1) AS s11, var_samp(x2) AS s22,
+                   covar_samp(x1, x2) AS s12, covar_samp(x1, y) AS s1y, covar_samp(x2, y) AS s2y,
+                   var_samp(y) AS syy, corr(x1, x2) AS r12 FROM l GROUP BY model, _o),
+      f AS (SELECT *, s1y / s11 AS b_1, s1y * s1y / (s11 * syy) AS r2_1,
+                   s11 * s22 - s12 * s12 AS dd, coalesce(r12 * r12 > 1 - 1e-9, false) AS col FROM s),
+      g AS (SELECT *, (s22 * s1y - s12 * s2y) / dd AS b1, (s11 * s2y - s12 * s1y) / dd AS b2 FROM f),
+      h AS (SELECT *, (b1 * s1y + b2 * s2y) / syy AS r2_2 FROM g)
+    SELECT model, n,
+      CASE WHEN _o = 1 OR col THEN r2_1 ELSE r2_2 END AS r2,
+      CASE WHEN _o = 1 THEN b_1 WHEN col THEN NULL ELSE b2 END AS coef,
+      CASE WHEN _o = 1 THEN b_1 / sqrt((1 - r2_1) * syy / ((nd - 2) * s11))
+           WHEN col THEN NULL ELSE b2 / sqrt((1 - r2_2) * syy * s11 / ((nd - 3) * dd)) END AS t,
+      CASE WHEN _o = 1 THEN nd - 2 ELSE nd - 3 END AS dof
+    FROM h"""
+
+
+@register("birth_lead", LEAD_SQL, ["r2", "coef", "t", "dof"])
+def q_birth_lead(spark, d):
+    m = B.birth_lead_models(payroll_births(spark, d), official_births(spark, d))
+    return m.select("model", "n", "r2", "coef", "t", "dof")
+
+
+@register("birth_lead_pvalues", None, ["r2", "coef", "pvalue"])
+def q_birth_lead_p(spark, d):
+    return B.test_birth_lead(payroll_births(spark, d), official_births(spark, d))
+
+
+@register("cross_correlation", f"""WITH {MERGED_SQL},
+      pairs AS (SELECT CAST(l.lag AS INTEGER) AS lag, a.x, b.y
+                FROM mi a JOIN (SELECT unnest(range(0, 5)) AS lag) l ON true
+                JOIN mi b ON b._i = a._i + l.lag WHERE a._n >= 4)
+    SELECT lag, coalesce(CASE WHEN isnan(corr(x, y)) THEN 0.0 ELSE corr(x, y) END, 0.0) AS correlation
+    FROM pairs GROUP BY lag""", ["correlation"])
+def q_cross_correlation(spark, d):
+    return B.compute_cross_correlation(payroll_births(spark, d), official_births(spark, d), 4)
+
+
+def survival_sql(censored: bool) -> str:
+    horizons = B.SURVIVAL_HORIZONS
+    if censored:
+        cols = ", ".join(
+            f"CAST(count(*) FILTER (WHERE date_diff('day', entry_month, _end) / 30.0 >= {m} AND tenure >= {m}) AS DOUBLE)"
+            f" / NULLIF(count(*) FILTER (WHERE date_diff('day', entry_month, _end) / 30.0 >= {m}), 0) AS {n}"
+            for n, m in horizons.items())
+    else:
+        cols = ", ".join(f"avg(CASE WHEN tenure >= {m} THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END) AS {n}"
+                         for n, m in horizons.items())
+    return f"""WITH b AS (SELECT DISTINCT client_id, entry_month FROM payroll WHERE is_birth),
+      l AS (SELECT client_id, max(ref_date) AS last_seen FROM payroll GROUP BY client_id),
+      t AS (SELECT b.client_id, b.entry_month, CAST(year(entry_month) AS VARCHAR) || 'Q' || CAST(quarter(entry_month) AS VARCHAR)
+                     AS entry_quarter, date_diff('day', entry_month, last_seen) / 30.0 AS tenure,
+                   max(last_seen) OVER () AS _end
+            FROM b LEFT JOIN l USING (client_id))
+    SELECT entry_quarter, count(DISTINCT client_id) AS birth_cohort_n, {cols} FROM t GROUP BY entry_quarter"""
+
+
+@register("survival", survival_sql(False), list(B.SURVIVAL_HORIZONS))
+def q_survival(spark, d):
+    return B.compute_survival_curves(payroll(spark, d))
+
+
+@register("survival_censored", survival_sql(True), list(B.SURVIVAL_HORIZONS))
+def q_survival_censored(spark, d):
+    return B.compute_survival_curves(payroll(spark, d), censored=True)
+
+
+# ---------------------------------------------------------------- raking
+
+RAKE_ONE_SQL = """SELECT p.*, coalesce(m._q / NULLIF(t._p, 0), 1.0) AS rake_weight
+    FROM payroll p
+    LEFT JOIN (SELECT ref_date, quarter, supersector, CAST(sum(qualified_employment) AS DOUBLE) AS _p
+               FROM payroll GROUP BY 1, 2, 3) t USING (ref_date, quarter, supersector)
+    LEFT JOIN (SELECT ref_date, quarter, supersector, CAST(sum(qcew_employment) AS DOUBLE) AS _q
+               FROM off_supersector GROUP BY 1, 2, 3) m USING (ref_date, quarter, supersector)"""
+
+
+def raked_one(spark, d):
+    return R.rake_to_qcew(payroll(spark, d), official(spark, d, ["supersector"], "national"), ["supersector"])
+
+
+@register("rake_one_dim", RAKE_ONE_SQL, ["gross_pay", "rake_weight"])
+def q_rake_one(spark, d):
+    return raked_one(spark, d)
+
+
+def rake_unrolled_sql(dims: list[str], rounds: int, official_cte: str) -> str:
+    keys = ["ref_date", "quarter"] + dims
+    kl = ", ".join(keys)
+    ctes = [f"""c0 AS (SELECT {kl}, CAST(sum(qualified_employment) AS DOUBLE) AS _e, CAST(1.0 AS DOUBLE) AS w
+                FROM payroll GROUP BY {kl})"""]
+    for dim in dims:
+        ctes.append(f"""m_{dim} AS (SELECT ref_date, quarter, {dim}, CAST(sum(qcew_employment) AS DOUBLE) AS _q
+                    FROM {official_cte} GROUP BY ref_date, quarter, {dim})""")
+    k = 0
+    for _ in range(rounds):
+        for dim in dims:
+            k += 1
+            jc = f"ref_date, quarter, {dim}"
+            ctes.append(f"""p{k} AS (SELECT {jc}, sum(_e * w) AS _p FROM c{k - 1} GROUP BY {jc}),
+      r{k} AS (SELECT p.ref_date, p.quarter, p.{dim}, coalesce(m._q / NULLIF(p._p, 0), 1.0) AS _r
+               FROM p{k} p LEFT JOIN m_{dim} m USING ({jc})),
+      c{k} AS (SELECT {', '.join('c.' + x for x in keys)}, c._e, c.w * coalesce(r._r, 1.0) AS w
+               FROM c{k - 1} c LEFT JOIN r{k} r ON c.ref_date = r.ref_date AND c.quarter = r.quarter
+                                              AND c.{dim} = r.{dim})""")
+    on = " AND ".join(f"p.{x} IS NOT DISTINCT FROM c.{x}" for x in keys)
+    return (f"WITH {', '.join(ctes)}\n    SELECT p.*, coalesce(c.w, 1.0) AS rake_weight "
+            f"FROM payroll p LEFT JOIN c{k} c ON {on}")
+
+
+@register("rake_two_dims_k3", rake_unrolled_sql(["supersector", "state_fips"], 3, "off_supersector_state"),
+          ["gross_pay", "rake_weight"])
+def q_rake_two(spark, d):
+    return R.rake_to_qcew(payroll(spark, d), official(spark, d, ["supersector", "state_fips"], "state"),
+                          ["supersector", "state_fips"], max_iter=3, tolerance=0.0)
+
+
+@register("rake_two_dims", None, ["gross_pay", "rake_weight"])
+def q_rake_two_converged(spark, d):
+    return R.rake_to_qcew(payroll(spark, d), official(spark, d, ["supersector", "state_fips"], "state"),
+                          ["supersector", "state_fips"])
+
+
+REWEIGHTED_SQL = growth_sql(f"(SELECT *, qualified_employment * rake_weight AS _we FROM ({RAKE_ONE_SQL}) r)",
+                            "_we", [], False)
+
+
+@register("reweighted_growth", REWEIGHTED_SQL, ["employment", "mom_growth", "yoy_growth"])
+def q_reweighted_growth(spark, d):
+    return G.compute_growth_rates(raked_one(spark, d), "qualified_employment", [], weight_col="rake_weight")
+
+
+@register("reweighting_impact", f"""SELECT g.*, r.yoy_growth AS reweighted_yoy
+    FROM ({growth_sql('payroll', 'qualified_employment', [])}) g LEFT JOIN ({REWEIGHTED_SQL}) r USING (ref_date)""",
+          ["mom_growth", "yoy_growth", "reweighted_yoy"])
+def q_reweighting_impact(spark, d):
+    rg = G.compute_growth_rates(raked_one(spark, d), "qualified_employment", [], weight_col="rake_weight")
+    return R.reweighting_impact(G.compute_growth_rates(payroll(spark, d), "qualified_employment", []), rg)

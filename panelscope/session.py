@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 # runtime broadcast of small sides), UTC dates, no UI server.
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -25,6 +26,8 @@ def get_spark(master: str | None = None, app: str = "panelscope",
         builder = builder.master(master)
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)
+    if master and master.startswith("local"):
+        builder = builder.config("spark.driver.memory", os.environ.get("PANELSCOPE_DRIVER_MEMORY", "16g"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
