@@ -84,12 +84,24 @@ def grouped_quantiles(df: DataFrame, groups: list[str], value: str, quantiles: d
     return ranked.groupBy(*groups).agg(*aggs)
 
 
+def safe_corr(x, y, window=None) -> Column:
+    """Pearson correlation that is NULL (not an ANSI error) for fewer than 2 pairs or zero variance."""
+    x = F.col(x) if isinstance(x, str) else x
+    y = F.col(y) if isinstance(y, str) else y
+    both = x.isNotNull() & y.isNotNull()
+    xs, ys = F.when(both, x), F.when(both, y)
+    parts = [F.covar_samp(xs, ys), F.var_samp(xs), F.var_samp(ys)]
+    if window is not None:
+        parts = [p.over(window) for p in parts]
+    cov, vx, vy = parts
+    return F.try_divide(cov, F.sqrt(vx * vy))
+
+
 def guarded_rolling_corr(x: str, y: str, groups: list[str], order: str, size: int = 12) -> Column:
     """Correlation over the last ``size`` rows; NULL unless all ``size`` pairs are present."""
     w = Window.partitionBy(*groups).orderBy(order).rowsBetween(-(size - 1), 0)
     both = F.when(F.col(x).isNotNull() & F.col(y).isNotNull(), F.lit(1))
-    c = F.corr(F.col(x), F.col(y)).over(w)
-    return F.when(F.count(both).over(w) == size, F.when(~F.isnan(c), c))
+    return F.when(F.count(both).over(w) == size, safe_corr(x, y, w))
 
 
 def period_index(df: DataFrame, date_col: str = "ref_date", name: str = "_idx") -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelscope.functions.cols import days_over_30, quarter_label, td
-from panelscope.functions.stats import t_pvalue
+from panelscope.functions.stats import safe_corr, t_pvalue
 
 SURVIVAL_HORIZONS = {"survival_4q": 12, "survival_8q": 24, "survival_12q": 36, "survival_16q": 48,
                      "survival_20q": 60}
@@ -79,11 +79,11 @@ def _merged_quarterly(payroll_births: DataFrame, official: DataFrame, groups: li
 def _ols_two(n, s11, s22, s12, s1y, s2y, syy):
     """Closed-form OLS with intercept on two regressors from sample covariances."""
     d = s11 * s22 - s12 * s12
-    b1 = (s22 * s1y - s12 * s2y) / d
-    b2 = (s11 * s2y - s12 * s1y) / d
-    r2 = (b1 * s1y + b2 * s2y) / syy
-    se2 = (F.lit(1.0) - r2) * syy * s11 / ((n - 3) * d)
-    return b2, r2, b2 / F.sqrt(se2)
+    b1 = td(s22 * s1y - s12 * s2y, d)
+    b2 = td(s11 * s2y - s12 * s1y, d)
+    r2 = td(b1 * s1y + b2 * s2y, syy)
+    se2 = td((F.lit(1.0) - r2) * syy * s11, (n - 3) * d)
+    return b2, r2, td(b2, F.sqrt(se2))
 
 
 def birth_lead_models(payroll_births: DataFrame, official: DataFrame, grouping_cols: list[str] | None = None,
@@ -107,14 +107,14 @@ def birth_lead_models(payroll_births: DataFrame, official: DataFrame, grouping_c
         F.count(F.lit(1)).alias("n"),
         F.var_samp("x1").alias("s11"), F.var_samp("x2").alias("s22"), F.covar_samp("x1", "x2").alias("s12"),
         F.covar_samp("x1", "y").alias("s1y"), F.covar_samp("x2", "y").alias("s2y"), F.var_samp("y").alias("syy"),
-        F.corr("x1", "x2").alias("r12"),
+        safe_corr("x1", "x2").alias("r12"),
     )
     n = F.col("n").cast("double")
     s11, s22, s12, s1y, s2y, syy = (F.col(c) for c in ("s11", "s22", "s12", "s1y", "s2y", "syy"))
     # one regressor: slope, r2, t with n-2 degrees of freedom
-    b_1 = s1y / s11
-    r2_1 = s1y * s1y / (s11 * syy)
-    t_1 = b_1 / F.sqrt((F.lit(1.0) - r2_1) * syy / ((n - 2) * s11))
+    b_1 = td(s1y, s11)
+    r2_1 = td(s1y * s1y, s11 * syy)
+    t_1 = td(b_1, F.sqrt(td((F.lit(1.0) - r2_1) * syy, (n - 2) * s11)))
     b2, r2_2, t_2 = _ols_two(n, s11, s22, s12, s1y, s2y, syy)
     collinear = F.col("r12") * F.col("r12") > F.lit(1 - 1e-9)
     single = F.col("_o") == 1
@@ -149,7 +149,7 @@ def compute_cross_correlation(payroll_births: DataFrame, official: DataFrame, ma
     xs = xs.withColumn("_j", F.col("_xi") + F.col("lag"))
     ys = m.select(*g, F.col("_i").alias("_j"), "y")
     pairs = xs.join(ys, g + ["_j"], "inner")
-    c = F.corr("x", "y")
+    c = safe_corr("x", "y")
     return pairs.groupBy(*g, "lag").agg(F.coalesce(F.nanvl(c, F.lit(0.0)), F.lit(0.0)).alias("correlation"))
 
 

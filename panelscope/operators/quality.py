@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelscope.functions.cols import td
+
 FLAGS = ["flag_extreme_change", "flag_zero_employment", "flag_multi_client", "flag_filing_anomaly"]
 
 
@@ -15,7 +17,7 @@ def flag_data_quality_issues(payroll: DataFrame, extreme_threshold: float = 0.5)
     prev = F.lag(e).over(Window.partitionBy("client_id").orderBy("ref_date", e))
     df = payroll.withColumn("_prev", prev)
     extreme = (F.col("_prev").isNotNull() & (F.col("_prev") > 0)
-               & (F.abs(e - F.col("_prev")) / F.col("_prev") > extreme_threshold))
+               & (td(F.abs(e - F.col("_prev")), F.col("_prev")) > extreme_threshold))
     df = df.withColumn("flag_extreme_change", F.coalesce(extreme, F.lit(False))).drop("_prev")
     df = df.withColumn("flag_zero_employment", e == 0)
 

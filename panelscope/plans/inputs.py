@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelscope.operators.panel import build_panel, panel_level
+from panelscope.operators.panel import AGGREGATION_LEVELS, build_panel, panel_level
 from panelscope.sources import synth
 from panelscope.sources.official import (normalise_bed, normalise_ces, official_cells, qcew_keys,
                                          unpivot_qcew_months)
@@ -19,7 +19,9 @@ def panel(spark: SparkSession, d: str) -> DataFrame:
 
 
 def panel_at(spark: SparkSession, d: str, level: str) -> DataFrame:
-    return panel_level(panel(spark, d), level)
+    """One aggregation level, computed alone (a single grouping set, no 6x Expand)."""
+    levels = [(level, dict(AGGREGATION_LEVELS)[level])]
+    return panel_level(build_panel(payroll(spark, d), levels), level)
 
 
 def official_long(spark: SparkSession, d: str) -> DataFrame:
