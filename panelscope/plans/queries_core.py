@@ -70,7 +70,8 @@ def q_panel(spark, d):
 
 
 @register("qcew_unpivot", """SELECT area_fips, own_code, industry_code, agglvl_code, size_code, year, qtr,
-    qcew_establishments, slice, qcew_employment, ref_date, quarter, supersector, state_fips FROM qcew_long""")
+    qcew_establishments, total_qtrly_wages, slice, qcew_employment, ref_date, quarter, supersector, state_fips
+    FROM qcew_long""", ["total_qtrly_wages"])
 def q_qcew_unpivot(spark, d):
     return official_long(spark, d).drop("size_class")
 

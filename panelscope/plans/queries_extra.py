@@ -1 +1,425 @@
-"""Registered queries (filled in below)."""
+"""Queries for exhibit tables and the documented assessment / benchmarking operators."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from panelscope.functions.cols import supersector_of
+from panelscope.operators import assess as A
+from panelscope.operators import births as B
+from panelscope.operators import coverage as C
+from panelscope.operators import exhibits as X
+from panelscope.operators import flows as FL
+from panelscope.operators import growth as G
+from panelscope.operators import quality as Q
+from panelscope.operators import tenure as T
+from panelscope.plans.catalog import register
+from panelscope.plans.inputs import bed, official, panel, panel_at, payroll
+from panelscope.plans.queries_births import BIRTH_SQL, REWEIGHTED_SQL, payroll_births, raked_one
+from panelscope.plans.queries_core import (DQ_ROWS_SQL, VINTAGE_SQL, coverage_df, coverage_sql, csi_sql, median_sql,
+                                           nearest_sql, share_sql)
+from panelscope.plans.queries_dynamics import (CES_TOTAL, ces_growth, change_sql, flows_employee_sql,
+                                               flows_entry_exit_sql, growth_sql)
+from panelscope.sources import synth
+from panelscope.sources.payroll import REQUIRED_COLUMNS
+
+NAMES = X.SUPERSECTOR_NAMES
+PAYROLL_COLUMNS = REQUIRED_COLUMNS + ["gross_pay", "filing_date", "naics2", "naics3", "supersector", "size_class",
+                                      "quarter"]
+
+
+def _matrix_sql(inner: str, value: str) -> str:
+    cols = ", ".join(f"max(CASE WHEN supersector = '{n}' THEN {value} END) AS \"{n}\"" for n in NAMES)
+    return f"""SELECT state_fips, {cols} FROM ({inner}) c
+      WHERE ref_date = (SELECT max(ref_date) FROM ({inner}) m) GROUP BY state_fips"""
+
+
+@register("coverage_matrix", _matrix_sql(coverage_sql("supersector_state"), "coverage_ratio_employment"), NAMES)
+def q_coverage_matrix(spark, d):
+    return X.coverage_matrix(coverage_df(spark, d, "supersector_state"))
+
+
+@register("estab_matrix", _matrix_sql(coverage_sql("supersector_state"), "coverage_ratio_estab"), NAMES)
+def q_estab_matrix(spark, d):
+    return X.coverage_matrix(coverage_df(spark, d, "supersector_state"), "coverage_ratio_estab")
+
+
+RELIABILITY_SQL = f"""SELECT *, CASE WHEN coverage_ratio_employment IS NULL THEN 'insufficient'
+      WHEN payroll_clients >= 30 AND coverage_ratio_employment >= 0.005 THEN 'reliable'
+      WHEN payroll_clients < 30 AND coverage_ratio_employment < 0.005 THEN 'insufficient'
+      ELSE 'marginal' END AS reliability FROM ({coverage_sql('supersector_state')}) c"""
+
+
+@register("usability_matrix", _matrix_sql(
+    f"""SELECT *, CASE reliability WHEN 'reliable' THEN 1.0 WHEN 'marginal' THEN 0.5 ELSE 0.0 END AS _score
+        FROM ({RELIABILITY_SQL}) r""", "CAST(_score AS DOUBLE)"), NAMES)
+def q_usability_matrix(spark, d):
+    return X.usability_matrix(C.compute_cell_reliability(coverage_df(spark, d, "supersector_state")))
+
+
+@register("share_means", f"""SELECT supersector, avg(payroll_share) AS payroll_share, avg(qcew_share) AS qcew_share
+    FROM ({share_sql('supersector', 'supersector')}) s GROUP BY supersector""", ["payroll_share", "qcew_share"])
+def q_share_means(spark, d):
+    sh = C.compute_share_comparison(panel_at(spark, d, "supersector"),
+                                    official(spark, d, ["supersector"], "national"), "supersector")
+    return X.share_means(sh)
+
+
+@register("vintage_matrix", f"""SELECT ref_date, coalesce(COLUMNS(* EXCLUDE (ref_date)), CAST(0.0 AS DOUBLE)) FROM (
+      PIVOT (SELECT ref_date, vintage_year,
+                    round(CAST(employment AS DOUBLE) / NULLIF(sum(employment) OVER (PARTITION BY ref_date), 0), 6)
+                      AS employment_share FROM ({VINTAGE_SQL}) v)
+      ON vintage_year USING max(employment_share) GROUP BY ref_date) p""", ["*"])
+def q_vintage_matrix(spark, d):
+    vs = T.compute_vintage_shares(payroll(spark, d))
+    return X.vintage_matrix(vs.withColumn("employment_share", F.round("employment_share", 6)))
+
+
+@register("tenure_histogram", """WITH t AS (SELECT CAST(round(date_diff('day', min(ref_date), max(ref_date)) / 30.0) AS DOUBLE) AS v
+                 FROM payroll GROUP BY client_id),
+      s AS (SELECT count(*) AS n, min(v) AS lo0, max(v) AS hi0 FROM t),
+      b AS (SELECT n, CASE WHEN lo0 = hi0 THEN lo0 - 0.5 ELSE lo0 END AS lo,
+                   CASE WHEN lo0 = hi0 THEN hi0 + 0.5 ELSE hi0 END AS hi,
+                   least(50, greatest(10, CAST(floor(n / 10) AS INTEGER))) AS bins FROM s),
+      c AS (SELECT least(CAST(floor((v - lo) * (bins / (hi - lo))) AS INTEGER), bins - 1) AS bin, count(*) AS cnt
+            FROM t JOIN b ON true GROUP BY 1),
+      g AS (SELECT CAST(unnest(range(0, bins)) AS INTEGER) AS bin, lo, hi, bins FROM b WHERE n > 0)
+    SELECT g.bin, lo + g.bin * ((hi - lo) / bins) AS bin_start, lo + (g.bin + 1) * ((hi - lo) / bins) AS bin_end,
+           coalesce(c.cnt, 0) AS count FROM g LEFT JOIN c USING (bin)""", ["bin_start", "bin_end"])
+def q_tenure_histogram(spark, d):
+    return X.histogram(T.compute_client_tenure(payroll(spark, d)), "tenure_months")
+
+
+def _survival_long_sql() -> str:
+    from panelscope.plans.queries_births import survival_sql
+    parts = [f"SELECT entry_quarter, {int(n.split('_')[1][:-1])} AS horizon_quarters, {n} AS survival_rate FROM s"
+             for n in B.SURVIVAL_HORIZONS]
+    return (f"WITH s AS ({survival_sql(False)})\n    SELECT * FROM ({' UNION ALL '.join(parts)}) u "
+            f"WHERE survival_rate IS NOT NULL")
+
+
+@register("survival_long", _survival_long_sql(), ["survival_rate"])
+def q_survival_long(spark, d):
+    return X.survival_long(B.compute_survival_curves(payroll(spark, d)))
+
+
+@register("employment_change_stack", f"""SELECT ref_date, within_change, entry_contribution,
+      -exit_contribution AS exit_contribution FROM ({change_sql([])}) c""")
+def q_change_stack(spark, d):
+    return X.employment_change_stack(G.decompose_employment_change(payroll(spark, d)))
+
+
+@register("csi_by_dimension", " UNION ALL ".join(
+    f"SELECT ref_date, '{dim}' AS dimension, csi FROM ({csi_sql(dim, lvl)}) x{i}"
+    for i, (dim, lvl) in enumerate((("supersector", "supersector"), ("state_fips", "state"),
+                                    ("size_class", "size_class")))), ["csi"])
+def q_csi_by_dimension(spark, d):
+    return X.csi_by_dimension({dim: C.compute_composition_shift_index(panel_at(spark, d, lvl), dim)
+                               for dim, lvl in (("supersector", "supersector"), ("state_fips", "state"),
+                                                ("size_class", "size_class"))})
+
+
+@register("headline_coverage", f"""SELECT avg(coverage_ratio_employment) AS mean_coverage_ratio_employment,
+      avg(coverage_ratio_estab) AS mean_coverage_ratio_estab, count(*) AS n_months
+    FROM ({coverage_sql('national')}) c""", ["mean_coverage_ratio_employment", "mean_coverage_ratio_estab"])
+def q_headline(spark, d):
+    return X.headline_coverage(coverage_df(spark, d, "national"))
+
+
+# ---------------------------------------------------------------- assessment (documented operators)
+
+@register("completeness", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, avg(CASE WHEN {c} IS NOT NULL THEN 1.0 ELSE 0.0 END)::DOUBLE AS completeness "
+    f"FROM payroll" for c in PAYROLL_COLUMNS), ["completeness"])
+def q_completeness(spark, d):
+    return A.column_completeness(payroll(spark, d)).withColumnRenamed("column", "column_name")
+
+
+@register("zero_employment_months", """SELECT client_id, count(DISTINCT ref_date) AS months_observed,
+      count(*) FILTER (WHERE qualified_employment = 0) AS zero_employment_months FROM payroll GROUP BY client_id""")
+def q_zero_months(spark, d):
+    return A.zero_employment_months(payroll(spark, d))
+
+
+VALID_SQL = ("coalesce(regexp_full_match(naics_code, '[0-9]{6}'), false) AND substr(naics_code, 1, 2) IN ("
+             + ", ".join(f"'{k}'" for k in A.SUPERSECTOR_MAP) + ")")
+
+
+@register("naics_validity", f"""SELECT ref_date, count(*) AS n_rows, count(*) FILTER (WHERE {VALID_SQL}) AS n_valid,
+      CAST(count(*) FILTER (WHERE {VALID_SQL}) AS DOUBLE) / NULLIF(count(*), 0) AS validity_rate
+    FROM payroll GROUP BY ref_date""", ["validity_rate"])
+def q_naics_validity(spark, d):
+    return A.naics_validity(payroll(spark, d))
+
+
+@register("filing_lag", f"""SELECT ref_date, {nearest_sql('filing_lag_days', 0.1)} AS p10_lag,
+      {nearest_sql('filing_lag_days', 0.5)} AS p50_lag, {nearest_sql('filing_lag_days', 0.9)} AS p90_lag,
+      avg(filing_lag_days) AS mean_lag, avg(CASE WHEN filing_lag_days > 0 THEN 1.0 ELSE 0.0 END)::DOUBLE
+        AS share_after_ref_date, count(*) AS n_filed
+    FROM (SELECT ref_date, filing_lag_days, row_number() OVER (PARTITION BY ref_date ORDER BY filing_lag_days) AS _rank,
+                 count(*) OVER (PARTITION BY ref_date) AS _n
+          FROM (SELECT ref_date, CAST(date_diff('day', ref_date, filing_date) AS INTEGER) AS filing_lag_days
+                FROM payroll WHERE filing_date IS NOT NULL) x) r
+    GROUP BY ref_date""", ["mean_lag", "share_after_ref_date"])
+def q_filing_lag(spark, d):
+    return A.filing_lag_distribution(payroll(spark, d))
+
+
+@register("quality_scorecard", f"""WITH m AS (SELECT
+      least(""" + ", ".join(f"avg(CASE WHEN {c} IS NOT NULL THEN 1.0 ELSE 0.0 END)::DOUBLE" for c in
+                            ["client_id", "ref_date", "entry_month", "is_birth", "naics_code", "state_fips",
+                             "qualified_employment"]) + f""") AS completeness,
+      avg(CASE WHEN {VALID_SQL} THEN 1.0 ELSE 0.0 END)::DOUBLE AS naics_validity,
+      avg(CASE WHEN qualified_employment = 0 THEN 1.0 ELSE 0.0 END)::DOUBLE AS zero_employment_share,
+      median(CAST(date_diff('day', ref_date, filing_date) AS DOUBLE)) AS median_filing_lag_days FROM payroll)
+    SELECT 'completeness' AS metric, completeness AS value, 0.99::DOUBLE AS threshold, completeness >= 0.99 AS passed FROM m
+    UNION ALL SELECT 'naics_validity', naics_validity, 0.95::DOUBLE, naics_validity >= 0.95 FROM m
+    UNION ALL SELECT 'zero_employment_share', zero_employment_share, 0.05::DOUBLE, zero_employment_share <= 0.05 FROM m
+    UNION ALL SELECT 'median_filing_lag_days', median_filing_lag_days, 45.0::DOUBLE, median_filing_lag_days <= 45.0 FROM m""",
+          ["value", "threshold"])
+def q_scorecard(spark, d):
+    return A.quality_scorecard(payroll(spark, d))
+
+
+@register("tenure_entry_exit", """SELECT client_id, min(entry_month) AS entry_month, max(exit_month) AS exit_month,
+      max(exit_month) IS NULL AS active,
+      CAST(round(date_diff('day', min(entry_month), coalesce(max(exit_month), (SELECT max(ref_date) FROM payroll)))
+                 / 30.0) AS BIGINT) AS tenure_months
+    FROM payroll GROUP BY client_id""")
+def q_tenure_entry_exit(spark, d):
+    return A.tenure_entry_to_exit(payroll(spark, d))
+
+
+@register("quarterly_churn", """SELECT quarter,
+      count(DISTINCT CASE WHEN ref_date = _first_m THEN client_id END) AS start_clients,
+      count(DISTINCT CASE WHEN exit_month = ref_date THEN client_id END) AS exits,
+      CAST(count(DISTINCT CASE WHEN exit_month = ref_date THEN client_id END) AS DOUBLE)
+        / NULLIF(count(DISTINCT CASE WHEN ref_date = _first_m THEN client_id END), 0) AS churn_rate
+    FROM payroll JOIN (SELECT quarter, min(ref_date) AS _first_m FROM payroll GROUP BY quarter) f USING (quarter)
+    GROUP BY quarter""", ["churn_rate"])
+def q_quarterly_churn(spark, d):
+    return A.quarterly_churn(payroll(spark, d))
+
+
+@register("vintage_quarter", """SELECT *, vintage_quarter = max(vintage_quarter) OVER (PARTITION BY ref_date)
+      AND employment_share > 0.3 AS is_contaminated FROM (
+      SELECT *, CAST(employment AS DOUBLE) / NULLIF(total_emp, 0) AS employment_share FROM (
+        SELECT *, CAST(sum(employment) OVER (PARTITION BY ref_date) AS BIGINT) AS total_emp FROM (
+          SELECT ref_date, vintage_quarter, CAST(sum(qualified_employment) AS BIGINT) AS employment,
+                 count(DISTINCT client_id) AS client_count
+          FROM payroll JOIN (SELECT client_id, CAST(year(min(ref_date)) AS VARCHAR) || 'Q' ||
+                                    CAST(quarter(min(ref_date)) AS VARCHAR) AS vintage_quarter
+                             FROM payroll GROUP BY client_id) v USING (client_id)
+          GROUP BY ref_date, vintage_quarter) v) a) b""", ["employment_share"])
+def q_vintage_quarter(spark, d):
+    return T.compute_vintage_shares(payroll(spark, d), period="quarter")
+
+
+def quarterly_flows_sql(monthly: str) -> str:
+    return f"""SELECT *, CAST(hires AS DOUBLE) / NULLIF(avg_employment, 0) AS accession_rate,
+      CAST(separations AS DOUBLE) / NULLIF(avg_employment, 0) AS separation_rate FROM (
+      SELECT CAST(year(ref_date) AS VARCHAR) || 'Q' || CAST(quarter(ref_date) AS VARCHAR) AS quarter,
+             CAST(sum(hires) AS BIGINT) AS hires, CAST(sum(separations) AS BIGINT) AS separations,
+             avg(employment) AS avg_employment FROM ({monthly}) m GROUP BY 1) q"""
+
+
+QFLOW_DBL = ["avg_employment", "accession_rate", "separation_rate"]
+
+
+@register("quarterly_flows", quarterly_flows_sql(flows_employee_sql([])), QFLOW_DBL)
+def q_quarterly_flows(spark, d):
+    return A.quarterly_flows(FL.compute_job_flows(synth.employees(spark, d), []))
+
+
+@register("flows_vs_bed", f"""SELECT *, accession_rate - official_accession_rate AS accession_gap,
+      separation_rate - official_separation_rate AS separation_gap,
+      covar_samp(accession_rate, official_accession_rate) OVER ()
+        / sqrt(var_samp(accession_rate) OVER () * var_samp(official_accession_rate) OVER ()) AS accession_corr,
+      covar_samp(separation_rate, official_separation_rate) OVER ()
+        / sqrt(var_samp(separation_rate) OVER () * var_samp(official_separation_rate) OVER ()) AS separation_corr
+    FROM ({quarterly_flows_sql(flows_entry_exit_sql([]))}) p
+    JOIN (SELECT quarter, bed_births / NULLIF(bed_establishments, 0) AS official_accession_rate,
+                 bed_deaths / NULLIF(bed_establishments, 0) AS official_separation_rate FROM bed_national) o
+    USING (quarter)""", QFLOW_DBL + ["official_accession_rate", "official_separation_rate", "accession_gap",
+                                     "separation_gap", "accession_corr", "separation_corr"])
+def q_flows_vs_bed(spark, d):
+    qf = A.quarterly_flows(FL.compute_job_flows(payroll(spark, d), [], "entry_exit"))
+    o = B.official_birth_rates(bed(spark, d)).select(
+        "quarter", F.try_divide("bed_births", "bed_establishments").alias("official_accession_rate"),
+        F.try_divide("bed_deaths", "bed_establishments").alias("official_separation_rate"))
+    return A.compare_flows_to_official(qf, o)
+
+
+@register("job_to_job", """WITH idx AS (SELECT ref_date, dense_rank() OVER (ORDER BY ref_date) - 1 AS _idx
+                    FROM (SELECT DISTINCT ref_date FROM employees) d),
+      pres AS (SELECT DISTINCT e.employee_id, e.client_id, e.ref_date, i._idx FROM employees e JOIN idx i USING (ref_date)),
+      cur AS (SELECT p.*, EXISTS (SELECT 1 FROM pres q WHERE q.employee_id = p.employee_id AND q._idx = p._idx - 1) AS was,
+                     EXISTS (SELECT 1 FROM pres q WHERE q.employee_id = p.employee_id AND q.client_id = p.client_id
+                             AND q._idx = p._idx - 1) AS same FROM pres p)
+    SELECT ref_date, count(DISTINCT employee_id) AS workers,
+           count(DISTINCT CASE WHEN was AND NOT same THEN employee_id END) AS job_to_job_moves,
+           CAST(count(DISTINCT CASE WHEN was AND NOT same THEN employee_id END) AS DOUBLE)
+             / NULLIF(count(DISTINCT employee_id), 0) AS job_to_job_rate
+    FROM cur GROUP BY ref_date""", ["job_to_job_rate"])
+def q_job_to_job(spark, d):
+    return A.job_to_job(synth.employees(spark, d))
+
+
+@register("worker_tenure", """WITH idx AS (SELECT ref_date, dense_rank() OVER (ORDER BY ref_date) - 1 AS _idx
+                    FROM (SELECT DISTINCT ref_date FROM employees) d),
+      pres AS (SELECT DISTINCT e.employee_id, e.client_id, e.ref_date, i._idx FROM employees e JOIN idx i USING (ref_date)),
+      isl AS (SELECT *, _idx - row_number() OVER (PARTITION BY employee_id, client_id ORDER BY _idx) AS _island FROM pres),
+      t AS (SELECT ref_date, row_number() OVER (PARTITION BY employee_id, client_id, _island ORDER BY _idx) AS tenure_months
+            FROM isl)
+    SELECT ref_date, avg(tenure_months) AS mean_tenure_months, CAST(max(tenure_months) AS INTEGER) AS max_tenure_months,
+           count(*) AS worker_client_pairs FROM t GROUP BY ref_date""", ["mean_tenure_months"])
+def q_worker_tenure(spark, d):
+    return A.worker_tenure_summary(synth.employees(spark, d))
+
+
+PAY_SQL = """SELECT *, pay_per_employee / NULLIF(lag(pay_per_employee, 1) OVER (ORDER BY ref_date), 0) - 1 AS pay_mom,
+      pay_per_employee / NULLIF(lag(pay_per_employee, 12) OVER (ORDER BY ref_date), 0) - 1 AS pay_yoy FROM (
+      SELECT ref_date, sum(gross_pay) AS total_pay, CAST(sum(qualified_employment) AS BIGINT) AS employment,
+             sum(gross_pay) / NULLIF(CAST(sum(qualified_employment) AS DOUBLE), 0) AS pay_per_employee
+      FROM payroll GROUP BY ref_date) a"""
+
+
+@register("pay_per_employee", PAY_SQL, ["total_pay", "pay_per_employee", "pay_mom", "pay_yoy"])
+def q_pay(spark, d):
+    return A.pay_per_employee(payroll(spark, d))
+
+
+@register("pay_vs_official", f"""SELECT *, covar_samp(pay_growth, official_growth) OVER ()
+        / sqrt(var_samp(pay_growth) OVER () * var_samp(official_growth) OVER ()) AS growth_corr FROM (
+      SELECT *, pay_per_employee / NULLIF(official_monthly_wage, 0) AS pay_ratio,
+             pay_per_employee / NULLIF(lag(pay_per_employee) OVER (ORDER BY quarter), 0) - 1 AS pay_growth,
+             official_monthly_wage / NULLIF(lag(official_monthly_wage) OVER (ORDER BY quarter), 0) - 1 AS official_growth
+      FROM (SELECT CAST(year(ref_date) AS VARCHAR) || 'Q' || CAST(quarter(ref_date) AS VARCHAR) AS quarter,
+                   sum(total_pay) / NULLIF(CAST(sum(employment) AS DOUBLE), 0) AS pay_per_employee
+            FROM ({PAY_SQL}) p GROUP BY 1) p
+      JOIN (SELECT CAST(year AS VARCHAR) || 'Q' || qtr AS quarter,
+                   sum(total_qtrly_wages) / NULLIF((sum(month1_emplvl) + sum(month2_emplvl) + sum(month3_emplvl)) / 3.0 * 13.0, 0)
+                     * 52.0 / 12.0 AS official_monthly_wage
+            FROM qcew_raw WHERE own_code = '5' AND slice = 'national' GROUP BY 1) o USING (quarter)) m""",
+          ["pay_per_employee", "official_monthly_wage", "pay_ratio", "pay_growth", "official_growth", "growth_corr"])
+def q_pay_vs_official(spark, d):
+    return A.compare_pay_to_official(A.pay_per_employee(payroll(spark, d)),
+                                     A.official_weekly_wages(synth.qcew_raw(spark, d)))
+
+
+@register("reweight_quality", f"""WITH m AS (SELECT g.ref_date, g.yoy_growth, r.yoy_growth AS reweighted_yoy,
+                   o.yoy_growth AS official_yoy
+            FROM ({growth_sql('payroll', 'qualified_employment', [])}) g
+            LEFT JOIN ({REWEIGHTED_SQL}) r USING (ref_date)
+            JOIN ({growth_sql(CES_TOTAL, 'employment', [], False)}) o USING (ref_date))
+    SELECT 'raw' AS series, avg(abs(yoy_growth - official_yoy)) AS mae,
+           covar_samp(yoy_growth, official_yoy) / sqrt(var_samp(yoy_growth) * var_samp(official_yoy)) AS correlation,
+           count(*) FILTER (WHERE yoy_growth IS NOT NULL AND official_yoy IS NOT NULL) AS n_months FROM m
+    UNION ALL
+    SELECT 'reweighted', avg(abs(reweighted_yoy - official_yoy)),
+           covar_samp(reweighted_yoy, official_yoy) / sqrt(var_samp(reweighted_yoy) * var_samp(official_yoy)),
+           count(*) FILTER (WHERE reweighted_yoy IS NOT NULL AND official_yoy IS NOT NULL) FROM m""",
+          ["mae", "correlation"])
+def q_reweight_quality(spark, d):
+    from panelscope.operators.reweight import reweighting_impact
+    rg = G.compute_growth_rates(raked_one(spark, d), "qualified_employment", [], weight_col="rake_weight")
+    imp = reweighting_impact(G.compute_growth_rates(payroll(spark, d), "qualified_employment", []), rg)
+    return A.reweighting_quality(imp, ces_growth(spark, d))
+
+
+def _bed_by_supersector(spark, d):
+    b = bed(spark, d).filter((F.col("state_fips") == "00") & (F.col("naics_code") != "000000"))
+    return b.groupBy(F.concat(F.col("year").cast("string"), F.lit("Q"), F.col("quarter").cast("string")).alias("quarter"),
+                     supersector_of(F.substring("naics_code", 1, 2)).alias("supersector")).agg(
+        F.try_divide(F.sum("births"), F.sum("total_establishments")).alias("bed_birth_rate"))
+
+
+@register("birth_lead_by_supersector", None, ["r2", "coef", "t", "dof"])
+def q_birth_lead_ss(spark, d):
+    pb = B.compute_payroll_birth_rates(panel_at(spark, d, "supersector"), ["supersector"])
+    return B.birth_lead_models(pb, _bed_by_supersector(spark, d), ["supersector"]).select(
+        "supersector", "model", "n", "r2", "coef", "t", "dof")
+
+
+def _geo(spark, d):
+    return A.add_geography_and_domain(payroll(spark, d))
+
+
+REGION_CASE = "CASE " + " ".join(f"WHEN state_fips = '{s}' THEN '{A.DIVISION_REGION[v]}'"
+                                 for s, v in A.STATE_DIVISION.items()) + " ELSE 'Unknown' END"
+DOMAIN_CASE = ("CASE WHEN supersector IN (" + ", ".join(f"'{x}'" for x in A.GOODS_PRODUCING)
+               + ") THEN 'Goods-producing' ELSE 'Service-providing' END")
+
+
+def _flows_by_sql(expr: str, name: str) -> str:
+    src = f"(SELECT *, {expr} AS {name} FROM payroll)"
+    return flows_entry_exit_sql([name]).replace("FROM payroll GROUP BY", f"FROM {src} p GROUP BY")
+
+
+@register("flows_region", _flows_by_sql(REGION_CASE, "census_region"),
+          ["hire_rate", "separation_rate", "churn_rate", "net_growth_rate"])
+def q_flows_region(spark, d):
+    return FL.compute_job_flows(_geo(spark, d), ["census_region"], "entry_exit")
+
+
+@register("flows_domain", _flows_by_sql(DOMAIN_CASE, "domain"),
+          ["hire_rate", "separation_rate", "churn_rate", "net_growth_rate"])
+def q_flows_domain(spark, d):
+    return FL.compute_job_flows(_geo(spark, d), ["domain"], "entry_exit")
+
+
+def _all_levels_sql() -> str:
+    from panelscope.operators.panel import AGGREGATION_LEVELS, PANEL_MEASURES
+    offs = {"national": "off_national", "supersector": "off_supersector", "state": "off_state",
+            "supersector_state": "off_supersector_state"}
+    parts = []
+    for level, cols in AGGREGATION_LEVELS:
+        keys = ["ref_date", "quarter"] + cols
+        sel_keys = ", ".join(f"p.{k}" if k in keys else f"CAST(NULL AS VARCHAR) AS {k}"
+                             for k in ["ref_date", "quarter", "supersector", "state_fips", "size_class"])
+        meas = ", ".join(f"p.{m}" if m != "client_count" else "p.client_count AS payroll_clients" for m in PANEL_MEASURES)
+        if level in offs:
+            on = " AND ".join(f"p.{k} = o.{k}" for k in keys)
+            src = f"LEFT JOIN {offs[level]} o ON {on}"
+            oc = "o.qcew_employment, o.qcew_establishments"
+        else:
+            src = ""
+            oc = "CAST(NULL AS BIGINT) AS qcew_employment, CAST(NULL AS BIGINT) AS qcew_establishments"
+        parts.append(f"""SELECT '{level}' AS grouping_level, {sel_keys}, {meas}, {oc}
+          FROM (SELECT * FROM panel WHERE grouping_level = '{level}') p {src}""")
+    body = " UNION ALL ".join(parts)
+    return f"""SELECT *, CAST(payroll_employment AS DOUBLE) / NULLIF(CAST(qcew_employment AS DOUBLE), 0)
+        AS coverage_ratio_employment,
+      CAST(payroll_clients AS DOUBLE) / NULLIF(CAST(qcew_establishments AS DOUBLE), 0) AS coverage_ratio_estab,
+      CASE WHEN CAST(payroll_employment AS DOUBLE) / NULLIF(CAST(qcew_employment AS DOUBLE), 0) IS NULL THEN 'insufficient'
+           WHEN payroll_clients >= 30 AND CAST(payroll_employment AS DOUBLE) / NULLIF(CAST(qcew_employment AS DOUBLE), 0) >= 0.005
+             THEN 'reliable'
+           WHEN payroll_clients < 30 AND CAST(payroll_employment AS DOUBLE) / NULLIF(CAST(qcew_employment AS DOUBLE), 0) < 0.005
+             THEN 'insufficient'
+           ELSE 'marginal' END AS reliability
+    FROM ({body}) u"""
+
+
+@register("coverage_all_levels", _all_levels_sql(), ["coverage_ratio_employment", "coverage_ratio_estab"])
+def q_coverage_all_levels(spark, d):
+    offs = {"national": official(spark, d, [], "national"),
+            "supersector": official(spark, d, ["supersector"], "national"),
+            "state": official(spark, d, ["state_fips"], "state"),
+            "supersector_state": official(spark, d, ["supersector", "state_fips"], "state")}
+    return A.coverage_all_levels(panel(spark, d), offs)
+
+
+@register("winsorised_pay", f"""SELECT p.* REPLACE (CASE WHEN p.gross_pay IS NULL THEN NULL
+                                           ELSE least(greatest(p.gross_pay, b._lo), b._hi) END AS gross_pay)
+    FROM payroll p LEFT JOIN (
+      SELECT ref_date, {nearest_sql('gross_pay', 0.01)} AS _lo, {nearest_sql('gross_pay', 0.99)} AS _hi
+      FROM (SELECT ref_date, gross_pay, row_number() OVER (PARTITION BY ref_date ORDER BY gross_pay) AS _rank,
+                   count(*) OVER (PARTITION BY ref_date) AS _n FROM payroll WHERE gross_pay IS NOT NULL) r
+      GROUP BY ref_date) b ON p.ref_date IS NOT DISTINCT FROM b.ref_date""", ["gross_pay"])
+def q_winsorised(spark, d):
+    return A.winsorise(payroll(spark, d), "gross_pay", ["ref_date"])
+
+
+@register("dq_clean_rows", f"SELECT * FROM ({DQ_ROWS_SQL}) r WHERE NOT has_any_flag", ["gross_pay"])
+def q_dq_clean(spark, d):
+    return A.exclude_flagged(Q.flag_data_quality_issues(payroll(spark, d))[0])

@@ -133,7 +133,8 @@ def employees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _ship_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_quantity", "l_shipdate")
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_quantity", "l_extendedprice",
+                                                 "l_shipdate")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     return (li.join(orders, li.l_orderkey == orders.o_orderkey)
@@ -149,26 +150,29 @@ def qcew_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.quarter("l_shipdate").cast("string").alias("qtr"),
         F.lpad((F.col("c_nationkey") + 1).cast("string"), 2, "0").alias("st"),
         F.element_at(_map(SEGMENT_QCEW_INDUSTRY), F.col("c_mktsegment")).alias("industry_code"),
-        pos.alias("pos"), "l_quantity", "l_suppkey",
+        pos.alias("pos"), "l_quantity", "l_suppkey", "l_extendedprice",
     )
 
     def month(i):
         return (F.coalesce(F.sum(F.when(F.col("pos") == i, F.col("l_quantity"))), F.lit(0.0)) * 10).cast("bigint")
 
     aggs = [month(1).alias("month1_emplvl"), month(2).alias("month2_emplvl"), month(3).alias("month3_emplvl"),
-            (F.count_distinct("l_suppkey") * 5).cast("bigint").alias("qtrly_estabs_count")]
+            (F.count_distinct("l_suppkey") * 5).cast("bigint").alias("qtrly_estabs_count"),
+            F.round(F.sum("l_extendedprice"), 2).alias("total_qtrly_wages")]
     state = base.groupBy("year", "qtr", "st", "industry_code").agg(*aggs).select(
         F.concat(F.col("st"), F.lit("000")).alias("area_fips"), F.lit("5").alias("own_code"), "industry_code",
         F.lit("58").alias("agglvl_code"), F.lit("0").alias("size_code"), "year", "qtr",
-        "month1_emplvl", "month2_emplvl", "month3_emplvl", "qtrly_estabs_count", F.lit("state").alias("slice"))
+        "month1_emplvl", "month2_emplvl", "month3_emplvl", "qtrly_estabs_count", "total_qtrly_wages",
+        F.lit("state").alias("slice"))
     national = base.groupBy("year", "qtr", "industry_code").agg(*aggs).select(
         F.lit("US000").alias("area_fips"), F.lit("5").alias("own_code"), "industry_code",
         F.lit("14").alias("agglvl_code"), F.lit("0").alias("size_code"), "year", "qtr",
-        "month1_emplvl", "month2_emplvl", "month3_emplvl", "qtrly_estabs_count", F.lit("national").alias("slice"))
+        "month1_emplvl", "month2_emplvl", "month3_emplvl", "qtrly_estabs_count", "total_qtrly_wages",
+        F.lit("national").alias("slice"))
     decoy = national.select(
         "area_fips", F.lit("1").alias("own_code"), "industry_code", F.lit("11").alias("agglvl_code"), "size_code",
         "year", "qtr", *[(F.col(c) * 3).alias(c) for c in ("month1_emplvl", "month2_emplvl", "month3_emplvl")],
-        "qtrly_estabs_count", "slice")
+        "qtrly_estabs_count", (F.col("total_qtrly_wages") * 3).alias("total_qtrly_wages"), "slice")
     return state.unionByName(national).unionByName(decoy)
 
 
