@@ -67,6 +67,12 @@ def _period_ipf(cells: DataFrame, dims: list[str], period: list[str], margins: d
     t = cells
     for d in dims:
         t = t.join(margins[d].withColumnRenamed("_q", f"_q_{d}"), period + [d], "left")
+    # both passes read the cell table: write it once (small, bounded by the cell domain) to the
+    # shared checkpoint folder instead of recomputing payroll and official aggregates twice
+    spark = cells.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/panelscope-rake-{uuid.uuid4().hex}/cells"
+    t.write.mode("overwrite").parquet(path)
+    t = spark.read.parquet(path)
     schema_cols = t.columns
     key_cols = [c for c in schema_cols if not c.startswith("_q_") and c != "_e"]
 
