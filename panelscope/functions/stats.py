@@ -38,22 +38,23 @@ def rank_within_groups(df: DataFrame, groups: list[str], value: str,
     n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     base = df.filter(F.col(value).isNotNull())
     ordering = [F.col(g).asc_nulls_first() for g in groups] + [F.col(value).asc()]
-    sliced = base.repartitionByRange(n_parts, *ordering).withColumn("_pid", F.spark_partition_id())
+    # one non-NULL group key: a struct compares NULL fields as equal, so the slice join is a
+    # plain equi-join on (_pid, _gk) and reuses the window's hash partitioning (no extra shuffle)
+    gk = F.struct(*[F.col(g) for g in groups]) if groups else F.lit(0)
+    sliced = (base.repartitionByRange(n_parts, *ordering)
+              .select("*", F.spark_partition_id().alias("_pid"), gk.alias("_gk")))
     local = sliced.withColumn(
-        "_lr", F.row_number().over(Window.partitionBy("_pid", *groups).orderBy(F.col(value))))
-    gk = [f"_g{i}" for i in range(len(groups))]
-    slices = local.groupBy("_pid", *groups).agg(F.count(F.lit(1)).alias("_c")).select(
-        F.col("_pid").alias("_spid"), *[F.col(g).alias(k) for g, k in zip(groups, gk)], "_c")
-    by_group = Window.partitionBy(*gk)
+        "_lr", F.row_number().over(Window.partitionBy("_pid", "_gk").orderBy(F.col(value))))
+    slices = local.groupBy("_pid", "_gk").agg(F.count(F.lit(1)).alias("_c")).select(
+        F.col("_pid").alias("_spid"), F.col("_gk").alias("_sgk"), "_c")
+    by_group = Window.partitionBy("_sgk")
     slices = (slices
               .withColumn("_off", F.coalesce(
                   F.sum("_c").over(by_group.orderBy("_spid").rowsBetween(Window.unboundedPreceding, -1)),
                   F.lit(0)))
               .withColumn("_n", F.sum("_c").over(by_group))
               .drop("_c"))
-    on = F.col("_pid") == F.col("_spid")
-    for g, k in zip(groups, gk):
-        on = on & F.col(g).eqNullSafe(F.col(k))
+    on = (F.col("_pid") == F.col("_spid")) & (F.col("_gk") == F.col("_sgk"))
     out = local.join(slices, on, "inner").select(
         *base.columns, (F.col("_off") + F.col("_lr")).alias("_rank"), F.col("_n"))
     return out

@@ -57,9 +57,10 @@ def histogram(df: DataFrame, value: str, min_bins: int = 10, max_bins: int = 50,
     """
     v = F.col(value).cast("double")
     vals = df.select(v.alias("_v")).filter(F.col("_v").isNotNull())
-    stats = vals.agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi"))
-    n = stats.select("n").scalar()
-    lo0, hi0 = stats.select("lo").scalar(), stats.select("hi").scalar()
+    # one scalar subquery (a struct of count, min, max), evaluated once
+    stats = vals.agg(F.struct(F.count(F.lit(1)).alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi")).alias("s"))
+    sc = stats.scalar()
+    n, lo0, hi0 = sc.getField("n"), sc.getField("lo"), sc.getField("hi")
     same = lo0 == hi0
     lo = F.when(same, lo0 - F.lit(0.5)).otherwise(lo0)
     hi = F.when(same, hi0 + F.lit(0.5)).otherwise(hi0)
