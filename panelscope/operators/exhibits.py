@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelscope.functions.cols import SUPERSECTOR_MAP
@@ -115,3 +115,46 @@ def write_outputs(outputs: dict[str, DataFrame], path: str, fmt: str = "parquet"
             w.option("header", True).csv(f"{path}/{name}")
         else:
             w.parquet(f"{path}/{name}")
+
+
+# ---------------------------------------------------------------- chart series (X9)
+
+def growth_tracking(comparison: DataFrame) -> DataFrame:
+    """ref_date, payroll_yoy, ces_yoy (X9c)."""
+    return comparison.select("ref_date", "payroll_yoy", "ces_yoy")
+
+
+def divergence_stack(divergence: DataFrame) -> DataFrame:
+    """quarter, composition and within-cell effects, with the running total of both (X9d)."""
+    w = Window.orderBy("quarter").rowsBetween(Window.unboundedPreceding, 0)
+    return divergence.select("quarter", "composition_effect", "within_cell_effect",
+                             F.sum(F.col("composition_effect") + F.col("within_cell_effect")).over(w)
+                             .alias("cumulative_divergence"))
+
+
+def birth_rate_pairs(comparison: DataFrame) -> DataFrame:
+    """ref_date, quarter, payroll and official birth rates (X9e)."""
+    return comparison.select("ref_date", "quarter", "birth_rate", "bed_birth_rate")
+
+
+def reweighting_series(impact: DataFrame, official_growth: DataFrame) -> DataFrame:
+    """ref_date, payroll_yoy, reweighted_yoy (falls back to payroll_yoy), ces_yoy (X9h)."""
+    o = official_growth.select("ref_date", F.col("yoy_growth").alias("ces_yoy"))
+    return impact.join(o, "ref_date", "left").select(
+        "ref_date", F.col("yoy_growth").alias("payroll_yoy"),
+        F.coalesce("reweighted_yoy", "yoy_growth").alias("reweighted_yoy"), "ces_yoy")
+
+
+def flow_rate_series(flows: DataFrame) -> DataFrame:
+    """ref_date, hire_rate, separation_rate, churn_rate (X9i)."""
+    return flows.select("ref_date", "hire_rate", "separation_rate", "churn_rate")
+
+
+def churn_series(entry_exit: DataFrame) -> DataFrame:
+    """ref_date, entry_rate, exit_rate, net_client_change (X9j)."""
+    return entry_exit.select("ref_date", "entry_rate", "exit_rate", "net_client_change")
+
+
+def earnings_band(dist: DataFrame) -> DataFrame:
+    """ref_date, p10, median, p90 earnings (X9l)."""
+    return dist.select("ref_date", "p10_earnings", "median_earnings", "p90_earnings")

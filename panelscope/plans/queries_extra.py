@@ -423,3 +423,97 @@ def q_winsorised(spark, d):
 @register("dq_clean_rows", f"SELECT * FROM ({DQ_ROWS_SQL}) r WHERE NOT has_any_flag", ["gross_pay"])
 def q_dq_clean(spark, d):
     return A.exclude_flagged(Q.flag_data_quality_issues(payroll(spark, d))[0])
+
+
+# ---------------------------------------------------------------- remaining loaders and chart series
+
+from panelscope.plans.queries_births import official_births  # noqa: E402
+from panelscope.plans.queries_core import entry_exit_sql  # noqa: E402
+from panelscope.plans.queries_dynamics import (SHIFT_SQL, compare_sql, earnings_sql,  # noqa: E402
+                                               payroll_growth)
+from panelscope.sources.official import STATE_FIPS, qcew_quarterly_dates  # noqa: E402
+
+
+@register("qcew_quarterly", """SELECT area_fips, own_code, industry_code, agglvl_code, size_code, year, qtr,
+      month1_emplvl AS qcew_employment, month2_emplvl, month3_emplvl, qtrly_estabs_count AS qcew_establishments,
+      total_qtrly_wages, slice, make_date(CAST(year AS INTEGER), (CAST(qtr AS INTEGER) - 1) * 3 + 1, 12) AS ref_date,
+      CAST(year AS VARCHAR) || 'Q' || qtr AS quarter FROM qcew_raw""", ["total_qtrly_wages"])
+def q_qcew_quarterly(spark, d):
+    return qcew_quarterly_dates(synth.qcew_raw(spark, d))
+
+
+_STATES = ", ".join(f"'{s}'" for s in STATE_FIPS)
+
+
+@register("state_fips_validity", f"""SELECT ref_date, count(*) AS n_rows,
+      count(*) FILTER (WHERE state_fips IN ({_STATES})) AS n_valid_state,
+      CAST(count(*) FILTER (WHERE state_fips IN ({_STATES})) AS DOUBLE) / NULLIF(count(*), 0) AS state_validity_rate
+    FROM payroll GROUP BY ref_date""", ["state_validity_rate"])
+def q_state_validity(spark, d):
+    p = payroll(spark, d)
+    return p.groupBy("ref_date").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("state_fips").isin(STATE_FIPS)).alias("n_valid_state"),
+    ).withColumn("state_validity_rate", F.try_divide(F.col("n_valid_state").cast("double"), F.col("n_rows").cast("double")))
+
+
+@register("birth_rates_quarterly", """SELECT quarter, births, determinable,
+      CAST(births AS DOUBLE) / NULLIF(CAST(determinable AS DOUBLE), 0) AS birth_rate
+    FROM (SELECT quarter, CAST(sum(birth_count) AS BIGINT) AS births,
+                 CAST(sum(birth_determinable_count) AS BIGINT) AS determinable
+          FROM panel WHERE grouping_level = 'national' GROUP BY quarter) a""", ["birth_rate"])
+def q_birth_rates_quarterly(spark, d):
+    return B.quarterly_birth_rates(panel_at(spark, d, "national"), [])
+
+
+@register("growth_tracking", f"SELECT ref_date, payroll_yoy, ces_yoy FROM ({compare_sql([])}) c",
+          ["payroll_yoy", "ces_yoy"])
+def q_growth_tracking(spark, d):
+    return X.growth_tracking(G.compare_growth(payroll_growth(spark, d), ces_growth(spark, d), []))
+
+
+@register("divergence_stack", f"""SELECT quarter, composition_effect, within_cell_effect,
+      sum(composition_effect + within_cell_effect) OVER (ORDER BY quarter ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+        AS cumulative_divergence FROM ({SHIFT_SQL}) s""",
+          ["composition_effect", "within_cell_effect", "cumulative_divergence"])
+def q_divergence_stack(spark, d):
+    from panelscope.plans.queries_dynamics import ces_quarterly
+    return X.divergence_stack(G.decompose_growth_divergence(panel_at(spark, d, "supersector"),
+                                                            ces_quarterly(spark, d, False), ["supersector"]))
+
+
+@register("birth_rate_pairs", f"""SELECT p.ref_date, p.quarter, p.birth_rate, o.bed_birth_rate
+    FROM ({BIRTH_SQL}) p LEFT JOIN bed_national o USING (quarter)""", ["birth_rate", "bed_birth_rate"])
+def q_birth_rate_pairs(spark, d):
+    return X.birth_rate_pairs(B.compare_birth_rates(payroll_births(spark, d), official_births(spark, d), []))
+
+
+@register("reweighting_series", f"""SELECT g.ref_date, g.yoy_growth AS payroll_yoy,
+      coalesce(r.yoy_growth, g.yoy_growth) AS reweighted_yoy, o.yoy_growth AS ces_yoy
+    FROM ({growth_sql('payroll', 'qualified_employment', [])}) g
+    LEFT JOIN ({REWEIGHTED_SQL}) r USING (ref_date)
+    LEFT JOIN ({growth_sql(CES_TOTAL, 'employment', [], False)}) o USING (ref_date)""",
+          ["payroll_yoy", "reweighted_yoy", "ces_yoy"])
+def q_reweighting_series(spark, d):
+    from panelscope.operators.reweight import reweighting_impact
+    rg = G.compute_growth_rates(raked_one(spark, d), "qualified_employment", [], weight_col="rake_weight")
+    imp = reweighting_impact(payroll_growth(spark, d), rg)
+    return X.reweighting_series(imp, ces_growth(spark, d))
+
+
+@register("flow_rate_series", f"""SELECT ref_date, hire_rate, separation_rate, churn_rate
+    FROM ({flows_entry_exit_sql([])}) f""", ["hire_rate", "separation_rate", "churn_rate"])
+def q_flow_rate_series(spark, d):
+    return X.flow_rate_series(FL.compute_job_flows(payroll(spark, d), []))
+
+
+@register("churn_series", f"SELECT ref_date, entry_rate, exit_rate, net_client_change FROM ({entry_exit_sql([])}) e",
+          ["entry_rate", "exit_rate"])
+def q_churn_series(spark, d):
+    return X.churn_series(T.compute_client_entry_exit(payroll(spark, d), []))
+
+
+@register("earnings_band", f"SELECT ref_date, p10_earnings, median_earnings, p90_earnings FROM ({earnings_sql([])}) e",
+          ["p10_earnings", "median_earnings", "p90_earnings"])
+def q_earnings_band(spark, d):
+    from panelscope.operators.earnings import compute_earnings_distribution
+    return X.earnings_band(compute_earnings_distribution(payroll(spark, d), []))
