@@ -334,7 +334,44 @@ def _bed_by_supersector(spark, d):
         F.try_divide(F.sum("births"), F.sum("total_establishments")).alias("bed_birth_rate"))
 
 
-@register("birth_lead_by_supersector", None, ["r2", "coef", "t", "dof"])
+def _lead_grouped_sql() -> str:
+    from panelscope.plans.oracle import _supersector
+    births = f"""SELECT ref_date, quarter, supersector, CAST(births AS DOUBLE) / NULLIF(CAST(determinable AS DOUBLE), 0)
+        AS birth_rate FROM (SELECT ref_date, quarter, supersector, sum(birth_count) AS births,
+                                   sum(birth_determinable_count) AS determinable
+                            FROM panel WHERE grouping_level = 'supersector' GROUP BY 1, 2, 3) a"""
+    off = f"""SELECT CAST(year AS VARCHAR) || 'Q' || CAST(quarter AS VARCHAR) AS quarter,
+        {_supersector('substr(naics_code, 1, 2)')} AS supersector,
+        sum(births) / NULLIF(sum(total_establishments), 0) AS y
+      FROM bed WHERE state_fips = '00' AND naics_code <> '000000' GROUP BY 1, 2"""
+    return f"""WITH m AS (SELECT quarter, supersector, x, y
+            FROM (SELECT quarter, supersector, avg(birth_rate) AS x FROM ({births}) b GROUP BY 1, 2) p
+            JOIN ({off}) o USING (quarter, supersector)),
+      mi AS (SELECT *, row_number() OVER (PARTITION BY supersector ORDER BY quarter) - 1 AS _i,
+                    count(*) OVER (PARTITION BY supersector) AS _n,
+                    lag(x) OVER (PARTITION BY supersector ORDER BY quarter) AS x_lag,
+                    lag(y) OVER (PARTITION BY supersector ORDER BY quarter) AS y_lag FROM m),
+      l AS (SELECT supersector, 'concurrent' AS model, 1 AS _o, y, x AS x1, CAST(NULL AS DOUBLE) AS x2 FROM mi WHERE _n >= 10
+            UNION ALL SELECT supersector, 'leading', 2, y, x, x_lag FROM mi WHERE _n >= 10 AND _i >= 1
+            UNION ALL SELECT supersector, 'incremental', 3, y, y_lag, x_lag FROM mi WHERE _n >= 10 AND _i >= 1),
+      s AS (SELECT supersector, model, _o, count(*) AS n, CAST(count(*) AS DOUBLE) AS nd, var_samp(x1) AS s11,
+                   var_samp(x2) AS s22, covar_samp(x1, x2) AS s12, covar_samp(x1, y) AS s1y, covar_samp(x2, y) AS s2y,
+                   var_samp(y) AS syy,
+                   covar_samp(x1, x2) / sqrt(var_samp(x1) * var_samp(x2)) AS r12 FROM l GROUP BY 1, 2, 3),
+      f AS (SELECT *, s1y / NULLIF(s11, 0) AS b_1, s1y * s1y / NULLIF(s11 * syy, 0) AS r2_1,
+                   s11 * s22 - s12 * s12 AS dd, coalesce(r12 * r12 > 1 - 1e-9, false) AS col FROM s),
+      g AS (SELECT *, (s22 * s1y - s12 * s2y) / NULLIF(dd, 0) AS b1, (s11 * s2y - s12 * s1y) / NULLIF(dd, 0) AS b2 FROM f),
+      h AS (SELECT *, (b1 * s1y + b2 * s2y) / NULLIF(syy, 0) AS r2_2 FROM g)
+    SELECT supersector, model, n,
+      CASE WHEN _o = 1 OR col THEN r2_1 ELSE r2_2 END AS r2,
+      CASE WHEN _o = 1 THEN b_1 WHEN col THEN NULL ELSE b2 END AS coef,
+      CASE WHEN _o = 1 THEN b_1 / sqrt((1 - r2_1) * syy / ((nd - 2) * s11))
+           WHEN col THEN NULL ELSE b2 / sqrt((1 - r2_2) * syy * s11 / ((nd - 3) * dd)) END AS t,
+      CASE WHEN _o = 1 THEN nd - 2 ELSE nd - 3 END AS dof
+    FROM h"""
+
+
+@register("birth_lead_by_supersector", _lead_grouped_sql(), ["r2", "coef", "t", "dof"])
 def q_birth_lead_ss(spark, d):
     pb = B.compute_payroll_birth_rates(panel_at(spark, d, "supersector"), ["supersector"])
     return B.birth_lead_models(pb, _bed_by_supersector(spark, d), ["supersector"]).select(
@@ -517,3 +554,19 @@ def q_churn_series(spark, d):
 def q_earnings_band(spark, d):
     from panelscope.operators.earnings import compute_earnings_distribution
     return X.earnings_band(compute_earnings_distribution(payroll(spark, d), []))
+
+
+DIVISION_CASE = "CASE " + " ".join(f"WHEN state_fips = '{s}' THEN '{v}'" for s, v in A.STATE_DIVISION.items()) \
+    + " ELSE 'Unknown' END"
+
+
+@register("flows_division", _flows_by_sql(DIVISION_CASE, "census_division"),
+          ["hire_rate", "separation_rate", "churn_rate", "net_growth_rate"])
+def q_flows_division(spark, d):
+    return FL.compute_job_flows(_geo(spark, d), ["census_division"], "entry_exit")
+
+
+@register("flows_naics2", flows_entry_exit_sql(["naics2"]),
+          ["hire_rate", "separation_rate", "churn_rate", "net_growth_rate"])
+def q_flows_naics2(spark, d):
+    return FL.compute_job_flows_by_industry(payroll(spark, d), "naics2", source="entry_exit")
