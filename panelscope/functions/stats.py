@@ -11,6 +11,7 @@ import math
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,6 +44,11 @@ def rank_within_groups(df: DataFrame, groups: list[str], value: str,
     gk = F.struct(*[F.col(g) for g in groups]) if groups else F.lit(0)
     sliced = (base.repartitionByRange(n_parts, *ordering)
               .select("*", F.spark_partition_id().alias("_pid"), gk.alias("_gk")))
+    # The row ranks and the slice counts below must see the same partition ids. Range bounds are
+    # sampled each time the exchange is planned and executed, and the two branches prune to
+    # different columns, so they would not share one exchange: persist the tagged rows once. A
+    # lost cached block is recomputed through the same shuffle dependency, i.e. the same bounds.
+    sliced = sliced.persist(StorageLevel.MEMORY_AND_DISK)
     local = sliced.withColumn(
         "_lr", F.row_number().over(Window.partitionBy("_pid", "_gk").orderBy(F.col(value))))
     slices = local.groupBy("_pid", "_gk").agg(F.count(F.lit(1)).alias("_c")).select(
