@@ -13,12 +13,11 @@ from itertools import chain
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from panelscope.functions.cols import SUPERSECTOR_MAP, td
 from panelscope.functions.stats import grouped_quantiles, period_index, safe_corr
-from panelscope.operators.coverage import compute_cell_reliability, compute_coverage
-from panelscope.operators.panel import AGGREGATION_LEVELS, PANEL_MEASURES
+from panelscope.operators.coverage import compute_cell_reliability
+from panelscope.operators.panel import AGGREGATION_LEVELS
 
 # Census regions and divisions of the state FIPS codes.
 CENSUS_DIVISIONS: dict[str, list[str]] = {

@@ -7,7 +7,7 @@ in plain SQL, so each oracle query runs on the driver's raw tables only.
 from __future__ import annotations
 
 from panelscope.functions.cols import SIZE_CLASS_LABELS, SIZE_CLASS_UPPERS, SUPERSECTOR_MAP
-from panelscope.operators.panel import AGGREGATION_LEVELS, KEY_COLUMNS, _gid
+from panelscope.operators.panel import AGGREGATION_LEVELS, _gid
 from panelscope.sources.official import CES_SUPERSECTOR_NAMES
 from panelscope.sources.synth import (EXIT_CUTOFF, SEGMENT_CES_CODE, SEGMENT_NAICS, SEGMENT_QCEW_INDUSTRY,
                                       ZERO_MODULUS)
@@ -96,8 +96,6 @@ panel AS (
   FROM payroll
   GROUP BY GROUPING SETS ({_SETS}))"""
 
-_QCEW_ROW = """year, qtr, industry_code, pos, l_quantity, l_suppkey, st"""
-
 QCEW_CTES = f"""
 ship_lines AS (
   SELECT l.l_suppkey, l.l_quantity, l.l_extendedprice, l.l_shipdate, c.c_nationkey, c.c_mktsegment
@@ -245,4 +243,4 @@ def rounded(sql_body: str, dbl: list[str], digits: int = 6) -> str:
     return f"SELECT * REPLACE ({rep}) FROM ({sql_body}) AS _q"
 
 
-__all__ = ["with_ctes", "rounded", "ALL_CTES", "KEY_COLUMNS"]
+__all__ = ["with_ctes", "rounded", "ALL_CTES"]

@@ -16,7 +16,7 @@ from panelscope.operators import tenure as T
 from panelscope.plans.catalog import register
 from panelscope.plans.inputs import bed, official, panel, panel_at, payroll
 from panelscope.plans.queries_births import BIRTH_SQL, REWEIGHTED_SQL, payroll_births, raked_one
-from panelscope.plans.queries_core import (DQ_ROWS_SQL, VINTAGE_SQL, coverage_df, coverage_sql, csi_sql, median_sql,
+from panelscope.plans.queries_core import (DQ_ROWS_SQL, VINTAGE_SQL, coverage_df, coverage_sql, csi_sql,
                                            nearest_sql, share_sql)
 from panelscope.plans.queries_dynamics import (CES_TOTAL, ces_growth, change_sql, flows_employee_sql,
                                                flows_entry_exit_sql, growth_sql)

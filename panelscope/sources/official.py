@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from panelscope.functions.cols import SIZE_CLASS_LABELS, quarter_label, supersector_of
+from panelscope.functions.cols import SIZE_CLASS_LABELS, supersector_of
 
 # State FIPS codes of the 50 states and DC.
 STATE_FIPS: list[str] = [
@@ -217,5 +217,5 @@ def bed_quarter(bed: DataFrame) -> DataFrame:
 __all__ = [
     "STATE_FIPS", "CES_SUPERSECTOR_NAMES", "combine_qcew", "qcew_keys", "unpivot_qcew_months",
     "qcew_quarterly_dates", "official_cells", "normalise_ces", "normalise_bed", "bed_quarter",
-    "load_official", "quarter_label",
+    "load_official",
 ]
