@@ -16,13 +16,32 @@ def pct_change(col: str, n: int, groups: list[str], order: str = "ref_date"):
     return td(col, prev) - F.lit(1.0)
 
 
+def calendar_pct_change(agg: DataFrame, col: str, months: int, groups: list[str], name: str) -> DataFrame:
+    """Percent change against the value exactly ``months`` calendar months earlier (NULL if absent).
+
+    A join of the aggregated series with itself shifted by ``add_months``; the
+    series has one row per (group, month).
+    """
+    prev = agg.select(*groups, F.add_months("ref_date", months).alias("ref_date"), F.col(col).alias(f"_prev_{name}"))
+    j = agg.join(prev, groups + ["ref_date"], "left")
+    return j.withColumn(name, td(col, f"_prev_{name}") - F.lit(1.0)).drop(f"_prev_{name}")
+
+
 def compute_growth_rates(df: DataFrame, employment_col: str, grouping_cols: list[str],
-                         weight_col: str | None = None) -> DataFrame:
-    """Sum (optionally weighted) employment by ref_date x groups; MoM and YoY growth per group."""
+                         weight_col: str | None = None, calendar: bool = False) -> DataFrame:
+    """Sum (optionally weighted) employment by ref_date x groups; MoM and YoY growth per group.
+
+    Default: positional (previous row / 12 rows back within the group). ``calendar=True``
+    compares with the same group 1 and 12 calendar months earlier instead.
+    """
     emp = F.col(employment_col)
     if weight_col:
         emp = emp * F.col(weight_col)
     agg = df.groupBy("ref_date", *grouping_cols).agg(F.sum(emp).alias("employment"))
+    if calendar:
+        g = list(grouping_cols)
+        out = calendar_pct_change(agg, "employment", 1, g, "mom_growth")
+        return calendar_pct_change(out, "employment", 12, g, "yoy_growth")
     return agg.withColumns({
         "mom_growth": pct_change("employment", 1, grouping_cols),
         "yoy_growth": pct_change("employment", 12, grouping_cols),

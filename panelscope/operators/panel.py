@@ -21,12 +21,19 @@ PANEL_MEASURES = ["payroll_employment", "client_count", "birth_count", "birth_de
                   "entry_count", "exit_count", "continuing_employment"]
 
 
-def panel_measures() -> list[Column]:
+def _same_period(d: str, match: str) -> Column:
+    """entry/exit test: exact date equality (parity) or the same calendar month (match='month')."""
+    if match == "month":
+        return F.trunc(F.col(d), "MM") == F.trunc(F.col("ref_date"), "MM")
+    return F.col(d) == F.col("ref_date")
+
+
+def panel_measures(match: str = "date") -> list[Column]:
     e = F.col("qualified_employment")
-    entering = F.col("entry_month") == F.col("ref_date")
-    exiting = F.col("exit_month") == F.col("ref_date")
-    continuing = (F.col("entry_month") != F.col("ref_date")) & (
-        F.col("exit_month").isNull() | (F.col("exit_month") != F.col("ref_date")))
+    entering = _same_period("entry_month", match)
+    exiting = _same_period("exit_month", match)
+    continuing = (~_same_period("entry_month", match)) & (
+        F.col("exit_month").isNull() | ~_same_period("exit_month", match))
     return [
         F.coalesce(F.sum(e), F.lit(0)).cast("bigint").alias("payroll_employment"),
         F.count_distinct(F.when(e > 0, F.col("client_id"))).alias("client_count"),
@@ -43,17 +50,19 @@ def _gid(level_cols: list[str]) -> int:
     return sum(1 << (n - 1 - i) for i, c in enumerate(KEY_COLUMNS) if c not in level_cols)
 
 
-def build_panel(payroll: DataFrame, levels: list[tuple[str, list[str]]] | None = None) -> DataFrame:
+def build_panel(payroll: DataFrame, levels: list[tuple[str, list[str]]] | None = None,
+                match: str = "date") -> DataFrame:
     """All aggregation levels in one scan: GROUPING SETS + grouping_id -> grouping_level.
 
     Keys that are not part of a level are NULL. The distinct client count is
     planned by Spark as a two-phase aggregate keyed on (cell, client), so a
-    large cell is spread over many tasks.
+    large cell is spread over many tasks. ``match='month'`` counts a day-1
+    entry_month as an entry in its month (the default compares dates exactly).
     """
     levels = levels or AGGREGATION_LEVELS
     sets = [["ref_date", "quarter"] + cols for _, cols in levels]
     agg = payroll.groupingSets(sets, "ref_date", "quarter", *KEY_COLUMNS).agg(
-        *panel_measures(), F.grouping_id().alias("_gid"))  # ref_date, quarter always grouped
+        *panel_measures(match), F.grouping_id().alias("_gid"))  # ref_date, quarter always grouped
     level = None
     for name, cols in levels:
         cond = F.col("_gid") == _gid(cols)

@@ -315,3 +315,21 @@ def q_earnings_growth(spark, d):
           EARN_DBL + ["mean_earnings_yoy", "median_earnings_yoy"])
 def q_earnings_growth_ss(spark, d):
     return E.compute_earnings_growth(payroll(spark, d), ["supersector"])
+
+
+def calendar_growth_sql(groups: list[str]) -> str:
+    g = _g(groups)
+    on = "".join(f" AND p.{c} = q.{c}" for c in groups)
+    base = f"""SELECT ref_date{g}, CAST(sum(qualified_employment) AS BIGINT) AS employment
+               FROM payroll GROUP BY ref_date{g}"""
+    return f"""WITH a AS ({base})
+    SELECT p.*, CAST(p.employment AS DOUBLE) / NULLIF(CAST(m.employment AS DOUBLE), 0) - 1 AS mom_growth,
+           CAST(p.employment AS DOUBLE) / NULLIF(CAST(y.employment AS DOUBLE), 0) - 1 AS yoy_growth
+    FROM a p
+    LEFT JOIN a m ON m.ref_date = CAST(p.ref_date - INTERVAL 1 MONTH AS DATE){on.replace('q.', 'm.')}
+    LEFT JOIN a y ON y.ref_date = CAST(p.ref_date - INTERVAL 12 MONTH AS DATE){on.replace('q.', 'y.')}"""
+
+
+@register("growth_calendar_supersector", calendar_growth_sql(["supersector"]), GROWTH_DBL)
+def q_growth_calendar_ss(spark, d):
+    return G.compute_growth_rates(payroll(spark, d), "qualified_employment", ["supersector"], calendar=True)

@@ -121,3 +121,14 @@ def test_rank_within_groups_matches_brute_force_with_hot_group(spark):
     assert q["hot"].p10 == vals[int(np.floor((n - 1) * 0.1 + 0.5))]
     assert q["hot"].p90 == vals[int(np.floor((n - 1) * 0.9 + 0.5))]
     assert q["hot"].med == pytest.approx(float(np.median(vals)))
+
+
+def test_calendar_growth_skips_gaps(spark, dates):
+    D = dates
+    rows = [(D(2019, 1), 100), (D(2019, 3), 110), (D(2020, 1), 120), (D(2020, 3), 121)]
+    df = spark.createDataFrame(rows, "ref_date date, qualified_employment bigint")
+    pos = {r.ref_date: r for r in compute_growth_rates(df, "qualified_employment", []).collect()}
+    cal = {r.ref_date: r for r in compute_growth_rates(df, "qualified_employment", [], calendar=True).collect()}
+    assert pos[D(2019, 3)].mom_growth == pytest.approx(0.1) and cal[D(2019, 3)].mom_growth is None
+    assert cal[D(2020, 1)].yoy_growth == pytest.approx(0.2) and cal[D(2020, 3)].yoy_growth == pytest.approx(0.1)
+    assert pos[D(2020, 1)].yoy_growth is None

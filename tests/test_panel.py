@@ -54,3 +54,14 @@ def test_stable_panel(spark, dates):
     df = spark.createDataFrame(rows, "client_id string, ref_date date, qualified_employment bigint")
     assert {r.client_id for r in filter_stable_panel(df, 12).collect()} == {"a"}
     assert filter_stable_panel(df, 0).count() == len(rows)
+
+
+def test_entry_match_by_month(spark, dates):
+    D = dates
+    rows = [("c1", D(2019, 1), D(2019, 1, 1), None, False, "236220", "26", 10),
+            ("c1", D(2019, 2), D(2019, 1, 1), D(2019, 2, 1), False, "236220", "26", 12)]
+    pay = _pay(spark, rows)
+    exact = {r.ref_date: r for r in panel_level(build_panel(pay), "national").collect()}
+    month = {r.ref_date: r for r in panel_level(build_panel(pay, match="month"), "national").collect()}
+    assert exact[D(2019, 1)].entry_count == 0 and month[D(2019, 1)].entry_count == 1
+    assert month[D(2019, 2)].exit_count == 1 and month[D(2019, 2)].continuing_employment == 0
