@@ -314,7 +314,7 @@ def coverage_all_levels(panel: DataFrame, official_by_level: dict[str, DataFrame
 
 def winsorise(df: DataFrame, value: str, groups: list[str], lower: float = 0.01, upper: float = 0.99) -> DataFrame:
     """Clip ``value`` to its group's nearest-rank [lower, upper] quantiles (bounds joined back per group)."""
-    b = grouped_quantiles(df, groups, value, {"_lo": lower, "_hi": upper})
+    b = grouped_quantiles(df.select(*groups, value), groups, value, {"_lo": lower, "_hi": upper})
     if not groups:  # one pair of bounds: scalar subqueries, no join
         clipped = F.when(F.col(value).isNotNull(),
                          F.least(F.greatest(F.col(value), b.select("_lo").scalar()), b.select("_hi").scalar()))
