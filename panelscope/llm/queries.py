@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelscope.llm import bpe, mixing, urls
+from panelscope.llm import bpe, mixing, quality, urls
 from panelscope.llm.text import read
 
 #: Folder of the public vocabulary files.
@@ -48,6 +48,40 @@ SELECT page_id, host, path, rule,
 FROM k"""
 
 
+_SQL_WORDS = r"[x FOR x IN regexp_split_to_array(text, '[\x20\x09-\x0D]+') IF x <> '']"
+_SQL_NO_SPACE = r"regexp_replace({}, '[\x20\x09-\x0D]+', '', 'g')"
+_SQL_KEY = (r"trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+            r"'[\x20\x09-\x0D]+', ' ', 'g'), ' ')")
+OP1_SQL = rf"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, {_SQL_WORDS} AS ws,
+        [x FOR x IN string_split(text, chr(10)) IF {_SQL_NO_SPACE.format('x')} <> ''] AS ls FROM t),
+win AS (SELECT r, i, list_slice(ws, i, i + 4) AS g FROM (SELECT r, ws, unnest(range(1, len(ws) - 3)) AS i FROM w WHERE len(ws) >= 5)),
+rep AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS c FROM win) WHERE c > 1),
+cov AS (SELECT r, count(*) AS n FROM (SELECT DISTINCT r, i + k AS j FROM rep, range(5) AS s(k)) GROUP BY r),
+ln AS (SELECT DISTINCT source, text, {_SQL_KEY} AS key FROM (SELECT source, text, unnest(string_split(text, chr(10))) AS line FROM t)),
+hosts AS (SELECT source, count(DISTINCT text) AS n_host FROM t GROUP BY source),
+freq AS (SELECT l.source, l.key FROM (SELECT source, key, count(*) AS c FROM ln WHERE key <> '' GROUP BY source, key) l
+         JOIN hosts h ON l.source IS NOT DISTINCT FROM h.source WHERE c > 20 AND c > 0.1 * n_host),
+lost AS (SELECT r, sum(len([x FOR x IN regexp_split_to_array(line, '[\x20\x09-\x0D]+') IF x <> ''])) AS n
+         FROM (SELECT r, source, line, {_SQL_KEY} AS key FROM (SELECT r, source, unnest(string_split(text, chr(10))) AS line FROM t)) q
+         WHERE EXISTS (SELECT 1 FROM freq f WHERE f.key = q.key AND f.source IS NOT DISTINCT FROM q.source) GROUP BY r),
+m AS (SELECT w.r, doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length({_SQL_NO_SPACE.format('text')}) AS BIGINT) AS word_chars,
+        CAST(length(text) - length(translate(text, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+        CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+        CAST(coalesce(cov.n, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(lost.n, 0) AS BIGINT) AS n_removed_words
+      FROM w LEFT JOIN cov ON w.r = cov.r LEFT JOIN lost ON w.r = lost.r),
+b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, n_removed_words,
+  NOT (base_failed OR (n_removed_words > 0 AND (n_words - n_removed_words < 10 OR n_words - n_removed_words < 0.3 * n_words))) AS kept
+FROM b"""
+
+
+@query("op1_quality_rules", OP1_SQL)
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(read(spark, sf_dir, "documents"))
+
+
 @query("op4_url_filters", OP4_SQL)
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read(spark, sf_dir, "pages").select("page_id", "url")
