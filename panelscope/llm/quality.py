@@ -26,8 +26,8 @@ WINDOW = 5
 @dataclass(frozen=True)
 class Limits:
     """A line is removed in a host if it is in more than ``min_docs`` documents and in more than
-    ``doc_share`` of the host's documents. A document is depleted if fewer than ``min_words`` words or
-    less than ``min_left`` of its words are left, and at least one line was removed."""
+    ``doc_share`` of the host's documents. A document is depleted if less than ``min_left`` of its words
+    are left. ``min_words`` and ``max_repeat_percent`` are the base rules."""
 
     min_words: int = 10
     max_repeat_percent: int = 20
@@ -131,8 +131,7 @@ def depletion(docs: DataFrame, limits: Limits, host_col: str, text_col: str) ->
 def _with_depletion(rows: DataFrame, lost: DataFrame, limits: Limits) -> DataFrame:
     lost = lost.withColumnsRenamed({"host": "_lost_host", "doc": "_lost_doc"})
     out = rows.join(lost, rows["_host"].eqNullSafe(lost["_lost_host"]) & (rows["_doc"] == lost["_lost_doc"]), "left")
-    left = F.col("n_words") - F.col("removed_words")
-    bad = (left < limits.min_words) | (left < limits.min_left * F.col("n_words"))
+    bad = F.col("n_words") - F.col("removed_words") < limits.min_left * F.col("n_words")
     out = out.withColumn("n_removed_words", F.coalesce("removed_words", F.lit(0)).cast("long"))
     return out.withColumn("kept", ~(F.col("base_failed") | F.coalesce(bad, F.lit(False))))
 

@@ -73,7 +73,7 @@ m AS (SELECT w.r, doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length({_SQL_
       FROM w LEFT JOIN cov ON w.r = cov.r LEFT JOIN lost ON w.r = lost.r),
 b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, n_removed_words,
-  NOT (base_failed OR (n_removed_words > 0 AND (n_words - n_removed_words < 10 OR n_words - n_removed_words < 0.3 * n_words))) AS kept
+  NOT (base_failed OR n_words - n_removed_words < 0.3 * n_words) AS kept
 FROM b"""
 
 
