@@ -9,10 +9,10 @@ leads to it, and a gadget as one entry: the copied state, the removed arc and th
 An arc of a state is found by going back through the gadgets to the time when label or state were
 made, and is then kept in the transition table.
 
-Encoding. Text is cut into pre-split words, and the words' bytes run through the automaton: position
-``i`` holds the state reached after ``i`` bytes; a token that starts there is an arc if the table has
-it. For every position there is exactly one accepted path, so there is no search and no merge loop, and
-the cost is linear in the word for any word. Words are encoded once per Python worker and kept in a
+Encoding. Text is cut into pre-split words, and the words' bytes run through the automaton: from the
+state reached so far, the tokens that the next bytes spell are taken as arcs if the table has them, the
+longest first. A position is reached by one path at most, so each is entered once; there is no merge loop,
+and the cost is linear in the word for any word. Words are encoded once per Python worker and kept in a
 bounded dictionary.
 
 Decoding emits the labels' bytes of the arcs on the path and reads them as UTF-8.
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import struct
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -37,6 +38,7 @@ SPLIT = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{
          r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 SELF_WRITTEN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 MAX_KEPT_WORDS = 400_000
+MAX_KEPT_LENGTH = 64
 MAX_KEPT_ARCS = 2_000_000
 
 
@@ -62,6 +64,7 @@ class Automaton:
             for x in b:
                 node = node.setdefault(x, {})
             node[-1] = t
+        self.longest = max(map(len, self.labels.values()), default=0)
 
     def reachable(self) -> dict[int, bytes]:
         return {t: b for t, b in self.labels.items() if len(b) == 1 or t in self.made}
@@ -99,27 +102,60 @@ class Automaton:
             got = self.arcs[state, label] = self.has_arc(state, label)
         return got
 
+    def arcs_from(self, word: bytes, at: int) -> list[tuple[int, int]]:
+        """(end, label) of the labels that spell the word from ``at`` on, shortest first."""
+        out, node, j = [], self.trie, at
+        for x in word[at:at + self.longest]:
+            node = node.get(x)
+            if node is None:
+                break
+            j += 1
+            label = node.get(-1)
+            if label is not None:
+                out.append((j, label))
+        return out
+
     def encode(self, word: bytes) -> list[int]:
-        """The labels of the one accepted path that spells ``word``."""
-        n = len(word)
-        state: list[int] = [-1] * (n + 1)
-        arc, trie = self.arc, self.trie
-        for i in range(n):
-            here = state[i]
-            node, j = trie, i
-            while j < n:
-                node = node.get(word[j])
-                if node is None:
+        """The labels of the one accepted path that spells ``word``.
+
+        A position is reached by one path only, so each is entered at most once; long labels are tried first.
+        """
+        n, arc = len(word), self.arc
+        entered = bytearray(n + 1)
+        path: list[int] = []
+        open_arcs = [self.arcs_from(word, 0)]
+        while n:
+            options = open_arcs[-1]
+            while options:
+                j, label = options.pop()
+                if not entered[j] and (not path or arc(path[-1], label)):
+                    path.append(label)
+                    if j == n:
+                        return path
+                    entered[j] = 1
+                    open_arcs.append(self.arcs_from(word, j))
                     break
-                j += 1
-                label = node.get(-1)
-                if label is not None and state[j] < 0 and (i == 0 or arc(here, label)):
-                    state[j] = label
-        out = []
-        while n > 0:
-            out.append(state[n])
-            n -= len(self.labels[state[n]])
-        return out[::-1]
+            else:
+                open_arcs.pop()
+                path.pop()
+        return path
+
+
+class Words(dict):
+    """Packed ids of the words met so far; cleared when it has ``MAX_KEPT_WORDS``."""
+
+    def __init__(self, automaton: Automaton):
+        super().__init__()
+        self.automaton = automaton
+
+    def __missing__(self, word: str) -> bytes:
+        labels = self.automaton.encode(word.encode())
+        packed = struct.pack(f"<{len(labels)}I", *labels)
+        if len(word) <= MAX_KEPT_LENGTH:
+            if len(self) >= MAX_KEPT_WORDS:
+                self.clear()
+            self[word] = packed
+        return packed
 
 
 class Tokenizer:
@@ -137,30 +173,15 @@ class Tokenizer:
         self.bytes_of |= {i: t.encode() for t, i in self.special.items()}
         self.split = regex.compile(SPLIT)
         self.special_split = regex.compile("(" + "|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
-        self.words: dict[str, bytes] = {}
-
-    def _word(self, word: str) -> bytes:
-        packed = np.array(self.automaton.encode(word.encode()), dtype="<u4").tobytes()
-        if len(self.words) >= MAX_KEPT_WORDS:
-            self.words.clear()
-        if len(word) <= 64:
-            self.words[word] = packed
-        return packed
-
-    def _plain(self, text: str) -> Iterator[bytes]:
-        kept, make = self.words, self._word
-        for m in self.split.finditer(text):
-            w = m.group()
-            got = kept.get(w)
-            yield make(w) if got is None else got
+        self.words = Words(self.automaton)
 
     def encode(self, text: str) -> bytes:
         """Token ids as little-endian unsigned 32-bit integers."""
         if self.special_split is None or not any(t in text for t in self.special):
-            return b"".join(self._plain(text))
+            return b"".join(map(self.words.__getitem__, self.split.findall(text)))
         out = []
         for k, part in enumerate(self.special_split.split(text)):
-            out.append(np.array([self.special[part]], dtype="<u4").tobytes() if k % 2 else b"".join(self._plain(part)))
+            out.append(np.array([self.special[part]], dtype="<u4").tobytes() if k % 2 else b"".join(map(self.words.__getitem__, self.split.findall(part))))
         return b"".join(out)
 
     def decode(self, packed: bytes) -> str:
