@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelscope.llm import bpe, mixing, quality, urls
+from panelscope.llm import bpe, mixing, neardup, quality, urls
 from panelscope.llm.text import read
 
 #: Folder of the public vocabulary files.
@@ -28,6 +28,26 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+_SQL_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+OP3_SQL = rf"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, [x FOR x IN regexp_split_to_array({_SQL_LOWER}, '[\x20\x09-\x0D]+') IF x <> ''] AS ws FROM documents),
+g AS (SELECT r, list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+        ELSE [array_to_string(list_slice(ws, i, i + 3), ' ') FOR i IN range(1, len(ws) - 2)] END) AS gs FROM d),
+s AS (SELECT r, unnest(gs) AS x FROM g),
+p AS (SELECT a.r AS r1, b.r AS r2, count(*) AS c FROM s a JOIN s b ON a.x = b.x AND a.r < b.r GROUP BY 1, 2),
+l AS (SELECT r1, r2 FROM p JOIN g a ON r1 = a.r JOIN g b ON r2 = b.r WHERE 100 * c >= 80 * (len(a.gs) + len(b.gs) - c)),
+e AS (SELECT r1 AS u, r2 AS v FROM l UNION ALL SELECT r2, r1 FROM l),
+reach AS (SELECT r AS u, r AS v FROM d UNION SELECT reach.u, e.v FROM reach JOIN e ON reach.v = e.u)
+SELECT d.doc_id, CAST(len(g.gs) AS BIGINT) AS n_shingles, m.component_id, d.doc_id IS NOT DISTINCT FROM m.component_id AS kept
+FROM d JOIN g ON d.r = g.r JOIN (SELECT u, min(doc_id) AS component_id FROM reach JOIN d ON reach.v = d.r GROUP BY u) m ON d.r = m.u"""
+
+
+@query("op3_minhash_neardup", OP3_SQL)
+def op3_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(read(spark, sf_dir, "documents"), width=4)
+
+
 #: Rules of the URL query, and host labels whose pages make up its list of blocked URLs (fixed values).
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 LISTED_LABELS = ["ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm"]
