@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelscope.llm import bpe, mixing, neardup, quality, urls
+from panelscope.llm import bpe, mixing, neardup, pii, quality, urls
 from panelscope.llm.text import read
 
 #: Folder of the public vocabulary files.
@@ -109,6 +109,11 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages, URL_RULES, listed)
 
 
+@query("op5_pii")
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_report(read(spark, sf_dir, "documents"))
+
+
 @query("op6_bpe")
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_report(read(spark, sf_dir, "documents"), os.path.join(TOKENIZER_DIR, BPE_FILE))
