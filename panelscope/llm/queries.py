@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelscope.llm import bpe, mixing, neardup, pii, quality, urls
+from panelscope.llm import bpe, html, mixing, neardup, pii, quality, urls
 from panelscope.llm.text import read
 
 #: Folder of the public vocabulary files.
@@ -28,6 +28,11 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op2_html_text")
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract_text(read(spark, sf_dir, "pages"))
+
+
 _SQL_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 OP3_SQL = rf"""
 WITH RECURSIVE d AS (
