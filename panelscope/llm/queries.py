@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelscope.llm import bpe, html, mixing, neardup, pii, quality, urls
+from panelscope.llm import bpe, html, mixing, neardup, pii, quality, urls, vectors
 from panelscope.llm.text import read
 
 #: Folder of the public vocabulary files.
@@ -127,3 +127,20 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_mixing")
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(read(spark, sf_dir, "documents"))
+
+
+OP10_SQL = """
+WITH RECURSIVE n AS (SELECT row_number() OVER () AS r, vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+ok AS (SELECT *, sqrt(list_dot_product(e, e)) AS l FROM n WHERE label IS NOT NULL AND e IS NOT NULL AND len(e) > 0
+  AND len([x FOR x IN e IF x IS NULL OR isnan(x) OR isinf(x)]) = 0 AND list_dot_product(e, e) > 0),
+p AS (SELECT a.r AS u, b.r AS v FROM ok a JOIN ok b ON a.label = b.label AND a.r <> b.r AND len(a.e) = len(b.e)
+      WHERE list_dot_product(a.e, b.e) / (a.l * b.l) >= 0.98),
+reach AS (SELECT r AS u, r AS v FROM n UNION SELECT reach.u, p.v FROM reach JOIN p ON reach.v = p.u)
+SELECT n.vec_id, CAST(coalesce(c.k, 0) AS BIGINT) AS n_links, m.component_id, n.vec_id IS NOT DISTINCT FROM m.component_id AS kept
+FROM n LEFT JOIN (SELECT u, count(*) AS k FROM p GROUP BY u) c ON n.r = c.u
+JOIN (SELECT u, min(vec_id) AS component_id FROM reach JOIN n ON reach.v = n.r GROUP BY u) m ON n.r = m.u"""
+
+
+@query("op10_embedding_neardup", OP10_SQL)
+def op10_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(read(spark, sf_dir, "embeddings"))
