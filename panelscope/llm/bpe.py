@@ -267,3 +267,25 @@ def encode_report(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_co
 
     chosen = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     return chosen.mapInArrow(run, "id long, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)
+
+
+def encode_documents(docs: DataFrame, path: str, *, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
+    """(id, source, n_tokens, tokens, round_trip): token ids of each document, decoded again for the check.
+
+    Edge cases as in :func:`encode`.
+    """
+    spec = _spec(docs, path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = tokenizer(spec.value)
+        for batch in batches:
+            texts = [x.as_py() or "" for x in batch.column(2)]
+            packed = [t.encode(x) for x in texts]
+            same = [t.decode(p) == x for p, x in zip(packed, texts)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([len(p) // 4 for p in packed], pa.int64()),
+                                              pa.array(packed, pa.binary()), pa.array(same, pa.bool_())],
+                                             ["id", "source", "n_tokens", "tokens", "round_trip"])
+
+    chosen = docs.select(F.col(id_col).cast("long").alias("id"), F.col(source_col).alias("source"), F.col(text_col).alias("text"))
+    return chosen.mapInArrow(run, "id long, source string, n_tokens long, tokens binary, round_trip boolean").withColumnsRenamed(
+        {"id": id_col, "source": source_col})

@@ -3,8 +3,8 @@
 Rounds of the large-star and small-star steps (Kiveris et al., "Connected components in MapReduce and
 beyond") on the table of links: every round links each node's larger neighbours, then its smaller ones, to
 the least node near it, until each component is a star. Rounds grow with the logarithm of the size of a
-component. Each round is a table in the shared folder, which cuts the lineage; only a count and a sum
-come to the driver, never links.
+component. Each round is a table in the shared folder, which cuts the lineage; whether any node is
+not yet in a star is all that comes to the driver.
 """
 
 from __future__ import annotations
@@ -18,16 +18,19 @@ from panelscope.llm.stash import stash
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return both.where("v > u").join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return both.where("v > u").join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:
-    down = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
-    joined = down.join(least, "u")
-    near = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    own = least.select("u", F.col("m").alias("v"))
-    return near.unionByName(own).distinct()
+    least = links.groupBy("u").agg(F.min("v").alias("m"))
+    near = links.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return near.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
+
+
+def _are_stars(links: DataFrame) -> bool:
+    """Whether each node is linked to one root, and no root to another node."""
+    ends = links.select(F.col("u").alias("id"), F.lit(1).alias("up")).unionByName(links.select(F.col("v").alias("id"), F.lit(0).alias("up")).distinct())
+    return ends.groupBy("id").agg(F.sum("up").alias("up"), F.count(F.lit(1)).alias("n")).where("up > 1 or (up = 1 and n > 1)").isEmpty()
 
 
 def components(links: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
@@ -35,14 +38,10 @@ def components(links: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
 
     Nulls and links of a node to itself are no links; repeated links count once; no links give no rows.
     """
-    at = links.select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v")).where(f"{u} is not null and {v} is not null and u > v")
+    known = links.where(F.col(u).isNotNull() & F.col(v).isNotNull())
+    at = known.select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v")).where("u > v")
     at = stash(at.distinct())
-    seen = None
-    while True:
-        at = stash(_small_star(_large_star(at)))
-        # Stars stay as they are: count, and sum of roots, no longer change.
-        now = at.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == seen:
-            roots = at.select(F.col("v").alias("id"), F.col("v").alias("root")).distinct()
-            return at.select(F.col("u").alias("id"), F.col("v").alias("root")).unionByName(roots)
-        seen = now
+    while not _are_stars(at):
+        at = stash(_small_star(stash(_large_star(at))))
+    roots = at.select(F.col("v").alias("id"), F.col("v").alias("root")).distinct()
+    return at.select(F.col("u").alias("id"), F.col("v").alias("root")).unionByName(roots)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelscope.llm import bpe, html, mixing, neardup, pii, quality, urls, vectors
+from panelscope.llm import bpe, html, lm, mixing, neardup, pii, quality, repeats, urls, vectors
 from panelscope.llm.text import read
 
 #: Folder of the public vocabulary files.
@@ -129,6 +129,17 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(read(spark, sf_dir, "documents"))
 
 
+@query("op8_repeats")
+def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeats_report(read(spark, sf_dir, "documents"))
+
+
+@query("op9_lm_score")
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return lm.score(docs, lm.train(docs))
+
+
 OP10_SQL = """
 WITH RECURSIVE n AS (SELECT row_number() OVER () AS r, vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
 ok AS (SELECT *, sqrt(list_dot_product(e, e)) AS l FROM n WHERE label IS NOT NULL AND e IS NOT NULL AND len(e) > 0
