@@ -1,94 +1,71 @@
 """Composite statistical helpers built from DataFrame operations.
 
-None of these collects data: ranks come from range partitioning plus per-slice
-offsets, correlations and regressions from distributed aggregates, and the
-as-of match from a window over the union of the two event sets.
+None of these collects data: quantiles come from brackets and counts, correlations
+and regressions from distributed aggregates, and the as-of match from a window over
+the union of the two event sets.
 """
 
 from __future__ import annotations
 
 import math
 
-import numpy as np
-import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]) -> Column | None:
-    cond = None
-    for c in cols:
-        e = left[c].eqNullSafe(right[c])
-        cond = e if cond is None else cond & e
-    return cond
+#: Rank error of the brackets is at most one in ACCURACY; groups of fewer rows have the whole group as bracket.
+ACCURACY = 10_000
 
 
-def rank_within_groups(df: DataFrame, groups: list[str], value: str,
-                       num_partitions: int | None = None) -> DataFrame:
-    """Add ``_rank`` (1-based ascending position of ``value`` in its group) and ``_n``.
-
-    Rows with a NULL value are dropped. Exact and skew-safe: the rows are
-    range-partitioned on (groups, value), so a group holding a large share of
-    the data is split over many tasks. Each task ranks its slice locally, and a
-    small table with one row per (partition, group) turns local ranks into
-    global ones through a running sum of slice sizes.
-    """
-    spark = df.sparkSession
-    n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    base = df.filter(F.col(value).isNotNull())
-    ordering = [F.col(g).asc_nulls_first() for g in groups] + [F.col(value).asc()]
-    # one non-NULL group key: a struct compares NULL fields as equal, so the slice join is a
-    # plain equi-join on (_pid, _gk) and reuses the window's hash partitioning (no extra shuffle)
-    gk = F.struct(*[F.col(g) for g in groups]) if groups else F.lit(0)
-    sliced = (base.repartitionByRange(n_parts, *ordering)
-              .select("*", F.spark_partition_id().alias("_pid"), gk.alias("_gk")))
-    # The row ranks and the slice counts below must see the same partition ids. Range bounds are
-    # sampled each time the exchange is planned and executed, and the two branches prune to
-    # different columns, so they would not share one exchange: persist the tagged rows once. A
-    # lost cached block is recomputed through the same shuffle dependency, i.e. the same bounds.
-    sliced = sliced.persist(StorageLevel.MEMORY_AND_DISK)
-    local = sliced.withColumn(
-        "_lr", F.row_number().over(Window.partitionBy("_pid", "_gk").orderBy(F.col(value))))
-    slices = local.groupBy("_pid", "_gk").agg(F.count(F.lit(1)).alias("_c")).select(
-        F.col("_pid").alias("_spid"), F.col("_gk").alias("_sgk"), "_c")
-    by_group = Window.partitionBy("_sgk")
-    slices = (slices
-              .withColumn("_off", F.coalesce(
-                  F.sum("_c").over(by_group.orderBy("_spid").rowsBetween(Window.unboundedPreceding, -1)),
-                  F.lit(0)))
-              .withColumn("_n", F.sum("_c").over(by_group))
-              .drop("_c"))
-    on = (F.col("_pid") == F.col("_spid")) & (F.col("_gk") == F.col("_sgk"))
-    out = local.join(slices, on, "inner").select(
-        *base.columns, (F.col("_off") + F.col("_lr")).alias("_rank"), F.col("_n"))
-    return out
-
-
-def nearest_rank(q: float) -> Column:
-    """1-based rank of the 'nearest' quantile q in a group of ``_n`` sorted values."""
-    return F.floor((F.col("_n") - F.lit(1)) * F.lit(float(q)) + F.lit(0.5)) + F.lit(1)
-
-
-def nearest_quantile_aggs(value: str, quantiles: dict[str, float], median: str | None = None) -> list[Column]:
-    """Aggregates over the output of :func:`rank_within_groups`."""
-    v = F.col(value)
-    aggs = [F.max(F.when(F.col("_rank") == nearest_rank(q), v)).alias(name) for name, q in quantiles.items()]
-    if median:
-        lo = F.floor((F.col("_n") - F.lit(1)) / F.lit(2)) + F.lit(1)
-        hi = F.floor(F.col("_n") / F.lit(2)) + F.lit(1)
-        aggs.append(((F.max(F.when(F.col("_rank") == lo, v)) + F.max(F.when(F.col("_rank") == hi, v)))
-                     / F.lit(2.0)).alias(median))
-    return aggs
+def nearest_rank(n: Column, q: float) -> Column:
+    """1-based rank of the 'nearest' quantile q among n sorted values."""
+    return F.floor((n - F.lit(1)) * F.lit(float(q)) + F.lit(0.5)) + F.lit(1)
 
 
 def grouped_quantiles(df: DataFrame, groups: list[str], value: str, quantiles: dict[str, float],
                       median: str | None = None, extra_aggs: list[Column] | None = None) -> DataFrame:
-    """Exact nearest-rank quantiles (and median, mean, ...) per group in one aggregate."""
-    ranked = rank_within_groups(df, groups, value)
-    aggs = nearest_quantile_aggs(value, quantiles, median) + list(extra_aggs or [])
-    return ranked.groupBy(*groups).agg(*aggs)
+    """Exact nearest-rank quantiles (and median, and further aggregates) per group, by selection.
+
+    ``percentile_approx`` brackets each quantile (its rank error is bounded), one aggregate with partial sums counts the
+    rows below each bracket, and only the values inside are grouped by (group, value) and summed up in order until
+    the rank is reached. Equal values are one row by then, so neither a hot group nor a hot value is gathered in a task.
+    NULL values are left out; NULL groups are groups.
+    """
+    wanted = {**quantiles, **({median: 0.5} if median else {})}
+    v = F.col(value)
+    base = df.filter(v.isNotNull()).select("*", F.struct(*[F.col(g) for g in groups], F.lit(0).alias("_all")).alias("_gk"))
+    margin = 5.0 / ACCURACY
+    low = [max(0.0, q - margin) for q in wanted.values()]
+    high = [min(1.0, q + margin) for q in wanted.values()]
+    stats = base.groupBy("_gk").agg(
+        F.count(F.lit(1)).alias("_n"), F.min(v).alias("_min"), F.max(v).alias("_max"),
+        F.percentile_approx(v, low, ACCURACY).alias("_low"), F.percentile_approx(v, high, ACCURACY).alias("_high"),
+        *(extra_aggs or []))
+    small = F.col("_n") < ACCURACY
+    brackets = stats.select(F.col("_gk").alias("_bk"), F.array(*[
+        F.struct(F.when(small, F.col("_min")).otherwise(F.col("_low")[i]).alias("lo"),
+                 F.when(small, F.col("_max")).otherwise(F.col("_high")[i]).alias("hi")) for i in range(len(wanted))]).alias("_b"))
+    rows = base.select("_gk", v.alias("_v")).join(brackets, F.col("_gk") == F.col("_bk"))
+    below = rows.groupBy("_gk").agg(F.array(*[F.count_if(F.col("_v") < F.col("_b")[i]["lo"]) for i in range(len(wanted))]).alias("_below"))
+    inside = rows.select("_gk", "_v", F.posexplode("_b").alias("_i", "_x")).filter("_v >= _x.lo and _v <= _x.hi")
+    counts = inside.groupBy("_gk", "_i", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    up_to = counts.select("_gk", "_i", "_v", F.sum("_c").over(Window.partitionBy("_gk", "_i").orderBy("_v")).alias("_up"))
+    at = up_to.join(below.withColumnRenamed("_gk", "_wk"), F.col("_gk") == F.col("_wk")).join(
+        stats.select(F.col("_gk").alias("_sk"), F.col("_n").alias("_rows")), F.col("_gk") == F.col("_sk"))
+    reached = F.col("_up") + F.col("_below")[F.col("_i")]
+    n = F.col("_rows")
+
+    def pick(i: int, rank: Column) -> Column:
+        return F.min(F.when((F.col("_i") == i) & (reached >= rank), F.col("_v")))
+
+    names = list(wanted)
+    picks = [pick(i, nearest_rank(n, q)).alias(name) for i, (name, q) in enumerate(quantiles.items())]
+    if median:
+        i = names.index(median)
+        picks.append(((pick(i, F.floor((n - 1) / F.lit(2)) + 1) + pick(i, F.floor(n / F.lit(2)) + 1)) / F.lit(2.0)).alias(median))
+    found = at.groupBy("_gk").agg(*picks).withColumnRenamed("_gk", "_fk")
+    out = stats.drop("_n", "_min", "_max", "_low", "_high").join(found, F.col("_gk") == F.col("_fk"))
+    return out.select(*[F.col("_gk")[g].alias(g) for g in groups], *[c for c in out.columns if c not in ("_gk", "_fk")])
 
 
 def safe_corr(x, y, window=None) -> Column:
@@ -145,56 +122,61 @@ def nearest_event(left: DataFrame, right: DataFrame, groups: list[str], left_dat
 
 
 # ---------------------------------------------------------------------------
-# Student-t tail probability (no SciPy here): regularised incomplete beta by
-# continued fraction. A per-row helper applied to a handful of model rows.
-
-def _betacf(a: float, b: float, x: float) -> float:
-    tiny = 1e-300
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c, d = 1.0, 1.0 - qab * x / qap
-    d = 1.0 / (d if abs(d) > tiny else tiny)
-    h = d
-    for m in range(1, 300):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c
-        c = c if abs(c) > tiny else tiny
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c
-        c = c if abs(c) > tiny else tiny
-        de = d * c
-        h *= de
-        if abs(de - 1.0) < 3e-16:
-            break
-    return h
-
-
-def _betai(a: float, b: float, x: float) -> float:
-    if x <= 0.0:
-        return 0.0
-    if x >= 1.0:
-        return 1.0
-    lbt = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log(1.0 - x)
-    bt = math.exp(lbt)
-    if x < (a + 1.0) / (a + b + 2.0):
-        return bt * _betacf(a, b, x) / a
-    return 1.0 - bt * _betacf(b, a, 1.0 - x) / b
-
-
-def t_two_sided_p(t: float, dof: float) -> float | None:
-    if t is None or dof is None or dof <= 0 or not np.isfinite(t):
-        return None
-    return _betai(dof / 2.0, 0.5, dof / (dof + t * t))
-
-
-@F.pandas_udf(T.DoubleType())
-def t_pvalue(t: pd.Series, dof: pd.Series) -> pd.Series:
-    """Two-sided p-value of a t statistic (vectorised over Arrow batches)."""
-    out = [t_two_sided_p(None if pd.isna(a) else float(a), None if pd.isna(b) else float(b))
-           for a, b in zip(t, dof)]
-    return pd.Series(out, dtype="float64")
+# Student-t tail probability for whole degrees of freedom. Near 0 the central part is a finite sum of powers of cosines
+# (Abramowitz and Stegun 26.7.3-4); further out the tail is a power series in dof / (dof + t^2), which keeps its digits.
+
+TAIL_TERMS = 120
+TAIL_LIMIT = 0.7
+
+
+def t_pvalue(t: Column, dof: Column) -> Column:
+    """Two-sided p-value of a t statistic; NULL for a NULL t or without degrees of freedom."""
+    nu = dof.cast("int")
+    x = nu / (nu + t * t)  # the squared cosine of the angle
+    cosine, sine = F.sqrt(x), F.abs(t) / F.sqrt(nu + t * t)
+    odd = nu % 2 == 1
+    start = lambda first: F.struct(first.cast("double").alias("term"), first.cast("double").alias("sum"))
+
+    def add(factor):
+        def step(a, k):
+            term = a["term"] * factor(k)
+            return F.struct(term.alias("term"), (a["sum"] + term).alias("sum"))
+        return step
+
+    def series(n, first, factor):
+        return F.aggregate(F.when(n >= 1, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>")), start(first), add(factor), lambda a: a["sum"])
+
+    halves = F.floor(nu / 2).cast("int") - 1
+    even_sum = series(halves, F.lit(1.0), lambda k: x * (2 * k - 1) / (2 * k))
+    odd_sum = series(halves, F.lit(1.0), lambda k: x * (2 * k) / (2 * k + 1))
+    angle = F.atan(F.abs(t) / F.sqrt(nu))
+    central = F.when(odd, (angle + F.when(nu > 1, sine * cosine * odd_sum).otherwise(F.lit(0.0))) * 2 / F.lit(math.pi)).otherwise(sine * even_sum)
+
+    a = nu / F.lit(2.0)
+    # B(a, 1/2) by its recursion from B(1/2, 1/2) = pi or B(1, 1/2) = 2.
+    first = F.when(odd, F.lit(0.5)).otherwise(F.lit(1.0))
+    steps = F.when(a > first, F.sequence(F.lit(0), (a - first).cast("int") - 1)).otherwise(F.array().cast("array<int>"))
+    beta = F.aggregate(steps, F.when(odd, F.lit(math.pi)).otherwise(F.lit(2.0)), lambda b, k: b * (first + k) / (first + k + 0.5))
+    # The series' terms: (1/2)_k / k! x^k a / (a + k); the running product leaves out a / (a + k).
+    tail_sum = F.aggregate(
+        F.sequence(F.lit(1), F.lit(TAIL_TERMS)), start(F.lit(1.0)),
+        lambda s, k: F.struct((s["term"] * x * (k - 0.5) / k).alias("term"), (s["sum"] + s["term"] * x * (k - 0.5) / k * a / (a + k)).alias("sum")),
+        lambda s: s["sum"])
+    tail = F.pow(x, a) / (a * beta) * tail_sum
+    return F.when(t.isNull() | nu.isNull() | (nu < 1), F.lit(None).cast("double")).when(x < TAIL_LIMIT, tail).otherwise(1 - central)
+
+
+def t_pvalue_sql(t: str, dof: str) -> str:
+    """The same in DuckDB SQL, by lists of running products."""
+    x = f"({dof} / ({dof} + {t} * {t}))"
+    half = f"CAST(floor({dof} / 2) AS INTEGER) - 1"
+    product = lambda n, f: f"list_sum([list_product(list_concat([1.0], [{f} FOR k IN range(1, j + 1)])) FOR j IN range(0, {n} + 1)])"
+    even = product(f"greatest({half}, 0)", f"{x} * (2 * k - 1) / (2.0 * k)")
+    odd = product(f"greatest({half}, 0)", f"{x} * (2 * k) / (2.0 * k + 1)")
+    central = (f"CASE WHEN CAST({dof} AS INTEGER) % 2 = 1 THEN (atan(abs({t}) / sqrt({dof})) + CASE WHEN {dof} > 1 THEN "
+               f"abs({t}) / sqrt({dof} + {t} * {t}) * sqrt({x}) * {odd} ELSE 0 END) * 2 / pi() "
+               f"ELSE abs({t}) / sqrt({dof} + {t} * {t}) * {even} END")
+    tail = (f"pow({x}, {dof} / 2.0) / ({dof} / 2.0 * (gamma({dof} / 2.0) * sqrt(pi()) / gamma({dof} / 2.0 + 0.5))) * "
+            f"list_sum([list_product(list_concat([1.0], [{x} * (k - 0.5) / k FOR k IN range(1, j + 1)])) * ({dof} / 2.0) / ({dof} / 2.0 + j) "
+            f"FOR j IN range(0, {TAIL_TERMS + 1})])")
+    return f"CASE WHEN {t} IS NULL OR {dof} IS NULL OR {dof} < 1 THEN NULL WHEN {x} < {TAIL_LIMIT} THEN {tail} ELSE 1 - ({central}) END"

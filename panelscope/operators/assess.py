@@ -143,7 +143,7 @@ def quarterly_churn(payroll: DataFrame, grouping_cols: list[str] | None = None)
     g = list(grouping_cols or [])
     # one row per quarter (bounded by the calendar), partial-aggregated, broadcast back
     firsts = payroll.groupBy("quarter").agg(F.min("ref_date").alias("_first_m"))
-    d = payroll.join(F.broadcast(firsts), "quarter")
+    d = payroll.join((firsts), "quarter")
     out = d.groupBy("quarter", *g).agg(
         F.count_distinct(F.when(F.col("ref_date") == F.col("_first_m"), F.col("client_id"))).alias("start_clients"),
         F.count_distinct(F.when(F.col("exit_month") == F.col("ref_date"), F.col("client_id"))).alias("exits"),
@@ -178,25 +178,25 @@ def compare_flows_to_official(quarterly: DataFrame, official: DataFrame) -> Data
 
 
 def job_to_job(employees: DataFrame, grouping_cols: list[str] | None = None) -> DataFrame:
-    """Workers whose client differs from their client at the previous observed date.
+    """Workers who leave a client of the previous observed date for another one.
 
-    A worker at several clients in a month counts once per (worker, client);
-    the move is counted at the later date. rate = moves / workers present.
+    A move is counted at the later date, once per worker: a client is new and a client of the previous
+    date is gone. A second job taken up while the first goes on is no move. rate = moves / workers present.
     """
     g = list(grouping_cols or [])
     idx = period_index(employees)
-    pres = (employees.select(*g, "employee_id", "client_id", "ref_date").distinct()
-            .join(F.broadcast(idx), "ref_date"))
-    prev = (pres.select(*g, "employee_id", (F.col("_idx") + 1).alias("_idx"), F.lit(1).alias("_was"))
-            .distinct())
-    same = pres.select(*g, "employee_id", "client_id", (F.col("_idx") + 1).alias("_idx"), F.lit(1).alias("_same"))
-    cur = (pres.join(prev, g + ["employee_id", "_idx"], "left")
-           .join(same, g + ["employee_id", "client_id", "_idx"], "left"))
-    mover = F.col("_was").isNotNull() & F.col("_same").isNull()
-    out = cur.groupBy(*g, "ref_date").agg(
-        F.count_distinct("employee_id").alias("workers"),
-        F.count_distinct(F.when(mover, F.col("employee_id"))).alias("job_to_job_moves"),
-    )
+    pres = employees.select(*g, "employee_id", "client_id", "ref_date").distinct().join(idx, "ref_date")
+    w = Window.partitionBy(*g, "employee_id", "client_id").orderBy("_idx")
+    at = pres.select(*g, "employee_id", "_idx", (F.lag("_idx").over(w).eqNullSafe(F.col("_idx") - 1)).alias("_stayed"),
+                     (F.lead("_idx").over(w).eqNullSafe(F.col("_idx") + 1)).alias("_stays"))
+    here = at.select(*g, "employee_id", "_idx", F.lit(1).alias("_here"), (~F.col("_stayed")).cast("int").alias("_new"), F.lit(0).alias("_gone"))
+    gone = at.filter(~F.col("_stays")).select(*g, "employee_id", (F.col("_idx") + 1).alias("_idx"), F.lit(0).alias("_here"),
+                                              F.lit(0).alias("_new"), F.lit(1).alias("_gone"))
+    workers = here.unionByName(gone).groupBy(*g, "employee_id", "_idx").agg(F.max("_here").alias("_here"), F.max("_new").alias("_new"),
+                                                                            F.max("_gone").alias("_gone"))
+    out = workers.filter("_here = 1").groupBy(*g, "_idx").agg(
+        F.count(F.lit(1)).alias("workers"), F.sum(F.col("_new") * F.col("_gone")).alias("job_to_job_moves"))
+    out = out.join(idx, "_idx").select(*g, "ref_date", "workers", "job_to_job_moves")
     return out.withColumn("job_to_job_rate", td("job_to_job_moves", "workers"))
 
 
@@ -208,7 +208,7 @@ def worker_tenure(employees: DataFrame) -> DataFrame:
     """
     idx = period_index(employees)
     pres = (employees.select("employee_id", "client_id", "ref_date").distinct()
-            .join(F.broadcast(idx), "ref_date"))
+            .join(idx, "ref_date"))
     w = Window.partitionBy("employee_id", "client_id").orderBy("_idx")
     pres = pres.withColumn("_island", F.col("_idx") - F.row_number().over(w))
     ws = Window.partitionBy("employee_id", "client_id", "_island").orderBy("_idx")
@@ -265,14 +265,14 @@ def official_weekly_wages(qcew_raw: DataFrame, slice_name: str = "national") ->
 def reweighting_quality(impact: DataFrame, official_growth: DataFrame) -> DataFrame:
     """MAE and correlation of raw and reweighted YoY growth against official YoY growth."""
     m = impact.join(official_growth.select("ref_date", F.col("yoy_growth").alias("official_yoy")), "ref_date")
-    rows = []
-    for name, col in (("raw", "yoy_growth"), ("reweighted", "reweighted_yoy")):
-        both = F.col(col).isNotNull() & F.col("official_yoy").isNotNull()
-        rows.append(m.agg(F.lit(name).alias("series"),
-                          F.avg(F.when(both, F.abs(F.col(col) - F.col("official_yoy")))).alias("mae"),
-                          safe_corr(col, "official_yoy").alias("correlation"),
-                          F.count_if(both).alias("n_months")))
-    return rows[0].unionByName(rows[1])
+    long = m.select("official_yoy", F.explode(F.array(*[
+        F.struct(F.lit(name).alias("series"), F.col(col).alias("yoy"))
+        for name, col in (("raw", "yoy_growth"), ("reweighted", "reweighted_yoy"))])).alias("s"))
+    long = long.select("official_yoy", "s.series", "s.yoy")
+    both = F.col("yoy").isNotNull() & F.col("official_yoy").isNotNull()
+    return long.groupBy("series").agg(
+        F.avg(F.when(both, F.abs(F.col("yoy") - F.col("official_yoy")))).alias("mae"),
+        safe_corr("yoy", "official_yoy").alias("correlation"), F.count_if(both).alias("n_months"))
 
 
 def coverage_all_levels(panel: DataFrame, official_by_level: dict[str, DataFrame]) -> DataFrame:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from panelscope.functions.cols import td
 from panelscope.functions.stats import grouped_quantiles
@@ -18,9 +17,8 @@ EARNINGS_COLUMNS = ["mean_earnings", "median_earnings", "p10_earnings", "p25_ear
 def compute_earnings_distribution(payroll: DataFrame, grouping_cols: list[str]) -> DataFrame:
     by = ["ref_date"] + list(grouping_cols)
     if "gross_pay" not in payroll.columns:
-        schema = T.StructType([T.StructField(c, T.DateType() if c == "ref_date" else T.DoubleType())
-                               for c in ["ref_date"] + EARNINGS_COLUMNS])
-        return payroll.sparkSession.createDataFrame([], schema)
+        empty = [F.lit(None).cast("double").alias(c) for c in EARNINGS_COLUMNS]
+        return payroll.select(*by, *empty).filter(F.lit(False))
     pos = payroll.filter(F.col("gross_pay").isNotNull() & (F.col("gross_pay") > 0)).select(*by, "gross_pay")
     d = grouped_quantiles(pos, by, "gross_pay", EARNINGS_QUANTILES, median="median_earnings",
                           extra_aggs=[F.avg("gross_pay").alias("mean_earnings"),

@@ -42,14 +42,23 @@ def share_means(share: DataFrame, dimension: str = "supersector") -> DataFrame:
                                         F.avg("qcew_share").alias("qcew_share"))
 
 
-def vintage_matrix(vintage_shares: DataFrame, vintages: list | None = None) -> DataFrame:
-    """ref_date x vintage employment share, missing -> 0 (X5)."""
-    m = vintage_shares.groupBy("ref_date").pivot("vintage_year", vintages).agg(F.max("employment_share"))
-    return m.na.fill(0.0)
+def vintage_matrix(vintage_shares: DataFrame, vintages: list) -> DataFrame:
+    """ref_date x vintage employment share, missing -> 0 (X5).
+
+    ``vintages`` declares the columns; other vintages raise an error when the rows are read,
+    so that no share gets lost unseen.
+    """
+    known = F.col("vintage_year").isin([int(v) for v in vintages]) | F.col("vintage_year").isNull()
+    checked = vintage_shares.withColumn("employment_share", F.when(known, F.col("employment_share")).otherwise(
+        F.raise_error(F.concat(F.lit("undeclared vintage "), F.col("vintage_year").cast("string"))).cast("double")))
+    return checked.groupBy("ref_date").agg(*[
+        F.coalesce(F.max(F.when(F.col("vintage_year") == int(v), F.col("employment_share"))), F.lit(0.0)).alias(str(v))
+        for v in vintages])
 
 
-def histogram(df: DataFrame, value: str, min_bins: int = 10, max_bins: int = 50, per_bin: int = 10) -> DataFrame:
-    """Equal-width histogram: bins = min(max_bins, max(min_bins, n // per_bin)) over [min, max].
+def histogram(df: DataFrame, value: str, min_bins: int = 10, max_bins: int = 50, per_bin: int = 10,
+              n_bins: int | None = None) -> DataFrame:
+    """Equal-width histogram over [min, max]: ``n_bins`` bins, or min(max_bins, max(min_bins, n // per_bin)).
 
     The last bin includes the maximum; a constant column uses [v - 0.5, v + 0.5].
     Scalars come from one aggregate evaluated as scalar subqueries; every bin
@@ -64,7 +73,7 @@ def histogram(df: DataFrame, value: str, min_bins: int = 10, max_bins: int = 50,
     same = lo0 == hi0
     lo = F.when(same, lo0 - F.lit(0.5)).otherwise(lo0)
     hi = F.when(same, hi0 + F.lit(0.5)).otherwise(hi0)
-    bins = F.least(F.lit(max_bins), F.greatest(F.lit(min_bins), F.floor(n / F.lit(per_bin)).cast("int")))
+    bins = F.lit(n_bins) if n_bins else F.least(F.lit(max_bins), F.greatest(F.lit(min_bins), F.floor(n / F.lit(per_bin)).cast("int")))
     width = (hi - lo) / bins
     idx = F.least(F.floor((F.col("_v") - lo) * (bins / (hi - lo))).cast("int"), bins - 1)
     counts = vals.groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).alias("count"))

@@ -115,7 +115,7 @@ def decompose_employment_change(payroll: DataFrame, grouping_cols: list[str] | N
     idx = period_index(payroll)
     cm = (payroll.groupBy(*g, "client_id", "ref_date")
           .agg(F.sum("qualified_employment").alias("_e"))
-          .join(F.broadcast(idx), "ref_date"))  # idx: one row per observed date
+          .join(idx, "ref_date"))  # idx: one row per observed date
     w = Window.partitionBy(*g, "client_id").orderBy("_idx")
     cm = cm.select("*", F.lag("_idx").over(w).alias("_pi"), F.lag("_e").over(w).alias("_pe"),
                    F.lead("_idx").over(w).alias("_ni"))
@@ -131,7 +131,7 @@ def decompose_employment_change(payroll: DataFrame, grouping_cols: list[str] | N
     r = (cur.unionByName(ex).filter(F.col("_idx") > 0)
          .groupBy(*g, "_idx").agg(*[F.sum(c).alias(c) for c in
                                     ("within_change", "entry_contribution", "exit_contribution")])
-         .join(F.broadcast(idx), "_idx"))  # drops exits beyond the last date
+         .join(idx, "_idx"))  # drops exits beyond the last date
     total = F.col("within_change") + F.col("entry_contribution") - F.col("exit_contribution")
     return r.select("ref_date", *g, total.alias("total_change"), "within_change", "entry_contribution",
                     "exit_contribution")

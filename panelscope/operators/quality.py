@@ -14,11 +14,15 @@ def flag_data_quality_issues(payroll: DataFrame, extreme_threshold: float = 0.5)
     """Return (rows with five flag columns, monthly summary)."""
     cols = payroll.columns
     e = F.col("qualified_employment")
-    prev = F.lag(e).over(Window.partitionBy("client_id").orderBy("ref_date", e))
-    df = payroll.withColumn("_prev", prev)
-    extreme = (F.col("_prev").isNotNull() & (F.col("_prev") > 0)
-               & (td(F.abs(e - F.col("_prev")), F.col("_prev")) > extreme_threshold))
-    df = df.withColumn("flag_extreme_change", F.coalesce(extreme, F.lit(False))).drop("_prev")
+    # Client months first: a client has one row a month here, however many rows it has in the payroll.
+    months = payroll.groupBy("client_id", "ref_date").agg(F.sum(e).alias("_emp"))
+    by_client = Window.partitionBy("client_id")
+    months = months.select("client_id", "ref_date", "_emp", F.lag("_emp").over(by_client.orderBy("ref_date")).alias("_prev"),
+                           F.min("ref_date").over(by_client).alias("_first_obs"))
+    extreme = ((F.col("_prev") > 0) & (td(F.abs(F.col("_emp") - F.col("_prev")), F.col("_prev")) > extreme_threshold))
+    months = months.select(F.col("client_id").alias("_client"), F.col("ref_date").alias("_month"), "_first_obs",
+                           F.coalesce(extreme, F.lit(False)).alias("flag_extreme_change"))
+    df = payroll.join(months, payroll["client_id"].eqNullSafe(months["_client"]) & payroll["ref_date"].eqNullSafe(months["_month"]), "left")
     df = df.withColumn("flag_zero_employment", e == 0)
 
     if "employee_id" in cols:
@@ -32,10 +36,8 @@ def flag_data_quality_issues(payroll: DataFrame, extreme_threshold: float = 0.5)
         df = df.withColumn("flag_multi_client", F.lit(False))
 
     if "filing_date" in cols:
-        first = payroll.groupBy("client_id").agg(F.min("ref_date").alias("_first_obs"))
-        df = df.join(first, "client_id", "left")
         anomaly = F.col("filing_date").isNotNull() & (F.col("filing_date").cast("date") > F.col("_first_obs"))
-        df = df.withColumn("flag_filing_anomaly", F.coalesce(anomaly, F.lit(False))).drop("_first_obs")
+        df = df.withColumn("flag_filing_anomaly", F.coalesce(anomaly, F.lit(False)))
     else:
         df = df.withColumn("flag_filing_anomaly", F.lit(False))
 

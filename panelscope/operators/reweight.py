@@ -1,8 +1,18 @@
-"""Raking (iterative proportional fitting) of payroll weights to official margins."""
+"""Raking (iterative proportional fitting) of payroll weights to official margins.
 
-from __future__ import annotations
+Weights are constant inside a cell (period x dimension values), and margins never cross periods. Payroll is
+aggregated to cells first, so what is fitted is bounded by the dimension domains, not by the payroll.
+
+One dimension needs no iteration: the weight is the ratio of the margins, one group-by and one join. With more, each
+period's cells are fitted in a task of their own (NumPy, ``MAX_CELLS`` checked), in one pass; nothing is written and
+nothing runs before the result is used. A period stops after the first round that changes no weight by ``tolerance`` or more;
+each result says how many rounds it took, the last change, and whether that was below the tolerance.
+
+A period need not converge: where payroll has no client in a cell, say, a state's and an industry's margins may not be reachable
+together, and the fit alternates between two sets of weights. Its rows are then marked ``converged = false``.
+"""
 
-import uuid
+from __future__ import annotations
 
 import numpy as np
 import pandas as pd
@@ -11,7 +21,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelscope.functions.cols import td
-from panelscope.session import ensure_checkpoint_dir
+
+#: Cells of a period that a task may hold; more raise an error.
+MAX_CELLS = 2_000_000
+REPORT = ["rounds", "last_change", "converged"]
 
 
 def _cells_and_margins(payroll: DataFrame, official: DataFrame, dimensions: list[str], employment_col: str):
@@ -30,148 +43,93 @@ def _cells_and_margins(payroll: DataFrame, official: DataFrame, dimensions: list
     return cells, cell_keys, dims, period, margins
 
 
-def _ipf_arrays(e: np.ndarray, codes: list[np.ndarray], targets: list[np.ndarray], iterations: int,
-                tolerance: float | None):
-    """IPF on one period's cells. codes[k][i] = index of cell i's value in dimension k (-1 = NULL);
-    targets[k][j] = official margin of value j (NaN = missing). Returns (weights, changes per iteration)."""
+def fit_cells(e: np.ndarray, codes: list[np.ndarray], targets: list[np.ndarray], max_iter: int,
+              tolerance: float) -> tuple[np.ndarray, int, float]:
+    """IPF on one period's cells: (weights, rounds, last round's largest change).
+
+    codes[k][i] is the index of cell i's value in dimension k (-1 for NULL), targets[k][j] the official margin
+    of value j (NaN if there is none). A margin without payroll or without target leaves weights alone.
+    """
     w = np.ones_like(e)
-    changes = []
-    for _ in range(iterations):
-        max_change = 0.0
+    change, rounds = 0.0, 0
+    while rounds < max_iter:
+        rounds += 1
+        change = 0.0
         for code, target in zip(codes, targets):
             valid = code >= 0
             tot = np.bincount(code[valid], weights=(e * w)[valid], minlength=len(target))
             with np.errstate(divide="ignore", invalid="ignore"):
                 ratio = np.where((tot != 0) & ~np.isnan(target), target / tot, 1.0)
-            r = np.ones_like(w)
-            r[valid] = ratio[code[valid]]
-            new_w = w * r
-            max_change = max(max_change, float(np.max(np.abs(new_w - w))) if len(w) else 0.0)
-            w = new_w
-        changes.append(max_change)
-        if tolerance is not None and max_change < tolerance:
+            new = w.copy()
+            new[valid] = w[valid] * ratio[code[valid]]
+            change = max(change, float(np.max(np.abs(new - w), initial=0.0)))
+            w = new
+        if change < tolerance:
             break
-    return w, changes
-
+    return w, rounds, change
 
-def _period_ipf(cells: DataFrame, dims: list[str], period: list[str], margins: dict, max_iter: int,
-                tolerance: float) -> DataFrame:
-    """IPF per period with applyInPandas: margins never cross periods, so periods are independent.
 
-    Pass 1 records each period's max weight change per iteration; the global
-    stop is the first iteration whose maximum over periods is below tolerance
-    (the same rule as one global loop). Pass 2 runs exactly that many
-    iterations. A group holds one period's cells, bounded by the product of the
-    dimension domains, never by the number of payroll rows.
-    """
+def rake_cells(payroll: DataFrame, official: DataFrame, dimensions: list[str], max_iter: int = 100,
+               tolerance: float = 1e-6, employment_col: str = "qualified_employment") -> tuple[DataFrame, list[str]]:
+    """(cells with ``rake_weight``, ``rounds``, ``last_change`` and ``converged``; their key columns)."""
+    cells, cell_keys, dims, period, margins = _cells_and_margins(payroll, official, dimensions, employment_col)
+    one = F.lit(1.0)
+    if not margins or not dims:
+        return cells.withColumns({"rake_weight": one, "rounds": F.lit(0), "last_change": F.lit(0.0), "converged": F.lit(True)}), cell_keys
+    if len(dims) == 1:
+        d = dims[0]
+        keys = period + [d]
+        totals = cells.groupBy(*keys).agg(F.sum("_e").alias("_p"))
+        ratio = totals.join(margins[d], keys, "left").select(*keys, F.coalesce(td("_q", "_p"), one).alias("_r"))
+        out = cells.join(ratio, keys, "left").withColumn("rake_weight", F.coalesce("_r", one)).drop("_r")
+        return out.withColumns({"rounds": F.lit(1), "last_change": F.lit(0.0), "converged": F.lit(True)}), cell_keys
     t = cells
     for d in dims:
         t = t.join(margins[d].withColumnRenamed("_q", f"_q_{d}"), period + [d], "left")
-    # both passes read the cell table: write it once (small, bounded by the cell domain) to the
-    # shared checkpoint folder instead of recomputing payroll and official aggregates twice
-    spark = cells.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/panelscope-rake-{uuid.uuid4().hex}/cells"
-    t.write.mode("overwrite").parquet(path)
-    t = spark.read.parquet(path)
-    schema_cols = t.columns
-    key_cols = [c for c in schema_cols if not c.startswith("_q_") and c != "_e"]
-
-    def run(pdf: pd.DataFrame, iterations: int, tol):
+    schema = t.select(*cell_keys, "_e", one.alias("rake_weight"), F.lit(0).alias("rounds"), F.lit(0.0).alias("last_change"),
+                      F.lit(True).alias("converged")).schema
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        if len(pdf) > MAX_CELLS:
+            raise ValueError(f"{len(pdf)} cells in a period; raking is for categorical dimensions of at most {MAX_CELLS}")
+        pdf = pdf.sort_values(cell_keys, ignore_index=True)
         codes, targets = [], []
         for d in dims:
-            vals = pdf[d]
-            cat = pd.Categorical(vals)
+            cat = pd.Categorical(pdf[d])
             code = np.asarray(cat.codes, dtype=np.int64)
-            tgt = np.full(len(cat.categories), np.nan)
-            q = pdf[f"_q_{d}"].to_numpy(dtype="float64")
+            target = np.full(len(cat.categories), np.nan)
             valid = code >= 0
-            tgt[code[valid]] = q[valid]
+            target[code[valid]] = pdf[f"_q_{d}"].to_numpy(dtype="float64")[valid]
             codes.append(code)
-            targets.append(tgt)
-        return _ipf_arrays(pdf["_e"].to_numpy(dtype="float64"), codes, targets, iterations, tol)
-
-    def changes_fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        _, ch = run(pdf, max_iter, None)
-        return pd.DataFrame({"_it": np.arange(1, len(ch) + 1, dtype="int32"), "_chg": np.asarray(ch, dtype="float64")})
+            targets.append(target)
+        w, rounds, change = fit_cells(pdf["_e"].to_numpy(dtype="float64"), codes, targets, max_iter, tolerance)
+        return pdf[cell_keys + ["_e"]].assign(rake_weight=w, rounds=rounds, last_change=change, converged=change < tolerance)
 
-    ch = t.groupBy(*period).applyInPandas(changes_fn, "_it int, _chg double")
-    per_it = ch.groupBy("_it").agg(F.max("_chg").alias("_m"))
-    stop = per_it.filter(F.col("_m") < F.lit(tolerance)).agg(F.min("_it")).first()[0]
-    iterations = int(stop) if stop is not None else max_iter
+    return t.groupBy(*period).applyInPandas(run, schema), cell_keys
 
-    out_schema = t.select(*key_cols, "_e", F.lit(1.0).alias("rake_weight")).schema
 
-    def weights_fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        w, _ = run(pdf, iterations, None)
-        out = pdf[key_cols + ["_e"]].copy()
-        out["rake_weight"] = w
-        return out
+def rake_convergence(payroll: DataFrame, official: DataFrame, dimensions: list[str], max_iter: int = 100,
+                     tolerance: float = 1e-6) -> DataFrame:
+    """One row per period: rounds, last_change, converged."""
+    cells, keys = rake_cells(payroll, official, dimensions, max_iter, tolerance)
+    return cells.select(*[k for k in ("ref_date", "quarter") if k in keys], *REPORT).distinct()
 
-    return t.groupBy(*period).applyInPandas(weights_fn, out_schema), iterations
 
+def rake_to_qcew(payroll: DataFrame, official: DataFrame, dimensions: list[str], max_iter: int = 100,
+                 tolerance: float = 1e-6, report: bool = False) -> DataFrame:
+    """Payroll rows plus ``rake_weight`` so weighted margins match the official ones.
 
-def rake_cells(payroll: DataFrame, official: DataFrame, dimensions: list[str], max_iter: int = 100,
-               tolerance: float = 1e-6, employment_col: str = "qualified_employment",
-               method: str = "auto", on_iteration=None) -> tuple[DataFrame, list[str], int]:
-    """IPF on the cell table (weights are constant inside a cell).
-
-    Returns (cells with ``rake_weight``, cell key columns, iterations run).
-    ``method='period'`` (chosen when both sides carry ref_date/quarter) rakes
-    each period in its own task; ``method='rounds'`` runs one small DataFrame
-    job per round, writing each round's cell table as parquet under the
-    session's checkpoint directory (a shared folder on a cluster) and reading
-    it back, which cuts lineage; a lost executor only recomputes one round.
+    ``report`` adds ``rounds``, ``last_change`` and ``converged`` of the row's period.
     """
-    spark = payroll.sparkSession
-    cells, cell_keys, dims, period, margins = _cells_and_margins(payroll, official, dimensions, employment_col)
-    if not margins or not dims:
-        return cells.withColumn("rake_weight", F.lit(1.0)), cell_keys, 0
-    if method == "auto":
-        method = "period" if period else "rounds"
-    if method == "period":
-        out, iterations = _period_ipf(cells, dims, period, margins, max_iter, tolerance)
-        return out, cell_keys, iterations
-
-    cells = cells.withColumn("rake_weight", F.lit(1.0))
-    base_dir = f"{ensure_checkpoint_dir(spark).rstrip('/')}/panelscope-rake-{uuid.uuid4().hex}"
-    it = 0
-    for it in range(1, max_iter + 1):
-        cells = cells.withColumn("_chg", F.lit(0.0))
-        for d in dims:
-            jc = period + [d]
-            pt = cells.groupBy(*jc).agg(F.sum(F.col("_e") * F.col("rake_weight")).alias("_p"))
-            ratio = pt.join(margins[d], jc, "left").select(
-                *jc, F.coalesce(td("_q", "_p"), F.lit(1.0)).alias("_r"))
-            cells = cells.join(ratio, jc, "left")
-            new_w = F.col("rake_weight") * F.coalesce("_r", F.lit(1.0))
-            cells = cells.withColumns({
-                "_chg": F.greatest(F.col("_chg"), F.abs(new_w - F.col("rake_weight"))),
-                "rake_weight": new_w,
-            }).drop("_r")
-        path = f"{base_dir}/round={it}"
-        cells.write.mode("overwrite").parquet(path)
-        cells = spark.read.parquet(path)
-        max_change = cells.agg(F.max("_chg")).first()[0] or 0.0
-        if on_iteration is not None:
-            on_iteration(it, max_change)
-        if max_change < tolerance:
-            break
-    return cells.drop("_chg"), cell_keys, it
-
-
-def rake_to_qcew(payroll: DataFrame, official: DataFrame, dimensions: list[str], max_iter: int = 100,
-                 tolerance: float = 1e-6) -> DataFrame:
-    """Payroll rows plus ``rake_weight`` so weighted margins match the official ones."""
-    cells, keys, _ = rake_cells(payroll, official, dimensions, max_iter, tolerance)
-    # cells are bounded by the (month x dimension values) domain, not by the rows
+    cells, keys = rake_cells(payroll, official, dimensions, max_iter, tolerance)
     renamed = [f"_k{i}" for i in range(len(keys))]
-    w = cells.select(*[F.col(k).alias(r) for k, r in zip(keys, renamed)], F.col("rake_weight").alias("_w"))
+    w = cells.select(*[F.col(k).alias(r) for k, r in zip(keys, renamed)], F.col("rake_weight").alias("_w"), *REPORT)
     on = None
     for k, r in zip(keys, renamed):
         e = F.col(k).eqNullSafe(F.col(r))
         on = e if on is None else on & e
     j = payroll.join(w, on, "left")
-    return j.select(*payroll.columns, F.coalesce(F.col("_w"), F.lit(1.0)).alias("rake_weight"))
+    return j.select(*payroll.columns, F.coalesce(F.col("_w"), F.lit(1.0)).alias("rake_weight"), *(REPORT if report else []))
 
 
 def reweighting_impact(growth: DataFrame, reweighted: DataFrame) -> DataFrame:

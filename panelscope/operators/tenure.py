@@ -26,7 +26,7 @@ def compute_client_tenure(payroll: DataFrame, extra_first: list[str] | None = No
         first_e.alias("initial_emp"),
         last_e.alias("final_emp"),
         F.avg("qualified_employment").alias("avg_emp"),
-        F.min_by(F.col("is_birth"), F.col("ref_date")).alias("is_likely_birth"),
+        _first_last("is_birth")[0].alias("is_likely_birth"),
     ]
     for c in extra_first or []:
         aggs.append(_first_last(c)[0].alias(c))

@@ -1,17 +1,15 @@
 """Registered queries: one Spark plan per operator, each with its DuckDB oracle.
 
 Each entry reads the driver's whole tables through :mod:`panelscope.sources.synth`
-and applies one operator. ``dbl`` lists the double columns, rounded to 6
-decimals on both sides before comparison (sums of doubles depend on order).
+and applies one operator. Results are the operator's own, unrounded.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from panelscope.plans import oracle as O
 
@@ -19,29 +17,19 @@ from panelscope.plans import oracle as O
 @dataclass
 class Query:
     name: str
-    build: Callable[[SparkSession, str], DataFrame]
+    spark: Callable[[SparkSession, str], DataFrame]
     sql: str | None
-    dbl: list[str] = field(default_factory=list)
-
-    def spark(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        df = self.build(spark, sf_dir)
-        if not self.dbl:
-            return df
-        return df.select(*[F.round(F.col(c).cast("double"), 6).alias(c) if c in self.dbl else F.col(c)
-                           for c in df.columns])
 
     def oracle(self) -> str | None:
-        if self.sql is None:
-            return None
-        return O.with_ctes(O.rounded(self.sql, self.dbl))
+        return None if self.sql is None else O.with_ctes(O.as_select(self.sql))
 
 
 REGISTRY: dict[str, Query] = {}
 
 
-def register(name: str, sql: str | None, dbl: list[str] | None = None):
+def register(name: str, sql: str | None):
     def deco(fn):
-        REGISTRY[name] = Query(name, fn, sql, list(dbl or []))
+        REGISTRY[name] = Query(name, fn, sql)
         return fn
     return deco
 

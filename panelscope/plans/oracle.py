@@ -229,18 +229,9 @@ def with_ctes(body: str, extra: str = "") -> str:
     return f"WITH {ctes}\n{body}"
 
 
-def rounded(sql_body: str, dbl: list[str], digits: int = 6) -> str:
-    """Round the double columns of a query result (both engines round the same way).
+def as_select(sql_body: str) -> str:
+    """A query that begins with its own CTEs, as one SELECT below the input CTEs."""
+    return f"SELECT * FROM ({sql_body}) AS _q" if sql_body.lstrip().upper().startswith("WITH") else sql_body
 
-    ``"*"`` marks a query whose doubles are rounded inside (dynamic pivot columns).
-    """
-    dbl = [c for c in dbl if c != "*"]
-    if not dbl:
-        if sql_body.lstrip().upper().startswith("WITH"):
-            return f"SELECT * FROM ({sql_body}) AS _q"
-        return sql_body
-    rep = ", ".join(f'round("{c}", {digits}) AS "{c}"' for c in dbl)
-    return f"SELECT * REPLACE ({rep}) FROM ({sql_body}) AS _q"
 
-
-__all__ = ["with_ctes", "rounded", "ALL_CTES"]
+__all__ = ["with_ctes", "as_select", "ALL_CTES"]

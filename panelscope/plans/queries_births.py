@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from panelscope.functions.stats import t_pvalue_sql
 from panelscope.operators import births as B
 from panelscope.operators import growth as G
 from panelscope.operators import reweight as R
@@ -27,13 +28,12 @@ def official_births(spark, d):
     return B.official_birth_rates(bed(spark, d))
 
 
-@register("bed_normalise", "SELECT * FROM bed", ["births", "deaths", "total_establishments", "birth_rate",
-                                                 "death_rate"])
+@register("bed_normalise", "SELECT * FROM bed")
 def q_bed(spark, d):
     return bed(spark, d)
 
 
-@register("birth_rates", BIRTH_SQL, ["birth_rate"])
+@register("birth_rates", BIRTH_SQL)
 def q_birth_rates(spark, d):
     return payroll_births(spark, d)
 
@@ -42,7 +42,7 @@ def q_birth_rates(spark, d):
       CAST(births AS DOUBLE) / NULLIF(CAST(determinable AS DOUBLE), 0) AS birth_rate
     FROM (SELECT ref_date, quarter, supersector, CAST(sum(birth_count) AS BIGINT) AS births,
                  CAST(sum(birth_determinable_count) AS BIGINT) AS determinable
-          FROM ({panel_level_sql('supersector')}) x GROUP BY ref_date, quarter, supersector) a""", ["birth_rate"])
+          FROM ({panel_level_sql('supersector')}) x GROUP BY ref_date, quarter, supersector) a""")
 def q_birth_rates_ss(spark, d):
     return payroll_births(spark, d, "supersector", ["supersector"])
 
@@ -50,9 +50,7 @@ def q_birth_rates_ss(spark, d):
 @register("compare_birth_rates", f"""SELECT p.*, o.bed_births, o.bed_deaths, o.bed_establishments, o.bed_birth_rate,
       p.birth_rate - coalesce(o.bed_birth_rate, 0.0) AS birth_rate_diff,
       p.birth_rate / NULLIF(coalesce(o.bed_birth_rate, 1.0), 0) AS birth_rate_ratio
-    FROM ({BIRTH_SQL}) p LEFT JOIN bed_national o USING (quarter)""",
-          ["birth_rate", "bed_births", "bed_deaths", "bed_establishments", "bed_birth_rate", "birth_rate_diff",
-           "birth_rate_ratio"])
+    FROM ({BIRTH_SQL}) p LEFT JOIN bed_national o USING (quarter)""")
 def q_compare_birth_rates(spark, d):
     return B.compare_birth_rates(payroll_births(spark, d), official_births(spark, d), [])
 
@@ -69,7 +67,7 @@ def _shares(src: str, name: str) -> str:
       AS misallocation_index
     FROM ({_shares('(SELECT * FROM payroll WHERE is_birth IS NOT NULL)', 'share_det')}) a
     FULL OUTER JOIN ({_shares('payroll', 'share_full')}) b USING (dimension, value)
-    GROUP BY dimension""", ["misallocation_index"])
+    GROUP BY dimension""")
 def q_birth_composition(spark, d):
     p = payroll(spark, d)
     return B.compare_birth_determinable_composition(p.filter(F.col("is_birth").isNotNull()), p)
@@ -101,13 +99,13 @@ LEAD_SQL = f"""WITH {MERGED_SQL},
     FROM h"""
 
 
-@register("birth_lead", LEAD_SQL, ["r2", "coef", "t", "dof"])
+@register("birth_lead", LEAD_SQL)
 def q_birth_lead(spark, d):
     m = B.birth_lead_models(payroll_births(spark, d), official_births(spark, d))
     return m.select("model", "n", "r2", "coef", "t", "dof")
 
 
-@register("birth_lead_pvalues", None, ["r2", "coef", "pvalue"])
+@register("birth_lead_pvalues", f"SELECT model, r2, coef, {t_pvalue_sql('t', 'dof')} AS pvalue FROM ({LEAD_SQL}) l")
 def q_birth_lead_p(spark, d):
     return B.test_birth_lead(payroll_births(spark, d), official_births(spark, d))
 
@@ -117,7 +115,7 @@ def q_birth_lead_p(spark, d):
                 FROM mi a JOIN (SELECT unnest(range(0, 5)) AS lag) l ON true
                 JOIN mi b ON b._i = a._i + l.lag WHERE a._n >= 4)
     SELECT lag, coalesce(CASE WHEN isnan(corr(x, y)) THEN 0.0 ELSE corr(x, y) END, 0.0) AS correlation
-    FROM pairs GROUP BY lag""", ["correlation"])
+    FROM pairs GROUP BY lag""")
 def q_cross_correlation(spark, d):
     return B.compute_cross_correlation(payroll_births(spark, d), official_births(spark, d), 4)
 
@@ -141,12 +139,12 @@ def survival_sql(censored: bool) -> str:
     SELECT entry_quarter, count(DISTINCT client_id) AS birth_cohort_n, {cols} FROM t GROUP BY entry_quarter"""
 
 
-@register("survival", survival_sql(False), list(B.SURVIVAL_HORIZONS))
+@register("survival", survival_sql(False))
 def q_survival(spark, d):
     return B.compute_survival_curves(payroll(spark, d))
 
 
-@register("survival_censored", survival_sql(True), list(B.SURVIVAL_HORIZONS))
+@register("survival_censored", survival_sql(True))
 def q_survival_censored(spark, d):
     return B.compute_survival_curves(payroll(spark, d), censored=True)
 
@@ -165,60 +163,72 @@ def raked_one(spark, d):
     return R.rake_to_qcew(payroll(spark, d), official(spark, d, ["supersector"], "national"), ["supersector"])
 
 
-@register("rake_one_dim", RAKE_ONE_SQL, ["gross_pay", "rake_weight"])
+@register("rake_one_dim", RAKE_ONE_SQL)
 def q_rake_one(spark, d):
     return raked_one(spark, d)
 
 
-def rake_unrolled_sql(dims: list[str], rounds: int, official_cte: str) -> str:
+def rake_sql(dims: list[str], official_cte: str, max_iter: int = 100, tolerance: float = 1e-6) -> str:
+    """CTEs up to ``fitted``: cells with their weight, rounds and last change, by a recursive query with the same stop rule."""
     keys = ["ref_date", "quarter"] + dims
     kl = ", ".join(keys)
-    ctes = [f"""c0 AS (SELECT {kl}, CAST(sum(qualified_employment) AS DOUBLE) AS _e, CAST(1.0 AS DOUBLE) AS w
-                FROM payroll GROUP BY {kl})"""]
-    for dim in dims:
-        ctes.append(f"""m_{dim} AS (SELECT ref_date, quarter, {dim}, CAST(sum(qcew_employment) AS DOUBLE) AS _q
-                    FROM {official_cte} GROUP BY ref_date, quarter, {dim})""")
-    k = 0
-    for _ in range(rounds):
-        for dim in dims:
-            k += 1
-            jc = f"ref_date, quarter, {dim}"
-            ctes.append(f"""p{k} AS (SELECT {jc}, sum(_e * w) AS _p FROM c{k - 1} GROUP BY {jc}),
-      r{k} AS (SELECT p.ref_date, p.quarter, p.{dim}, coalesce(m._q / NULLIF(p._p, 0), 1.0) AS _r
-               FROM p{k} p LEFT JOIN m_{dim} m USING ({jc})),
-      c{k} AS (SELECT {', '.join('c.' + x for x in keys)}, c._e, c.w * coalesce(r._r, 1.0) AS w
-               FROM c{k - 1} c LEFT JOIN r{k} r ON c.ref_date = r.ref_date AND c.quarter = r.quarter
-                                              AND c.{dim} = r.{dim})""")
-    on = " AND ".join(f"p.{x} IS NOT DISTINCT FROM c.{x}" for x in keys)
-    return (f"WITH {', '.join(ctes)}\n    SELECT p.*, coalesce(c.w, 1.0) AS rake_weight "
-            f"FROM payroll p LEFT JOIN c{k} c ON {on}")
-
-
-@register("rake_two_dims_k3", rake_unrolled_sql(["supersector", "state_fips"], 3, "off_supersector_state"),
-          ["gross_pay", "rake_weight"])
+    margins = [f"""m_{d} AS (SELECT ref_date, quarter, {d}, CAST(sum(qcew_employment) AS DOUBLE) AS q_{d}
+                    FROM {official_cte} GROUP BY ref_date, quarter, {d})""" for d in dims]
+    joins = " ".join(f"LEFT JOIN m_{d} USING (ref_date, quarter, {d})" for d in dims)
+    qs = ", ".join(f"q_{d}" for d in dims)
+    change = []
+    inner = f"(SELECT {kl}, _e, {qs}, it, chg, w AS w0 FROM rounds WHERE it < {max_iter} AND (it = 0 OR chg >= {tolerance}))"
+    for k, d in enumerate(dims):
+        ratio = f"coalesce(q_{d} / NULLIF(sum(_e * w{k}) OVER (PARTITION BY ref_date, quarter, {d}), 0), 1.0)"
+        inner = f"(SELECT *, w{k} * {ratio} AS w{k + 1} FROM {inner} r{k})"
+        change.append(f"abs(w{k + 1} - w{k})")
+    top = f"greatest({', '.join(change)})"
+    return f"""c AS (SELECT {kl}, CAST(sum(qualified_employment) AS DOUBLE) AS _e FROM payroll GROUP BY {kl}),
+      {', '.join(margins)},
+      rounds AS (SELECT {kl}, _e, {qs}, 0 AS it, CAST(0.0 AS DOUBLE) AS chg, CAST(1.0 AS DOUBLE) AS w FROM c {joins}
+        UNION ALL
+        SELECT {kl}, _e, {qs}, it + 1, max({top}) OVER (PARTITION BY ref_date, quarter), w{len(dims)} FROM {inner} s),
+      fitted AS (SELECT {kl}, w, it AS rounds, chg AS last_change, chg < {tolerance} AS converged FROM rounds
+        QUALIFY it = max(it) OVER (PARTITION BY ref_date, quarter))"""
+
+
+def raked_sql(dims: list[str], official_cte: str) -> str:
+    on = " AND ".join(f"p.{x} IS NOT DISTINCT FROM f.{x}" for x in ["ref_date", "quarter"] + dims)
+    return (f"WITH RECURSIVE {rake_sql(dims, official_cte)}\n    SELECT p.*, coalesce(f.w, 1.0) AS rake_weight, f.rounds, f.converged "
+            f"FROM payroll p LEFT JOIN fitted f ON {on}")
+
+
+def convergence_sql(dims: list[str], official_cte: str) -> str:
+    return (f"WITH RECURSIVE {rake_sql(dims, official_cte)}\n    SELECT DISTINCT ref_date, quarter, rounds, converged, "
+            "CASE WHEN converged THEN 0.0 ELSE last_change END AS last_change FROM fitted")
+
+
+TWO_DIMS = ["supersector", "state_fips"]
+
+
+@register("rake_two_dims", raked_sql(TWO_DIMS, "off_supersector_state"))
 def q_rake_two(spark, d):
-    return R.rake_to_qcew(payroll(spark, d), official(spark, d, ["supersector", "state_fips"], "state"),
-                          ["supersector", "state_fips"], max_iter=3, tolerance=0.0)
+    return R.rake_to_qcew(payroll(spark, d), official(spark, d, TWO_DIMS, "state"), TWO_DIMS, report=True).drop("last_change")
 
 
-@register("rake_two_dims", None, ["gross_pay", "rake_weight"])
-def q_rake_two_converged(spark, d):
-    return R.rake_to_qcew(payroll(spark, d), official(spark, d, ["supersector", "state_fips"], "state"),
-                          ["supersector", "state_fips"])
+@register("rake_convergence", convergence_sql(TWO_DIMS, "off_supersector_state"))
+def q_rake_convergence(spark, d):
+    """The last change of a converged period is noise below the tolerance; it is given as 0."""
+    r = R.rake_convergence(payroll(spark, d), official(spark, d, TWO_DIMS, "state"), TWO_DIMS)
+    return r.withColumn("last_change", F.when(F.col("converged"), 0.0).otherwise(F.col("last_change")))
 
 
 REWEIGHTED_SQL = growth_sql(f"(SELECT *, qualified_employment * rake_weight AS _we FROM ({RAKE_ONE_SQL}) r)",
                             "_we", [], False)
 
 
-@register("reweighted_growth", REWEIGHTED_SQL, ["employment", "mom_growth", "yoy_growth"])
+@register("reweighted_growth", REWEIGHTED_SQL)
 def q_reweighted_growth(spark, d):
     return G.compute_growth_rates(raked_one(spark, d), "qualified_employment", [], weight_col="rake_weight")
 
 
 @register("reweighting_impact", f"""SELECT g.*, r.yoy_growth AS reweighted_yoy
-    FROM ({growth_sql('payroll', 'qualified_employment', [])}) g LEFT JOIN ({REWEIGHTED_SQL}) r USING (ref_date)""",
-          ["mom_growth", "yoy_growth", "reweighted_yoy"])
+    FROM ({growth_sql('payroll', 'qualified_employment', [])}) g LEFT JOIN ({REWEIGHTED_SQL}) r USING (ref_date)""")
 def q_reweighting_impact(spark, d):
     rg = G.compute_growth_rates(raked_one(spark, d), "qualified_employment", [], weight_col="rake_weight")
     return R.reweighting_impact(G.compute_growth_rates(payroll(spark, d), "qualified_employment", []), rg)

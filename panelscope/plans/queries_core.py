@@ -13,7 +13,6 @@ from panelscope.plans.inputs import official, official_long, panel, panel_at, pa
 from panelscope.sources import synth
 
 MEASURES = ", ".join(P.PANEL_MEASURES)
-PAYROLL_DBL = ["gross_pay"]
 
 # level -> (official CTE, key columns)
 LEVELS = {
@@ -49,10 +48,7 @@ def coverage_df(spark, d, level):
     return C.compute_coverage(panel_at(spark, d, level), official(spark, d, cols, slice_name), cols)
 
 
-COV_DBL = ["coverage_ratio_employment", "coverage_ratio_estab"]
-
-
-@register("load_payroll", "SELECT * FROM payroll", PAYROLL_DBL)
+@register("load_payroll", "SELECT * FROM payroll")
 def q_load_payroll(spark, d):
     return payroll(spark, d)
 
@@ -71,13 +67,13 @@ def q_panel(spark, d):
 
 @register("qcew_unpivot", """SELECT area_fips, own_code, industry_code, agglvl_code, size_code, year, qtr,
     qcew_establishments, total_qtrly_wages, slice, qcew_employment, ref_date, quarter, supersector, state_fips
-    FROM qcew_long""", ["total_qtrly_wages"])
+    FROM qcew_long""")
 def q_qcew_unpivot(spark, d):
     return official_long(spark, d).drop("size_class")
 
 
 for _lvl in ("national", "supersector", "state"):
-    register(f"coverage_{_lvl}", coverage_sql(_lvl), COV_DBL)(
+    register(f"coverage_{_lvl}", coverage_sql(_lvl))(
         lambda spark, d, _l=_lvl: coverage_df(spark, d, _l))
 
 
@@ -86,7 +82,7 @@ for _lvl in ("national", "supersector", "state"):
       WHEN payroll_clients >= 30 AND coverage_ratio_employment >= 0.005 THEN 'reliable'
       WHEN payroll_clients < 30 AND coverage_ratio_employment < 0.005 THEN 'insufficient'
       ELSE 'marginal' END AS reliability
-    FROM ({coverage_sql('supersector_state')}) c""", COV_DBL)
+    FROM ({coverage_sql('supersector_state')}) c""")
 def q_cell_reliability(spark, d):
     return C.compute_cell_reliability(coverage_df(spark, d, "supersector_state"))
 
@@ -107,16 +103,13 @@ def share_sql(dim: str, level: str) -> str:
     USING (ref_date, quarter, {dim})"""
 
 
-SHARE_DBL = ["payroll_share", "qcew_share", "abs_dev", "misallocation_index"]
-
-
-@register("share_comparison", share_sql("supersector", "supersector"), SHARE_DBL)
+@register("share_comparison", share_sql("supersector", "supersector"))
 def q_share(spark, d):
     return C.compute_share_comparison(panel_at(spark, d, "supersector"),
                                       official(spark, d, ["supersector"], "national"), "supersector")
 
 
-@register("share_comparison_state", share_sql("state_fips", "state"), SHARE_DBL)
+@register("share_comparison_state", share_sql("state_fips", "state"))
 def q_share_state(spark, d):
     return C.compute_share_comparison(panel_at(spark, d, "state"),
                                       official(spark, d, ["state_fips"], "state"), "state_fips")
@@ -131,13 +124,13 @@ def csi_sql(dim: str, level: str) -> str:
 
 
 for _dim, _lvl in (("supersector", "supersector"), ("state_fips", "state"), ("size_class", "size_class")):
-    register(f"csi_{_lvl}", csi_sql(_dim, _lvl), ["csi"])(
+    register(f"csi_{_lvl}", csi_sql(_dim, _lvl))(
         lambda spark, d, _d=_dim, _l=_lvl: C.compute_composition_shift_index(panel_at(spark, d, _l), _d))
 
 
 @register("stable_panel", """SELECT * FROM payroll WHERE client_id IN (
     SELECT client_id FROM payroll GROUP BY client_id
-    HAVING date_diff('day', min(ref_date), max(ref_date)) / 30.0 >= 12)""", PAYROLL_DBL)
+    HAVING date_diff('day', min(ref_date), max(ref_date)) / 30.0 >= 12)""")
 def q_stable(spark, d):
     return P.filter_stable_panel(payroll(spark, d), 12)
 
@@ -160,7 +153,7 @@ DQ_SUMMARY_COLS = """count(*) FILTER (WHERE flag_extreme_change) AS extreme_chan
       count(*) FILTER (WHERE has_any_flag) AS total_flagged, count(*) AS total_records"""
 
 
-@register("dq_flags", DQ_ROWS_SQL, PAYROLL_DBL)
+@register("dq_flags", DQ_ROWS_SQL)
 def q_dq_flags(spark, d):
     return Q.flag_data_quality_issues(payroll(spark, d))[0]
 
@@ -171,12 +164,16 @@ def q_dq_summary(spark, d):
 
 
 @register("dq_summary_employees", f"""SELECT ref_date, {DQ_SUMMARY_COLS} FROM (
-      SELECT *, false OR qualified_employment = 0 OR flag_multi_client AS has_any_flag,
-             false AS flag_extreme_change, qualified_employment = 0 AS flag_zero_employment,
-             false AS flag_filing_anomaly
-      FROM (SELECT e.*, coalesce(m.n > 1, false) AS flag_multi_client FROM employees e LEFT JOIN
-            (SELECT ref_date, employee_id, count(DISTINCT client_id) AS n FROM employees GROUP BY 1, 2) m
-            USING (ref_date, employee_id)) x) r GROUP BY ref_date""")
+      SELECT *, flag_extreme_change OR flag_zero_employment OR flag_multi_client OR flag_filing_anomaly AS has_any_flag
+      FROM (SELECT e.ref_date, coalesce(c.prev > 0 AND abs(c.emp - c.prev) / c.prev > 0.5, false) AS flag_extreme_change,
+                   e.qualified_employment = 0 AS flag_zero_employment, coalesce(m.n > 1, false) AS flag_multi_client,
+                   false AS flag_filing_anomaly
+            FROM employees e
+            LEFT JOIN (SELECT ref_date, employee_id, count(DISTINCT client_id) AS n FROM employees GROUP BY 1, 2) m
+              USING (ref_date, employee_id)
+            LEFT JOIN (SELECT client_id, ref_date, emp, lag(emp) OVER (PARTITION BY client_id ORDER BY ref_date) AS prev
+                       FROM (SELECT client_id, ref_date, sum(qualified_employment) AS emp FROM employees GROUP BY 1, 2) s) c
+              USING (client_id, ref_date)) x) r GROUP BY ref_date""")
 def q_dq_summary_emp(spark, d):
     return Q.flag_data_quality_issues(synth.employees(spark, d))[1]
 
@@ -186,7 +183,7 @@ def q_dq_summary_emp(spark, d):
       arg_max(qualified_employment, ref_date) AS final_emp, avg(qualified_employment) AS avg_emp,
       arg_min_null(is_birth, ref_date) AS is_likely_birth,
       CAST(round(date_diff('day', min(ref_date), max(ref_date)) / 30.0) AS BIGINT) AS tenure_months
-    FROM payroll GROUP BY client_id""", ["avg_emp"])
+    FROM payroll GROUP BY client_id""")
 def q_client_tenure(spark, d):
     return T.compute_client_tenure(payroll(spark, d))
 
@@ -203,10 +200,9 @@ def entry_exit_sql(groups: list[str]) -> str:
           FROM payroll GROUP BY ref_date{g}) a"""
 
 
-RATE_DBL = ["entry_rate", "exit_rate", "churn_rate"]
 for _name, _g in (("entry_exit", []), ("churn_state", ["state_fips"]), ("churn_industry", ["supersector"]),
                   ("churn_size", ["size_class"])):
-    register(_name, entry_exit_sql(_g), RATE_DBL)(
+    register(_name, entry_exit_sql(_g))(
         lambda spark, d, _gg=_g: T.compute_client_entry_exit(payroll(spark, d), _gg))
 
 
@@ -225,8 +221,7 @@ def q_vintage(spark, d):
 @register("vintage_shares", f"""SELECT *, vintage_year = max(vintage_year) OVER (PARTITION BY ref_date)
       AND employment_share > 0.3 AS is_contaminated FROM (
       SELECT *, CAST(employment AS DOUBLE) / NULLIF(total_emp, 0) AS employment_share FROM (
-        SELECT *, CAST(sum(employment) OVER (PARTITION BY ref_date) AS BIGINT) AS total_emp FROM ({VINTAGE_SQL}) v) a) b""",
-          ["employment_share"])
+        SELECT *, CAST(sum(employment) OVER (PARTITION BY ref_date) AS BIGINT) AS total_emp FROM ({VINTAGE_SQL}) v) a) b""")
 def q_vintage_shares(spark, d):
     return T.compute_vintage_shares(payroll(spark, d))
 
@@ -249,6 +244,6 @@ def median_sql(value: str) -> str:
           FROM (SELECT client_id, arg_min(supersector, ref_date) AS supersector,
                   CAST(round(date_diff('day', min(ref_date), max(ref_date)) / 30.0) AS BIGINT) AS tenure_months
                 FROM payroll GROUP BY client_id) t) r
-    GROUP BY supersector""", ["mean_tenure", "median_tenure", "std_tenure"])
+    GROUP BY supersector""")
 def q_tenure_summary(spark, d):
     return T.tenure_summary_by_group(payroll(spark, d), "supersector")

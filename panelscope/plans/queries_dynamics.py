@@ -31,7 +31,6 @@ def growth_sql(source: str, col: str, groups: list[str], cast_bigint: bool = Tru
     FROM (SELECT ref_date{_g(groups)}, {s} AS employment FROM {source} GROUP BY ref_date{_g(groups)}) a"""
 
 
-GROWTH_DBL = ["mom_growth", "yoy_growth"]
 CES_TOTAL = f"(SELECT * FROM ces WHERE supersector = '{TOTAL}')"
 CES_CELLS = f"(SELECT * FROM ces WHERE supersector <> '{TOTAL}')"
 
@@ -46,22 +45,22 @@ def ces_growth(spark, d, total=True, groups=()):
     return G.compute_growth_rates(c, "employment", list(groups))
 
 
-@register("ces_normalise", "SELECT * FROM ces", ["employment"])
+@register("ces_normalise", "SELECT * FROM ces")
 def q_ces(spark, d):
     return ces(spark, d)
 
 
-@register("growth_national", growth_sql("payroll", "qualified_employment", []), GROWTH_DBL)
+@register("growth_national", growth_sql("payroll", "qualified_employment", []))
 def q_growth_national(spark, d):
     return payroll_growth(spark, d)
 
 
-@register("growth_supersector", growth_sql("payroll", "qualified_employment", ["supersector"]), GROWTH_DBL)
+@register("growth_supersector", growth_sql("payroll", "qualified_employment", ["supersector"]))
 def q_growth_supersector(spark, d):
     return payroll_growth(spark, d, ["supersector"])
 
 
-@register("growth_ces", growth_sql(CES_TOTAL, "employment", [], False), GROWTH_DBL + ["employment"])
+@register("growth_ces", growth_sql(CES_TOTAL, "employment", [], False))
 def q_growth_ces(spark, d):
     return ces_growth(spark, d)
 
@@ -79,15 +78,12 @@ def compare_sql(groups: list[str]) -> str:
       WINDOW w AS ({part}ORDER BY ref_date ROWS BETWEEN 11 PRECEDING AND CURRENT ROW)"""
 
 
-COMPARE_DBL = ["payroll_yoy", "ces_yoy", "growth_diff", "abs_diff", "rolling_corr_12"]
-
-
-@register("compare_growth", compare_sql([]), COMPARE_DBL)
+@register("compare_growth", compare_sql([]))
 def q_compare_growth(spark, d):
     return G.compare_growth(payroll_growth(spark, d), ces_growth(spark, d), [])
 
 
-@register("compare_growth_supersector", compare_sql(["supersector"]), COMPARE_DBL)
+@register("compare_growth_supersector", compare_sql(["supersector"]))
 def q_compare_growth_ss(spark, d):
     return G.compare_growth(payroll_growth(spark, d, ["supersector"]),
                             ces_growth(spark, d, False, ["supersector"]), ["supersector"])
@@ -114,10 +110,9 @@ SHIFT_SQL = f"""SELECT quarter, composition_effect + within_cell_effect AS total
                   FROM {CES_CELLS} c GROUP BY 1, 2) b) o
       USING (quarter, supersector)
       GROUP BY quarter) r"""
-DIV_DBL = ["total_divergence", "composition_effect", "within_cell_effect"]
 
 
-@register("shift_share", SHIFT_SQL, DIV_DBL)
+@register("shift_share", SHIFT_SQL)
 def q_shift_share(spark, d):
     return G.decompose_growth_divergence(panel_at(spark, d, "supersector"), ces_quarterly(spark, d, False),
                                          ["supersector"])
@@ -131,7 +126,7 @@ def q_shift_share(spark, d):
     FROM (SELECT quarter, CAST(sum(payroll_employment) AS DOUBLE) AS _p FROM ({panel_level_sql('national')}) x
           GROUP BY quarter) p
     JOIN (SELECT CAST(year(ref_date) AS VARCHAR) || 'Q' || CAST(quarter(ref_date) AS VARCHAR) AS quarter,
-                 sum(employment) AS _o FROM {CES_TOTAL} c GROUP BY 1) o USING (quarter)""", DIV_DBL)
+                 sum(employment) AS _o FROM {CES_TOTAL} c GROUP BY 1) o USING (quarter)""")
 def q_divergence_simple(spark, d):
     return G.decompose_growth_divergence(panel_at(spark, d, "national"), ces_quarterly(spark, d, True), [])
 
@@ -184,18 +179,15 @@ def turning_sql(p_growth: str, o_growth: str, groups: list[str]) -> str:
     FROM m WHERE rn = 1"""
 
 
-TURN_DBL = ["lead_lag_months", "median_lead_lag", "mean_lead_lag"]
-
-
 @register("turning_points", turning_sql(growth_sql("payroll", "qualified_employment", []),
-                                        growth_sql(CES_TOTAL, "employment", [], False), []), TURN_DBL)
+                                        growth_sql(CES_TOTAL, "employment", [], False), []))
 def q_turning_points(spark, d):
     return G.analyze_turning_points(payroll_growth(spark, d), ces_growth(spark, d))
 
 
 @register("turning_points_by_group", turning_sql(growth_sql("payroll", "qualified_employment", ["supersector"]),
                                                  growth_sql(CES_CELLS, "employment", ["supersector"], False),
-                                                 ["supersector"]), TURN_DBL)
+                                                 ["supersector"]))
 def q_turning_points_group(spark, d):
     return G.analyze_turning_points(payroll_growth(spark, d, ["supersector"]),
                                     ces_growth(spark, d, False, ["supersector"]), ["supersector"])
@@ -203,8 +195,6 @@ def q_turning_points_group(spark, d):
 
 # ---------------------------------------------------------------- flows
 
-FLOW_DBL = ["hire_rate", "separation_rate", "churn_rate", "net_growth_rate"]
-
 
 def flow_rates_sql(inner: str, groups: list[str]) -> str:
     return f"""SELECT ref_date{_g(groups)}, hires, separations, employment, continuing_employment,
@@ -226,46 +216,48 @@ def flows_entry_exit_sql(groups: list[str]) -> str:
 
 @register("flows_columns", flow_rates_sql("""SELECT *, employment - hires AS continuing_employment FROM (
       SELECT ref_date, CAST(sum(hires) AS BIGINT) AS hires, CAST(sum(separations) AS BIGINT) AS separations,
-             CAST(sum(qualified_employment) AS BIGINT) AS employment FROM payroll_flows GROUP BY ref_date) a""", []),
-          FLOW_DBL)
+             CAST(sum(qualified_employment) AS BIGINT) AS employment FROM payroll_flows GROUP BY ref_date) a""", []))
 def q_flows_columns(spark, d):
     return FL.compute_job_flows(payroll(spark, d, with_flows=True), [])
 
 
-@register("flows_entry_exit", flows_entry_exit_sql([]), FLOW_DBL)
+@register("flows_entry_exit", flows_entry_exit_sql([]))
 def q_flows_entry_exit(spark, d):
     return FL.compute_job_flows(payroll(spark, d), [])
 
 
 for _name, _col in (("flows_state", "state_fips"), ("flows_industry", "supersector"), ("flows_size", "size_class")):
-    register(_name, flows_entry_exit_sql([_col]), FLOW_DBL)(
+    register(_name, flows_entry_exit_sql([_col]))(
         lambda spark, d, _c=_col: FL.compute_job_flows(payroll(spark, d), [_c], "entry_exit"))
 
 
 def flows_employee_sql(groups: list[str]) -> str:
+    """Set differences of the employees of each group at consecutive observed dates."""
     g = _g(groups)
     return f"""WITH idx AS (SELECT ref_date, dense_rank() OVER (ORDER BY ref_date) - 1 AS _idx
                     FROM (SELECT DISTINCT ref_date FROM employees) d),
-      pres AS (SELECT p.*, i._idx FROM (SELECT DISTINCT employee_id, ref_date{g} FROM employees) p
-               JOIN idx i USING (ref_date)),
-      w AS (SELECT *, lag(_idx) OVER (PARTITION BY employee_id{g} ORDER BY _idx) AS _pi,
-                   lead(_idx) OVER (PARTITION BY employee_id{g} ORDER BY _idx) AS _ni FROM pres),
-      cur AS (SELECT _idx{g}, count(*) AS employment,
-                     count(*) FILTER (WHERE NOT coalesce(_pi = _idx - 1, false)) AS hires,
-                     count(*) FILTER (WHERE coalesce(_pi = _idx - 1, false)) AS continuing_employment
-              FROM w GROUP BY _idx{g}),
-      seps AS (SELECT _idx + 1 AS _idx{g}, count(*) AS separations FROM w
-               WHERE _ni IS NULL OR _ni <> _idx + 1 GROUP BY _idx + 1{g})
-    {flow_rates_sql(f'''SELECT i.ref_date{g}, c.hires, coalesce(s.separations, 0) AS separations, c.employment,
-          c.continuing_employment FROM cur c LEFT JOIN seps s USING (_idx{g}) JOIN idx i USING (_idx)''', groups)}"""
-
-
-@register("flows_employee", flows_employee_sql([]), FLOW_DBL)
+      pres AS (SELECT DISTINCT employee_id, _idx{g} FROM employees JOIN idx USING (ref_date)),
+      was AS (SELECT employee_id, _idx + 1 AS _idx{g} FROM pres),
+      arrived AS (SELECT * FROM pres EXCEPT SELECT * FROM was),
+      departed AS (SELECT * FROM was EXCEPT SELECT * FROM pres),
+      u AS (SELECT _idx{g}, 1 AS e, 0 AS h, 0 AS s FROM pres
+            UNION ALL SELECT _idx{g}, 0, 1, 0 FROM arrived UNION ALL SELECT _idx{g}, 0, 0, 1 FROM departed)
+    {flow_rates_sql(f'''SELECT ref_date{g}, CAST(sum(h) AS BIGINT) AS hires, CAST(sum(s) AS BIGINT) AS separations,
+          CAST(sum(e) AS BIGINT) AS employment, CAST(sum(e) - sum(h) AS BIGINT) AS continuing_employment
+          FROM u JOIN idx USING (_idx) GROUP BY ref_date{g}''', groups)}"""
+
+
+@register("flows_employee", flows_employee_sql([]))
 def q_flows_employee(spark, d):
     return FL.compute_job_flows(synth.employees(spark, d), [])
 
 
-@register("flows_employee_state", flows_employee_sql(["state_fips"]), FLOW_DBL)
+@register("flows_employee_client", flows_employee_sql(["client_id"]))
+def q_flows_employee_client(spark, d):
+    return FL.compute_job_flows(synth.employees(spark, d), ["client_id"])
+
+
+@register("flows_employee_state", flows_employee_sql(["state_fips"]))
 def q_flows_employee_state(spark, d):
     return FL.compute_job_flows(synth.employees(spark, d), ["state_fips"])
 
@@ -285,9 +277,6 @@ def earnings_sql(groups: list[str]) -> str:
     GROUP BY ref_date{g}"""
 
 
-EARN_DBL = E.EARNINGS_COLUMNS
-
-
 def earnings_growth_sql(groups: list[str]) -> str:
     part = f"PARTITION BY {', '.join(groups)} " if groups else ""
     return f"""SELECT *,
@@ -296,23 +285,22 @@ def earnings_growth_sql(groups: list[str]) -> str:
     FROM ({earnings_sql(groups)}) e"""
 
 
-@register("earnings_dist", earnings_sql([]), EARN_DBL)
+@register("earnings_dist", earnings_sql([]))
 def q_earnings(spark, d):
     return E.compute_earnings_distribution(payroll(spark, d), [])
 
 
-@register("earnings_dist_supersector", earnings_sql(["supersector"]), EARN_DBL)
+@register("earnings_dist_supersector", earnings_sql(["supersector"]))
 def q_earnings_ss(spark, d):
     return E.compute_earnings_distribution(payroll(spark, d), ["supersector"])
 
 
-@register("earnings_growth", earnings_growth_sql([]), EARN_DBL + ["mean_earnings_yoy", "median_earnings_yoy"])
+@register("earnings_growth", earnings_growth_sql([]))
 def q_earnings_growth(spark, d):
     return E.compute_earnings_growth(payroll(spark, d), [])
 
 
-@register("earnings_growth_supersector", earnings_growth_sql(["supersector"]),
-          EARN_DBL + ["mean_earnings_yoy", "median_earnings_yoy"])
+@register("earnings_growth_supersector", earnings_growth_sql(["supersector"]))
 def q_earnings_growth_ss(spark, d):
     return E.compute_earnings_growth(payroll(spark, d), ["supersector"])
 
@@ -330,6 +318,6 @@ def calendar_growth_sql(groups: list[str]) -> str:
     LEFT JOIN a y ON y.ref_date = CAST(p.ref_date - INTERVAL 12 MONTH AS DATE){on.replace('q.', 'y.')}"""
 
 
-@register("growth_calendar_supersector", calendar_growth_sql(["supersector"]), GROWTH_DBL)
+@register("growth_calendar_supersector", calendar_growth_sql(["supersector"]))
 def q_growth_calendar_ss(spark, d):
     return G.compute_growth_rates(payroll(spark, d), "qualified_employment", ["supersector"], calendar=True)

@@ -34,12 +34,12 @@ def _matrix_sql(inner: str, value: str) -> str:
       WHERE ref_date = (SELECT max(ref_date) FROM ({inner}) m) GROUP BY state_fips"""
 
 
-@register("coverage_matrix", _matrix_sql(coverage_sql("supersector_state"), "coverage_ratio_employment"), NAMES)
+@register("coverage_matrix", _matrix_sql(coverage_sql("supersector_state"), "coverage_ratio_employment"))
 def q_coverage_matrix(spark, d):
     return X.coverage_matrix(coverage_df(spark, d, "supersector_state"))
 
 
-@register("estab_matrix", _matrix_sql(coverage_sql("supersector_state"), "coverage_ratio_estab"), NAMES)
+@register("estab_matrix", _matrix_sql(coverage_sql("supersector_state"), "coverage_ratio_estab"))
 def q_estab_matrix(spark, d):
     return X.coverage_matrix(coverage_df(spark, d, "supersector_state"), "coverage_ratio_estab")
 
@@ -52,27 +52,30 @@ RELIABILITY_SQL = f"""SELECT *, CASE WHEN coverage_ratio_employment IS NULL THEN
 
 @register("usability_matrix", _matrix_sql(
     f"""SELECT *, CASE reliability WHEN 'reliable' THEN 1.0 WHEN 'marginal' THEN 0.5 ELSE 0.0 END AS _score
-        FROM ({RELIABILITY_SQL}) r""", "CAST(_score AS DOUBLE)"), NAMES)
+        FROM ({RELIABILITY_SQL}) r""", "CAST(_score AS DOUBLE)"))
 def q_usability_matrix(spark, d):
     return X.usability_matrix(C.compute_cell_reliability(coverage_df(spark, d, "supersector_state")))
 
 
 @register("share_means", f"""SELECT supersector, avg(payroll_share) AS payroll_share, avg(qcew_share) AS qcew_share
-    FROM ({share_sql('supersector', 'supersector')}) s GROUP BY supersector""", ["payroll_share", "qcew_share"])
+    FROM ({share_sql('supersector', 'supersector')}) s GROUP BY supersector""")
 def q_share_means(spark, d):
     sh = C.compute_share_comparison(panel_at(spark, d, "supersector"),
                                     official(spark, d, ["supersector"], "national"), "supersector")
     return X.share_means(sh)
 
 
-@register("vintage_matrix", f"""SELECT ref_date, coalesce(COLUMNS(* EXCLUDE (ref_date)), CAST(0.0 AS DOUBLE)) FROM (
-      PIVOT (SELECT ref_date, vintage_year,
-                    round(CAST(employment AS DOUBLE) / NULLIF(sum(employment) OVER (PARTITION BY ref_date), 0), 6)
-                      AS employment_share FROM ({VINTAGE_SQL}) v)
-      ON vintage_year USING max(employment_share) GROUP BY ref_date) p""", ["*"])
+#: Order dates of the given tables start in 1992 and end in 1998.
+VINTAGES = list(range(1992, 1999))
+
+
+@register("vintage_matrix", "SELECT ref_date, " + ", ".join(
+    f'coalesce(max(CASE WHEN vintage_year = {v} THEN share END), CAST(0.0 AS DOUBLE)) AS "{v}"' for v in VINTAGES) + f"""
+    FROM (SELECT ref_date, vintage_year,
+                 CAST(employment AS DOUBLE) / NULLIF(sum(employment) OVER (PARTITION BY ref_date), 0) AS share
+          FROM ({VINTAGE_SQL}) v) s GROUP BY ref_date""")
 def q_vintage_matrix(spark, d):
-    vs = T.compute_vintage_shares(payroll(spark, d))
-    return X.vintage_matrix(vs.withColumn("employment_share", F.round("employment_share", 6)))
+    return X.vintage_matrix(T.compute_vintage_shares(payroll(spark, d)), VINTAGES)
 
 
 @register("tenure_histogram", """WITH t AS (SELECT CAST(round(date_diff('day', min(ref_date), max(ref_date)) / 30.0) AS DOUBLE) AS v
@@ -85,7 +88,7 @@ def q_vintage_matrix(spark, d):
             FROM t JOIN b ON true GROUP BY 1),
       g AS (SELECT CAST(unnest(range(0, bins)) AS INTEGER) AS bin, lo, hi, bins FROM b WHERE n > 0)
     SELECT g.bin, lo + g.bin * ((hi - lo) / bins) AS bin_start, lo + (g.bin + 1) * ((hi - lo) / bins) AS bin_end,
-           coalesce(c.cnt, 0) AS count FROM g LEFT JOIN c USING (bin)""", ["bin_start", "bin_end"])
+           coalesce(c.cnt, 0) AS count FROM g LEFT JOIN c USING (bin)""")
 def q_tenure_histogram(spark, d):
     return X.histogram(T.compute_client_tenure(payroll(spark, d)), "tenure_months")
 
@@ -98,7 +101,7 @@ def _survival_long_sql() -> str:
             f"WHERE survival_rate IS NOT NULL")
 
 
-@register("survival_long", _survival_long_sql(), ["survival_rate"])
+@register("survival_long", _survival_long_sql())
 def q_survival_long(spark, d):
     return X.survival_long(B.compute_survival_curves(payroll(spark, d)))
 
@@ -112,7 +115,7 @@ def q_change_stack(spark, d):
 @register("csi_by_dimension", " UNION ALL ".join(
     f"SELECT ref_date, '{dim}' AS dimension, csi FROM ({csi_sql(dim, lvl)}) x{i}"
     for i, (dim, lvl) in enumerate((("supersector", "supersector"), ("state_fips", "state"),
-                                    ("size_class", "size_class")))), ["csi"])
+                                    ("size_class", "size_class")))))
 def q_csi_by_dimension(spark, d):
     return X.csi_by_dimension({dim: C.compute_composition_shift_index(panel_at(spark, d, lvl), dim)
                                for dim, lvl in (("supersector", "supersector"), ("state_fips", "state"),
@@ -121,7 +124,7 @@ def q_csi_by_dimension(spark, d):
 
 @register("headline_coverage", f"""SELECT avg(coverage_ratio_employment) AS mean_coverage_ratio_employment,
       avg(coverage_ratio_estab) AS mean_coverage_ratio_estab, count(*) AS n_months
-    FROM ({coverage_sql('national')}) c""", ["mean_coverage_ratio_employment", "mean_coverage_ratio_estab"])
+    FROM ({coverage_sql('national')}) c""")
 def q_headline(spark, d):
     return X.headline_coverage(coverage_df(spark, d, "national"))
 
@@ -130,7 +133,7 @@ def q_headline(spark, d):
 
 @register("completeness", " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, avg(CASE WHEN {c} IS NOT NULL THEN 1.0 ELSE 0.0 END)::DOUBLE AS completeness "
-    f"FROM payroll" for c in PAYROLL_COLUMNS), ["completeness"])
+    f"FROM payroll" for c in PAYROLL_COLUMNS))
 def q_completeness(spark, d):
     return A.column_completeness(payroll(spark, d)).withColumnRenamed("column", "column_name")
 
@@ -147,7 +150,7 @@ VALID_SQL = ("coalesce(regexp_full_match(naics_code, '[0-9]{6}'), false) AND sub
 
 @register("naics_validity", f"""SELECT ref_date, count(*) AS n_rows, count(*) FILTER (WHERE {VALID_SQL}) AS n_valid,
       CAST(count(*) FILTER (WHERE {VALID_SQL}) AS DOUBLE) / NULLIF(count(*), 0) AS validity_rate
-    FROM payroll GROUP BY ref_date""", ["validity_rate"])
+    FROM payroll GROUP BY ref_date""")
 def q_naics_validity(spark, d):
     return A.naics_validity(payroll(spark, d))
 
@@ -160,7 +163,7 @@ def q_naics_validity(spark, d):
                  count(*) OVER (PARTITION BY ref_date) AS _n
           FROM (SELECT ref_date, CAST(date_diff('day', ref_date, filing_date) AS INTEGER) AS filing_lag_days
                 FROM payroll WHERE filing_date IS NOT NULL) x) r
-    GROUP BY ref_date""", ["mean_lag", "share_after_ref_date"])
+    GROUP BY ref_date""")
 def q_filing_lag(spark, d):
     return A.filing_lag_distribution(payroll(spark, d))
 
@@ -175,8 +178,7 @@ def q_filing_lag(spark, d):
     SELECT 'completeness' AS metric, completeness AS value, 0.99::DOUBLE AS threshold, completeness >= 0.99 AS passed FROM m
     UNION ALL SELECT 'naics_validity', naics_validity, 0.95::DOUBLE, naics_validity >= 0.95 FROM m
     UNION ALL SELECT 'zero_employment_share', zero_employment_share, 0.05::DOUBLE, zero_employment_share <= 0.05 FROM m
-    UNION ALL SELECT 'median_filing_lag_days', median_filing_lag_days, 45.0::DOUBLE, median_filing_lag_days <= 45.0 FROM m""",
-          ["value", "threshold"])
+    UNION ALL SELECT 'median_filing_lag_days', median_filing_lag_days, 45.0::DOUBLE, median_filing_lag_days <= 45.0 FROM m""")
 def q_scorecard(spark, d):
     return A.quality_scorecard(payroll(spark, d))
 
@@ -196,7 +198,7 @@ def q_tenure_entry_exit(spark, d):
       CAST(count(DISTINCT CASE WHEN exit_month = ref_date THEN client_id END) AS DOUBLE)
         / NULLIF(count(DISTINCT CASE WHEN ref_date = _first_m THEN client_id END), 0) AS churn_rate
     FROM payroll JOIN (SELECT quarter, min(ref_date) AS _first_m FROM payroll GROUP BY quarter) f USING (quarter)
-    GROUP BY quarter""", ["churn_rate"])
+    GROUP BY quarter""")
 def q_quarterly_churn(spark, d):
     return A.quarterly_churn(payroll(spark, d))
 
@@ -210,7 +212,7 @@ def q_quarterly_churn(spark, d):
           FROM payroll JOIN (SELECT client_id, CAST(year(min(ref_date)) AS VARCHAR) || 'Q' ||
                                     CAST(quarter(min(ref_date)) AS VARCHAR) AS vintage_quarter
                              FROM payroll GROUP BY client_id) v USING (client_id)
-          GROUP BY ref_date, vintage_quarter) v) a) b""", ["employment_share"])
+          GROUP BY ref_date, vintage_quarter) v) a) b""")
 def q_vintage_quarter(spark, d):
     return T.compute_vintage_shares(payroll(spark, d), period="quarter")
 
@@ -223,10 +225,7 @@ def quarterly_flows_sql(monthly: str) -> str:
              avg(employment) AS avg_employment FROM ({monthly}) m GROUP BY 1) q"""
 
 
-QFLOW_DBL = ["avg_employment", "accession_rate", "separation_rate"]
-
-
-@register("quarterly_flows", quarterly_flows_sql(flows_employee_sql([])), QFLOW_DBL)
+@register("quarterly_flows", quarterly_flows_sql(flows_employee_sql([])))
 def q_quarterly_flows(spark, d):
     return A.quarterly_flows(FL.compute_job_flows(synth.employees(spark, d), []))
 
@@ -240,8 +239,7 @@ def q_quarterly_flows(spark, d):
     FROM ({quarterly_flows_sql(flows_entry_exit_sql([]))}) p
     JOIN (SELECT quarter, bed_births / NULLIF(bed_establishments, 0) AS official_accession_rate,
                  bed_deaths / NULLIF(bed_establishments, 0) AS official_separation_rate FROM bed_national) o
-    USING (quarter)""", QFLOW_DBL + ["official_accession_rate", "official_separation_rate", "accession_gap",
-                                     "separation_gap", "accession_corr", "separation_corr"])
+    USING (quarter)""")
 def q_flows_vs_bed(spark, d):
     qf = A.quarterly_flows(FL.compute_job_flows(payroll(spark, d), [], "entry_exit"))
     o = B.official_birth_rates(bed(spark, d)).select(
@@ -252,15 +250,16 @@ def q_flows_vs_bed(spark, d):
 
 @register("job_to_job", """WITH idx AS (SELECT ref_date, dense_rank() OVER (ORDER BY ref_date) - 1 AS _idx
                     FROM (SELECT DISTINCT ref_date FROM employees) d),
-      pres AS (SELECT DISTINCT e.employee_id, e.client_id, e.ref_date, i._idx FROM employees e JOIN idx i USING (ref_date)),
-      cur AS (SELECT p.*, EXISTS (SELECT 1 FROM pres q WHERE q.employee_id = p.employee_id AND q._idx = p._idx - 1) AS was,
-                     EXISTS (SELECT 1 FROM pres q WHERE q.employee_id = p.employee_id AND q.client_id = p.client_id
-                             AND q._idx = p._idx - 1) AS same FROM pres p)
-    SELECT ref_date, count(DISTINCT employee_id) AS workers,
-           count(DISTINCT CASE WHEN was AND NOT same THEN employee_id END) AS job_to_job_moves,
-           CAST(count(DISTINCT CASE WHEN was AND NOT same THEN employee_id END) AS DOUBLE)
-             / NULLIF(count(DISTINCT employee_id), 0) AS job_to_job_rate
-    FROM cur GROUP BY ref_date""", ["job_to_job_rate"])
+      pres AS (SELECT DISTINCT employee_id, client_id, _idx FROM employees JOIN idx USING (ref_date)),
+      was AS (SELECT employee_id, client_id, _idx + 1 AS _idx FROM pres),
+      joined AS (SELECT DISTINCT employee_id, _idx FROM (SELECT * FROM pres EXCEPT SELECT * FROM was) a),
+      quit AS (SELECT DISTINCT employee_id, _idx FROM (SELECT * FROM was EXCEPT SELECT * FROM pres) d),
+      moved AS (SELECT * FROM joined INTERSECT SELECT * FROM quit),
+      w AS (SELECT _idx, count(DISTINCT employee_id) AS workers FROM pres GROUP BY _idx),
+      m AS (SELECT _idx, count(*) AS moves FROM moved GROUP BY _idx)
+    SELECT ref_date, workers, coalesce(moves, 0) AS job_to_job_moves,
+           CAST(coalesce(moves, 0) AS DOUBLE) / NULLIF(workers, 0) AS job_to_job_rate
+    FROM w JOIN idx USING (_idx) LEFT JOIN m USING (_idx)""")
 def q_job_to_job(spark, d):
     return A.job_to_job(synth.employees(spark, d))
 
@@ -272,7 +271,7 @@ def q_job_to_job(spark, d):
       t AS (SELECT ref_date, row_number() OVER (PARTITION BY employee_id, client_id, _island ORDER BY _idx) AS tenure_months
             FROM isl)
     SELECT ref_date, avg(tenure_months) AS mean_tenure_months, CAST(max(tenure_months) AS INTEGER) AS max_tenure_months,
-           count(*) AS worker_client_pairs FROM t GROUP BY ref_date""", ["mean_tenure_months"])
+           count(*) AS worker_client_pairs FROM t GROUP BY ref_date""")
 def q_worker_tenure(spark, d):
     return A.worker_tenure_summary(synth.employees(spark, d))
 
@@ -284,7 +283,7 @@ PAY_SQL = """SELECT *, pay_per_employee / NULLIF(lag(pay_per_employee, 1) OVER (
       FROM payroll GROUP BY ref_date) a"""
 
 
-@register("pay_per_employee", PAY_SQL, ["total_pay", "pay_per_employee", "pay_mom", "pay_yoy"])
+@register("pay_per_employee", PAY_SQL)
 def q_pay(spark, d):
     return A.pay_per_employee(payroll(spark, d))
 
@@ -300,8 +299,7 @@ def q_pay(spark, d):
       JOIN (SELECT CAST(year AS VARCHAR) || 'Q' || qtr AS quarter,
                    sum(total_qtrly_wages) / NULLIF((sum(month1_emplvl) + sum(month2_emplvl) + sum(month3_emplvl)) / 3.0 * 13.0, 0)
                      * 52.0 / 12.0 AS official_monthly_wage
-            FROM qcew_raw WHERE own_code = '5' AND slice = 'national' GROUP BY 1) o USING (quarter)) m""",
-          ["pay_per_employee", "official_monthly_wage", "pay_ratio", "pay_growth", "official_growth", "growth_corr"])
+            FROM qcew_raw WHERE own_code = '5' AND slice = 'national' GROUP BY 1) o USING (quarter)) m""")
 def q_pay_vs_official(spark, d):
     return A.compare_pay_to_official(A.pay_per_employee(payroll(spark, d)),
                                      A.official_weekly_wages(synth.qcew_raw(spark, d)))
@@ -318,8 +316,7 @@ def q_pay_vs_official(spark, d):
     UNION ALL
     SELECT 'reweighted', avg(abs(reweighted_yoy - official_yoy)),
            covar_samp(reweighted_yoy, official_yoy) / sqrt(var_samp(reweighted_yoy) * var_samp(official_yoy)),
-           count(*) FILTER (WHERE reweighted_yoy IS NOT NULL AND official_yoy IS NOT NULL) FROM m""",
-          ["mae", "correlation"])
+           count(*) FILTER (WHERE reweighted_yoy IS NOT NULL AND official_yoy IS NOT NULL) FROM m""")
 def q_reweight_quality(spark, d):
     from panelscope.operators.reweight import reweighting_impact
     rg = G.compute_growth_rates(raked_one(spark, d), "qualified_employment", [], weight_col="rake_weight")
@@ -371,7 +368,7 @@ def _lead_grouped_sql() -> str:
     FROM h"""
 
 
-@register("birth_lead_by_supersector", _lead_grouped_sql(), ["r2", "coef", "t", "dof"])
+@register("birth_lead_by_supersector", _lead_grouped_sql())
 def q_birth_lead_ss(spark, d):
     pb = B.compute_payroll_birth_rates(panel_at(spark, d, "supersector"), ["supersector"])
     return B.birth_lead_models(pb, _bed_by_supersector(spark, d), ["supersector"]).select(
@@ -393,14 +390,12 @@ def _flows_by_sql(expr: str, name: str) -> str:
     return flows_entry_exit_sql([name]).replace("FROM payroll GROUP BY", f"FROM {src} p GROUP BY")
 
 
-@register("flows_region", _flows_by_sql(REGION_CASE, "census_region"),
-          ["hire_rate", "separation_rate", "churn_rate", "net_growth_rate"])
+@register("flows_region", _flows_by_sql(REGION_CASE, "census_region"))
 def q_flows_region(spark, d):
     return FL.compute_job_flows(_geo(spark, d), ["census_region"], "entry_exit")
 
 
-@register("flows_domain", _flows_by_sql(DOMAIN_CASE, "domain"),
-          ["hire_rate", "separation_rate", "churn_rate", "net_growth_rate"])
+@register("flows_domain", _flows_by_sql(DOMAIN_CASE, "domain"))
 def q_flows_domain(spark, d):
     return FL.compute_job_flows(_geo(spark, d), ["domain"], "entry_exit")
 
@@ -437,7 +432,7 @@ def _all_levels_sql() -> str:
     FROM ({body}) u"""
 
 
-@register("coverage_all_levels", _all_levels_sql(), ["coverage_ratio_employment", "coverage_ratio_estab"])
+@register("coverage_all_levels", _all_levels_sql())
 def q_coverage_all_levels(spark, d):
     offs = {"national": official(spark, d, [], "national"),
             "supersector": official(spark, d, ["supersector"], "national"),
@@ -452,12 +447,12 @@ def q_coverage_all_levels(spark, d):
       SELECT ref_date, {nearest_sql('gross_pay', 0.01)} AS _lo, {nearest_sql('gross_pay', 0.99)} AS _hi
       FROM (SELECT ref_date, gross_pay, row_number() OVER (PARTITION BY ref_date ORDER BY gross_pay) AS _rank,
                    count(*) OVER (PARTITION BY ref_date) AS _n FROM payroll WHERE gross_pay IS NOT NULL) r
-      GROUP BY ref_date) b ON p.ref_date IS NOT DISTINCT FROM b.ref_date""", ["gross_pay"])
+      GROUP BY ref_date) b ON p.ref_date IS NOT DISTINCT FROM b.ref_date""")
 def q_winsorised(spark, d):
     return A.winsorise(payroll(spark, d), "gross_pay", ["ref_date"])
 
 
-@register("dq_clean_rows", f"SELECT * FROM ({DQ_ROWS_SQL}) r WHERE NOT has_any_flag", ["gross_pay"])
+@register("dq_clean_rows", f"SELECT * FROM ({DQ_ROWS_SQL}) r WHERE NOT has_any_flag")
 def q_dq_clean(spark, d):
     return A.exclude_flagged(Q.flag_data_quality_issues(payroll(spark, d))[0])
 
@@ -474,7 +469,7 @@ from panelscope.sources.official import STATE_FIPS, qcew_quarterly_dates  # noqa
 @register("qcew_quarterly", """SELECT area_fips, own_code, industry_code, agglvl_code, size_code, year, qtr,
       month1_emplvl AS qcew_employment, month2_emplvl, month3_emplvl, qtrly_estabs_count AS qcew_establishments,
       total_qtrly_wages, slice, make_date(CAST(year AS INTEGER), (CAST(qtr AS INTEGER) - 1) * 3 + 1, 12) AS ref_date,
-      CAST(year AS VARCHAR) || 'Q' || qtr AS quarter FROM qcew_raw""", ["total_qtrly_wages"])
+      CAST(year AS VARCHAR) || 'Q' || qtr AS quarter FROM qcew_raw""")
 def q_qcew_quarterly(spark, d):
     return qcew_quarterly_dates(synth.qcew_raw(spark, d))
 
@@ -485,7 +480,7 @@ _STATES = ", ".join(f"'{s}'" for s in STATE_FIPS)
 @register("state_fips_validity", f"""SELECT ref_date, count(*) AS n_rows,
       count(*) FILTER (WHERE state_fips IN ({_STATES})) AS n_valid_state,
       CAST(count(*) FILTER (WHERE state_fips IN ({_STATES})) AS DOUBLE) / NULLIF(count(*), 0) AS state_validity_rate
-    FROM payroll GROUP BY ref_date""", ["state_validity_rate"])
+    FROM payroll GROUP BY ref_date""")
 def q_state_validity(spark, d):
     p = payroll(spark, d)
     return p.groupBy("ref_date").agg(
@@ -497,21 +492,19 @@ def q_state_validity(spark, d):
       CAST(births AS DOUBLE) / NULLIF(CAST(determinable AS DOUBLE), 0) AS birth_rate
     FROM (SELECT quarter, CAST(sum(birth_count) AS BIGINT) AS births,
                  CAST(sum(birth_determinable_count) AS BIGINT) AS determinable
-          FROM panel WHERE grouping_level = 'national' GROUP BY quarter) a""", ["birth_rate"])
+          FROM panel WHERE grouping_level = 'national' GROUP BY quarter) a""")
 def q_birth_rates_quarterly(spark, d):
     return B.quarterly_birth_rates(panel_at(spark, d, "national"), [])
 
 
-@register("growth_tracking", f"SELECT ref_date, payroll_yoy, ces_yoy FROM ({compare_sql([])}) c",
-          ["payroll_yoy", "ces_yoy"])
+@register("growth_tracking", f"SELECT ref_date, payroll_yoy, ces_yoy FROM ({compare_sql([])}) c")
 def q_growth_tracking(spark, d):
     return X.growth_tracking(G.compare_growth(payroll_growth(spark, d), ces_growth(spark, d), []))
 
 
 @register("divergence_stack", f"""SELECT quarter, composition_effect, within_cell_effect,
       sum(composition_effect + within_cell_effect) OVER (ORDER BY quarter ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
-        AS cumulative_divergence FROM ({SHIFT_SQL}) s""",
-          ["composition_effect", "within_cell_effect", "cumulative_divergence"])
+        AS cumulative_divergence FROM ({SHIFT_SQL}) s""")
 def q_divergence_stack(spark, d):
     from panelscope.plans.queries_dynamics import ces_quarterly
     return X.divergence_stack(G.decompose_growth_divergence(panel_at(spark, d, "supersector"),
@@ -519,7 +512,7 @@ def q_divergence_stack(spark, d):
 
 
 @register("birth_rate_pairs", f"""SELECT p.ref_date, p.quarter, p.birth_rate, o.bed_birth_rate
-    FROM ({BIRTH_SQL}) p LEFT JOIN bed_national o USING (quarter)""", ["birth_rate", "bed_birth_rate"])
+    FROM ({BIRTH_SQL}) p LEFT JOIN bed_national o USING (quarter)""")
 def q_birth_rate_pairs(spark, d):
     return X.birth_rate_pairs(B.compare_birth_rates(payroll_births(spark, d), official_births(spark, d), []))
 
@@ -528,8 +521,7 @@ def q_birth_rate_pairs(spark, d):
       coalesce(r.yoy_growth, g.yoy_growth) AS reweighted_yoy, o.yoy_growth AS ces_yoy
     FROM ({growth_sql('payroll', 'qualified_employment', [])}) g
     LEFT JOIN ({REWEIGHTED_SQL}) r USING (ref_date)
-    LEFT JOIN ({growth_sql(CES_TOTAL, 'employment', [], False)}) o USING (ref_date)""",
-          ["payroll_yoy", "reweighted_yoy", "ces_yoy"])
+    LEFT JOIN ({growth_sql(CES_TOTAL, 'employment', [], False)}) o USING (ref_date)""")
 def q_reweighting_series(spark, d):
     from panelscope.operators.reweight import reweighting_impact
     rg = G.compute_growth_rates(raked_one(spark, d), "qualified_employment", [], weight_col="rake_weight")
@@ -538,19 +530,17 @@ def q_reweighting_series(spark, d):
 
 
 @register("flow_rate_series", f"""SELECT ref_date, hire_rate, separation_rate, churn_rate
-    FROM ({flows_entry_exit_sql([])}) f""", ["hire_rate", "separation_rate", "churn_rate"])
+    FROM ({flows_entry_exit_sql([])}) f""")
 def q_flow_rate_series(spark, d):
     return X.flow_rate_series(FL.compute_job_flows(payroll(spark, d), []))
 
 
-@register("churn_series", f"SELECT ref_date, entry_rate, exit_rate, net_client_change FROM ({entry_exit_sql([])}) e",
-          ["entry_rate", "exit_rate"])
+@register("churn_series", f"SELECT ref_date, entry_rate, exit_rate, net_client_change FROM ({entry_exit_sql([])}) e")
 def q_churn_series(spark, d):
     return X.churn_series(T.compute_client_entry_exit(payroll(spark, d), []))
 
 
-@register("earnings_band", f"SELECT ref_date, p10_earnings, median_earnings, p90_earnings FROM ({earnings_sql([])}) e",
-          ["p10_earnings", "median_earnings", "p90_earnings"])
+@register("earnings_band", f"SELECT ref_date, p10_earnings, median_earnings, p90_earnings FROM ({earnings_sql([])}) e")
 def q_earnings_band(spark, d):
     from panelscope.operators.earnings import compute_earnings_distribution
     return X.earnings_band(compute_earnings_distribution(payroll(spark, d), []))
@@ -560,13 +550,11 @@ DIVISION_CASE = "CASE " + " ".join(f"WHEN state_fips = '{s}' THEN '{v}'" for s,
     + " ELSE 'Unknown' END"
 
 
-@register("flows_division", _flows_by_sql(DIVISION_CASE, "census_division"),
-          ["hire_rate", "separation_rate", "churn_rate", "net_growth_rate"])
+@register("flows_division", _flows_by_sql(DIVISION_CASE, "census_division"))
 def q_flows_division(spark, d):
     return FL.compute_job_flows(_geo(spark, d), ["census_division"], "entry_exit")
 
 
-@register("flows_naics2", flows_entry_exit_sql(["naics2"]),
-          ["hire_rate", "separation_rate", "churn_rate", "net_growth_rate"])
+@register("flows_naics2", flows_entry_exit_sql(["naics2"]))
 def q_flows_naics2(spark, d):
     return FL.compute_job_flows_by_industry(payroll(spark, d), "naics2", source="entry_exit")

@@ -27,7 +27,7 @@ def get_spark(master: str | None = None, app: str = "panelscope",
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)
     if master and master.startswith("local"):
-        builder = builder.config("spark.driver.memory", os.environ.get("PANELSCOPE_DRIVER_MEMORY", "16g"))
+        builder = builder.config("spark.driver.memory", os.environ.get("PANELSCOPE_DRIVER_MEMORY", "8g"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
@@ -41,16 +41,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint directory of the session.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is. Only when it is unset (local tests) a scratch folder is created.
+    is. Only a local master, where executors are the driver, gets a scratch
+    folder when it is unset; on a cluster that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-        return sc.getCheckpointDir()
-    local = tempfile.mkdtemp(prefix="panelscope-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(local)
+    if not conf_dir:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        conf_dir = tempfile.mkdtemp(prefix="panelscope-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir()

@@ -2,11 +2,11 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from panelscope.functions.stats import t_two_sided_p
+from panelscope.functions.stats import t_pvalue
 from panelscope.operators.births import (birth_lead_models, compare_birth_determinable_composition,
                                          compute_cross_correlation, compute_payroll_birth_rates,
                                          compute_survival_curves, test_birth_lead)
-from panelscope.operators.reweight import rake_cells, rake_to_qcew
+from panelscope.operators.reweight import rake_cells, rake_convergence, rake_to_qcew
 
 
 def _series(spark, n=20):
@@ -51,12 +51,22 @@ def test_lead_models_match_least_squares(spark):
     assert all(0 <= v <= 1 for v in pv.values())
 
 
-def test_pvalue_function_known_values():
-    # two-sided Student-t tail probabilities (standard tables)
-    assert t_two_sided_p(2.228, 10) == pytest.approx(0.05, abs=2e-4)
-    assert t_two_sided_p(2.0, 1000) == pytest.approx(0.0458, abs=2e-4)
-    assert t_two_sided_p(0.0, 5) == pytest.approx(1.0)
-    assert t_two_sided_p(63.657, 1) == pytest.approx(0.01, abs=1e-4)
+def test_pvalue_function_known_values(spark):
+    # two-sided Student-t tail probabilities (standard tables), and closed forms for 1, 2 and 4 degrees of freedom
+    cases = [(2.228, 10, 0.05), (2.0, 1000, 0.0458), (0.0, 5, 1.0), (63.657, 1, 0.01), (-2.228, 10, 0.05), (12.924, 3, 0.001)]
+    df = spark.createDataFrame([(i, float(t), float(n)) for i, (t, n, _) in enumerate(cases)], "i int, t double, dof double")
+    got = {r.i: r.p for r in df.select("i", t_pvalue(F.col("t"), F.col("dof")).alias("p")).collect()}
+    for i, (_, _, p) in enumerate(cases):
+        assert got[i] == pytest.approx(p, abs=2e-4)
+    grid = [(t, n) for t in (0.01, 0.4, 1.0, 1.3, 2.5, 9.0, 80.0) for n in (1, 2, 4)]
+    df = spark.createDataFrame([(float(t), float(n)) for t, n in grid] + [(None, 3.0), (1.0, 0.0)], "t double, dof double")
+    for r in df.select("t", "dof", t_pvalue(F.col("t"), F.col("dof")).alias("p")).collect():
+        if r.t is None or r.dof < 1:
+            assert r.p is None
+            continue
+        s = r.t / np.sqrt(r.dof + r.t**2)
+        exact = {1: 1 - 2 * np.arctan(r.t) / np.pi, 2: 1 - s, 4: 1 - s * (1 + 0.5 * (1 - s * s))}[int(r.dof)]
+        assert r.p == pytest.approx(exact, rel=1e-9, abs=1e-15)
 
 
 def test_pvalues_match_spark_ml(spark):
@@ -133,17 +143,33 @@ def test_rake_one_margin(spark, dates):
     assert m["A"] == pytest.approx(600, abs=1.0) and m["B"] == pytest.approx(400, abs=1.0)
 
 
-def test_rake_two_margins_and_methods_agree(spark, dates):
+def test_rake_two_margins_and_report(spark, dates):
     pay, off = _rake_inputs(spark, dates)
-    r = rake_to_qcew(pay, off, ["supersector", "state_fips"])
-    assert all(x.rake_weight > 0 for x in r.collect())
-    for mi, tol in ((3, 0.0), (50, 1e-9)):
-        a, keys, ia = rake_cells(pay, off, ["supersector", "state_fips"], mi, tol, method="period")
-        b, _, ib = rake_cells(pay, off, ["supersector", "state_fips"], mi, tol, method="rounds")
-        wa = {tuple(x[k] for k in keys): x.rake_weight for x in a.collect()}
-        wb = {tuple(x[k] for k in keys): x.rake_weight for x in b.collect()}
-        assert ia == ib and wa.keys() == wb.keys()
-        assert all(wa[k] == pytest.approx(wb[k], rel=1e-12) for k in wa)
+    dims = ["supersector", "state_fips"]
+    r = rake_to_qcew(pay, off, dims, report=True).collect()
+    assert all(x.rake_weight > 0 and x.converged and x.last_change < 1e-6 for x in r)
+    for dim, want in (("supersector", {"A": 600, "B": 400}), ("state_fips", {"01": 700, "02": 300})):
+        for value, total in want.items():
+            assert sum(x.qualified_employment * x.rake_weight for x in r if x[dim] == value) == pytest.approx(total, abs=1e-2)
+    capped = rake_convergence(pay, off, dims, max_iter=2, tolerance=0.0).collect()
+    assert [(x.rounds, x.converged) for x in capped] == [(2, False)]
+
+
+def test_rake_says_when_margins_cannot_be_met(spark, dates):
+    pay, _ = _rake_inputs(spark, dates)
+    pay = pay.filter("not (supersector = 'A' and state_fips = '02')").filter("not (supersector = 'B' and state_fips = '01')")
+    off = spark.createDataFrame([(dates(2020, 1), "2020Q1", "A", "01", 400), (dates(2020, 1), "2020Q1", "B", "02", 100),
+                                 (dates(2020, 1), "2020Q1", "A", "02", 300)],
+                                "ref_date date, quarter string, supersector string, state_fips string, qcew_employment bigint")
+    got = rake_convergence(pay, off, ["supersector", "state_fips"], max_iter=30).collect()
+    assert len(got) == 1 and not got[0].converged and got[0].rounds == 30 and got[0].last_change > 0.1
+
+
+def test_rake_one_dimension_is_closed_form(spark, dates):
+    pay, off = _rake_inputs(spark, dates)
+    cells, _ = rake_cells(pay, off, ["supersector"])
+    assert "Python" not in cells._jdf.queryExecution().toString() and "Pandas" not in cells._jdf.queryExecution().toString()
+    assert {r.supersector: r.rake_weight for r in cells.collect()} == {"A": 3.0, "B": pytest.approx(4 / 3)}
 
 
 def test_rake_edge_cases(spark, dates):

@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from panelscope.functions.stats import grouped_quantiles, rank_within_groups
+from panelscope.functions import stats
+from panelscope.functions.stats import grouped_quantiles
 from panelscope.operators.earnings import compute_earnings_distribution, compute_earnings_growth
 from panelscope.operators.flows import compute_job_flows
 from panelscope.operators.growth import (analyze_turning_points, compute_growth_rates, decompose_employment_change,
@@ -101,26 +102,43 @@ def test_earnings_growth_first_year_null(spark, dates):
     assert g[12].mean_earnings_yoy == pytest.approx(1120.0 / 1000.0 - 1)
 
 
-def test_rank_within_groups_matches_brute_force_with_hot_group(spark):
+@pytest.mark.parametrize("accuracy", [50, 10_000])
+def test_quantiles_by_selection_with_hot_group_and_hot_value(spark, monkeypatch, accuracy):
+    monkeypatch.setattr(stats, "ACCURACY", accuracy)  # 50: brackets narrower than the groups
     rnd = random.Random(7)
     rows = [("hot", float(rnd.randint(0, 500))) for _ in range(3000)]
-    rows += [(f"g{i % 7}", float(rnd.randint(0, 50))) for i in range(1000)] + [(None, 1.0), (None, 3.0), ("g1", None)]
+    rows += [("one", 7.0 if rnd.random() < 0.9 else rnd.random()) for _ in range(2000)]
+    rows += [(f"g{i % 7}", float(rnd.randint(0, 50))) for i in range(1000)] + [(None, 1.0), (None, 3.0), ("g1", None), ("empty", None)]
     df = spark.createDataFrame(rows, "g string, v double")
-    ranked = rank_within_groups(df, ["g"], "v", num_partitions=6).collect()
-    by_group = {}
-    for r in ranked:
-        by_group.setdefault(r.g, []).append((r._rank, r.v, r._n))
-    for g, items in by_group.items():
-        items.sort()
-        values = sorted(v for gg, v in rows if gg == g and v is not None)
-        assert [i[0] for i in items] == list(range(1, len(values) + 1))
-        assert [i[1] for i in items] == values and all(i[2] == len(values) for i in items)
-    q = {r.g: r for r in grouped_quantiles(df, ["g"], "v", {"p10": 0.1, "p90": 0.9}, median="med").collect()}
-    vals = sorted(v for gg, v in rows if gg == "hot")
-    n = len(vals)
-    assert q["hot"].p10 == vals[int(np.floor((n - 1) * 0.1 + 0.5))]
-    assert q["hot"].p90 == vals[int(np.floor((n - 1) * 0.9 + 0.5))]
-    assert q["hot"].med == pytest.approx(float(np.median(vals)))
+    wanted = {"p01": 0.01, "p10": 0.1, "p90": 0.9}
+    got = {r.g: r for r in grouped_quantiles(df, ["g"], "v", wanted, median="med", extra_aggs=[F.count("v").alias("n")]).collect()}
+    assert set(got) == {g for g, v in rows if v is not None}
+    for g, r in got.items():
+        vals = sorted(v for gg, v in rows if gg == g and v is not None)
+        assert r.n == len(vals) and r.med == pytest.approx(float(np.median(vals)))
+        for name, q in wanted.items():
+            assert r[name] == vals[int(np.floor((len(vals) - 1) * q + 0.5))]
+    everything = sorted(v for _, v in rows if v is not None)
+    r = grouped_quantiles(df, [], "v", wanted).first()
+    assert r.p10 == everything[int(np.floor((len(everything) - 1) * 0.1 + 0.5))]
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
+
+
+def test_grouped_flows_keep_separations(spark, dates):
+    D = dates
+    rows = [("e1", D(2020, 1), "01"), ("e2", D(2020, 1), "02"), ("e2", D(2020, 2), "02"), ("e3", D(2020, 1), None), ("e4", D(2020, 2), None)]
+    df = spark.createDataFrame(rows, "employee_id string, ref_date date, state_fips string")
+    by = {(r.ref_date, r.state_fips): r for r in compute_job_flows(df, ["state_fips"], "employees").collect()}
+    assert by[D(2020, 2), "01"].separations == 1 and by[D(2020, 2), "01"].employment == 0 and by[D(2020, 2), "01"].separation_rate is None
+    assert (by[D(2020, 2), None].separations, by[D(2020, 2), None].hires) == (1, 1)
+    total = {r.ref_date: r for r in compute_job_flows(df, [], "employees").collect()}
+    assert total[D(2020, 2)].separations == 2 == sum(r.separations for (d, _), r in by.items() if d == D(2020, 2))
+
+
+def test_earnings_without_pay_keep_grouping_columns(spark, dates):
+    df = spark.createDataFrame([("a", dates(2020, 1), "A", 1)], "client_id string, ref_date date, supersector string, qualified_employment bigint")
+    g = compute_earnings_growth(df, ["supersector"])
+    assert g.columns[:2] == ["ref_date", "supersector"] and g.count() == 0
 
 
 def test_calendar_growth_skips_gaps(spark, dates):

@@ -38,7 +38,7 @@ def main():
            f"Generated by `tools/dump_plans.py` on `{sf}` (local[8], 16 shuffle partitions, AQE on; the plans",
            "show the initial AQE plan: runtime may turn sort-merge joins of small sides into broadcasts).", ""]
     for n in names:
-        df = REGISTRY[n].build(spark, sf)
+        df = REGISTRY[n].spark(spark, sf)
         out += [f"## {n}", "", "```", tree(df), "```", ""]
     with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md"), "w") as f:
         f.write("\n".join(out))
