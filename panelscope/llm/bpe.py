@@ -71,7 +71,8 @@ class Automaton:
 
     def gadget(self, time: int, left: int, right: int, label: int) -> None:
         """Merge ``left right -> label``: nothing changes unless the state of ``left`` has the arc ``right``."""
-        if label in self.made or not self.has_arc(left, right, time):
+        known = all(t in self.made or len(self.labels[t]) == 1 for t in (left, right))
+        if label in self.made or not known or not self.has_arc(left, right, time):
             return
         self.removed[left, right] = time
         self.made[label], self.parts[label] = time, (left, right)
