@@ -127,14 +127,13 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
         F.col("doc_id").alias("_id"), F.col("source").alias("_src"), F.col("size").alias("_sz"), "n_rows", "n_extra",
         F.col("copies").alias("_copies"))
     columns = docs.columns
-    sized = docs.withColumn("_size", n_words(F.col(options.get("text_col", "text"))))
-    joined = sized.join(plan, sized[options.get("id_col", "doc_id")].eqNullSafe(plan["_id"])
-                        & sized[options.get("source_col", "source")].eqNullSafe(plan["_src"])
-                        & (sized["_size"] == plan["_sz"]))
+    sized = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"), F.col(options.get("id_col", "doc_id")).alias("_doc"),
+                        F.col(options.get("source_col", "source")).alias("_source"), n_words(F.col(options.get("text_col", "text"))).alias("_size"))
+    joined = sized.join(plan, sized["_doc"].eqNullSafe(plan["_id"]) & sized["_source"].eqNullSafe(plan["_src"]) & (sized["_size"] == plan["_sz"]))
     # Only groups of equal ids need a number per row; all others are alone.
     same = Window.partitionBy("_id", "_src", "_sz").orderBy(F.lit(1))
     repeated = joined.where("n_rows > 1").withColumn("_k", F.row_number().over(same))
     rows = joined.where("n_rows = 1").withColumn("_k", F.lit(1)).unionByName(repeated)
     n = F.when(F.col("_sz") == 0, 1).otherwise(F.col("_copies") + F.when(F.col("_k") <= F.col("n_extra"), 1).otherwise(0))
-    return rows.withColumn("_n", n.cast("int")).where("_n > 0").select(
-        *[F.col(f"`{c}`") for c in columns], F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_copy")).drop("_copy")
+    copies = rows.withColumn("_n", n.cast("int")).where("_n > 0").select("_row", F.explode(F.sequence(F.lit(1), F.col("_n"))))
+    return copies.select(*[F.col("_row")[c].alias(c) for c in columns])
