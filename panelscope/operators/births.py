@@ -178,3 +178,31 @@ def compute_survival_curves(payroll: DataFrame, grouping_cols: list[str] | None
         for name, months in SURVIVAL_HORIZONS.items():
             aggs.append(F.avg(F.when(F.col("tenure_months") >= months, 1.0).otherwise(0.0)).alias(name))
     return b.groupBy("entry_quarter", *g).agg(*aggs)
+
+
+def compute_kaplan_meier(payroll: DataFrame, grouping_cols: list[str] | None = None) -> DataFrame:
+    """Kaplan-Meier survival of the birth clients of each entry quarter, at the horizons of :func:`compute_survival_curves`.
+
+    A client last seen at the end of the data is censored there, any other is a failure. S(h) is the product over the
+    failure times t < h of 1 - d(t) / n(t), n(t) being the clients seen for t months or more. Without censoring it equals the share
+    still there. Once a cohort has nobody seen for h months and was not all failures, S(h) is NULL.
+    """
+    g = list(grouping_cols or [])
+    births = payroll.filter(F.col("is_birth") == F.lit(True)).select("client_id", "entry_month", *g).distinct()
+    last = payroll.groupBy("client_id").agg(F.max("ref_date").alias("last_seen"))
+    end = payroll.agg(F.max("ref_date")).scalar()
+    b = births.join(last, "client_id").select(*g, quarter_label("entry_month").alias("entry_quarter"),
+                                              days_over_30("last_seen", "entry_month").alias("t"), (F.col("last_seen") < end).cast("int").alias("failed"))
+    by = ["entry_quarter", *g]
+    times = b.groupBy(*by, "t").agg(F.sum("failed").alias("d"), F.count(F.lit(1)).alias("m"))
+    # One row per cohort and follow-up time, at most as many as the panel has months.
+    on = F.sum("m").over(Window.partitionBy(*by).orderBy("t").rowsBetween(0, Window.unboundedFollowing))
+    times = times.withColumn("n", on)
+    aggs = [F.sum("m").alias("birth_cohort_n"), F.sum("d").alias("failures")]
+    for name, months in SURVIVAL_HORIZONS.items():
+        before = F.col("t") < months
+        none_left = F.max(F.when(before & (F.col("d") == F.col("n")), 1)).isNotNull()
+        log = F.coalesce(F.sum(F.when(before & (F.col("d") < F.col("n")), F.ln(1 - F.col("d") / F.col("n")))), F.lit(0.0))
+        seen = F.coalesce(F.sum(F.when(~before, F.col("m"))), F.lit(0)) > 0
+        aggs.append(F.when(none_left, F.lit(0.0)).when(seen, F.exp(log)).alias(name))
+    return times.groupBy(*by).agg(*aggs)

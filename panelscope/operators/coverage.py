@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelscope.functions.cols import td
+from panelscope.functions.stats import period_index
 
 
 def compute_coverage(payroll_agg: DataFrame, official: DataFrame, grouping_cols: list[str],
@@ -48,13 +49,25 @@ def compute_share_comparison(payroll_agg: DataFrame, official: DataFrame, dimens
     return m.withColumn("misallocation_index", F.sum("abs_dev").over(Window.partitionBy(*period)) / 2)
 
 
-def compute_composition_shift_index(payroll_agg: DataFrame, dimension: str) -> DataFrame:
-    """CSI_t = sum over cells of |share_t - share_(t-1)| (previous row of the cell); first month 0."""
+def compute_composition_shift_index(payroll_agg: DataFrame, dimension: str, dense: bool = False) -> DataFrame:
+    """CSI_t = sum over cells of |share_t - share_(t-1)| (previous row of the cell); first month 0.
+
+    By default a cell's first month, and the month after its last, add nothing. ``dense`` takes the share of a missing
+    (cell, month) as 0: a cell that comes adds its share in that month, one that goes adds its last share in the next month.
+    """
     share = td("payroll_employment", F.sum("payroll_employment").over(Window.partitionBy("ref_date")))
     s = payroll_agg.select("ref_date", dimension, share.alias("share"))
-    prev = F.lag("share").over(Window.partitionBy(dimension).orderBy("ref_date"))
-    s = s.withColumn("abs_shift", F.abs(F.col("share") - prev))
-    return s.groupBy("ref_date").agg(F.coalesce(F.sum("abs_shift"), F.lit(0.0)).alias("csi"))
+    w = Window.partitionBy(dimension).orderBy("ref_date")
+    if not dense:
+        s = s.withColumn("abs_shift", F.abs(F.col("share") - F.lag("share").over(w)))
+        return s.groupBy("ref_date").agg(F.coalesce(F.sum("abs_shift"), F.lit(0.0)).alias("csi"))
+    idx = period_index(payroll_agg)
+    s = s.withColumn("share", F.coalesce("share", F.lit(0.0))).join(idx, "ref_date")
+    s = s.select("_idx", "share", F.lag("_idx").over(w).alias("_pi"), F.lag("share").over(w).alias("_ps"), F.lead("_idx").over(w).alias("_ni"))
+    here = s.select("_idx", F.when(F.col("_idx") == 0, 0.0).when(F.col("_pi") == F.col("_idx") - 1, F.abs(F.col("share") - F.col("_ps")))
+                    .otherwise(F.col("share")).alias("abs_shift"))
+    gone = s.filter(F.coalesce(F.col("_ni") != F.col("_idx") + 1, F.lit(True))).select((F.col("_idx") + 1).alias("_idx"), F.col("share").alias("abs_shift"))
+    return (here.unionByName(gone).groupBy("_idx").agg(F.sum("abs_shift").alias("csi")).join(idx, "_idx").select("ref_date", "csi"))
 
 
 def compute_cell_reliability(coverage: DataFrame, min_clients: int = 30, min_coverage: float = 0.005) -> DataFrame:

@@ -8,9 +8,9 @@ from __future__ import annotations
 
 from panelscope.functions.cols import SIZE_CLASS_LABELS, SIZE_CLASS_UPPERS, SUPERSECTOR_MAP
 from panelscope.operators.panel import AGGREGATION_LEVELS, _gid
-from panelscope.sources.official import CES_SUPERSECTOR_NAMES
+from panelscope.sources.official import CES_SUPERSECTOR_NAMES, QCEW_SIZE_CODES
 from panelscope.sources.synth import (EXIT_CUTOFF, SEGMENT_CES_CODE, SEGMENT_NAICS, SEGMENT_QCEW_INDUSTRY,
-                                      ZERO_MODULUS)
+                                      SIZE_CODE_UPPERS, ZERO_MODULUS)
 
 
 def _case(expr: str, mapping: dict[str, str], default: str = "NULL") -> str:
@@ -96,6 +96,8 @@ panel AS (
   FROM payroll
   GROUP BY GROUPING SETS ({_SETS}))"""
 
+_SIZE_CODE = "CASE " + " ".join(f"WHEN q / 3 <= {u} THEN '{c}'" for u, c in zip(SIZE_CODE_UPPERS, "12345678")) + " ELSE '9' END"
+
 QCEW_CTES = f"""
 ship_lines AS (
   SELECT l.l_suppkey, l.l_quantity, l.l_extendedprice, l.l_shipdate, c.c_nationkey, c.c_mktsegment
@@ -124,14 +126,27 @@ qcew_national AS (
     CAST(count(DISTINCT l_suppkey) * 5 AS BIGINT) AS qtrly_estabs_count,
     round(sum(l_extendedprice), 2) AS total_qtrly_wages, 'national' AS slice
   FROM qcew_base GROUP BY year, qtr, industry_code),
+qcew_supplier AS (
+  SELECT year, qtr, industry_code, l_suppkey, sum(l_quantity) AS q, sum(l_extendedprice) AS pay,
+    CAST(coalesce(sum(l_quantity) FILTER (WHERE pos = 1), 0) * 10 AS BIGINT) AS m1,
+    CAST(coalesce(sum(l_quantity) FILTER (WHERE pos = 2), 0) * 10 AS BIGINT) AS m2,
+    CAST(coalesce(sum(l_quantity) FILTER (WHERE pos = 3), 0) * 10 AS BIGINT) AS m3
+  FROM qcew_base WHERE qtr = '1' GROUP BY 1, 2, 3, 4),
+qcew_size AS (
+  SELECT 'US000' AS area_fips, '5' AS own_code, industry_code, '24' AS agglvl_code, {_SIZE_CODE} AS size_code, year, qtr,
+    CAST(sum(m1) AS BIGINT) AS month1_emplvl, CAST(sum(m2) AS BIGINT) AS month2_emplvl, CAST(sum(m3) AS BIGINT) AS month3_emplvl,
+    CAST(count(*) * 5 AS BIGINT) AS qtrly_estabs_count, round(sum(pay), 2) AS total_qtrly_wages, 'size' AS slice
+  FROM qcew_supplier GROUP BY industry_code, {_SIZE_CODE}, year, qtr),
 qcew_raw AS (
   SELECT * FROM qcew_state
+  UNION ALL SELECT * FROM qcew_size
   UNION ALL SELECT * FROM qcew_national
   UNION ALL SELECT area_fips, '1' AS own_code, industry_code, '11' AS agglvl_code, size_code, year, qtr,
     month1_emplvl * 3, month2_emplvl * 3, month3_emplvl * 3, qtrly_estabs_count, total_qtrly_wages * 3, slice
     FROM qcew_national),
 qcew_long AS (
-  SELECT *, {_supersector('substr(industry_code, 1, 2)')} AS supersector, substr(area_fips, 1, 2) AS state_fips
+  SELECT *, {_supersector('substr(industry_code, 1, 2)')} AS supersector, substr(area_fips, 1, 2) AS state_fips,
+    {_case('size_code', QCEW_SIZE_CODES)} AS size_class
   FROM (
     SELECT area_fips, own_code, industry_code, agglvl_code, size_code, year, qtr, qtrly_estabs_count AS qcew_establishments,
       total_qtrly_wages, slice, month1_emplvl AS qcew_employment, make_date(CAST(year AS INTEGER), (CAST(qtr AS INTEGER) - 1) * 3 + 1, 12) AS ref_date,
@@ -156,6 +171,14 @@ off_state AS (
   SELECT ref_date, quarter, state_fips, CAST(sum(qcew_employment) AS BIGINT) AS qcew_employment,
     CAST(sum(qcew_establishments) AS BIGINT) AS qcew_establishments
   FROM qcew_long WHERE own_code = '5' AND slice = 'state' GROUP BY ref_date, quarter, state_fips),
+off_size_class AS (
+  SELECT ref_date, quarter, size_class, CAST(sum(qcew_employment) AS BIGINT) AS qcew_employment,
+    CAST(sum(qcew_establishments) AS BIGINT) AS qcew_establishments
+  FROM qcew_long WHERE own_code = '5' AND slice = 'size' GROUP BY ref_date, quarter, size_class),
+off_supersector_size_class AS (
+  SELECT ref_date, quarter, supersector, size_class, CAST(sum(qcew_employment) AS BIGINT) AS qcew_employment,
+    CAST(sum(qcew_establishments) AS BIGINT) AS qcew_establishments
+  FROM qcew_long WHERE own_code = '5' AND slice = 'size' GROUP BY ref_date, quarter, supersector, size_class),
 off_supersector_state AS (
   SELECT ref_date, quarter, supersector, state_fips, CAST(sum(qcew_employment) AS BIGINT) AS qcew_employment,
     CAST(sum(qcew_establishments) AS BIGINT) AS qcew_establishments

@@ -39,14 +39,30 @@ class OfficialInputs:
     ces_total: str = "Total private"
 
 
+class Outputs(dict):
+    """Analyses by name; :meth:`release` frees what :func:`run_pipeline` keeps for them."""
+
+    def __init__(self):
+        super().__init__()
+        self.kept: list[DataFrame] = []
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        self.kept.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+        return self.kept[-1]
+
+    def release(self) -> None:
+        while self.kept:
+            self.kept.pop().unpersist()
+
+
 def run_pipeline(payroll: DataFrame, official: OfficialInputs, stable: bool = False,
-                 employees: DataFrame | None = None, persist: bool = True) -> dict[str, DataFrame]:
-    """All analyses as lazy DataFrames keyed by name."""
+                 employees: DataFrame | None = None, persist: bool = True) -> Outputs:
+    """All analyses as lazy DataFrames keyed by name. With ``persist``, payroll and panel are kept until ``release()``."""
+    out = Outputs()
     if stable:
         payroll = P.filter_stable_panel(payroll, 12)
     if persist:
-        payroll = payroll.persist(StorageLevel.MEMORY_AND_DISK)
-    out: dict[str, DataFrame] = {}
+        payroll = out.keep(payroll)
 
     flagged, dq_summary = Q.flag_data_quality_issues(payroll)
     out["dq_summary"] = dq_summary
@@ -58,7 +74,7 @@ def run_pipeline(payroll: DataFrame, official: OfficialInputs, stable: bool = Fa
 
     panel = P.build_panel(payroll)
     if persist:
-        panel = panel.persist(StorageLevel.MEMORY_AND_DISK)
+        panel = out.keep(panel)
     out["panel"] = panel
     national = P.panel_level(panel, "national")
     by_ss = P.panel_level(panel, "supersector")

@@ -20,7 +20,11 @@ LEVELS = {
     "supersector": ("off_supersector", ["supersector"]),
     "state": ("off_state", ["state_fips"]),
     "supersector_state": ("off_supersector_state", ["supersector", "state_fips"]),
+    "size_class": ("off_size_class", ["size_class"]),
+    "supersector_size_class": ("off_supersector_size_class", ["supersector", "size_class"]),
 }
+SLICES = {"national": "national", "supersector": "national", "state": "state", "supersector_state": "state", "size_class": "size",
+          "supersector_size_class": "size"}
 
 
 def panel_level_sql(level: str) -> str:
@@ -44,8 +48,7 @@ def coverage_sql(level: str) -> str:
 
 def coverage_df(spark, d, level):
     _, cols = LEVELS[level]
-    slice_name = "national" if level in ("national", "supersector") else "state"
-    return C.compute_coverage(panel_at(spark, d, level), official(spark, d, cols, slice_name), cols)
+    return C.compute_coverage(panel_at(spark, d, level), official(spark, d, cols, SLICES[level]), cols)
 
 
 @register("load_payroll", "SELECT * FROM payroll")
@@ -72,7 +75,7 @@ def q_qcew_unpivot(spark, d):
     return official_long(spark, d).drop("size_class")
 
 
-for _lvl in ("national", "supersector", "state"):
+for _lvl in ("national", "supersector", "state", "size_class"):
     register(f"coverage_{_lvl}", coverage_sql(_lvl))(
         lambda spark, d, _l=_lvl: coverage_df(spark, d, _l))
 
@@ -115,6 +118,24 @@ def q_share_state(spark, d):
                                       official(spark, d, ["state_fips"], "state"), "state_fips")
 
 
+@register("share_comparison_size", share_sql("size_class", "size_class"))
+def q_share_size(spark, d):
+    """Months outside the first quarter have no official size rows: their official share is NULL."""
+    return C.compute_share_comparison(panel_at(spark, d, "size_class"), official(spark, d, ["size_class"], "size"), "size_class")
+
+
+@register("csi_dense", f"""WITH p AS (SELECT ref_date, supersector, state_fips, CAST(payroll_employment AS DOUBLE)
+                 / NULLIF(CAST(sum(payroll_employment) OVER (PARTITION BY ref_date) AS DOUBLE), 0) AS share
+               FROM ({panel_level_sql('supersector_state')}) x),
+      grid AS (SELECT * FROM (SELECT DISTINCT ref_date FROM p) a, (SELECT DISTINCT supersector, state_fips FROM p) b),
+      s AS (SELECT ref_date, supersector, state_fips, coalesce(share, 0.0) AS share FROM grid LEFT JOIN p USING (ref_date, supersector, state_fips))
+    SELECT ref_date, sum(shift) AS csi FROM (SELECT ref_date, coalesce(abs(share - lag(share) OVER (PARTITION BY supersector, state_fips
+      ORDER BY ref_date)), 0.0) AS shift FROM s) y GROUP BY ref_date""")
+def q_csi_dense(spark, d):
+    cells = panel_at(spark, d, "supersector_state").withColumn("cell", F.struct("supersector", "state_fips"))
+    return C.compute_composition_shift_index(cells, "cell", dense=True)
+
+
 def csi_sql(dim: str, level: str) -> str:
     return f"""SELECT ref_date, coalesce(sum(abs_shift), 0.0) AS csi FROM (
       SELECT ref_date, abs(share - lag(share) OVER (PARTITION BY {dim} ORDER BY ref_date)) AS abs_shift FROM (

@@ -13,10 +13,11 @@ from panelscope.operators import flows as FL
 from panelscope.operators import growth as G
 from panelscope.operators import quality as Q
 from panelscope.operators import tenure as T
+from panelscope.operators.panel import AGGREGATION_LEVELS, PANEL_MEASURES
 from panelscope.plans.catalog import register
 from panelscope.plans.inputs import bed, official, panel, panel_at, payroll
 from panelscope.plans.queries_births import BIRTH_SQL, REWEIGHTED_SQL, payroll_births, raked_one
-from panelscope.plans.queries_core import (DQ_ROWS_SQL, VINTAGE_SQL, coverage_df, coverage_sql, csi_sql,
+from panelscope.plans.queries_core import (DQ_ROWS_SQL, SLICES, VINTAGE_SQL, coverage_df, coverage_sql, csi_sql, entry_exit_sql,
                                            nearest_sql, share_sql)
 from panelscope.plans.queries_dynamics import (CES_TOTAL, ces_growth, change_sql, flows_employee_sql,
                                                flows_entry_exit_sql, growth_sql)
@@ -401,9 +402,9 @@ def q_flows_domain(spark, d):
 
 
 def _all_levels_sql() -> str:
-    from panelscope.operators.panel import AGGREGATION_LEVELS, PANEL_MEASURES
     offs = {"national": "off_national", "supersector": "off_supersector", "state": "off_state",
-            "supersector_state": "off_supersector_state"}
+            "supersector_state": "off_supersector_state", "size_class": "off_size_class",
+            "supersector_size_class": "off_supersector_size_class"}
     parts = []
     for level, cols in AGGREGATION_LEVELS:
         keys = ["ref_date", "quarter"] + cols
@@ -434,10 +435,8 @@ def _all_levels_sql() -> str:
 
 @register("coverage_all_levels", _all_levels_sql())
 def q_coverage_all_levels(spark, d):
-    offs = {"national": official(spark, d, [], "national"),
-            "supersector": official(spark, d, ["supersector"], "national"),
-            "state": official(spark, d, ["state_fips"], "state"),
-            "supersector_state": official(spark, d, ["supersector", "state_fips"], "state")}
+    """Size levels have official values in first-quarter months only; in others they are NULL and 'insufficient'."""
+    offs = {level: official(spark, d, cols, SLICES[level]) for level, cols in AGGREGATION_LEVELS}
     return A.coverage_all_levels(panel(spark, d), offs)
 
 
@@ -558,3 +557,61 @@ def q_flows_division(spark, d):
 @register("flows_naics2", flows_entry_exit_sql(["naics2"]))
 def q_flows_naics2(spark, d):
     return FL.compute_job_flows_by_industry(payroll(spark, d), "naics2", source="entry_exit")
+
+
+# ---------------------------------------------------------------- further groupings, survival with censoring, loaders
+
+def _churn_by_sql(expr: str, name: str) -> str:
+    return entry_exit_sql([name]).replace("FROM payroll GROUP BY", f"FROM (SELECT *, {expr} AS {name} FROM payroll) p GROUP BY")
+
+
+for _name, _col, _expr in (("churn_region", "census_region", REGION_CASE), ("churn_division", "census_division", DIVISION_CASE),
+                           ("churn_domain", "domain", DOMAIN_CASE)):
+    register(_name, _churn_by_sql(_expr, _col))(lambda spark, d, _c=_col: T.compute_client_entry_exit(_geo(spark, d), [_c]))
+
+
+@register("churn_naics2", entry_exit_sql(["naics2"]))
+def q_churn_naics2(spark, d):
+    return T.compute_client_entry_exit(payroll(spark, d), ["naics2"])
+
+
+def _cross_grouped_sql() -> str:
+    lead = _lead_grouped_sql()
+    merged = lead[:lead.index("      l AS (SELECT")].rstrip().rstrip(",")
+    return f"""{merged},
+      pairs AS (SELECT a.supersector, CAST(l.lag AS INTEGER) AS lag, a.x, b.y
+                FROM mi a JOIN (SELECT unnest(range(0, 5)) AS lag) l ON true
+                JOIN mi b ON b.supersector = a.supersector AND b._i = a._i + l.lag WHERE a._n >= 4)
+    SELECT supersector, lag, coalesce(covar_samp(x, y) / NULLIF(sqrt(var_samp(x) * var_samp(y)), 0), 0.0) AS correlation
+    FROM pairs GROUP BY supersector, lag"""
+
+
+@register("cross_correlation_supersector", _cross_grouped_sql())
+def q_cross_correlation_ss(spark, d):
+    pb = B.compute_payroll_birth_rates(panel_at(spark, d, "supersector"), ["supersector"])
+    return B.compute_cross_correlation(pb, _bed_by_supersector(spark, d), 4, ["supersector"])
+
+
+def _kaplan_meier_sql() -> str:
+    cols = ", ".join(
+        f"""CASE WHEN max(CASE WHEN t < {m} AND f = n THEN 1 END) = 1 THEN 0.0 WHEN sum(CASE WHEN t >= {m} THEN m ELSE 0 END) > 0
+            THEN coalesce(product(CASE WHEN t < {m} THEN 1 - CAST(f AS DOUBLE) / n END), 1.0) END AS {name}"""
+        for name, m in B.SURVIVAL_HORIZONS.items())
+    return f"""WITH b AS (SELECT DISTINCT client_id, entry_month FROM payroll WHERE is_birth),
+      l AS (SELECT client_id, max(ref_date) AS last_seen FROM payroll GROUP BY client_id),
+      c AS (SELECT CAST(year(entry_month) AS VARCHAR) || 'Q' || CAST(quarter(entry_month) AS VARCHAR) AS entry_quarter,
+                   date_diff('day', entry_month, last_seen) / 30.0 AS t,
+                   CASE WHEN last_seen < (SELECT max(ref_date) FROM payroll) THEN 1 ELSE 0 END AS failed FROM b JOIN l USING (client_id)),
+      g AS (SELECT entry_quarter, t, sum(failed) AS f, count(*) AS m FROM c GROUP BY 1, 2),
+      h AS (SELECT a.entry_quarter, a.t, a.f, a.m, (SELECT sum(m) FROM g z WHERE z.entry_quarter = a.entry_quarter AND z.t >= a.t) AS n FROM g a)
+    SELECT entry_quarter, CAST(sum(m) AS BIGINT) AS birth_cohort_n, CAST(sum(f) AS BIGINT) AS failures, {cols} FROM h GROUP BY entry_quarter"""
+
+
+@register("survival_km", _kaplan_meier_sql())
+def q_survival_km(spark, d):
+    return B.compute_kaplan_meier(payroll(spark, d))
+
+
+@register("load_employees", "SELECT * FROM employees")
+def q_load_employees(spark, d):
+    return synth.employees(spark, d)

@@ -74,12 +74,34 @@ def _map(d: dict[str, str]):
     return F.create_map(*[F.lit(x) for x in chain.from_iterable(d.items())])
 
 
-def load_official(spark: SparkSession, path: str) -> DataFrame:
-    """Read a processed official table; a missing path raises FileNotFoundError."""
+def load_official(spark: SparkSession, path: str, years: tuple[int, int] | None = None) -> DataFrame:
+    """Read a processed official table (a file or a directory), of the years from ``years[0]`` to ``years[1]``.
+
+    The year is the column ``year``, else that of ``date``; the range is a filter on the scan. A missing path raises FileNotFoundError.
+    """
     try:
-        return spark.read.parquet(path)
+        df = spark.read.parquet(path)
     except AnalysisException as exc:  # path does not exist
         raise FileNotFoundError(f"official table not found: {path}") from exc
+    if years is None:
+        return df
+    year = F.col("year").cast("int") if "year" in df.columns else F.year(F.col("date").cast("date"))
+    return df.filter(year.between(*years))
+
+
+def load_qcew(spark: SparkSession, national: str | None = None, state: str | None = None, size: str | None = None,
+              years: tuple[int, int] | None = None) -> DataFrame:
+    """Monthly QCEW rows with their keys, from the paths of the slices that are there."""
+    paths = {"national": national, "state": state, "size": size}
+    return qcew_keys(unpivot_qcew_months(combine_qcew(**{k: load_official(spark, p, years) for k, p in paths.items() if p})))
+
+
+def load_ces(spark: SparkSession, path: str, years: tuple[int, int] | None = None, seasonal: str = "SA") -> DataFrame:
+    return normalise_ces(load_official(spark, path, years), seasonal)
+
+
+def load_bed(spark: SparkSession, path: str, years: tuple[int, int] | None = None) -> DataFrame:
+    return normalise_bed(load_official(spark, path, years))
 
 
 def combine_qcew(national: DataFrame | None = None, state: DataFrame | None = None,
@@ -208,14 +230,8 @@ def normalise_bed(raw: DataFrame, state_pos=BED_STATE_POS, industry_pos=BED_INDU
     )
 
 
-def bed_quarter(bed: DataFrame) -> DataFrame:
-    """Add the 'YYYYQn' label as ``quarter_label`` from integer year/quarter."""
-    return bed.withColumn("quarter_label", F.concat(F.col("year").cast("string"), F.lit("Q"),
-                                                    F.col("quarter").cast("string")))
-
-
 __all__ = [
     "STATE_FIPS", "CES_SUPERSECTOR_NAMES", "combine_qcew", "qcew_keys", "unpivot_qcew_months",
-    "qcew_quarterly_dates", "official_cells", "normalise_ces", "normalise_bed", "bed_quarter",
-    "load_official",
+    "qcew_quarterly_dates", "official_cells", "normalise_ces", "normalise_bed",
+    "load_official", "load_qcew", "load_ces", "load_bed",
 ]

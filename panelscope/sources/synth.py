@@ -13,8 +13,8 @@ Recipe (client = customer, month = order month):
   segment; state = nation key + 1.
 * employees: (ship month, part = employee, supplier = client).
 * QCEW: ship quarter x nation x segment, monthly employment = 10 x quantity,
-  establishments = 5 x distinct suppliers; a national slice and a decoy
-  non-private copy.
+  establishments = 5 x distinct suppliers; a national slice, a decoy
+  non-private copy, and first-quarter rows by size class of the supplier.
 * CES: monthly ship quantity by segment supersector plus 'Total private'.
 * BED: quarterly customer births (first ship quarter), deaths (last ship
   quarter), establishments (customers active in the quarter).
@@ -27,11 +27,14 @@ from itertools import chain
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from panelscope.sources.official import combine_qcew
 from panelscope.sources.payroll import normalise_employees, normalise_payroll
 
 # Fixed values of the derivation (must match the oracle SQL).
 EXIT_CUTOFF = "2001-02-12"
 ZERO_MODULUS = 37
+#: Upper bounds of QCEW size codes 1 to 8; code 9 is above.
+SIZE_CODE_UPPERS = (4, 9, 19, 49, 99, 249, 499, 999)
 SEGMENT_NAICS = {
     "AUTOMOBILE": "336111",
     "BUILDING": "236220",
@@ -159,21 +162,32 @@ def qcew_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     aggs = [month(1).alias("month1_emplvl"), month(2).alias("month2_emplvl"), month(3).alias("month3_emplvl"),
             (F.count_distinct("l_suppkey") * 5).cast("bigint").alias("qtrly_estabs_count"),
             F.round(F.sum("l_extendedprice"), 2).alias("total_qtrly_wages")]
-    state = base.groupBy("year", "qtr", "st", "industry_code").agg(*aggs).select(
-        F.concat(F.col("st"), F.lit("000")).alias("area_fips"), F.lit("5").alias("own_code"), "industry_code",
-        F.lit("58").alias("agglvl_code"), F.lit("0").alias("size_code"), "year", "qtr",
-        "month1_emplvl", "month2_emplvl", "month3_emplvl", "qtrly_estabs_count", "total_qtrly_wages",
-        F.lit("state").alias("slice"))
-    national = base.groupBy("year", "qtr", "industry_code").agg(*aggs).select(
-        F.lit("US000").alias("area_fips"), F.lit("5").alias("own_code"), "industry_code",
-        F.lit("14").alias("agglvl_code"), F.lit("0").alias("size_code"), "year", "qtr",
-        "month1_emplvl", "month2_emplvl", "month3_emplvl", "qtrly_estabs_count", "total_qtrly_wages",
-        F.lit("national").alias("slice"))
-    decoy = national.select(
-        "area_fips", F.lit("1").alias("own_code"), "industry_code", F.lit("11").alias("agglvl_code"), "size_code",
-        "year", "qtr", *[(F.col(c) * 3).alias(c) for c in ("month1_emplvl", "month2_emplvl", "month3_emplvl")],
-        "qtrly_estabs_count", (F.col("total_qtrly_wages") * 3).alias("total_qtrly_wages"), "slice")
-    return state.unionByName(national).unionByName(decoy)
+    wide = ["month1_emplvl", "month2_emplvl", "month3_emplvl", "qtrly_estabs_count", "total_qtrly_wages"]
+
+    def rows(df, area, own, agglvl, size):
+        return df.select(area.alias("area_fips"), F.lit(own).alias("own_code"), "industry_code", F.lit(agglvl).alias("agglvl_code"),
+                         size.alias("size_code"), "year", "qtr", *wide)
+
+    zero, us = F.lit("0"), F.lit("US000")
+    # One pass for both slices: the national rows are the grouping set without the state.
+    both = base.groupingSets([["year", "qtr", "industry_code", "st"], ["year", "qtr", "industry_code"]],
+                             "year", "qtr", "industry_code", "st").agg(*aggs, F.grouping("st").alias("_national"))
+    state = rows(both.filter("_national = 0"), F.concat(F.col("st"), F.lit("000")), "5", "58", zero)
+    national = rows(both.filter("_national = 1"), us, "5", "14", zero)
+    # Size classes are published for the first quarter only; a supplier's class follows its mean monthly quantity.
+    by_supplier = base.filter("qtr = '1'").groupBy("year", "qtr", "industry_code", "l_suppkey").agg(
+        month(1).alias("month1_emplvl"), month(2).alias("month2_emplvl"), month(3).alias("month3_emplvl"),
+        F.sum("l_quantity").alias("_q"), F.sum("l_extendedprice").alias("_pay"))
+    code = F.lit("9")
+    for upper, value in reversed(list(zip(SIZE_CODE_UPPERS, "12345678"))):
+        code = F.when(F.col("_q") / 3 <= upper, F.lit(value)).otherwise(code)
+    by_size = by_supplier.groupBy("year", "qtr", "industry_code", code.alias("_code")).agg(
+        *[F.sum(c).alias(c) for c in wide[:3]], (F.count(F.lit(1)) * 5).cast("bigint").alias("qtrly_estabs_count"),
+        F.round(F.sum("_pay"), 2).alias("total_qtrly_wages"))
+    size = rows(by_size, us, "5", "24", F.col("_code"))
+    decoy = national.withColumns({"own_code": F.lit("1"), "agglvl_code": F.lit("11"), **{c: F.col(c) * 3 for c in wide[:3]},
+                                  "total_qtrly_wages": F.col("total_qtrly_wages") * 3})
+    return combine_qcew(national=national.unionByName(decoy), state=state, size=size)
 
 
 def ces_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

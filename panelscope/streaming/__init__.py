@@ -3,7 +3,8 @@
 The analyses themselves are batch (the payroll extract is a bounded table).
 What a Spark deployment does incrementally is fold each new monthly payroll
 drop into the multi-level panel: every panel row belongs to one ref_date, so a
-micro-batch holding complete months can be aggregated on its own and appended.
+micro-batch holding complete months can be aggregated on its own. Each batch has a
+folder of its own, which a replay of the batch overwrites.
 """
 
 from __future__ import annotations
@@ -17,13 +18,14 @@ from panelscope.sources.payroll import normalise_payroll
 
 def start_panel_refresh(spark: SparkSession, source_dir: str, schema, panel_path: str, checkpoint: str,
                         trigger_once: bool = True) -> StreamingQuery:
-    """Watch ``source_dir`` for payroll parquet files (each file = complete months) and append
-    their panel rows to ``panel_path``. Progress is tracked in ``checkpoint`` so a restarted
+    """Watch ``source_dir`` for payroll parquet files and write their panel rows to ``panel_path``/epoch=N.
+
+    A month must not be split over files: distinct clients of two parts cannot be added. Progress is tracked in ``checkpoint`` so a restarted
     job resumes without reprocessing files."""
     stream = spark.readStream.schema(schema).parquet(source_dir)
 
-    def fold(batch: DataFrame, _epoch: int) -> None:
-        build_panel(normalise_payroll(batch)).write.mode("append").parquet(panel_path)
+    def fold(batch: DataFrame, epoch: int) -> None:
+        build_panel(normalise_payroll(batch)).write.mode("overwrite").parquet(f"{panel_path}/epoch={epoch}")
 
     writer = stream.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if trigger_once else writer.trigger(processingTime="1 minute")

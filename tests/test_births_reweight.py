@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from panelscope.functions.stats import t_pvalue
 from panelscope.operators.births import (birth_lead_models, compare_birth_determinable_composition,
-                                         compute_cross_correlation, compute_payroll_birth_rates,
+                                         compute_cross_correlation, compute_kaplan_meier, compute_payroll_birth_rates,
                                          compute_survival_curves, test_birth_lead)
 from panelscope.operators.reweight import rake_cells, rake_convergence, rake_to_qcew
 
@@ -181,3 +181,19 @@ def test_rake_edge_cases(spark, dates):
     r = rake_to_qcew(pay, alt, ["supersector"])
     t = r.filter(F.col("supersector") == "A").agg(F.sum(F.col("qualified_employment") * F.col("rake_weight"))).first()[0]
     assert t == pytest.approx(600, abs=1.0)
+
+
+def test_kaplan_meier(spark, dates):
+    D = dates
+    rows = []
+    for cid, months in (("a", 40), ("b", 14), ("c", 3), ("d", 30)):
+        rows += [(cid, D(2018 + m // 12, m % 12 + 1), D(2018, 1), True) for m in range(months)]
+    rows.append(("e", D(2018 + 39 // 12, 39 % 12 + 1), D(2018 + 36 // 12, 1), True))
+    df = spark.createDataFrame(rows, "client_id string, ref_date date, entry_month date, is_birth boolean")
+    r = {x.entry_quarter: x for x in compute_kaplan_meier(df).collect()}
+    first = r["2018Q1"]  # a is censored at the end of the data, b, c and d fail
+    assert (first.birth_cohort_n, first.failures) == (4, 3)
+    assert first.survival_4q == pytest.approx(3 / 4) and first.survival_8q == pytest.approx(3 / 4 * 2 / 3)
+    assert first.survival_12q == pytest.approx(3 / 4 * 2 / 3 * 1 / 2) and first.survival_16q is None
+    late = r["2021Q1"]  # seen for a few months only, then censored
+    assert late.failures == 0 and late.survival_4q is None

@@ -104,3 +104,28 @@ def test_vintage_contamination(spark, dates):
     new = vs[(D(2019, 1), 2019)]
     assert new.employment_share == pytest.approx(200 / 210) and new.is_contaminated
     assert not vs[(D(2019, 1), 2018)].is_contaminated
+
+
+def test_dense_csi_counts_cells_that_come_and_go(spark, dates):
+    from panelscope.operators.coverage import compute_composition_shift_index
+    rows = [(dates(2020, 1), "A", 50), (dates(2020, 1), "B", 50), (dates(2020, 2), "A", 100), (dates(2020, 3), "A", 50), (dates(2020, 3), "C", 50)]
+    df = spark.createDataFrame(rows, "ref_date date, supersector string, payroll_employment bigint")
+    csi = {r.ref_date.month: r.csi for r in compute_composition_shift_index(df, "supersector", dense=True).collect()}
+    assert csi == {1: 0.0, 2: pytest.approx(1.0), 3: pytest.approx(1.0)}
+    default = {r.ref_date.month: r.csi for r in compute_composition_shift_index(df, "supersector").collect()}
+    assert default == {1: 0.0, 2: pytest.approx(0.5), 3: pytest.approx(0.5)}
+
+
+def test_flags_with_one_client_holding_most_employee_rows(spark, dates):
+    from panelscope.operators.quality import flag_data_quality_issues
+    rows = [(f"e{i}", "big", dates(2020, m), 1) for m in (1, 2) for i in range(300 if m == 1 else 120)] + [("x", "small", dates(2020, m), 1) for m in (1, 2)]
+    df = spark.createDataFrame(rows, "employee_id string, client_id string, ref_date date, qualified_employment bigint")
+    flagged, _ = flag_data_quality_issues(df)
+    got = {(r.client_id, r.ref_date.month): r.n for r in flagged.filter("flag_extreme_change").groupBy("client_id", "ref_date").agg(F.count("*").alias("n")).collect()}
+    assert got == {("big", 2): 120} and flagged.count() == len(rows)
+
+
+def test_first_birth_flag_has_no_arbitrary_tie(spark, dates):
+    rows = [("a", dates(2020, 1), 5, True), ("a", dates(2020, 1), 7, False), ("a", dates(2020, 2), 7, None)]
+    df = spark.createDataFrame(rows, "client_id string, ref_date date, qualified_employment bigint, is_birth boolean")
+    assert {compute_client_tenure(df.repartition(n)).first().is_likely_birth for n in (1, 2, 3)} == {False}

@@ -72,3 +72,32 @@ def test_ces_and_bed_normalisers(spark):
     rows = {(r.year, r.quarter): r for r in normalise_bed(bed).collect()}
     assert rows[(2020, 2)].birth_rate == pytest.approx(0.05) and rows[(2020, 2)].death_rate == pytest.approx(0.02)
     assert rows[(2020, 3)].births == 5.0 and rows[(2020, 3)].birth_rate is None  # right-only key kept
+
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_path_readers_with_year_range(spark, tmp_path):
+    from panelscope.sources import load_bed, load_ces, load_employees, load_payroll, load_qcew, synth
+    from panelscope.sources.official import load_official
+
+    def put(name, df):
+        df.write.parquet(f"{tmp_path}/{name}")
+        return f"{tmp_path}/{name}"
+
+    pay = load_payroll(spark, put("payroll", synth.payroll_raw(spark, SF)))
+    assert pay.exceptAll(synth.payroll(spark, SF)).count() == 0 and pay.count() == synth.payroll(spark, SF).count()
+    emp = load_employees(spark, put("employees", synth.employees(spark, SF)))
+    assert emp.count() == synth.employees(spark, SF).count()
+    raw = synth.qcew_raw(spark, SF)
+    paths = {s: put(f"qcew_{s}", raw.filter(F.col("slice") == s).drop("slice")) for s in ("national", "state", "size")}
+    q = load_qcew(spark, **paths, years=(1994, 1995))
+    got = {r.slice: r.n for r in q.groupBy("slice").agg(F.count(F.lit(1)).alias("n")).collect()}
+    want = {r.slice: 3 * r.n for r in raw.filter("year between 1994 and 1995").groupBy("slice").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert got == want and len(want) == 3
+    assert {r.quarter[-2:] for r in q.filter("slice = 'size'").select("quarter").distinct().collect()} == {"Q1"}
+    assert q.filter("slice = 'size' and size_class is null").count() == 0
+    assert {r.y for r in load_ces(spark, put("ces", synth.ces_raw(spark, SF)), (1996, 1996)).select(F.year("ref_date").alias("y")).distinct().collect()} == {1996}
+    assert {r.year for r in load_bed(spark, put("bed", synth.bed_raw(spark, SF)), (1996, 1997)).select("year").distinct().collect()} == {1996, 1997}
+    with pytest.raises(FileNotFoundError):
+        load_official(spark, f"{tmp_path}/nothing")

@@ -24,6 +24,13 @@ def test_run_pipeline_all_outputs(spark):
     d = tempfile.mkdtemp(prefix="panelscope-out-")
     write_outputs({"dq_summary": out["dq_summary"]}, d, "csv")
     assert any(f.endswith(".csv") for f in os.listdir(f"{d}/dq_summary"))
+    read = spark.read.csv(f"{d}/dq_summary", header=True, schema=out["dq_summary"].schema)
+    assert sorted(map(tuple, read.collect())) == sorted(map(tuple, out["dq_summary"].collect()))
+    write_outputs({"coverage_national": out["coverage_national"]}, d, "parquet")
+    back = spark.read.parquet(f"{d}/coverage_national")
+    assert back.exceptAll(out["coverage_national"]).count() == 0 and back.count() == out["coverage_national"].count()
+    out.release()
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
 
 
 def test_streaming_panel_refresh_matches_batch(spark):
@@ -34,7 +41,7 @@ def test_streaming_panel_refresh_matches_batch(spark):
     out = tempfile.mkdtemp(prefix="panelscope-panel-")
     q = start_panel_refresh(spark, f"{src}/drop1", schema, f"{out}/panel", f"{out}/_ckpt")
     q.awaitTermination(300)
-    streamed = spark.read.parquet(f"{out}/panel")
+    streamed = spark.read.parquet(f"{out}/panel").drop("epoch")
     batch = build_panel(synth.payroll(spark, SF))
     assert streamed.count() == batch.count()
     assert streamed.exceptAll(batch.select(*streamed.columns)).count() == 0
