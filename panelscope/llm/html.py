@@ -37,6 +37,11 @@ NAMES = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "adsense", "a
          "cookies", "consent", "disqus", "footer", "footnav", "gdpr", "header", "masthead", "menu", "menus", "modal", "nav", "navbar", "navigation",
          "newsletter", "notice", "notices", "notification", "pagination", "pager", "popup", "promo", "promotion", "related", "respond", "replies",
          "share", "sharing", "shoutbox", "sidebar", "signup", "skyscraper", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget", "widgets"}
+#: Beginnings that stand for longer names too (commentlist, sidebar2, cookiebar).
+STEMS = ("advert", "banner", "breadcrumb", "comment", "cookie", "disqus", "footer", "masthead", "menu", "navbar", "navigation", "newsletter", "popup",
+         "promo", "sidebar", "sponsor", "subscri")
+READERS = ("comment", "disqus", "respond", "replies", "reply")
+NOT_ITSELF = ("has", "with", "no", "without", "is", "hide", "show")
 KEPT_CONTAINERS = {"html", "body", "main"}
 PARAGRAPHS = {"p", "pre", "blockquote", "li", "td", "dd", "h1", "h2", "h3", "h4", "h5", "h6", "figcaption"}
 FAVOURED = {"article": 25.0, "main": 15.0, "section": 3.0, "div": 5.0, "blockquote": 3.0, "pre": 3.0, "td": 3.0, "ul": -3.0, "ol": -3.0, "dl": -3.0, "table": -3.0}
@@ -60,30 +65,40 @@ class Node:
         self.score, self.chars, self.link_chars = 0.0, 0, 0
 
 
-def _is_boilerplate(tag: str, attributes: str) -> bool:
+def _boilerplate(tag: str, attributes: str) -> str:
+    """Why an element is left out: "" (it is not), "sure", or "named" or "header", which what it holds may overrule."""
+    if tag == "header":
+        return "header"
     if tag in DROPPED:
-        return True
+        return "sure"
     if not attributes or tag in KEPT_CONTAINERS:
-        return False
+        return ""
     names: set[str] = set()
     for name, a, b, c in ATTRIBUTE.findall(attributes):
-        value, name = references.unescape(a or b or c).lower(), name.lower()
+        raw, name = references.unescape(a or b or c), name.lower()
+        value = raw.lower().strip()
         if name in ("class", "id"):
-            names.update(re.split(r"[^a-z0-9]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", references.unescape(a or b or c)).lower()))
-        elif name == "role" and value.strip() in ROLES:
-            return True
+            for word in raw.split():
+                parts = re.split(r"[^a-z0-9]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", word).lower())
+                if parts[0] not in NOT_ITSELF:  # has-sidebar is no sidebar
+                    names.update(parts)
+        elif name == "role" and value in ROLES:
+            return "sure"
         elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
-            return True
+            return "sure"
+    hits = {n for n in names if n in NAMES or n.startswith(STEMS)}
+    if any(n.startswith(READERS) for n in hits):
+        return "sure"
     if tag == "article":
-        return bool(names & {"comment", "comments", "ad", "advert", "promo", "sponsored"})
-    return bool(names & NAMES)
+        return "sure" if names & {"ad", "advert", "promo", "sponsored"} else ""
+    return "header" if hits and hits <= {"header", "masthead"} else "named" if hits else ""
 
 
 def parse(page: str) -> Node:
     """The tree of a page; text is kept undecoded."""
     root = Node("#root", None)
     at, pos, n = root, 0, len(page)
-    headers: list[Node] = []
+    unsure: list[tuple[Node, str]] = []
     while pos < n:
         m = TOKEN.search(page, pos)
         if m is None:
@@ -102,19 +117,23 @@ def parse(page: str) -> Node:
             continue
         at = _implied_ends(at, tag)
         node = Node(tag, at, at.dropped)
-        if not node.dropped and _is_boilerplate(tag, m[3]):
-            if tag == "header" and _inside(at, "article"):
-                headers.append(node)
-            else:
-                node.dropped = True
+        reason = "" if node.dropped else _boilerplate(tag, m[3])
+        if reason == "sure":
+            node.dropped = True
+        elif reason:
+            unsure.append((node, reason))
         at.children.append(node)
         if tag in RAW:
             close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(page, pos)
             pos = close.end() if close else n
         elif tag not in VOID and not (m[3].endswith("/") and tag not in BLOCKS and tag not in FORMATTING):
             at = node
-    for node in headers:  # an article's own header is kept if it has the article's title
-        node.dropped = not any(x.tag == "h1" for x, _ in walk(node))
+    for node, reason in reversed(unsure):  # inner ones first
+        if reason == "header" and _inside(node.parent, "article"):
+            holds = ("h1",)  # an article's own header is kept if it has the article's title
+        else:
+            holds = ("article", "main")  # a page may be wrapped in an element named for one of its parts
+        node.dropped = not any(x.tag in holds for x, _ in walk(node))
     return root
 
 

@@ -34,6 +34,16 @@ def test_extract(page, text):
     assert html.extract(page) == text
 
 
+def test_names_of_wrappers_headers_and_comments():
+    body = f"<h1>Head</h1><p>{LONG}</p><p>{LONG}</p>"
+    text = f"Head\n{LONG}\n{LONG}"
+    assert html.extract(f'<div class="page has-sidebar">{body}</div>') == text
+    assert html.extract(f'<div id="sidebar-layout"><article>{body}</article><div class="sidebar2"><p>{LONG}</p></div></div>') == text
+    assert html.extract(f'<article>{body}</article><ol class="commentlist"><li><article><p>{LONG}</p></article></li></ol>') == text
+    assert html.extract(f'<article><div class="entry-header"><h1>Head</h1></div><p>{LONG}</p><p>{LONG}</p><div class="share-box">Share, this</div></article>') == text
+    assert html.extract(f'<div class="site-header"><h1>Site</h1></div><article>{body}</article><div class="post-footer">x</div>') == text
+
+
 def test_links_are_discounted():
     links = "".join(f'<li><a href="/{i}">A link text that is long, with commas, number {i}, in a list</a></li>' for i in range(30))
     assert html.extract(f"<body><div><ul>{links}</ul></div><div><p>{LONG}</p><p>{LONG}</p></div></body>") == f"{LONG}\n{LONG}"
