@@ -97,18 +97,20 @@ def birth_lead_models(payroll_births: DataFrame, official: DataFrame, grouping_c
     m = _merged_quarterly(payroll_births, official, g).filter(F.col("_n") >= min_quarters)
     w = Window.partitionBy(*g).orderBy("_i")
     m = m.withColumns({"x_lag": F.lag("x").over(w), "y_lag": F.lag("y").over(w)})
-    m1 = m.select(*g, F.lit("concurrent").alias("model"), F.lit(1).alias("_o"), "y",
-                  F.col("x").alias("x1"), F.lit(None).cast("double").alias("x2"))
-    m2 = m.filter(F.col("_i") >= 1).select(*g, F.lit("leading").alias("model"), F.lit(2).alias("_o"), "y",
-                                           F.col("x").alias("x1"), F.col("x_lag").alias("x2"))
-    m3 = m.filter(F.col("_i") >= 1).select(*g, F.lit("incremental").alias("model"), F.lit(3).alias("_o"), "y",
-                                           F.col("y_lag").alias("x1"), F.col("x_lag").alias("x2"))
-    s = m1.unionByName(m2).unionByName(m3).groupBy(*g, "model", "_o").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.var_samp("x1").alias("s11"), F.var_samp("x2").alias("s22"), F.covar_samp("x1", "x2").alias("s12"),
-        F.covar_samp("x1", "y").alias("s1y"), F.covar_samp("x2", "y").alias("s2y"), F.var_samp("y").alias("syy"),
-        safe_corr("x1", "x2").alias("r12"),
-    )
+    # All moments of the three models in one aggregate; the lagged ones leave out each group's first quarter.
+    later = lambda c: F.when(F.col("_i") >= 1, F.col(c))
+    x, y, xl, yl = later("x"), later("y"), F.col("x_lag"), F.col("y_lag")
+    null = F.lit(None).cast("double")
+    moments = {
+        "concurrent": (1, F.count(F.lit(1)), F.var_samp("x"), null, null, F.covar_samp("x", "y"), null, F.var_samp("y")),
+        "leading": (2, F.count_if(F.col("_i") >= 1), F.var_samp(x), F.var_samp(xl), F.covar_samp(x, xl), F.covar_samp(x, y), F.covar_samp(xl, y), F.var_samp(y)),
+        "incremental": (3, F.count_if(F.col("_i") >= 1), F.var_samp(yl), F.var_samp(xl), F.covar_samp(yl, xl), F.covar_samp(yl, y), F.covar_samp(xl, y), F.var_samp(y)),
+    }
+    names = ["_o", "n", "s11", "s22", "s12", "s1y", "s2y", "syy"]
+    structs = [F.struct(F.lit(model).alias("model"), F.lit(cols[0]).alias("_o"), *[c.alias(name) for c, name in zip(cols[1:], names[1:])])
+               for model, cols in moments.items()]
+    s = m.groupBy(*g).agg(F.array(*structs).alias("_models")).select(*g, F.explode("_models").alias("_m")).select(*g, "_m.*")
+    s = s.filter("n > 0").withColumn("r12", td("s12", F.sqrt(F.col("s11") * F.col("s22"))))
     n = F.col("n").cast("double")
     s11, s22, s12, s1y, s2y, syy = (F.col(c) for c in ("s11", "s22", "s12", "s1y", "s2y", "syy"))
     # one regressor: slope, r2, t with n-2 degrees of freedom

@@ -198,15 +198,12 @@ def ces_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     sl = li.join(orders, li.l_orderkey == orders.o_orderkey).join(cust, F.col("o_custkey") == cust.c_custkey)
     base = sl.select(_month12(F.col("l_shipdate")).alias("date"),
                      F.element_at(_map(SEGMENT_CES_CODE), F.col("c_mktsegment")).alias("code"), "l_quantity")
-    by_seg = base.groupBy("date", "code").agg(F.sum("l_quantity").alias("value"))
-    total = base.groupBy("date").agg(F.sum("l_quantity").alias("value")).select(
-        "date", F.lit("05").alias("code"), "value")
-    series = by_seg.unionByName(total)
-    sa = series.select(F.concat(F.lit("CES"), F.col("code"), F.lit("00000001")).alias("series_id"),
-                       "date", "value")
-    nsa = series.select(F.concat(F.lit("CEU"), F.col("code"), F.lit("00000001")).alias("series_id"),
-                        "date", (F.col("value") * 1.02).alias("value"))
-    out = sa.unionByName(nsa)
+    # Segments and the total in one pass; each value stands as a seasonally adjusted and an unadjusted series.
+    series = base.groupingSets([["date", "code"], ["date"]], "date", "code").agg(F.sum("l_quantity").alias("value"), F.grouping("code").alias("_all"))
+    code = F.when(F.col("_all") == 1, F.lit("05")).otherwise(F.col("code"))
+    kinds = F.array(F.struct(F.lit("CES").alias("kind"), F.col("value").alias("value")), F.struct(F.lit("CEU").alias("kind"), (F.col("value") * 1.02).alias("value")))
+    out = series.select("date", code.alias("code"), F.explode(kinds).alias("s")).select(
+        F.concat(F.col("s.kind"), F.col("code"), F.lit("00000001")).alias("series_id"), "date", "s.value")
     return out.select("series_id", "date", F.year("date").alias("year"),
                       F.concat(F.lit("M"), F.lpad(F.month("date").cast("string"), 2, "0")).alias("period"),
                       "value")
@@ -221,25 +218,13 @@ def bed_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     active = (li.join(orders, li.l_orderkey == orders.o_orderkey)
               .select(F.col("o_custkey").alias("cust"), qdate.alias("qdate"))
               .distinct())
-    life = active.groupBy("cust").agg(F.min("qdate").alias("first_q"), F.max("qdate").alias("last_q"))
-    seg = cust.select(F.col("c_custkey").alias("cust"),
-                      F.element_at(_map(SEGMENT_NAICS), F.col("c_mktsegment")).alias("ind"))
-    act = active.join(life, "cust").join(seg, "cust")
-    rows = act.select(
-        "qdate", "ind",
-        F.when(F.col("qdate") == F.col("first_q"), 1).otherwise(0).alias("b"),
-        F.when(F.col("qdate") == F.col("last_q"), 1).otherwise(0).alias("d"),
-    )
-    national = rows.groupBy("qdate").agg(F.sum("b").alias("b"), F.sum("d").alias("d"),
-                                         F.count(F.lit(1)).alias("e")).select(
-        "qdate", F.lit("000000").alias("ind"), "b", "d", "e")
-    by_ind = rows.groupBy("qdate", "ind").agg(F.sum("b").alias("b"), F.sum("d").alias("d"),
-                                              F.count(F.lit(1)).alias("e"))
-    allr = national.unionByName(by_ind)
-    prefix = F.concat(F.lit("BDU"), F.lit("00"), F.lit("00000"), F.lpad(F.col("ind"), 6, "0"))
-    out = None
-    for el, c in (("01", "e"), ("02", "b"), ("03", "d")):
-        part = allr.select(F.concat(prefix, F.lit(el), F.lit("1LQ5")).alias("series_id"),
-                           F.col("qdate").alias("date"), F.col(c).cast("double").alias("value"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    by_client = Window.partitionBy("cust")  # at most one row a quarter
+    rows = active.select("cust", "qdate", (F.col("qdate") == F.min("qdate").over(by_client)).cast("int").alias("b"),
+                         (F.col("qdate") == F.max("qdate").over(by_client)).cast("int").alias("d"))
+    seg = cust.select(F.col("c_custkey").alias("cust"), F.element_at(_map(SEGMENT_NAICS), F.col("c_mktsegment")).alias("ind"))
+    counts = rows.join(seg, "cust").groupingSets([["qdate", "ind"], ["qdate"]], "qdate", "ind").agg(
+        F.sum("b").alias("b"), F.sum("d").alias("d"), F.count(F.lit(1)).alias("e"), F.grouping("ind").alias("_all"))
+    ind = F.when(F.col("_all") == 1, F.lit("000000")).otherwise(F.lpad(F.col("ind"), 6, "0"))
+    elements = F.array(*[F.struct(F.lit(code).alias("code"), F.col(c).cast("double").alias("value")) for code, c in (("01", "e"), ("02", "b"), ("03", "d"))])
+    return counts.select(F.col("qdate").alias("date"), ind.alias("ind"), F.explode(elements).alias("x")).select(
+        F.concat(F.lit("BDU0000000"), F.col("ind"), F.col("x.code"), F.lit("1LQ5")).alias("series_id"), "date", "x.value")
