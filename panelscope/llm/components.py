@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 
 from panelscope.llm.stash import stash
 
+#: A round's tasks are as many as the cluster runs twice over, or more if a task would get more links than this.
+LINKS_PER_TASK = 100_000
+
 
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -27,10 +30,11 @@ def _small_star(links: DataFrame) -> DataFrame:
     return near.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
-def _are_stars(links: DataFrame) -> bool:
+def _are_stars(links: DataFrame, tasks: int) -> bool:
     """Whether each node is linked to one root, and no root to another node."""
     ends = links.select(F.col("u").alias("id"), F.lit(1).alias("up")).unionByName(links.select(F.col("v").alias("id"), F.lit(0).alias("up")).distinct())
-    return ends.groupBy("id").agg(F.sum("up").alias("up"), F.count(F.lit(1)).alias("n")).where("up > 1 or (up = 1 and n > 1)").isEmpty()
+    odd = ends.groupBy("id").agg(F.sum("up").alias("up"), F.count(F.lit(1)).alias("n")).where("up > 1 or (up = 1 and n > 1)")
+    return odd.coalesce(tasks).agg(F.count(F.lit(1))).first()[0] == 0
 
 
 def components(links: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
@@ -41,7 +45,9 @@ def components(links: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     known = links.where(F.col(u).isNotNull() & F.col(v).isNotNull())
     at = known.select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v")).where("u > v")
     at = stash(at.distinct())
-    while not _are_stars(at):
-        at = stash(_small_star(stash(_large_star(at))))
+    # Few links need few tasks, whatever the number of shuffle partitions; rounds do not add links.
+    tasks = max(2 * links.sparkSession.sparkContext.defaultParallelism, -(-at.count() // LINKS_PER_TASK))
+    while not _are_stars(at, tasks):
+        at = stash(_small_star(_large_star(at).coalesce(tasks)).coalesce(tasks))
     roots = at.select(F.col("v").alias("id"), F.col("v").alias("root")).distinct()
     return at.select(F.col("u").alias("id"), F.col("v").alias("root")).unionByName(roots)
