@@ -251,8 +251,9 @@ def covered(docs: DataFrame, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
     """(texts, intervals): (key, text) of the texts with shared anchors, and (key, spans) of covered byte ranges."""
     keyed = docs.select(_key(F.col("text")).alias("key"), "text").where(F.octet_length("text") >= LENGTH)
     table = _anchor_table(keyed)
-    shared = table.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
-    places = stash(table.join(shared, "anchor", "left_semi").distinct())
+    # A table of its own, and an exchange by place behind the join, let Spark split the places of a frequent anchor.
+    shared = stash(table.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"))
+    places = stash(table.join(shared, "anchor", "left_semi").repartition("key", "pos").distinct())
     classes = places.groupBy("anchor", "context", "before", "after").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "pos")).alias("first"))
     classes = stash(classes.select("anchor", "context", "before", "after", "n", "first.key", "first.pos"))
     groups = classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("g"), F.min("n").alias("few")).where("g > 1 and few = 1").select("anchor", "g")
