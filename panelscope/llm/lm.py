@@ -1,10 +1,17 @@
 """Masked pseudo-likelihood of documents under a bidirectional window network (operator 9).
 
-Every word is predicted from the words on both sides of it, itself masked: embeddings of the ``len(OFFSETS)``
-neighbours, one table per offset, are added and squashed to a hidden vector. Words are hashed to ``CLASSES``
-squared classes; the high digit of the class is predicted from the hidden vector, the low digit from the hidden vector and
-the high digit, so a prediction is a proper distribution at the cost of two small softmaxes. The sum of the conditional
-log-probabilities of its words scores a document.
+Every word is predicted from the words on both sides of it, itself masked, in two steps. The first is its class: words are
+hashed to ``CLASSES`` squared classes, and embeddings of the ``len(OFFSETS)`` neighbours, one table per offset, are added and
+squashed to a hidden vector; the high digit of the class is predicted from it, the low digit from it and the high digit, so
+classes have a proper distribution at the cost of two small softmaxes.
+
+The second is the word within its class, by the counts of all words of the corpus: a word that stands there twice or more has its
+share of its class. What words that stand there once hold, and one more, is the share of all other words of the class, which are
+spelled by byte pairs counted over the corpus. A spelling is not told to keep out of the vocabulary or of other classes, so the
+probabilities of all words sum up to less than one, never to more. Costs are whole numbers of 1 / ``UNIT`` nats, so their sums are exact.
+
+The sum of the log-probabilities of its words scores a document. The vocabulary grows with the corpus and stays a table, joined to
+the documents' words; only words above a share of 1 / ``HOT`` of the corpus, no more than ``HOT`` of them, are broadcast.
 
 Training goes over all documents. Each task trains a copy of the network on its own texts (Adagrad, numpy), and the
 copies are averaged, weighted by their words, which is one round of federated averaging; the sums are formed in two
@@ -14,7 +21,9 @@ is one network, whose size is fixed by the constants here.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +31,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelscope.llm.shingles import U64, slices, text_bytes, word_hashes
+from panelscope.llm.shingles import U64, mix, slices, text_bytes, word_hashes, word_spans
+from panelscope.llm.stash import stash
 
 OFFSETS = (-2, -1, 1, 2)
 INPUTS = 4096  # rows of an embedding table; one more stands for places outside the text
@@ -32,6 +42,11 @@ BATCH = 16384
 RATE = 0.1
 BLOCK = 1024
 TASK_GROUPS = 32
+HOT = 20_000
+UNIT = 1 << 24
+EDGE = 256  # stands before the first and after the last byte of a word
+BYTES = EDGE + 1
+HELD = 1 << 20  # counts that a task holds before it hands them on
 
 
 def shapes() -> dict[str, tuple[int, ...]]:
@@ -67,7 +82,7 @@ def examples(words: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarra
         if lo < hi:
             same = rows[lo + off:hi + off] == rows[lo:hi]
             near[lo:hi, k] = np.where(same, ids[lo + off:hi + off], INPUTS)
-    classes = (words >> U64(20)) % U64(CLASSES * CLASSES)
+    classes = class_of(words)
     return near, (classes // U64(CLASSES)).astype(np.int32), (classes % U64(CLASSES)).astype(np.int32)
 
 
@@ -128,12 +143,120 @@ class Trainer:
         self.seen += len(high)
 
 
+@dataclass
+class Words:
+    """Words within their classes: ``table`` (word, cost) has the vocabulary but for the hot words, whose sorted hashes and
+    costs are here; ``other`` is the cost of leaving the vocabulary in each class, ``spelling`` that of each pair of bytes."""
+
+    table: DataFrame
+    hot: np.ndarray
+    hot_costs: np.ndarray
+    other: np.ndarray
+    spelling: np.ndarray
+
+
+@dataclass
+class Model:
+    net: dict[str, np.ndarray]
+    words: Words
+
+
+def class_of(words: np.ndarray) -> np.ndarray:
+    return (words >> U64(20)) % U64(CLASSES * CLASSES)
+
+
+def _pairs(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Codes of each byte and the one before it in its word, the first and past-the-last byte of the words, and codes of their ends."""
+    lower, first, last = word_spans(raw, offsets)
+    before = np.full(len(lower), EDGE, np.int64)
+    before[1:] = lower[:-1]
+    before[first] = EDGE
+    return before * BYTES + lower, first, last, lower[last - 1].astype(np.int64) * BYTES + EDGE
+
+
+def spelling_costs(spelling: np.ndarray, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Of each word, in order."""
+    if not len(raw):
+        return np.zeros(0, np.int64)
+    codes, first, last, ends = _pairs(raw, offsets)
+    sums = np.zeros(len(codes) + 1, np.int64)
+    np.cumsum(spelling[codes], out=sums[1:])
+    return sums[last] - sums[first] + spelling[ends]
+
+
+def _sums(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and the sum of the counts of each."""
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return keys[at], np.add.reduceat(counts, at) if len(at) else counts
+
+
 def _texts(docs: DataFrame, text_col: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
-def train(docs: DataFrame, *, text_col: str = "text") -> dict[str, np.ndarray]:
-    """The network trained on every text. Texts without words teach nothing; no words at all give the fresh network."""
+def count_words(docs: DataFrame, *, text_col: str = "text") -> Words:
+    """Counts of every word and every pair of bytes of the corpus, as costs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs, held, size = np.zeros(BYTES * BYTES, np.int64), [], 0
+
+        def rows(spelled: bool, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), spelled)), pa.array(keys.view(np.int64)), pa.array(counts)], ["spelled", "word", "n"])
+
+        for batch in batches:
+            for lo, hi in slices(batch.column(0)):
+                raw, offsets = text_bytes(batch.column(0).slice(lo, hi - lo))
+                words, _ = word_hashes(raw, offsets)
+                if not len(words):
+                    continue
+                codes, first, last, ends = _pairs(raw, offsets)
+                inside = np.zeros(len(codes) + 1, np.int8)
+                inside[first] += 1
+                inside[last] -= 1
+                pairs += np.bincount(codes[np.cumsum(inside[:-1]) > 0], minlength=len(pairs)) + np.bincount(ends, minlength=len(pairs))
+                held.append(_sums(words, np.ones(len(words), np.int64)))
+                size += len(held[-1][0])
+                if size >= HELD:
+                    held = [_sums(np.concatenate([k for k, _ in held]), np.concatenate([c for _, c in held]))]
+                    size = len(held[0][0])
+                    if size >= HELD // 2:
+                        yield rows(False, *held[0])
+                        held, size = [], 0
+        if held:
+            yield rows(False, *_sums(np.concatenate([k for k, _ in held]), np.concatenate([c for _, c in held])))
+        codes = np.flatnonzero(pairs)
+        yield rows(True, codes, pairs[codes])
+
+    counted = stash(_texts(docs, text_col).mapInArrow(run, "spelled boolean, word long, n long").groupBy("spelled", "word").agg(F.sum("n").alias("n")))
+    words = counted.where("not spelled")
+    pairs = np.ones((BYTES, BYTES))
+    for r in counted.where("spelled").collect():
+        pairs.ravel()[r["word"]] += r["n"]
+    spelling = np.ceil(-np.log(pairs / pairs.sum(axis=1, keepdims=True)) * UNIT).astype(np.int64).ravel()
+    kind = F.shiftrightunsigned("word", 20).bitwiseAND(F.lit(CLASSES * CLASSES - 1))
+    totals, once = np.zeros(CLASSES * CLASSES, np.int64), np.zeros(CLASSES * CLASSES, np.int64)
+    for r in words.groupBy(kind.alias("kind")).agg(F.sum("n").alias("n"), F.count(F.when(F.col("n") == 1, 1)).alias("once")).collect():
+        totals[r["kind"]], once[r["kind"]] = r["n"], r["once"]
+    logs = F.array(*[F.lit(math.log(n + 1)) for n in totals.tolist()])
+    cost = F.ceil((F.get(logs, kind.cast("int")) - F.log(F.col("n").cast("double"))) * F.lit(float(UNIT))).cast("long")
+    known = words.where("n > 1").select("word", "n", cost.alias("cost"))
+    limit = int(totals.sum()) // HOT
+    hot = known.where(F.col("n") > limit).select("word", "cost").toArrow()
+    keys, costs = hot.column("word").to_numpy().view(U64), hot.column("cost").to_numpy()
+    order = np.argsort(keys)
+    other = np.ceil((np.log(totals + 1.0) - np.log(once + 1.0)) * UNIT).astype(np.int64)
+    return Words(known.where(F.col("n") <= limit).select("word", "cost"), keys[order], costs[order], other, spelling)
+
+
+def train(docs: DataFrame, *, text_col: str = "text") -> Model:
+    """The network trained on every text, and the words counted over all. No words at all give the fresh network and spelled words."""
+    return Model(train_network(docs, text_col=text_col), count_words(docs, text_col=text_col))
+
+
+def train_network(docs: DataFrame, *, text_col: str = "text") -> dict[str, np.ndarray]:
+    """Texts without words teach nothing."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer = Trainer(fresh())
@@ -164,26 +287,55 @@ def train(docs: DataFrame, *, text_col: str = "text") -> dict[str, np.ndarray]:
     return unflat(np.concatenate([np.frombuffer(r["values"], "<f4").astype(np.float64) / r["seen"] for r in blocks]))
 
 
-def score(docs: DataFrame, net: dict[str, np.ndarray], *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, n_tokens, log_probability (summed over its words), mean_log_probability.
 
     Edge cases: null, empty and blank texts have no words, the sum 0 and a null mean; null and repeated ids give a row each; equal texts
     get equal scores; no rows give no rows; other columns are not read. Texts are scored whole.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(net)
+    known = model.words
+    shared = docs.sparkSession.sparkContext.broadcast((model.net, known.hot, known.hot_costs, known.other, known.spelling))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row for each text, with what its hot words cost, and one for each of its other words, with what it costs to spell."""
+        net, hot, hot_costs, other, spelling = shared.value
+        at = TaskContext.get().partitionId() << 40  # rows of the partition so far: the key of a text
         for batch in batches:
             column = batch.column(1)
             for lo, hi in slices(column):
-                words, rows = word_hashes(*text_bytes(column.slice(lo, hi - lo)))
+                raw, offsets = text_bytes(column.slice(lo, hi - lo))
+                words, rows = word_hashes(raw, offsets)
                 near, high, low = examples(words, rows)
-                each = [log_probabilities(shared.value, near[s:s + BATCH], high[s:s + BATCH], low[s:s + BATCH]) for s in range(0, len(high), BATCH)]
+                each = [log_probabilities(net, near[s:s + BATCH], high[s:s + BATCH], low[s:s + BATCH]) for s in range(0, len(high), BATCH)]
                 total = np.bincount(rows, np.concatenate(each).astype(np.float64), hi - lo) if each else np.zeros(hi - lo)
-                counts = np.bincount(rows, minlength=hi - lo)
-                mean = pa.array(np.where(counts > 0, total / np.maximum(counts, 1), 0.0), mask=counts == 0)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(counts.astype(np.int64)), pa.array(total), mean],
-                                                 ["doc_id", "n_tokens", "log_probability", "mean_log_probability"])
+                counts = np.bincount(rows, minlength=hi - lo).astype(np.int64)
+                place = np.minimum(np.searchsorted(hot, words), max(len(hot) - 1, 0))
+                found = hot[place] == words if len(hot) else np.zeros(len(words), bool)
+                costs = np.zeros(hi - lo, np.int64)
+                np.add.at(costs, rows[found], hot_costs[place[found]])
+                keys = at + np.arange(hi - lo, dtype=np.int64)
+                yield rows_of(keys, mix(keys.astype(U64)).view(np.int64), np.ones(hi - lo, np.int64), costs, batch.column(0).slice(lo, hi - lo),
+                              pa.array(counts), pa.array(total))
+                words, rows, spelled = words[~found], rows[~found], spelling_costs(spelling, raw, offsets)[~found]
+                order = np.lexsort((words, rows))
+                words, rows, spelled = words[order], rows[order], spelled[order]
+                if len(words):
+                    first = np.flatnonzero(np.concatenate([[True], (words[1:] != words[:-1]) | (rows[1:] != rows[:-1])]))
+                    times = np.diff(np.append(first, len(words)))
+                    words, rows, spelled = words[first], rows[first], spelled[first]
+                    none = pa.nulls(len(words), pa.int64())
+                    yield rows_of(keys[rows], words.view(np.int64), times, spelled + other[class_of(words).astype(np.int64)], none, none, pa.nulls(len(words), pa.float64()))
+                at += hi - lo
+
+    def rows_of(key, word, times, cost, *rest) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(key), pa.array(word), pa.array(times, pa.int64()), pa.array(cost), *rest],
+                                          ["key", "word", "times", "cost", "doc_id", "n_tokens", "classes"])
 
     chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return chosen.mapInArrow(run, "doc_id long, n_tokens long, log_probability double, mean_log_probability double").withColumnRenamed("doc_id", id_col)
+    each = chosen.mapInArrow(run, "key long, word long, times long, cost long, doc_id long, n_tokens long, classes double")
+    table = known.table.withColumnsRenamed({"word": "_word", "cost": "_cost"})
+    joined = each.join(table, F.col("word") == F.col("_word"), "left")
+    cost = F.when(F.col("n_tokens").isNull(), F.coalesce("_cost", "cost") * F.col("times")).otherwise(F.col("cost"))
+    out = joined.groupBy("key").agg(F.sum(cost).alias("cost"), F.max("doc_id").alias(id_col), F.max("n_tokens").alias("n_tokens"), F.max("classes").alias("classes"))
+    out = out.withColumn("log_probability", F.col("classes") - F.col("cost") / F.lit(float(UNIT)))
+    return out.select(id_col, "n_tokens", "log_probability", F.when(F.col("n_tokens") > 0, F.col("log_probability") / F.col("n_tokens")).alias("mean_log_probability"))

@@ -60,11 +60,9 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, offsets.astype(np.int64) - lo
 
 
-def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each word and the row it is in, in order."""
+def word_spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The lower-cased bytes, and the first and the past-the-last byte of each word, in order."""
     n = len(raw)
-    if n == 0:
-        return np.zeros(0, U64), np.zeros(0, np.int64)
     space = (raw == 32) | ((raw >= 9) & (raw <= 13))
     lower = raw + ((raw >= 65) & (raw <= 90)).astype(np.uint8) * np.uint8(32)
     cut = np.zeros(n + 1, bool)
@@ -73,7 +71,15 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     begin[1:] &= space[:-1] | cut[1:n]
     end = ~space
     end[:-1] &= space[1:] | cut[1:n]
-    first, last = np.flatnonzero(begin), np.flatnonzero(end) + 1
+    return lower, np.flatnonzero(begin), np.flatnonzero(end) + 1
+
+
+def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each word and the row it is in, in order."""
+    n = len(raw)
+    if n == 0:
+        return np.zeros(0, U64), np.zeros(0, np.int64)
+    lower, first, last = word_spans(raw, offsets)
     up, down = _powers(n + 1)
     sums = np.zeros(n + 1, U64)
     np.cumsum((lower.astype(U64) + U64(1)) * up[:n], out=sums[1:])

@@ -461,6 +461,38 @@ def test_scores_prefer_ordered_text_on_held_out_documents(spark):
     assert by[3].log_probability == pytest.approx(by[3].mean_log_probability * by[3].n_tokens) and by[3].n_tokens == 120
 
 
+def one_word(spark, model, words):
+    rows = lm.score(documents(spark, words), model).collect()
+    return {words[r.doc_id]: r.log_probability for r in rows}
+
+
+def test_words_have_their_own_probabilities(spark, monkeypatch):
+    monkeypatch.setattr(lm, "HOT", 50)
+    words = [f"w{i}" for i in range(2000)]
+    counts = Counter({w: 2 + i % 9 for i, w in enumerate(words)})
+    counts["once"], counts["the"] = 1, 3000
+    tokens = [w for w, c in counts.items() for _ in range(c)]
+    random.Random(2).shuffle(tokens)
+    docs = documents(spark, [" ".join(tokens[i:i + 50]) for i in range(0, len(tokens), 50)])
+    model = lm.Model(lm.fresh(), lm.count_words(docs.repartition(3)))
+    assert len(model.words.hot) == 1 and model.words.table.count() == 2000
+    hashes = {w: int(lm.word_hashes(*lm.text_bytes(lm.pa.array([w])))[0][0]) for w in [*counts, "zqxjk"]}
+    kinds = {w: (h >> 20) % lm.CLASSES**2 for w, h in hashes.items()}
+    sizes, once = Counter(), Counter()
+    for w, c in counts.items():
+        sizes[kinds[w]] += c
+        once[kinds[w]] += c == 1
+    got = one_word(spark, model, [*counts, "zqxjk", "zqxjq"])
+    near = np.full((1, len(lm.OFFSETS)), lm.INPUTS, np.int32)
+    for w in words[:300] + ["the"]:
+        k = kinds[w]
+        of_class = float(lm.log_probabilities(model.net, near, np.array([k // lm.CLASSES]), np.array([k % lm.CLASSES]))[0])
+        assert got[w] == pytest.approx(of_class + np.log(counts[w] / (sizes[k] + 1)), abs=1e-5), w
+    same = next((a, b) for a in words for b in words if a != b and kinds[a] == kinds[b] and counts[a] > counts[b])
+    assert got[same[0]] > got[same[1]] and got["zqxjk"] < min(got[w] for w in words) and got["zqxjk"] != got["zqxjq"]
+    assert sum(np.exp(x) for x in got.values()) < 1
+
+
 # ------------------------------------------------------------------ awkward inputs
 
 OPERATORS = {
