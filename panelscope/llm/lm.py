@@ -13,10 +13,13 @@ probabilities of all words sum up to less than one, never to more. Costs are who
 The sum of the log-probabilities of its words scores a document. The vocabulary grows with the corpus and stays a table, joined to
 the documents' words; only words above a share of 1 / ``HOT`` of the corpus, no more than ``HOT`` of them, are broadcast.
 
-Training goes over all documents. Each task trains a copy of the network on its own texts (Adagrad, numpy), and the
-copies are averaged, weighted by their words, which is one round of federated averaging; the sums are formed in two
-stages, by block of parameters and group of tasks, so no task gathers all copies. What comes to the driver and is broadcast
-is one network, whose size is fixed by the constants here.
+Training goes over all documents, in parts of about ``PART_WORDS`` words. A text's part and its place there follow from a hash of text
+and id, so neither files nor splits of the input have a say. In a round every part trains a copy of the network of the last round on
+its own texts (Adagrad, numpy), and the copies and their sums of squares are averaged, weighted by words. Rounds go on until one
+lowers the mean loss over all words, taken before each step of the first pass, by less than ``FALL`` nats. A part with few words
+goes over them again within a round, up to ``STEPS`` steps. The sums are formed in two stages, by
+block of parameters and group of parts, so no task gathers all copies. What comes to the driver and is broadcast is one network and
+its squares, whose size is fixed by the constants here.
 """
 
 from __future__ import annotations
@@ -33,6 +36,7 @@ from pyspark.sql import functions as F
 
 from panelscope.llm.shingles import U64, mix, slices, text_bytes, word_hashes, word_spans
 from panelscope.llm.stash import stash
+from panelscope.session import ensure_checkpoint_dir
 
 OFFSETS = (-2, -1, 1, 2)
 INPUTS = 4096  # rows of an embedding table; one more stands for places outside the text
@@ -42,6 +46,10 @@ BATCH = 16384
 RATE = 0.1
 BLOCK = 1024
 TASK_GROUPS = 32
+PART_WORDS = 1 << 23
+FED_WORDS = 1 << 18  # texts are handed to the trainer together up to so many words
+FALL = 0.02
+STEPS = 64
 HOT = 20_000
 UNIT = 1 << 24
 EDGE = 256  # stands before the first and after the last byte of a word
@@ -72,18 +80,33 @@ def unflat(values: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
-def examples(words: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def codes_of(words: np.ndarray) -> np.ndarray:
+    """All that the network sees of words: the input row in the low bits, the class above."""
+    return (words % U64(INPUTS)).astype(np.int32) + class_of(words).astype(np.int32) * np.int32(INPUTS)
+
+
+def examples(codes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Neighbours (tokens, offsets) and the two digits of each word's class."""
-    n = len(words)
-    ids = (words % U64(INPUTS)).astype(np.int32)
+    n = len(codes)
+    ids, classes = codes % INPUTS, codes // INPUTS
     near = np.full((n, len(OFFSETS)), INPUTS, np.int32)
     for k, off in enumerate(OFFSETS):
         lo, hi = max(0, -off), min(n, n - off)
         if lo < hi:
             same = rows[lo + off:hi + off] == rows[lo:hi]
             near[lo:hi, k] = np.where(same, ids[lo + off:hi + off], INPUTS)
-    classes = class_of(words)
-    return near, (classes // U64(CLASSES)).astype(np.int32), (classes % U64(CLASSES)).astype(np.int32)
+    return near, classes // CLASSES, classes % CLASSES
+
+
+def packed(codes: np.ndarray) -> np.ndarray:
+    """Three bytes for each word."""
+    return codes.astype("<i4").view(np.uint8).reshape(-1, 4)[:, :3]
+
+
+def unpacked(values: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(values) // 3, 4), np.uint8)
+    out[:, :3] = values.reshape(-1, 3)
+    return out.view("<i4").ravel()
 
 
 def _log_softmax(x: np.ndarray) -> np.ndarray:
@@ -108,9 +131,15 @@ def log_probabilities(net: dict[str, np.ndarray], near: np.ndarray, high: np.nda
 
 def gradients(net: dict[str, np.ndarray], near: np.ndarray, high: np.ndarray, low: np.ndarray) -> dict[str, np.ndarray]:
     """Of the mean negative log-probability."""
+    return loss_and_gradients(net, near, high, low)[1]
+
+
+def loss_and_gradients(net: dict[str, np.ndarray], near: np.ndarray, high: np.ndarray, low: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
+    """The summed negative log-probability, and the gradients of its mean."""
     n = len(high)
     at = np.arange(n)
     hidden, second, a, b = forward(net, near, high)
+    loss = -float(a[at, high].sum(dtype=np.float64) + b[at, low].sum(dtype=np.float64))
     da, db = np.exp(a), np.exp(b)
     da[at, high] -= 1
     db[at, low] -= 1
@@ -124,22 +153,29 @@ def gradients(net: dict[str, np.ndarray], near: np.ndarray, high: np.ndarray, lo
         digit[:, h] = np.bincount(high, d_second[:, h], CLASSES)
         for k in range(len(OFFSETS)):
             embed[k, :, h] = np.bincount(near[:, k], d_total[:, h], INPUTS + 1)
-    return grad | {"digit": digit, "embed": embed}
+    return loss, grad | {"digit": digit, "embed": embed}
+
+
+def no_squares() -> dict[str, np.ndarray]:
+    return {n: np.full(s, 1e-6, np.float32) for n, s in shapes().items()}
 
 
 class Trainer:
-    """Adagrad over minibatches; the last, smaller batch counts too."""
+    """Adagrad over minibatches, from a network and its sums of squares; the last, smaller batch counts too."""
 
-    def __init__(self, net: dict[str, np.ndarray]):
-        self.net, self.seen = net, 0
-        self.squares = {n: np.full(w.shape, 1e-6, np.float32) for n, w in net.items()}
+    def __init__(self, net: dict[str, np.ndarray], squares: dict[str, np.ndarray]):
+        self.net, self.squares = net, squares
+        self.seen, self.steps, self.loss = 0, 0, 0.0
 
     def learn(self, near: np.ndarray, high: np.ndarray, low: np.ndarray) -> None:
         for s in range(0, len(high), BATCH):
             e = s + BATCH
-            for n, g in gradients(self.net, near[s:e], high[s:e], low[s:e]).items():
+            loss, grad = loss_and_gradients(self.net, near[s:e], high[s:e], low[s:e])
+            for n, g in grad.items():
                 self.squares[n] += g * g
                 self.net[n] -= RATE * g / np.sqrt(self.squares[n])
+            self.loss += loss
+            self.steps += 1
         self.seen += len(high)
 
 
@@ -153,6 +189,7 @@ class Words:
     hot_costs: np.ndarray
     other: np.ndarray
     spelling: np.ndarray
+    n_tokens: int
 
 
 @dataclass
@@ -247,44 +284,101 @@ def count_words(docs: DataFrame, *, text_col: str = "text") -> Words:
     keys, costs = hot.column("word").to_numpy().view(U64), hot.column("cost").to_numpy()
     order = np.argsort(keys)
     other = np.ceil((np.log(totals + 1.0) - np.log(once + 1.0)) * UNIT).astype(np.int64)
-    return Words(known.where(F.col("n") <= limit).select("word", "cost"), keys[order], costs[order], other, spelling)
+    return Words(known.where(F.col("n") <= limit).select("word", "cost"), keys[order], costs[order], other, spelling, int(totals.sum()))
 
 
-def train(docs: DataFrame, *, text_col: str = "text") -> Model:
+def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """The network trained on every text, and the words counted over all. No words at all give the fresh network and spelled words."""
-    return Model(train_network(docs, text_col=text_col), count_words(docs, text_col=text_col))
+    words = count_words(docs, text_col=text_col)
+    return Model(train_network(docs, words.n_tokens, id_col=id_col, text_col=text_col), words)
 
 
-def train_network(docs: DataFrame, *, text_col: str = "text") -> dict[str, np.ndarray]:
-    """Texts without words teach nothing."""
+def _parts(docs: DataFrame, n_tokens: int, id_col: str, text_col: str) -> DataFrame:
+    """(codes): the packed words of each text that has some. A partition is a part, in the order of a hash of text and id.
+
+    Rows with equal texts and equal ids are in one part.
+    """
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(1)
+            for lo, hi in slices(column):
+                words, rows = word_hashes(*text_bytes(column.slice(lo, hi - lo)))
+                ends = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=hi - lo)) * 3])
+                data = np.ascontiguousarray(packed(codes_of(words)))
+                codes = pa.Array.from_buffers(pa.binary(), hi - lo, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data)])
+                out = pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), codes], ["place", "codes"])
+                yield out.filter(pa.array(np.diff(ends) > 0))
+
+    parts = max(1, -(-n_tokens // PART_WORDS))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    chosen = docs.select(F.xxhash64(text, F.col(id_col)).alias("place"), text.alias("text")).mapInArrow(encode, "place long, codes binary")
+    dealt = chosen.repartitionById(parts, F.pmod("place", F.lit(parts)).cast("int")).sortWithinPartitions("place", "codes")
+    ensure_checkpoint_dir(docs.sparkSession)
+    return dealt.select("codes").checkpoint()
+
+
+def train_network(docs: DataFrame, n_tokens: int, *, id_col: str = "doc_id", text_col: str = "text") -> dict[str, np.ndarray]:
+    """Rounds over every text of ``docs``, which have ``n_tokens`` words. Texts without words teach nothing."""
+    net, squares, last = fresh(), no_squares(), math.inf
+    if not n_tokens:
+        return net
+    parts = _parts(docs, n_tokens, id_col, text_col)
+    while True:
+        net, squares, loss = _round(parts, net, squares)
+        if loss > last - FALL:
+            return net
+        last = loss
+
+
+def _round(parts: DataFrame, net: dict[str, np.ndarray], squares: dict[str, np.ndarray]) -> tuple[dict[str, np.ndarray], dict[str, np.ndarray], float]:
+    """The averages of the networks that the parts train, and of their squares, and the mean loss."""
+    shared = parts.sparkSession.sparkContext.broadcast((net, squares))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trainer = Trainer(fresh())
+        trainer = Trainer(*({n: w.copy() for n, w in x.items()} for x in shared.value))
+        held, size = [], 0
+        fed: list[tuple[np.ndarray, ...]] = []  # all of a part with few words
+
+        def learn() -> None:
+            rows = np.repeat(np.arange(len(held)), [len(x) // 3 for x in held])
+            fed.append(examples(unpacked(np.concatenate(held)), rows))
+            trainer.learn(*fed[-1])
+            if trainer.steps >= STEPS:
+                fed.clear()
+
         for batch in batches:
-            for lo, hi in slices(batch.column(0)):
-                words, rows = word_hashes(*text_bytes(batch.column(0).slice(lo, hi - lo)))
-                trainer.learn(*examples(words, rows))
-        if trainer.seen:
-            values = flat(trainer.net) * np.float32(trainer.seen)
+            for x in batch.column(0):
+                held.append(np.frombuffer(x.as_buffer(), np.uint8))
+                size += len(held[-1]) // 3
+                if size >= FED_WORDS:
+                    learn()
+                    held, size = [], 0
+        if held:
+            learn()
+        seen, loss = trainer.seen, trainer.loss
+        while fed and trainer.steps < STEPS:
+            for x in fed:
+                trainer.learn(*x)
+        if seen:
+            values = np.concatenate([flat(trainer.net), flat(trainer.squares)]) * np.float32(seen)
             cuts = [values[s:s + BLOCK].astype("<f4").tobytes() for s in range(0, len(values), BLOCK)]
-            task = TaskContext.get().partitionId()
+            part, n = TaskContext.get().partitionId(), len(cuts)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(len(cuts), dtype=np.int32)), pa.array(np.full(len(cuts), task, np.int32)),
-                 pa.array(np.full(len(cuts), trainer.seen, np.int64)), pa.array(cuts, pa.binary())], ["block", "task", "seen", "values"])
+                [pa.array(np.arange(n, dtype=np.int32)), pa.array(np.full(n, part, np.int32)), pa.array(np.full(n, seen, np.int64)),
+                 pa.array(np.full(n, loss)), pa.array(cuts, pa.binary())], ["block", "part", "seen", "loss", "values"])
 
     def add(table: pa.Table) -> pa.Table:
-        table = table.sort_by("task")  # the same order of sums in every run
+        table = table.sort_by("part")  # the same order of sums in every run
         total = np.sum([np.frombuffer(v, "<f4").astype(np.float64) for v in table.column("values").to_pylist()], axis=0)
-        return pa.table({"block": table.column("block")[:1], "task": table.column("task")[:1],
-                         "seen": pa.array([sum(table.column("seen").to_pylist())], pa.int64()), "values": pa.array([total.astype("<f4").tobytes()], pa.binary())})
+        return pa.table({"block": table.column("block")[:1], "part": table.column("part")[:1], "seen": pa.array([sum(table.column("seen").to_pylist())], pa.int64()),
+                         "loss": pa.array([sum(table.column("loss").to_pylist())], pa.float64()), "values": pa.array([total.astype("<f4").tobytes()], pa.binary())})
 
-    schema = "block int, task int, seen long, values binary"
-    copies = _texts(docs, text_col).mapInArrow(run, schema)
-    partial = copies.groupBy("block", F.pmod("task", F.lit(TASK_GROUPS)).alias("group")).applyInArrow(add, schema)
+    schema = "block int, part int, seen long, loss double, values binary"
+    partial = parts.mapInArrow(run, schema).groupBy("block", F.pmod("part", F.lit(TASK_GROUPS)).alias("group")).applyInArrow(add, schema)
     blocks = sorted(partial.groupBy("block").applyInArrow(add, schema).collect(), key=lambda r: r["block"])
-    if not blocks:
-        return fresh()
-    return unflat(np.concatenate([np.frombuffer(r["values"], "<f4").astype(np.float64) / r["seen"] for r in blocks]))
+    shared.destroy()
+    mean = np.concatenate([np.frombuffer(r["values"], "<f4").astype(np.float64) / r["seen"] for r in blocks])
+    return unflat(mean[:len(mean) // 2]), unflat(mean[len(mean) // 2:]), blocks[0]["loss"] / blocks[0]["seen"]
 
 
 def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -305,7 +399,7 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
             for lo, hi in slices(column):
                 raw, offsets = text_bytes(column.slice(lo, hi - lo))
                 words, rows = word_hashes(raw, offsets)
-                near, high, low = examples(words, rows)
+                near, high, low = examples(codes_of(words), rows)
                 each = [log_probabilities(net, near[s:s + BATCH], high[s:s + BATCH], low[s:s + BATCH]) for s in range(0, len(high), BATCH)]
                 total = np.bincount(rows, np.concatenate(each).astype(np.float64), hi - lo) if each else np.zeros(hi - lo)
                 counts = np.bincount(rows, minlength=hi - lo).astype(np.int64)

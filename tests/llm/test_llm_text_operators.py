@@ -493,6 +493,21 @@ def test_words_have_their_own_probabilities(spark, monkeypatch):
     assert sum(np.exp(x) for x in got.values()) < 1
 
 
+def test_training_rests_on_all_texts_whatever_the_splits(spark, monkeypatch):
+    monkeypatch.setattr(lm, "PART_WORDS", 4000)
+    losses = []
+    one = lm._round
+    monkeypatch.setattr(lm, "_round", lambda *a: (out := one(*a), losses.append(out[2]))[0])
+    rnd = random.Random(6)
+    texts = [" ".join(f"w{(3 * i + k) % 30}" for k in range(rnd.randint(20, 60))) for i in range(300)]
+    docs = documents(spark, texts)
+    net = lm.train(docs.repartition(12)).net
+    rounds, fell = len(losses), losses[0] - losses[-1]
+    other = lm.train(docs.orderBy(F.desc("doc_id")).coalesce(1)).net
+    assert rounds > 2 and losses[:rounds] == losses[rounds:] and fell > 1
+    assert all(np.array_equal(net[n], other[n]) for n in net)
+
+
 # ------------------------------------------------------------------ awkward inputs
 
 OPERATORS = {
