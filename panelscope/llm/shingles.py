@@ -96,7 +96,7 @@ def shingle_hashes(words: np.ndarray, rows: np.ndarray, n_rows: int, width: int)
     n = len(words)
     rolled = np.full(n, U64(width))
     fits = np.arange(n)
-    for k in range(width):
+    for k in range(min(width, n)):
         rolled[:n - k] = rolled[:n - k] * BASE + words[k:]
     whole = np.zeros(n, bool)
     if n >= width:
