@@ -17,8 +17,8 @@ from panelscope.llm.text import read
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected documents go; lines above the limits go from the others."""
-    return quality.filter_documents(docs)
+    """Rejected documents go; lines above the limits go from the others. The share of a host guards only lines of less than five words."""
+    return quality.filter_documents(docs, limits=quality.Limits(alone_words=5))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

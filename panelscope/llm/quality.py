@@ -27,13 +27,17 @@ WINDOW = 5
 class Limits:
     """A line is removed in a host if it is in more than ``min_docs`` documents and in more than
     ``doc_share`` of the host's documents. A document is depleted if less than ``min_left`` of its words
-    are left. ``min_words`` and ``max_repeat_percent`` are the base rules."""
+    are left. ``min_words`` and ``max_repeat_percent`` are the base rules.
+
+    With ``alone_words``, the number of documents decides alone for lines of so many words or more: the share, which
+    lets a line through in ever more documents as the host grows, then guards only shorter lines."""
 
     min_words: int = 10
     max_repeat_percent: int = 20
     min_docs: int = 20
     doc_share: float = 0.1
     min_left: float = 0.3
+    alone_words: int | None = None
 
 
 def n_dup_lines(text: Column) -> Column:
@@ -92,7 +96,7 @@ def line_key(line: Column) -> Column:
 
 
 def document_lines(docs: DataFrame, host_col: str, text_col: str) -> DataFrame:
-    """(host, doc, line, words): words of each distinct line of each text, over all copies of the text.
+    """(host, doc, line, words, width): words of each distinct line of each text, over all copies of the text, and in the line once.
 
     A row with a null line holds the number of copies.
     """
@@ -102,16 +106,19 @@ def document_lines(docs: DataFrame, host_col: str, text_col: str) -> DataFrame:
     copies = F.array(F.struct(F.lit(None).cast("long").alias("line"), F.lit(1).cast("long").alias("words")))
     rows = docs.select(F.col(host_col).alias("host"), F.xxhash64(text, F.length(text)).alias("doc"),
                        F.explode(F.concat(F.filter(each, lambda x: x["words"] > 0), copies)).alias("x"))
-    return rows.groupBy("host", "doc", F.col("x.line").alias("line")).agg(F.sum("x.words").alias("words"))
+    return rows.groupBy("host", "doc", F.col("x.line").alias("line")).agg(F.sum("x.words").alias("words"), F.min("x.words").alias("width"))
 
 
 def frequent_lines(lines: DataFrame, limits: Limits) -> DataFrame:
     """(host, line) of the lines above the limits."""
     hosts = lines.where("line is null").groupBy("host").agg(F.count(F.lit(1)).alias("n_host"))
-    counts = lines.where("line is not null").groupBy("host", "line").agg(F.count(F.lit(1)).alias("n_docs"))
+    counts = lines.where("line is not null").groupBy("host", "line").agg(F.count(F.lit(1)).alias("n_docs"), F.min("width").alias("width"))
     counts = counts.where(F.col("n_docs") > limits.min_docs)
+    share = F.col("n_docs") > F.lit(limits.doc_share) * F.col("n_host")
+    if limits.alone_words is not None:
+        share = share | (F.col("width") >= limits.alone_words)
     return (counts.join(hosts.withColumnRenamed("host", "_host"), counts["host"].eqNullSafe(F.col("_host")))
-            .where(F.col("n_docs") > F.lit(limits.doc_share) * F.col("n_host")).select("host", "line"))
+            .where(share).select("host", "line"))
 
 
 def depletion(docs: DataFrame, limits: Limits, host_col: str, text_col: str) -> DataFrame:
