@@ -33,14 +33,15 @@ SAME_LEVEL = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"})
               "tbody": ({"thead", "tbody", "tr", "td", "th"}, {"table"}), "tfoot": ({"thead", "tbody", "tr", "td", "th"}, {"table"})}
 FORMATTING = {"a", "b", "big", "code", "em", "font", "i", "s", "small", "span", "strike", "strong", "tt", "u", "q", "cite", "sub", "sup", "abbr", "mark", "time"}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "menu", "menubar", "dialog", "alert", "alertdialog"}
-NAMES = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "adsense", "adbox", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "cookie",
+NAMES = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "adsense", "adbox", "banner", "breadcrumb", "breadcrumbs", "cookie",
          "cookies", "consent", "disqus", "footer", "footnav", "gdpr", "header", "masthead", "menu", "menus", "modal", "nav", "navbar", "navigation",
-         "newsletter", "notice", "notices", "notification", "pagination", "pager", "popup", "promo", "promotion", "related", "respond", "replies",
+         "newsletter", "notice", "notices", "notification", "pagination", "pager", "popup", "promo", "promotion", "related",
          "share", "sharing", "shoutbox", "sidebar", "signup", "skyscraper", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget", "widgets"}
-#: Beginnings that stand for longer names too (commentlist, sidebar2, cookiebar).
-STEMS = ("advert", "banner", "breadcrumb", "comment", "cookie", "disqus", "footer", "masthead", "menu", "navbar", "navigation", "newsletter", "popup",
+#: Beginnings that stand for longer names too (sidebar2, cookiebar).
+STEMS = ("advert", "banner", "breadcrumb", "cookie", "footer", "masthead", "menu", "navbar", "navigation", "newsletter", "popup",
          "promo", "sidebar", "sponsor", "subscri")
-READERS = ("comment", "disqus", "respond", "replies", "reply")
+#: What readers wrote: whole parts of names, since longer ones mean other things (commentary).
+READERS = {"comment", "comments", "commentlist", "commentform", "commentarea", "commentsection", "commentbox", "disqus", "respond", "replies", "reply"}
 NOT_ITSELF = ("has", "with", "no", "without", "is", "hide", "show")
 KEPT_CONTAINERS = {"html", "body", "main"}
 PARAGRAPHS = {"p", "pre", "blockquote", "li", "td", "dd", "h1", "h2", "h3", "h4", "h5", "h6", "figcaption"}
@@ -66,7 +67,7 @@ class Node:
 
 
 def _boilerplate(tag: str, attributes: str) -> str:
-    """Why an element is left out: "" (it is not), "sure", or "named" or "header", which what it holds may overrule."""
+    """Why an element is left out: "" (it is not), "sure", or "named", "header" or "readers", which what it holds may overrule."""
     if tag == "header":
         return "header"
     if tag in DROPPED:
@@ -87,8 +88,8 @@ def _boilerplate(tag: str, attributes: str) -> str:
         elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
             return "sure"
     hits = {n for n in names if n in NAMES or n.startswith(STEMS)}
-    if any(n.startswith(READERS) for n in hits):
-        return "sure"
+    if names & READERS:
+        return "readers"
     if tag == "article":
         return "sure" if names & {"ad", "advert", "promo", "sponsored"} else ""
     return "header" if hits and hits <= {"header", "masthead"} else "named" if hits else ""
@@ -129,8 +130,8 @@ def parse(page: str) -> Node:
         elif tag not in VOID and not (m[3].endswith("/") and tag not in BLOCKS and tag not in FORMATTING):
             at = node
     for node, reason in reversed(unsure):  # inner ones first
-        if reason == "header" and _inside(node.parent, "article"):
-            holds = ("h1",)  # an article's own header is kept if it has the article's title
+        if reason == "readers" or reason == "header" and _inside(node.parent, "article"):
+            holds = ("h1",)  # kept if it has the article's title: an article's own header, and what is named for comments around it
         else:
             holds = ("article", "main")  # a page may be wrapped in an element named for one of its parts
         node.dropped = not any(x.tag in holds for x, _ in walk(node))
