@@ -8,12 +8,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelscope.llm import bpe, html, lm, mixing, neardup, pii, quality, repeats, urls, vectors
+from panelscope.llm import alignment, bpe, html, lm, mixing, neardup, pii, quality, repeats, urls, vectors
 from panelscope.llm.text import read
 
 #: Folder of the public vocabulary files.
 TOKENIZER_DIR = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 BPE_FILE = "byte_bpe_50k.json"
+PIECE_FILE = "piece_bpe_32k.model"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -155,3 +156,8 @@ JOIN (SELECT u, min(vec_id) AS component_id FROM reach JOIN n ON reach.v = n.r G
 @query("op10_embedding_neardup", OP10_SQL)
 def op10_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(read(spark, sf_dir, "embeddings"))
+
+
+@query("op12_alignment")
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.link_report(read(spark, sf_dir, "documents"), os.path.join(TOKENIZER_DIR, BPE_FILE), os.path.join(TOKENIZER_DIR, PIECE_FILE))
