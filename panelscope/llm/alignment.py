@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from panelscope.llm.bpe import byte_characters
 from panelscope.llm.shingles import slices
 from panelscope.llm.stash import stash
+from panelscope.llm.worker import kept
 
 #: Bytes of a range, and fragments that one task composes at a level of the tree.
 RANGE = 1 << 16
@@ -186,16 +187,9 @@ class Pair:
         return out
 
 
-_PAIRS: dict[tuple[bytes, bytes], Pair] = {}
-
-
 def pair(files: tuple[bytes, bytes]) -> Pair:
     """The worker's tokenizers, loaded once."""
-    key = tuple(hashlib.md5(f).digest() for f in files)
-    if key not in _PAIRS:
-        _PAIRS.clear()
-        _PAIRS[key] = Pair(*files)
-    return _PAIRS[key]
+    return kept("tokenizer pair", tuple(hashlib.md5(f).digest() for f in files), lambda: Pair(*files))
 
 
 class _Block:

@@ -21,7 +21,7 @@ TABLES = ["documents", "embeddings", "pages", "benchmark", "labels", "conversati
 def test_registered_queries():
     q, o = entry_mod.queries(), entry_mod.oracle_sql()
     assert set(QUERIES) <= set(q) and "pipeline" in q and set(ORACLES) <= set(o)
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.skipif(not os.path.exists(SF), reason="driver tables not present")
