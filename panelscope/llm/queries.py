@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelscope.llm import alignment, bpe, html, lm, mixing, neardup, pii, quality, repeats, spelling, urls, vectors
+from panelscope.llm import alignment, bpe, html, licenses, lm, mixing, neardup, pii, quality, repeats, spelling, urls, vectors
 from panelscope.llm.text import read
 
 #: Folder of the public vocabulary files.
@@ -158,6 +158,11 @@ def op10_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(read(spark, sf_dir, "embeddings"))
 
 
+@query("op11_license_scan")
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_report(read(spark, sf_dir, "documents"))
+
+
 @query("op12_alignment")
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.link_report(read(spark, sf_dir, "documents"), os.path.join(TOKENIZER_DIR, BPE_FILE), os.path.join(TOKENIZER_DIR, PIECE_FILE))
