@@ -168,12 +168,13 @@ def q_rake_one(spark, d):
     return raked_one(spark, d)
 
 
-def rake_sql(dims: list[str], official_cte: str, max_iter: int = 100, tolerance: float = 1e-6) -> str:
+def rake_sql(dims: list[str], official_cte: str | dict[str, str], max_iter: int = 100, tolerance: float = 1e-6) -> str:
     """CTEs up to ``fitted``: cells with their weight, rounds and last change, by a recursive query with the same stop rule."""
+    table = official_cte if isinstance(official_cte, dict) else {d: official_cte for d in dims}
     keys = ["ref_date", "quarter"] + dims
     kl = ", ".join(keys)
     margins = [f"""m_{d} AS (SELECT ref_date, quarter, {d}, CAST(sum(qcew_employment) AS DOUBLE) AS q_{d}
-                    FROM {official_cte} GROUP BY ref_date, quarter, {d})""" for d in dims]
+                    FROM {table[d]} GROUP BY ref_date, quarter, {d})""" for d in dims]
     joins = " ".join(f"LEFT JOIN m_{d} USING (ref_date, quarter, {d})" for d in dims)
     qs = ", ".join(f"q_{d}" for d in dims)
     change = []
@@ -192,30 +193,39 @@ def rake_sql(dims: list[str], official_cte: str, max_iter: int = 100, tolerance:
         QUALIFY it = max(it) OVER (PARTITION BY ref_date, quarter))"""
 
 
-def raked_sql(dims: list[str], official_cte: str) -> str:
+def raked_sql(dims: list[str], official_cte: str | dict[str, str], weight: str = "coalesce(f.w, 1.0)") -> str:
     on = " AND ".join(f"p.{x} IS NOT DISTINCT FROM f.{x}" for x in ["ref_date", "quarter"] + dims)
-    return (f"WITH RECURSIVE {rake_sql(dims, official_cte)}\n    SELECT p.*, coalesce(f.w, 1.0) AS rake_weight, f.rounds, f.converged "
+    return (f"WITH RECURSIVE {rake_sql(dims, official_cte)}\n    SELECT p.*, {weight} AS rake_weight, f.rounds, f.converged "
             f"FROM payroll p LEFT JOIN fitted f ON {on}")
 
 
 def convergence_sql(dims: list[str], official_cte: str) -> str:
-    return (f"WITH RECURSIVE {rake_sql(dims, official_cte)}\n    SELECT DISTINCT ref_date, quarter, rounds, converged, "
-            "CASE WHEN converged THEN 0.0 ELSE last_change END AS last_change FROM fitted")
+    return f"WITH RECURSIVE {rake_sql(dims, official_cte)}\n    SELECT DISTINCT ref_date, quarter, rounds, converged FROM fitted"
 
 
 TWO_DIMS = ["supersector", "state_fips"]
+THREE_DIMS = ["supersector", "state_fips", "size_class"]
+THREE_TABLES = {"supersector": "off_supersector_state", "state_fips": "off_supersector_state", "size_class": "off_size_class"}
 
 
 @register("rake_two_dims", raked_sql(TWO_DIMS, "off_supersector_state"))
 def q_rake_two(spark, d):
+    """Without the last change: below the tolerance it is rounding noise, which no two engines share; tests compare it with an absolute tolerance."""
     return R.rake_to_qcew(payroll(spark, d), official(spark, d, TWO_DIMS, "state"), TWO_DIMS, report=True).drop("last_change")
 
 
+@register("rake_three_dims", raked_sql(THREE_DIMS, THREE_TABLES, "CASE WHEN f.converged THEN coalesce(f.w, 1.0) END"))
+def q_rake_three(spark, d):
+    """Industry and state margins of the state slice, size margins of the size slice (first quarters only); weights of converged months."""
+    by_state = official(spark, d, TWO_DIMS, "state")
+    tables = {"supersector": by_state, "state_fips": by_state, "size_class": official(spark, d, ["size_class"], "size")}
+    return R.rake_to_qcew(payroll(spark, d), tables, THREE_DIMS, report=True, keep_unconverged=False).drop("last_change")
+
+
 @register("rake_convergence", convergence_sql(TWO_DIMS, "off_supersector_state"))
 def q_rake_convergence(spark, d):
-    """The last change of a converged period is noise below the tolerance; it is given as 0."""
-    r = R.rake_convergence(payroll(spark, d), official(spark, d, TWO_DIMS, "state"), TWO_DIMS)
-    return r.withColumn("last_change", F.when(F.col("converged"), 0.0).otherwise(F.col("last_change")))
+    """Rounds and convergence of each month; for the last change see ``rake_two_dims``."""
+    return R.rake_convergence(payroll(spark, d), official(spark, d, TWO_DIMS, "state"), TWO_DIMS).drop("last_change")
 
 
 REWEIGHTED_SQL = growth_sql(f"(SELECT *, qualified_employment * rake_weight AS _we FROM ({RAKE_ONE_SQL}) r)",
