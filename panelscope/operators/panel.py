@@ -50,6 +50,14 @@ def _gid(level_cols: list[str]) -> int:
     return sum(1 << (n - 1 - i) for i, c in enumerate(KEY_COLUMNS) if c not in level_cols)
 
 
+def level_names(levels: list[tuple[str, list[str]]] = AGGREGATION_LEVELS) -> tuple[list[list[str]], Column]:
+    """The grouping sets of the levels, and the level's name by the grouping id ``_gid``."""
+    name = F.lit(None).cast("string")
+    for level, cols in levels:
+        name = F.when(F.col("_gid") == _gid(cols), F.lit(level)).otherwise(name)
+    return [["ref_date", "quarter"] + cols for _, cols in levels], name
+
+
 def build_panel(payroll: DataFrame, levels: list[tuple[str, list[str]]] | None = None,
                 match: str = "date") -> DataFrame:
     """All aggregation levels in one scan: GROUPING SETS + grouping_id -> grouping_level.
@@ -59,14 +67,9 @@ def build_panel(payroll: DataFrame, levels: list[tuple[str, list[str]]] | None =
     large cell is spread over many tasks. ``match='month'`` counts a day-1
     entry_month as an entry in its month (the default compares dates exactly).
     """
-    levels = levels or AGGREGATION_LEVELS
-    sets = [["ref_date", "quarter"] + cols for _, cols in levels]
+    sets, level = level_names(levels or AGGREGATION_LEVELS)
     agg = payroll.groupingSets(sets, "ref_date", "quarter", *KEY_COLUMNS).agg(
         *panel_measures(match), F.grouping_id().alias("_gid"))  # ref_date, quarter always grouped
-    level = None
-    for name, cols in levels:
-        cond = F.col("_gid") == _gid(cols)
-        level = F.when(cond, F.lit(name)) if level is None else level.when(cond, F.lit(name))
     return agg.select(level.alias("grouping_level"), "ref_date", "quarter", *KEY_COLUMNS, *PANEL_MEASURES)
 
 
