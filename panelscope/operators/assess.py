@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from panelscope.functions.cols import SUPERSECTOR_MAP, td
 from panelscope.functions.stats import grouped_quantiles, period_index, safe_corr
+from panelscope.operators.compare import theil_sen
 from panelscope.operators.coverage import compute_cell_reliability
 from panelscope.operators.panel import AGGREGATION_LEVELS
 
@@ -166,9 +167,14 @@ def quarterly_flows(monthly_flows: DataFrame, grouping_cols: list[str] | None =
 
 def compare_flows_to_official(quarterly: DataFrame, official: DataFrame) -> DataFrame:
     """Join quarterly payroll flows to official gross flows (quarter; official_accession/separation_rate);
-    level gaps per quarter and the correlation over time (same value on every row)."""
+    level gaps per quarter, and on every row the correlation over time and the robust trends (Theil-Sen, a quarter) of both sides."""
     m = quarterly.join(official, "quarter", "inner")
     w = Window.partitionBy()
+    at = F.substring("quarter", 1, 4).cast("int") * 4 + F.substring("quarter", 6, 1).cast("int")
+    sides = ["accession", "separation"]
+    trends = theil_sen(m, [], at, {f"{o}{s}_rate": f"{o}{s}_trend" for s in sides for o in ("", "official_")})
+    trends = trends.withColumns({f"{s}_trend_gap": F.col(f"{s}_trend") - F.col(f"official_{s}_trend") for s in sides})
+    m = m.withColumn("_t", trends.select(F.struct(*trends.columns)).scalar()).select(*m.columns, "_t.*")
     return m.withColumns({
         "accession_gap": F.col("accession_rate") - F.col("official_accession_rate"),
         "separation_gap": F.col("separation_rate") - F.col("official_separation_rate"),

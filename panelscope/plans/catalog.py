@@ -39,3 +39,4 @@ from panelscope.plans import queries_core  # noqa: E402,F401
 from panelscope.plans import queries_dynamics  # noqa: E402,F401
 from panelscope.plans import queries_births  # noqa: E402,F401
 from panelscope.plans import queries_extra  # noqa: E402,F401
+from panelscope.plans import queries_compare  # noqa: E402,F401

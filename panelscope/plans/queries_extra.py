@@ -66,8 +66,8 @@ def q_share_means(spark, d):
     return X.share_means(sh)
 
 
-#: Order dates of the given tables start in 1992 and end in 1998.
-VINTAGES = list(range(1992, 1999))
+#: Years of the order dates of the given tables (fixed calendar).
+VINTAGES = list(range(1995, 2002))
 
 
 @register("vintage_matrix", "SELECT ref_date, " + ", ".join(
@@ -231,16 +231,25 @@ def q_quarterly_flows(spark, d):
     return A.quarterly_flows(FL.compute_job_flows(synth.employees(spark, d), []))
 
 
-@register("flows_vs_bed", f"""SELECT *, accession_rate - official_accession_rate AS accession_gap,
-      separation_rate - official_separation_rate AS separation_gap,
+def _flows_vs_bed_sql() -> str:
+    joined = f"""SELECT * FROM ({quarterly_flows_sql(flows_entry_exit_sql([]))}) p
+      JOIN (SELECT quarter, bed_births / NULLIF(bed_establishments, 0) AS official_accession_rate,
+                   bed_deaths / NULLIF(bed_establishments, 0) AS official_separation_rate FROM bed_national) o USING (quarter)"""
+    at = "(CAST(substr({0}.quarter, 1, 4) AS INTEGER) * 4 + CAST(substr({0}.quarter, 6, 1) AS INTEGER))"
+    slope = "median((b.{0} - a.{0}) / (" + at.format("b") + " - " + at.format("a") + "))"
+    names = [f"{o}{s}" for s in ("accession", "separation") for o in ("", "official_")]
+    return f"""WITH j AS ({joined}),
+      t AS (SELECT {", ".join(f"{slope.format(n + '_rate')} AS {n}_trend" for n in names)} FROM j a JOIN j b ON {at.format("b")} > {at.format("a")})
+    SELECT j.*, t.*, accession_trend - official_accession_trend AS accession_trend_gap, separation_trend - official_separation_trend AS separation_trend_gap,
+      accession_rate - official_accession_rate AS accession_gap, separation_rate - official_separation_rate AS separation_gap,
       covar_samp(accession_rate, official_accession_rate) OVER ()
         / sqrt(var_samp(accession_rate) OVER () * var_samp(official_accession_rate) OVER ()) AS accession_corr,
       covar_samp(separation_rate, official_separation_rate) OVER ()
         / sqrt(var_samp(separation_rate) OVER () * var_samp(official_separation_rate) OVER ()) AS separation_corr
-    FROM ({quarterly_flows_sql(flows_entry_exit_sql([]))}) p
-    JOIN (SELECT quarter, bed_births / NULLIF(bed_establishments, 0) AS official_accession_rate,
-                 bed_deaths / NULLIF(bed_establishments, 0) AS official_separation_rate FROM bed_national) o
-    USING (quarter)""")
+    FROM j, t"""
+
+
+@register("flows_vs_bed", _flows_vs_bed_sql())
 def q_flows_vs_bed(spark, d):
     qf = A.quarterly_flows(FL.compute_job_flows(payroll(spark, d), [], "entry_exit"))
     o = B.official_birth_rates(bed(spark, d)).select(

@@ -27,6 +27,8 @@ from itertools import chain
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from panelscope.functions.cols import supersector_of
+from panelscope.operators.compare import quarter_number, spells
 from panelscope.sources.official import combine_qcew
 from panelscope.sources.payroll import normalise_employees, normalise_payroll
 
@@ -209,15 +211,37 @@ def ces_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "value")
 
 
-def bed_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quarterly BED-like series: national and by segment industry, elements 01/02/03."""
+def _active_quarters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(cust, qdate): the quarters in which something was shipped to a customer."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_shipdate")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     qdate = F.make_date(F.year("l_shipdate"), (F.quarter("l_shipdate") - 1) * 3 + 1, F.lit(1))
-    active = (li.join(orders, li.l_orderkey == orders.o_orderkey)
-              .select(F.col("o_custkey").alias("cust"), qdate.alias("qdate"))
-              .distinct())
+    return li.join(orders, li.l_orderkey == orders.o_orderkey).select(F.col("o_custkey").alias("cust"), qdate.alias("qdate")).distinct()
+
+
+def official_spells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Official life spells (cohort, duration, died): customers from their first to their last active quarter."""
+    active = _active_quarters(spark, sf_dir)
+    life = active.groupBy("cust").agg(quarter_number(F.min("qdate")).alias("first_q"), quarter_number(F.max("qdate")).alias("last_q"))
+    return spells(life, active.agg(quarter_number(F.max("qdate"))))
+
+
+def worker_survey(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly worker flows by supersector, as a survey gives them: what is shipped is employment, first lines are hires, returned lines separations."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    cust = table(spark, sf_dir, "customer").select("c_custkey", F.element_at(_map(SEGMENT_QCEW_INDUSTRY), F.col("c_mktsegment")).alias("_ind"))
+    rows = li.join(orders, li.l_orderkey == orders.o_orderkey).join(cust, F.col("o_custkey") == cust.c_custkey)
+    q = F.col("l_quantity")
+    of = lambda c: F.coalesce(F.sum(F.when(c, q)), F.lit(0.0)).cast("double")
+    return rows.groupBy(_month12(F.col("l_shipdate")).alias("ref_date"), supersector_of(F.substring("_ind", 1, 2)).alias("supersector")).agg(
+        F.sum(q).cast("double").alias("employment"), of(F.col("l_linenumber") == 1).alias("hires"), of(F.col("l_returnflag") == "R").alias("separations"))
+
+
+def bed_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quarterly BED-like series: national and by segment industry, elements 01/02/03."""
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    active = _active_quarters(spark, sf_dir)
     by_client = Window.partitionBy("cust")  # at most one row a quarter
     rows = active.select("cust", "qdate", (F.col("qdate") == F.min("qdate").over(by_client)).cast("int").alias("b"),
                          (F.col("qdate") == F.max("qdate").over(by_client)).cast("int").alias("d"))
