@@ -24,8 +24,10 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import re
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +44,7 @@ from panelscope.llm.worker import kept
 RANGE = 1 << 16
 FAN = 16
 #: A block of documents is closed at so many links, or at so many bytes of written groups (if they are kept).
-BLOCK_LINKS = 1 << 22
+BLOCK_LINKS = 1 << 20
 BLOCK_BYTES = 1 << 24
 #: Bounds of a worker's dictionary of stretches.
 MAX_KEPT = 120_000
@@ -97,6 +99,7 @@ class Pair:
         import sentencepiece
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         spec = json.loads(a_file)
         split = spec.get("pre_tokenizer") or {}
         if split.get("type") != "ByteLevel" or split.get("add_prefix_space") or split.get("use_regex") is False or spec.get("normalizer"):
@@ -116,32 +119,59 @@ class Pair:
                 raise ValueError("tokenizer B has a piece with a space behind another character")
             self.b_bytes.append(bytes([int(piece[1:-1], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode())
         self.n_b = len(self.b_bytes)
+        self.a_sizes, self.b_sizes = np.zeros(max(self.a_bytes) + 1, np.int64), np.array([len(x) for x in self.b_bytes])
+        for i, x in self.a_bytes.items():
+            self.a_sizes[i] = len(x)
+        self.items = [b"%d%c" % (i, c) for i in range(max(len(self.a_sizes), self.n_b)) for c in b",|;"]
+        self.item_sizes = np.array([len(x) for x in self.items])
         self.link = np.dtype("<u4" if (max(self.a_bytes) + 1) * self.n_b <= 1 << 32 else "<u8")
-        self.kept: dict[str, tuple[int, int, int, bytes, bytes] | None] = {}
+        # stretches met lately, and those met before; what is met again moves to the first
+        self.kept: dict[str, tuple[int, int, int, bytes, bytes] | bool] = {}
+        self.older: dict[str, tuple[int, int, int, bytes, bytes] | bool] = {}
 
     def tokens(self, stretch: str, a: list[int], b: list[int]) -> bool:
         """Whether both spell the stretch with its space."""
         whole = b" " + stretch.encode()
         return b"".join([self.a_bytes[i] for i in a]) == whole and b"".join([self.b_bytes[i] for i in b]) == whole
 
-    def _entry(self, stretch: str, a: list[int], b: list[int]) -> tuple[int, int, int, bytes, bytes] | None:
-        if not self.tokens(stretch, a, b):
-            return None
-        groups, links, i, j = [], [], 0, 0
-        while i < len(a):
-            i0, j0 = i, j
-            x, y = len(self.a_bytes[a[i]]), len(self.b_bytes[b[j]])
-            while x != y:
-                if x < y:
-                    i += 1
-                    x += len(self.a_bytes[a[i]])
-                else:
-                    j += 1
-                    y += len(self.b_bytes[b[j]])
-            links.append(a[i] * self.n_b + b[j])
-            i, j = i + 1, j + 1
-            groups.append(",".join(map(str, a[i0:i])) + "|" + ",".join(map(str, b[j0:j])))
-        return len(a), len(b), len(groups), ";".join(groups).encode(), np.array(links, self.link).tobytes()
+    def entries(self, stretches: list[str]) -> list[tuple[int, int, int, bytes, bytes] | bool]:
+        """(A tokens, B tokens, cuts, written groups, links) of each stretch, False where the tokens do not spell it.
+
+        The stretches are aligned as one text, their ends being cuts; what is written for it is cut up again.
+        """
+        if not stretches:
+            return []
+        a, b = self.encode(stretches)
+        flat_a, flat_b = list(chain.from_iterable(a)), list(chain.from_iterable(b))
+        whole = "".join([" " + s for s in stretches]).encode()
+        spelled = b"".join(map(self.a_bytes.__getitem__, flat_a)) == whole == b"".join(map(self.b_bytes.__getitem__, flat_b))
+        n_a, n_b = np.array([len(x) for x in a]), np.array([len(x) for x in b])
+        a_ids, b_ids = np.array(flat_a, np.int64), np.array(flat_b, np.int64)
+        a_ends, b_ends = np.cumsum(self.a_sizes[a_ids]), np.cumsum(self.b_sizes[b_ids])
+        a_last, b_last = np.cumsum(n_a) - 1, np.cumsum(n_b) - 1
+        if not (spelled and np.array_equal(a_ends[a_last], b_ends[b_last])):
+            good = [self.tokens(*x) for x in zip(stretches, a, b)]
+            if all(good):  # cannot be: single stretches add up
+                raise AssertionError("tokens of stretches do not add up")
+            rest = iter(self.entries([s for s, g in zip(stretches, good) if g]))
+            return [next(rest) if g else False for g in good]
+        _, ka, kb = np.intersect1d(a_ends, b_ends, assume_unique=True, return_indices=True)
+        # an item is a token with what is written behind it; a group's A tokens come before its B tokens
+        a_group = np.repeat(np.arange(len(ka)), np.diff(ka, prepend=-1))
+        b_group = np.repeat(np.arange(len(kb)), np.diff(kb, prepend=-1))
+        a_items, b_items = 3 * a_ids, 3 * b_ids
+        a_items[ka] += 1
+        b_items[kb] += 2
+        items = np.empty(len(a_ids) + len(b_ids), np.int64)
+        items[np.arange(len(a_ids)) + np.concatenate([[0], kb[:-1] + 1])[a_group]] = a_items
+        items[np.arange(len(b_ids)) + ka[b_group] + 1] = b_items
+        blob = b"".join(map(self.items.__getitem__, items.tolist()))
+        ends = np.cumsum(self.item_sizes[items])[a_last + b_last + 1]
+        links = (a_ids[ka] * self.n_b + b_ids[kb]).astype(self.link).tobytes()
+        cuts = np.searchsorted(ka, a_last) + 1
+        width, ends, cuts_ = self.link.itemsize, ends.tolist(), cuts.tolist()
+        return [(x, y, k - k0, blob[e0:e - 1], links[k0 * width:k * width])
+                for x, y, k0, k, e0, e in zip(n_a.tolist(), n_b.tolist(), [0] + cuts_, cuts_, [0] + ends, ends)]
 
     def encode(self, stretches: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         return [e.ids for e in self.a.encode_batch_fast([" " + s for s in stretches], add_special_tokens=False)], self.b.encode(stretches)
@@ -161,9 +191,9 @@ class Pair:
 
     def align(self, texts: list[str]) -> list[tuple[int, int, int, bytes, bytes]]:
         """(A tokens, B tokens, cuts, written groups, links) of each text; zeros for an empty text or one that the tokens do not spell."""
-        parts = [t.split(" ") for t in texts]
+        parts = [t.split(" ") if t else [] for t in texts]
         if len(self.kept) > MAX_KEPT:
-            self.kept.clear()
+            self.older, self.kept = self.kept, {}
         unknown = set().union(*parts) - self.kept.keys()
         odd = {p for p in unknown if not p or p[0].isspace() or p[-1].isspace()}
         if odd:
@@ -171,15 +201,18 @@ class Pair:
                 if not odd.isdisjoint(ps):
                     parts[k] = self.stretches(texts[k])
             unknown = set().union(*parts) - self.kept.keys()
-        unknown.discard("")  # left by empty texts only
-        new = sorted(unknown)
-        a, b = self.encode(new)
-        once = {s: self._entry(s, x, y) for s, x, y in zip(new, a, b)}
-        self.kept.update((s, e) for s, e in once.items() if len(s) <= MAX_KEPT_LENGTH)
+        again = unknown & self.older.keys()
+        self.kept.update((s, self.older[s]) for s in again)
+        new = sorted(unknown - again)
+        once = {}
+        for s, e in zip(new, self.entries(new)):
+            (self.kept if len(s) <= MAX_KEPT_LENGTH else once)[s] = e
         out = []
-        for text, ps in zip(texts, parts):
-            found = [self.kept[p] if p in self.kept else once[p] for p in ps] if text else [None]
+        for ps in parts:
+            found = list(map(self.kept.get, ps))
             if None in found:
+                found = [once[p] if e is None else e for p, e in zip(ps, found)]
+            if not found or False in found:
                 out.append((0, 0, 0, b"", b""))
                 continue
             n_a, n_b, n, groups, links = zip(*found)
