@@ -44,11 +44,13 @@ from panelscope.llm.worker import kept
 RANGE = 1 << 16
 FAN = 16
 #: A block of documents is closed at so many links, or at so many bytes of written groups (if they are kept).
-BLOCK_LINKS = 1 << 20
+BLOCK_LINKS = 1 << 18
 BLOCK_BYTES = 1 << 24
-#: Bounds of a worker's dictionary of stretches.
-MAX_KEPT = 120_000
+#: Stretches in each half of a worker's dictionary (about 500 bytes each), and the characters of the longest.
+MAX_KEPT = 30_000
 MAX_KEPT_LENGTH = 48
+#: Characters of texts that are aligned together: their tokens stand in Python lists for a moment.
+STEP = 1 << 18
 
 BLOCK = "part long, docs array<struct<id:long,n_a:long,n_b:long,n:long,groups:string>>, links binary, pairs binary, counts binary"
 FRAGMENT = "row long, id long, at long, n long, a_head binary, b_head binary, closed binary, a_tail binary, b_tail binary, n_a long, n_b long, links binary"
@@ -92,6 +94,15 @@ def fragment(a: np.ndarray, a_ends: np.ndarray, b: np.ndarray, b_ends: np.ndarra
             a[ka], b[kb])
 
 
+def checked(a_file: bytes) -> bytes:
+    """The file of tokenizer A, if it treats stretches apart; on the driver."""
+    spec = json.loads(a_file)
+    split = spec.get("pre_tokenizer") or {}
+    if split.get("type") != "ByteLevel" or split.get("add_prefix_space") or split.get("use_regex") is False or spec.get("normalizer"):
+        raise ValueError("tokenizer A must be byte-level with its own word pattern and no normaliser or added space")
+    return a_file
+
+
 class Pair:
     """Both tokenizers, from the bytes of their files, and the groups of stretches met before."""
 
@@ -100,17 +111,13 @@ class Pair:
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        spec = json.loads(a_file)
-        split = spec.get("pre_tokenizer") or {}
-        if split.get("type") != "ByteLevel" or split.get("add_prefix_space") or split.get("use_regex") is False or spec.get("normalizer"):
-            raise ValueError("tokenizer A must be byte-level with its own word pattern and no normaliser or added space")
         self.a = Tokenizer.from_str(a_file.decode())
         self.a.no_truncation()
         self.a.no_padding()
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_file)
         chars = byte_characters()
-        added = {t["id"] for t in spec.get("added_tokens", [])}
+        added = set(self.a.get_added_tokens_decoder())
         self.a_bytes = {i: x.encode() if i in added else bytes(chars[c] for c in x) for x, i in self.a.get_vocab().items()}
         self.b_bytes = []
         for i in range(self.b.get_piece_size()):
@@ -268,6 +275,16 @@ def _codes(blob: bytes, n: int) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
+def steps(texts: list[str]) -> Iterator[slice]:
+    """Ranges of texts that are aligned together, of about ``STEP`` characters."""
+    at, size = 0, 0
+    for k, t in enumerate(texts):
+        size += len(t)
+        if size >= STEP or k == len(texts) - 1:
+            yield slice(at, k + 1)
+            at, size = k + 1, 0
+
+
 def _short(texts: DataFrame, files, digest: bool) -> DataFrame:
     """Blocks of the documents (id, text) that one task encodes whole."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,11 +293,12 @@ def _short(texts: DataFrame, files, digest: bool) -> DataFrame:
         for batch in batches:
             for lo, hi in slices(batch.column(1)):
                 ids, rows = batch.column(0).slice(lo, hi - lo).to_pylist(), [t or "" for t in batch.column(1).slice(lo, hi - lo).to_pylist()]
-                for id_, found in zip(ids, p.align(rows)):
-                    block.add(id_, *found)
-                if block.full():
-                    yield block.flush(part)
-                    part += 1
+                for at in steps(rows):
+                    for id_, found in zip(ids[at], p.align(rows[at])):
+                        block.add(id_, *found)
+                    if block.full():
+                        yield block.flush(part)
+                        part += 1
         if block.rows:
             yield block.flush(part)
 
@@ -386,7 +404,7 @@ def align_blocks(docs: DataFrame, a_path: str, b_path: str, *, id_col: str = "do
                  size: int = RANGE) -> DataFrame:
     """Blocks of aligned documents, written to the shared folder: see ``align`` and ``link_report``."""
     with open(a_path, "rb") as f, open(b_path, "rb") as g:  # on the driver, once
-        files = docs.sparkSession.sparkContext.broadcast((f.read(), g.read()))
+        files = docs.sparkSession.sparkContext.broadcast((checked(f.read()), g.read()))
     chosen = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     is_long = F.coalesce(F.octet_length("text") > size, F.lit(False))
     short = _short(chosen.where(~is_long), files, digest)
