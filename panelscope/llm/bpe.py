@@ -31,15 +31,20 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelscope.llm.shingles import slices
+from panelscope.llm.worker import kept
+
 #: Fixed values of byte-level BPE: the pattern that splits text before merging, and the bytes that are
 #: written as themselves in vocabulary files; the others follow from U+0100 in order.
 #: White space is the Unicode property, which leaves out U+001C to U+001F.
 SPLIT = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
          r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 SELF_WRITTEN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-MAX_KEPT_WORDS = 400_000
+#: Bounds of what a worker keeps: bytes of words with their ids (with what Python needs for an entry), and arcs of about 120 bytes each.
+MAX_KEPT_BYTES = 40 << 20
+ENTRY_BYTES = 180
 MAX_KEPT_LENGTH = 64
-MAX_KEPT_ARCS = 2_000_000
+MAX_KEPT_ARCS = 250_000
 
 
 def byte_characters() -> dict[str, int]:
@@ -55,7 +60,7 @@ class Automaton:
         self.made: dict[int, int] = {}  # label -> time of its gadget; bytes are there from the start
         self.parts: dict[int, tuple[int, int]] = {}
         self.removed: dict[tuple[int, int], int] = {}  # (state, arc) -> time of the gadget that removed it
-        self.arcs: dict[tuple[int, int], bool] = {}
+        self.arcs: dict[int, bool] = {}  # state << 32 | arc
         for time, (left, right, label) in enumerate(merges):
             self.gadget(time, left, right, label)
         self.trie: dict = {}
@@ -96,11 +101,12 @@ class Automaton:
                 arc, before = self.parts[arc][0], new_arc + 1  # added to the states that kept the left part's arc
 
     def arc(self, state: int, label: int) -> bool:
-        got = self.arcs.get((state, label))
+        key = state << 32 | label
+        got = self.arcs.get(key)
         if got is None:
             if len(self.arcs) >= MAX_KEPT_ARCS:
                 self.arcs.clear()
-            got = self.arcs[state, label] = self.has_arc(state, label)
+            got = self.arcs[key] = self.has_arc(state, label)
         return got
 
     def arcs_from(self, word: bytes, at: int) -> list[tuple[int, int]]:
@@ -143,18 +149,20 @@ class Automaton:
 
 
 class Words(dict):
-    """Packed ids of the words met so far; cleared when it has ``MAX_KEPT_WORDS``."""
+    """Packed ids of the words met so far; cleared when they take ``MAX_KEPT_BYTES``."""
 
     def __init__(self, automaton: Automaton):
         super().__init__()
-        self.automaton = automaton
+        self.automaton, self.held = automaton, 0
 
     def __missing__(self, word: str) -> bytes:
         labels = self.automaton.encode(word.encode())
         packed = struct.pack(f"<{len(labels)}I", *labels)
         if len(word) <= MAX_KEPT_LENGTH:
-            if len(self) >= MAX_KEPT_WORDS:
+            if self.held >= MAX_KEPT_BYTES:
                 self.clear()
+                self.held = 0
+            self.held += ENTRY_BYTES + 2 * len(word) + len(packed)
             self[word] = packed
         return packed
 
@@ -190,15 +198,9 @@ class Tokenizer:
         return b"".join([labels[i] for i in np.frombuffer(packed, dtype="<u4").tolist()]).decode("utf-8", errors="replace")
 
 
-_LOADED: dict[str, Tokenizer] = {}
-
-
 def tokenizer(spec_json: str) -> Tokenizer:
-    """One compiled tokenizer per Python worker and vocabulary."""
-    key = hashlib.sha256(spec_json.encode()).hexdigest()
-    if key not in _LOADED:
-        _LOADED[key] = Tokenizer(json.loads(spec_json))
-    return _LOADED[key]
+    """The worker's compiled tokenizer, made once for a vocabulary."""
+    return kept("bpe tokenizer", hashlib.sha256(spec_json.encode()).hexdigest(), lambda: Tokenizer(json.loads(spec_json)))
 
 
 def _spec(docs: DataFrame, path: str):
@@ -212,6 +214,13 @@ def _spec(docs: DataFrame, path: str):
     return docs.sparkSession.sparkContext.broadcast(json.dumps(spec))
 
 
+def sliced(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of about a megabyte of the text column; what is made of a part goes before the next is read."""
+    for batch in batches:
+        for lo, hi in slices(batch.column(text)):
+            yield batch.slice(lo, hi - lo)
+
+
 def encode(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, tokens binary): the ids of each text, little-endian unsigned 32-bit.
 
@@ -222,7 +231,7 @@ def encode(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tokenizer(spec.value)
-        for batch in batches:
+        for batch in sliced(batches, 1):
             packed = [t.encode(x.as_py() or "") for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["id", "tokens"])
 
@@ -256,7 +265,7 @@ def encode_report(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_co
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tokenizer(spec.value)
-        for batch in batches:
+        for batch in sliced(batches, 1):
             n, ids, texts = [], [], []
             for x in batch.column(1):
                 packed = t.encode(x.as_py() or "")
@@ -279,10 +288,12 @@ def encode_documents(docs: DataFrame, path: str, *, id_col: str = "doc_id", sour
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tokenizer(spec.value)
-        for batch in batches:
-            texts = [x.as_py() or "" for x in batch.column(2)]
-            packed = [t.encode(x) for x in texts]
-            same = [t.decode(p) == x for p, x in zip(packed, texts)]
+        for batch in sliced(batches, 2):
+            packed, same = [], []
+            for x in batch.column(2):
+                text = x.as_py() or ""
+                packed.append(t.encode(text))
+                same.append(t.decode(packed[-1]) == text)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([len(p) // 4 for p in packed], pa.int64()),
                                               pa.array(packed, pa.binary()), pa.array(same, pa.bool_())],
                                              ["id", "source", "n_tokens", "tokens", "round_trip"])

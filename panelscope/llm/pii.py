@@ -262,8 +262,9 @@ def mask_documents(docs: DataFrame, *, text_col: str = "text", length_col: str |
     ``length_col``, if there, is set to the new length. Edge cases as in :func:`pii_report`.
     """
     columns = docs.columns
-    weights = fit(_exploded(stash(docs.select(candidates(F.col(text_col)).alias("_found")).where(F.size("_found") > 0))))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"), decided(candidates(F.col(text_col)), weights).alias("_all"))
+    rows = stash(docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"), candidates(F.col(text_col)).alias("_found")))
+    weights = fit(_exploded(rows))
+    rows = rows.select("_row", decided(F.col("_found"), weights).alias("_all"))
     old = F.col("_row")[text_col]
     rows = rows.withColumn("_text", F.when(F.size("_all") > 0, masked(old, F.col("_all"))).otherwise(old))
     new = {text_col: F.col("_text")} | ({length_col: F.length("_text").cast(docs.schema[length_col].dataType)} if length_col in columns else {})
