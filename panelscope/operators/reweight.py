@@ -5,7 +5,7 @@ aggregated to cells first, so what is fitted is bounded by the dimension domains
 
 One dimension needs no iteration: the weight is the ratio of the margins, one group-by and one join. With more, rounds run over the
 cell table of all periods together. A round takes one dimension after another: the weighted margin of each of its values in each period, and
-the ratio of the official margin to it. ``ROUNDS`` rounds are one job, written to the shared folder with each round's weights and changes; one
+the ratio of the official margin to it. Some rounds (``STEPS`` margins) are one job, written to the shared folder with each round's weights and changes; one
 aggregate then tells for each period the first round that changed no weight by ``tolerance`` or more. Such periods are done, the others
 go on. Where a period has up to ``TASK_CELLS`` cells, periods are dealt to tasks once a job and a round only sorts within them; beyond that, each
 margin is dealt anew, so that no task gets a period. Both give the same weights.
@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from panelscope.functions.cols import td
 from panelscope.sources.shared import shared_table
 
-#: Rounds of a job, and cells of a period that one task may go through.
-ROUNDS = 16
+#: Margins that a job fits one after another (its query text nests as deeply), and cells of a period that one task may go through.
+STEPS = 24
 TASK_CELLS = 2_000_000
 REPORT = ["rounds", "last_change", "converged"]
 Official = DataFrame | Mapping[str, DataFrame]
@@ -107,7 +107,7 @@ def rake_cells(payroll: DataFrame, official: Official, dimensions: list[str], ma
     at, done, base = shared_table(cells.withColumn("_w", one)), [], 0
     largest = at.groupBy(*period).count().agg(F.max("count")).first()[0] or 0
     while True:
-        n = min(ROUNDS, max_iter - base)
+        n = min(max(1, STEPS // len(dims)), max_iter - base)
         wide = shared_table(_fit_rounds(at.repartition(*period) if period and largest <= TASK_CELLS else at, period, dims, n))
         changes = wide.groupBy(*[F.col(c).alias(f"_p_{c}") for c in period]).agg(F.array(*[F.max(f"_c{r}") for r in range(1, n + 1)]).alias("_c"))
         first = F.array_min(F.transform(F.col("_c"), lambda c, i: F.when(c < tolerance, i + 1)))

@@ -78,6 +78,6 @@ def test_margins_dealt_anew_give_the_same_weights(spark, dates, monkeypatch):
     one = {tuple(r[:4]): r.rake_weight for r in R.rake_cells(pay, off, dims)[0].collect()}
     assert one == pytest.approx({tuple(r[:4]): r.rake_weight for r in R.rake_cells(pay, {d: off for d in dims}, dims)[0].collect()})
     monkeypatch.setattr(R, "TASK_CELLS", 0)
-    monkeypatch.setattr(R, "ROUNDS", 3)
+    monkeypatch.setattr(R, "STEPS", 6)
     again = R.rake_cells(pay, off, dims)[0].collect()
     assert {tuple(r[:4]): r.rake_weight for r in again} == pytest.approx(one) and all(r.converged and r.last_change < 1e-6 for r in again)
