@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelscope.functions.cols import days_over_30, quarter_label, td
+from panelscope.functions.regress import least_squares
 from panelscope.functions.stats import safe_corr, t_pvalue
 
 SURVIVAL_HORIZONS = {"survival_4q": 12, "survival_8q": 24, "survival_12q": 36, "survival_16q": 48,
@@ -141,6 +142,35 @@ def test_birth_lead(payroll_births: DataFrame, official: DataFrame, grouping_col
 test_birth_lead.__test__ = False  # not a pytest test
 
 
+def birth_lead_lags(payroll_births: DataFrame, official: DataFrame, max_order: int = 4, grouping_cols: list[str] | None = None,
+                    min_quarters: int = 10) -> DataFrame:
+    """Leading and incremental regressions with 1 to ``max_order`` lags of the payroll rate; one row per order, model and term.
+
+    leading: the official rate on the payroll rate and its lags, against the payroll rate alone. incremental: on its own lags and the
+    payroll lags, against its own lags alone. ``f`` tests the payroll lags together (``f_dof``, ``dof``), ``t`` a single term. Lags are
+    positional, each order uses the quarters that have all its lags, and orders without a degree of freedom have no rows. Collinear
+    terms share the solution of least norm and have no ``t``.
+    """
+    g = list(grouping_cols or [])
+    m = _merged_quarterly(payroll_births, official, g).filter(F.col("_n") >= min_quarters)
+    w = Window.partitionBy(*g).orderBy("_i")
+    lags = range(1, max_order + 1)
+    m = m.withColumns({f"{c}{k}": F.lag(c, k).over(w) for c in ("x", "y") for k in lags})
+    term = lambda name, c: F.struct(F.lit(name).alias("term"), F.col(c).alias("value"))
+    models = []
+    for order in lags:
+        payroll = [term(f"payroll_lag{k}", f"x{k}") for k in range(1, order + 1)]
+        own = [term(f"official_lag{k}", f"y{k}") for k in range(1, order + 1)]
+        for name, before in (("leading", [term("payroll", "x")]), ("incremental", own)):
+            models.append(F.struct(F.lit(order).alias("lag_order"), F.lit(name).alias("model"), F.lit(len(before)).alias("base"),
+                                   F.array(*before, *payroll).alias("terms")))
+    rows = m.select(*g, "y", F.explode(F.array(*models)).alias("_m")).select(*g, "y", "_m.*")
+    by = g + ["lag_order", "model"]
+    fits = least_squares(rows, by, "y", "terms", "base").filter("dof > 0")
+    return fits.select(*by, "n", "rank", "r2", "f", "f_dof", "dof", F.explode("fit").alias("_t")).select(
+        *by, "_t.term", "n", "rank", "r2", "f", "f_dof", "dof", "_t.coef", td("_t.coef", "_t.se").alias("t"))
+
+
 def compute_cross_correlation(payroll_births: DataFrame, official: DataFrame, max_lag: int = 4,
                               grouping_cols: list[str] | None = None, min_quarters: int = 4) -> DataFrame:
     """corr(payroll_q, official_(q+lag)) for lag 0..max_lag (lag < n); NaN -> 0."""

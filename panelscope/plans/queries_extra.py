@@ -16,7 +16,7 @@ from panelscope.operators import tenure as T
 from panelscope.operators.panel import AGGREGATION_LEVELS, PANEL_MEASURES
 from panelscope.plans.catalog import register
 from panelscope.plans.inputs import bed, official, panel, panel_at, payroll
-from panelscope.plans.queries_births import BIRTH_SQL, REWEIGHTED_SQL, payroll_births, raked_one
+from panelscope.plans.queries_births import BIRTH_SQL, REWEIGHTED_SQL, lag_regression_sql, payroll_births, raked_one
 from panelscope.plans.queries_core import (DQ_ROWS_SQL, SLICES, VINTAGE_SQL, coverage_df, coverage_sql, csi_sql, entry_exit_sql,
                                            nearest_sql, share_sql)
 from panelscope.plans.queries_dynamics import (CES_TOTAL, ces_growth, change_sql, flows_employee_sql,
@@ -595,6 +595,17 @@ def _cross_grouped_sql() -> str:
     FROM pairs GROUP BY supersector, lag"""
 
 
+def _lags_grouped_sql() -> str:
+    lead = _lead_grouped_sql()
+    return lag_regression_sql(lead[:lead.index("      l AS (SELECT")].rstrip().rstrip(","), ["supersector"])
+
+
+@register("birth_lead_lags_supersector", _lags_grouped_sql())
+def q_birth_lead_lags_ss(spark, d):
+    pb = B.compute_payroll_birth_rates(panel_at(spark, d, "supersector"), ["supersector"])
+    return B.birth_lead_lags(pb, _bed_by_supersector(spark, d), grouping_cols=["supersector"])
+
+
 @register("cross_correlation_supersector", _cross_grouped_sql())
 def q_cross_correlation_ss(spark, d):
     pb = B.compute_payroll_birth_rates(panel_at(spark, d, "supersector"), ["supersector"])
