@@ -113,7 +113,8 @@ def q_birth_lead_p(spark, d):
 def lag_regression_sql(merged: str, groups: list[str], max_order: int = 4) -> str:
     """``birth_lead_lags`` by Gram-Schmidt: a copy of the rows for each term, with that term the last to be made orthogonal.
 
-    Columns are padded with zeros in front, up to two lists of lags; the copies with the term '' are the restricted models.
+    Columns are padded with zeros in front, up to two lists of lags; the copies with the term '' are the restricted models. Terms that are
+    zero in all quarters have the coefficient 0; other collinear terms are not handled here.
     """
     width = 2 * max_order
     by = "".join(f"{g}, " for g in groups)
@@ -129,27 +130,27 @@ def lag_regression_sql(merged: str, groups: list[str], max_order: int = 4) -> st
                 cols = list(before.values()) if not term else [c for t, c in terms.items() if t != term] + [terms[term]]
                 zs = ["0.0"] * (width - len(cols)) + cols
                 copies.append(f"SELECT {by}CAST({order} AS INTEGER) AS lag_order, '{model}' AS model, '{term}' AS term, "
-                              f"CAST({len(terms)} AS INTEGER) AS rank, CAST({order} AS INTEGER) AS f_dof, y AS z{width}, "
+                              f"y AS z{width}, "
                               + ", ".join(f"{c} AS z{i}" for i, c in enumerate(zs)) + f" FROM q WHERE _i >= {order}")
     keys = f"{by}lag_order, model, term"
-    fixed = f"{keys}, rank, f_dof"
     every = range(width + 1)
-    steps = [f"o0 AS (SELECT {fixed}, " + ", ".join(f"z{i} - avg(z{i}) OVER w AS z{i}" for i in every) + f" FROM u WINDOW w AS (PARTITION BY {keys}))"]
+    steps = [f"o0 AS (SELECT {keys}, " + ", ".join(f"z{i} - avg(z{i}) OVER w AS z{i}" for i in every) + f" FROM u WINDOW w AS (PARTITION BY {keys}))"]
     for k in range(width):
         less = lambda i: f"z{i} - z{k} * coalesce(sum(z{i} * z{k}) OVER w / NULLIF(sum(z{k} * z{k}) OVER w, 0), 0.0)"
         kept = ", ".join(f"z{i}" if i <= k else f"{less(i)} AS z{i}" for i in every)
         total = f", z{width} AS z" if k == 0 else ", z"
-        steps.append(f"o{k + 1} AS (SELECT {fixed}{total}, {kept} FROM o{k} WINDOW w AS (PARTITION BY {keys}))")
+        steps.append(f"o{k + 1} AS (SELECT {keys}{total}, {kept} FROM o{k} WINDOW w AS (PARTITION BY {keys}))")
     q, e = f"z{width - 1}", f"z{width}"
+    rank = " + ".join(f"(sum(z{i} * z{i}) > 1e-20)::INTEGER" for i in range(width))  # constant lags have nothing left
     return f"""{merged},
       q AS (SELECT *, {lags} FROM mi WHERE _n >= 10),
       u AS ({" UNION ALL ".join(copies)}),
       {", ".join(steps)},
-      s AS (SELECT {fixed}, count(*) AS n, sum(z * {q}) / sum({q} * {q}) AS coef, sum({q} * {q}) AS qq, sum({e} * {e}) AS rss, sum(z * z) AS tss
-            FROM o{width} GROUP BY {fixed})
-    SELECT {"".join(f"a.{g}, " for g in groups)}a.lag_order, a.model, a.term, a.n, a.rank, 1 - a.rss / a.tss AS r2,
-      (b.rss - a.rss) * (a.n - 1 - a.rank) / (a.rss * a.f_dof) AS f, a.f_dof, a.n - 1 - a.rank AS dof, a.coef,
-      a.coef / sqrt(a.rss / (a.n - 1 - a.rank) / a.qq) AS t
+      s AS (SELECT {keys}, count(*) AS n, {rank} AS rank, coalesce(sum(z * {q}) / NULLIF(sum({q} * {q}), 0), 0.0) AS coef, sum({q} * {q}) AS qq, sum({e} * {e}) AS rss, sum(z * z) AS tss
+            FROM o{width} GROUP BY {keys})
+    SELECT {"".join(f"a.{g}, " for g in groups)}a.lag_order, a.model, a.term, a.n, a.rank, 1 - a.rss / NULLIF(a.tss, 0) AS r2,
+      (b.rss - a.rss) * (a.n - 1 - a.rank) / NULLIF(a.rss * (a.rank - b.rank), 0) AS f, a.rank - b.rank AS f_dof, a.n - 1 - a.rank AS dof, a.coef,
+      a.coef / NULLIF(sqrt(a.rss / (a.n - 1 - a.rank) / NULLIF(a.qq, 0)), 0) AS t
     FROM s a JOIN s b ON {"".join(f"a.{g} = b.{g} AND " for g in groups)}a.lag_order = b.lag_order AND a.model = b.model AND b.term = ''
     WHERE a.term <> '' AND a.n - 1 - a.rank > 0"""
 
