@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from panelscope.functions.cols import SIZE_CLASS_LABELS, supersector_of
+from panelscope.sources.tables import YEAR, read_by_year
 
 # State FIPS codes of the 50 states and DC.
 STATE_FIPS: list[str] = [
@@ -77,12 +78,15 @@ def _map(d: dict[str, str]):
 def load_official(spark: SparkSession, path: str, years: tuple[int, int] | None = None) -> DataFrame:
     """Read a processed official table (a file or a directory), of the years from ``years[0]`` to ``years[1]``.
 
-    The year is the column ``year``, else that of ``date``; the range is a filter on the scan. A missing path raises FileNotFoundError.
+    The year is the folder's in tables of ``write_by_year`` (folders of other years are not read), else the column ``year``, else that
+    of ``date``, a filter on the scan. A missing path raises FileNotFoundError.
     """
     try:
         df = spark.read.parquet(path)
     except AnalysisException as exc:  # path does not exist
         raise FileNotFoundError(f"official table not found: {path}") from exc
+    if YEAR in df.columns:
+        return read_by_year(spark, path, years)
     if years is None:
         return df
     year = F.col("year").cast("int") if "year" in df.columns else F.year(F.col("date").cast("date"))
