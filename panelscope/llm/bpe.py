@@ -41,7 +41,7 @@ SPLIT = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{
          r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 SELF_WRITTEN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 #: Bounds of what a worker keeps: bytes of words with their ids (with what Python needs for an entry), and arcs of about 120 bytes each.
-MAX_KEPT_BYTES = 40 << 20
+MAX_KEPT_BYTES = 80 << 20
 ENTRY_BYTES = 180
 MAX_KEPT_LENGTH = 64
 MAX_KEPT_ARCS = 250_000
