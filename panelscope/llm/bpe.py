@@ -45,6 +45,9 @@ MAX_KEPT_BYTES = 80 << 20
 ENTRY_BYTES = 180
 MAX_KEPT_LENGTH = 64
 MAX_KEPT_ARCS = 250_000
+#: Labels are looked up by lengths that labels with the same first bytes have; SHORT are those below that.
+HEAD = 4
+SHORT = tuple(range(HEAD - 1, 0, -1))
 
 
 def byte_characters() -> dict[str, int]:
@@ -63,13 +66,13 @@ class Automaton:
         self.arcs: dict[int, bool] = {}  # state << 32 | arc
         for time, (left, right, label) in enumerate(merges):
             self.gadget(time, left, right, label)
-        self.trie: dict = {}
-        for t, b in self.reachable().items():
-            node = self.trie
-            for x in b:
-                node = node.setdefault(x, {})
-            node[-1] = t
-        self.longest = max(map(len, self.labels.values()), default=0)
+        self.spelled = {b: t for t, b in self.reachable().items()}
+        lengths: dict[bytes, set[int]] = {}
+        for b in self.spelled:
+            lengths.setdefault(b[:HEAD], set(SHORT)).add(len(b))
+        #: The first bytes -> lengths of the labels that begin with them, longest first; equal tuples are one.
+        same: dict[tuple, tuple] = {}
+        self.lengths = {b: same.setdefault(k, k) for b, k in ((b, tuple(sorted(k, reverse=True))) for b, k in lengths.items() if len(b) == HEAD)}
 
     def reachable(self) -> dict[int, bytes]:
         return {t: b for t, b in self.labels.items() if len(b) == 1 or t in self.made}
@@ -109,57 +112,60 @@ class Automaton:
             got = self.arcs[key] = self.has_arc(state, label)
         return got
 
-    def arcs_from(self, word: bytes, at: int) -> list[tuple[int, int]]:
-        """(end, label) of the labels that spell the word from ``at`` on, shortest first."""
-        out, node, j = [], self.trie, at
-        for x in word[at:at + self.longest]:
-            node = node.get(x)
-            if node is None:
-                break
-            j += 1
-            label = node.get(-1)
-            if label is not None:
-                out.append((j, label))
-        return out
-
     def encode(self, word: bytes) -> list[int]:
         """The labels of the one accepted path that spells ``word``.
 
-        A position is reached by one path only, so each is entered at most once; long labels are tried first.
+        A position is reached by one path only, so each is entered at most once; long labels are tried first,
+        and shorter ones only if the path goes back to their start.
         """
-        n, arc = len(word), self.arc
+        n, spelled, lengths, kept_arc, arc = len(word), self.spelled.get, self.lengths.get, self.arcs.get, self.arc
+        if not n:
+            return []
         entered = bytearray(n + 1)
         path: list[int] = []
-        open_arcs = [self.arcs_from(word, 0)]
-        while n:
-            options = open_arcs[-1]
-            while options:
-                j, label = options.pop()
-                if not entered[j] and (not path or arc(path[-1], label)):
-                    path.append(label)
-                    if j == n:
-                        return path
-                    entered[j] = 1
-                    open_arcs.append(self.arcs_from(word, j))
-                    break
+        at, state, untried = 0, -1, iter(lengths(word[:HEAD], SHORT))
+        back = []  # the open states before this one
+        while True:
+            for k in untried:
+                j = at + k
+                if j <= n and not entered[j]:
+                    label = spelled(word[at:j])
+                    if label is not None:
+                        open_arc = state < 0 or kept_arc(state << 32 | label)
+                        if open_arc or (open_arc is None and arc(state, label)):
+                            path.append(label)
+                            if j == n:
+                                return path
+                            break
             else:
-                open_arcs.pop()
+                if not back:
+                    return path
                 path.pop()
-        return path
+                at, state, untried = back.pop()
+                continue
+            back.append((at, state, untried))
+            entered[j] = 1
+            at, state, untried = j, label, iter(lengths(word[j:j + HEAD], SHORT))
 
 
 class Words(dict):
-    """Packed ids of the words met so far; cleared when they take ``MAX_KEPT_BYTES``."""
+    """Packed ids of the words met so far, in two generations that share ``MAX_KEPT_BYTES``.
+
+    When the young one is full the old one goes; words met again move back to the young one.
+    """
 
     def __init__(self, automaton: Automaton):
         super().__init__()
-        self.automaton, self.held = automaton, 0
+        self.automaton, self.held, self.old = automaton, 0, {}
 
     def __missing__(self, word: str) -> bytes:
-        labels = self.automaton.encode(word.encode())
-        packed = struct.pack(f"<{len(labels)}I", *labels)
+        packed = self.old.get(word)
+        if packed is None:
+            labels = self.automaton.encode(word.encode())
+            packed = struct.pack(f"<{len(labels)}I", *labels)
         if len(word) <= MAX_KEPT_LENGTH:
-            if self.held >= MAX_KEPT_BYTES:
+            if 2 * self.held >= MAX_KEPT_BYTES:
+                self.old = dict(self)
                 self.clear()
                 self.held = 0
             self.held += ENTRY_BYTES + 2 * len(word) + len(packed)
@@ -194,8 +200,7 @@ class Tokenizer:
         return b"".join(out)
 
     def decode(self, packed: bytes) -> str:
-        labels = self.bytes_of
-        return b"".join([labels[i] for i in np.frombuffer(packed, dtype="<u4").tolist()]).decode("utf-8", errors="replace")
+        return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(packed, dtype="<u4").tolist())).decode("utf-8", errors="replace")
 
 
 def tokenizer(spec_json: str) -> Tokenizer:
