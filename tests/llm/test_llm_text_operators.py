@@ -283,6 +283,21 @@ def test_automaton_accepts_just_what_merging_makes():
             assert automaton.encode(word) == ids, (merges, word)
 
 
+def test_kept_words_age_without_changing_tokens(monkeypatch):
+    rnd = random.Random(3)
+    words = [" " + "".join(rnd.choice("aeinst") for _ in range(rnd.randint(1, 12))) for _ in range(300)]
+    text = "".join(rnd.choice(words[:20] if rnd.random() < 0.7 else words) for _ in range(3000))
+    with open(BPE, encoding="utf-8") as f:
+        spec = json.load(f)
+    plain = bpe.Tokenizer(spec)
+    expected = plain.encode(text)
+    assert not plain.words.old
+    monkeypatch.setattr(bpe, "MAX_KEPT_BYTES", 40 * (bpe.ENTRY_BYTES + 40))
+    aging = bpe.Tokenizer(spec)
+    assert aging.encode(text) == expected
+    assert aging.words.old and len(aging.words) + len(aging.words.old) <= 60 < len(plain.words)
+
+
 def test_spark_round_trip(spark):
     docs = awkward_documents(spark)
     texts = [r.text for r in docs.select("text").collect()]
