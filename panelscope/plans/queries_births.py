@@ -250,7 +250,7 @@ def raked_sql(dims: list[str], official_cte: str | dict[str, str], weight: str =
 
 
 def convergence_sql(dims: list[str], official_cte: str) -> str:
-    return f"WITH RECURSIVE {rake_sql(dims, official_cte)}\n    SELECT DISTINCT ref_date, quarter, rounds, converged FROM fitted"
+    return f"WITH RECURSIVE {rake_sql(dims, official_cte)}\n    SELECT DISTINCT ref_date, quarter, rounds, last_change, converged FROM fitted"
 
 
 TWO_DIMS = ["supersector", "state_fips"]
@@ -274,8 +274,8 @@ def q_rake_three(spark, d):
 
 @register("rake_convergence", convergence_sql(TWO_DIMS, "off_supersector_state"))
 def q_rake_convergence(spark, d):
-    """Rounds and convergence of each month; for the last change see ``rake_two_dims``."""
-    return R.rake_convergence(payroll(spark, d), official(spark, d, TWO_DIMS, "state"), TWO_DIMS).drop("last_change")
+    """The whole report of each month: rounds, last change and convergence."""
+    return R.rake_convergence(payroll(spark, d), official(spark, d, TWO_DIMS, "state"), TWO_DIMS)
 
 
 REWEIGHTED_SQL = growth_sql(f"(SELECT *, qualified_employment * rake_weight AS _we FROM ({RAKE_ONE_SQL}) r)",

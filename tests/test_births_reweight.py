@@ -1,4 +1,5 @@
 import numpy as np
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -197,3 +198,27 @@ def test_kaplan_meier(spark, dates):
     assert first.survival_12q == pytest.approx(3 / 4 * 2 / 3 * 1 / 2) and first.survival_16q is None
     late = r["2021Q1"]  # seen for a few months only, then censored
     assert late.failures == 0 and late.survival_4q is None
+
+
+def test_registered_convergence_reports_the_last_change(spark, dates, tmp_path):
+    from panelscope.plans.catalog import REGISTRY
+
+    months = [dates(1996, m) for m in (1, 2, 3)]
+    customers = [(c, c % 3, ("BUILDING", "FURNITURE")[c % 2]) for c in range(1, 13)]
+    orders = [(100 * c + i, c, m) for c, _, _ in customers for i, m in enumerate(months)]
+    lines = [(o, 1, c % 4 + 1, n, float((c * 7 + o * n) % 11 + 1), 100.0, "R" if o % 5 == 0 else "N", months[(m.month + n) % 3]) for o, c, m in orders for n in (1, 2)]
+    spark.createDataFrame(customers, "c_custkey bigint, c_nationkey int, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame(orders, "o_orderkey bigint, o_custkey bigint, o_orderdate date").selectExpr(
+        "o_orderkey", "o_custkey", "cast(o_orderdate as timestamp_ntz) o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, "
+                          "l_returnflag string, d date").selectExpr("* except (d)", "cast(d as timestamp_ntz) l_shipdate").write.parquet(f"{tmp_path}/lineitem.parquet")
+    rows = REGISTRY["rake_convergence"].spark(spark, str(tmp_path)).collect()
+    con = duckdb.connect()
+    for t in ("customer", "orders", "lineitem"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    for t in ("supplier", "nation"):
+        con.execute(f"CREATE VIEW {t} AS SELECT 1 AS s_suppkey, 1 AS s_nationkey, 1 AS n_nationkey")
+    got = con.sql(REGISTRY["rake_convergence"].oracle())
+    want = {r[got.columns.index("ref_date")]: r[got.columns.index("last_change")] for r in got.fetchall()}
+    assert len(rows) == 3 and {r.ref_date: r.last_change for r in rows} == pytest.approx(want, rel=1e-6)
+    assert all((r.last_change < 1e-6) == r.converged for r in rows) and any(r.last_change > 0 for r in rows)
