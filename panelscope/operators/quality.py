@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelscope.functions.cols import td
+from panelscope.functions.stats import spread
 
 FLAGS = ["flag_extreme_change", "flag_zero_employment", "flag_multi_client", "flag_filing_anomaly"]
 
@@ -15,7 +16,9 @@ def flag_data_quality_issues(payroll: DataFrame, extreme_threshold: float = 0.5)
     cols = payroll.columns
     e = F.col("qualified_employment")
     # Client months first: a client has one row a month here, however many rows it has in the payroll.
-    months = payroll.groupBy("client_id", "ref_date").agg(F.sum(e).alias("_emp"))
+    # Rows by employee are dealt out first, so that a task's partial sums cover a part of the client months; a client's rows stay spread.
+    rows = spread(payroll.select("client_id", "ref_date", "employee_id", "qualified_employment"), "employee_id", "client_id") if "employee_id" in cols else payroll
+    months = rows.groupBy("client_id", "ref_date").agg(F.sum(e).alias("_emp"))
     by_client = Window.partitionBy("client_id")
     months = months.select("client_id", "ref_date", "_emp", F.lag("_emp").over(by_client.orderBy("ref_date")).alias("_prev"),
                            F.min("ref_date").over(by_client).alias("_first_obs"))
@@ -26,10 +29,10 @@ def flag_data_quality_issues(payroll: DataFrame, extreme_threshold: float = 0.5)
     df = df.withColumn("flag_zero_employment", e == 0)
 
     if "employee_id" in cols:
-        # per (month, employee) distinct clients: partial aggregation, then join back
-        multi = (df.filter(F.col("employee_id").isNotNull())
-                 .groupBy("ref_date", "employee_id").agg(F.count_distinct("client_id").alias("_n"))
-                 .filter(F.col("_n") > 1).select("ref_date", "employee_id", F.lit(True).alias("_multi")))
+        # an employee has several clients in a month if the smallest and the largest differ; the rows of an employee's month are few
+        multi = (spread(payroll.filter(F.col("employee_id").isNotNull()).select("ref_date", "employee_id", "client_id"), "ref_date", "employee_id")
+                 .groupBy("ref_date", "employee_id").agg(F.min("client_id").alias("_low"), F.max("client_id").alias("_high"))
+                 .filter(F.col("_low") < F.col("_high")).select("ref_date", "employee_id", F.lit(True).alias("_multi")))
         df = df.join(multi, ["ref_date", "employee_id"], "left") \
             .withColumn("flag_multi_client", F.coalesce("_multi", F.lit(False))).drop("_multi")
     else:

@@ -1,15 +1,19 @@
 import random
+import re
 
 import numpy as np
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from panelscope.functions import stats
 from panelscope.functions.stats import grouped_quantiles
+from panelscope.operators.assess import job_to_job, worker_tenure
 from panelscope.operators.earnings import compute_earnings_distribution, compute_earnings_growth
 from panelscope.operators.flows import compute_job_flows
 from panelscope.operators.growth import (analyze_turning_points, compute_growth_rates, decompose_employment_change,
                                          decompose_growth_divergence)
+from panelscope.operators.quality import flag_data_quality_issues
 
 
 def test_growth_rates(spark, dates):
@@ -150,3 +154,62 @@ def test_calendar_growth_skips_gaps(spark, dates):
     assert pos[D(2019, 3)].mom_growth == pytest.approx(0.1) and cal[D(2019, 3)].mom_growth is None
     assert cal[D(2020, 1)].yoy_growth == pytest.approx(0.2) and cal[D(2020, 3)].yoy_growth == pytest.approx(0.1)
     assert pos[D(2020, 1)].yoy_growth is None
+
+
+def _employee_rows(dates):
+    rng = random.Random(5)
+    # nulls, rows that come twice, months without anyone at a client, employees of several clients
+    rows = [(rng.choice([None, *"abcdefgh"]), rng.choice([None, *"uvwxyz"]), dates(2020, rng.choice([1, 2, 4, 5, 6])), rng.choice([0, 1, 1, 3])) for _ in range(300)]
+    return rows + rows[:50]
+
+
+EMPLOYEE_SCHEMA = "employee_id string, client_id string, ref_date date, qualified_employment bigint"
+
+
+def test_employee_flows_moves_and_tenure_equal_brute_force(spark, dates):
+    rows = _employee_rows(dates)
+    df = spark.createDataFrame(rows, EMPLOYEE_SCHEMA)
+    days = sorted({r[2] for r in rows})
+    at = {(r[0], r[1], days.index(r[2])) for r in rows}
+    flows = {(r.ref_date, r.client_id): (r.employment, r.hires, r.continuing_employment, r.separations) for r in compute_job_flows(df, ["client_id"]).collect()}
+    moves = {r.ref_date: (r.workers, r.job_to_job_moves) for r in job_to_job(df).collect()}
+    tenure = {(r.employee_id, r.client_id, r.ref_date): r.tenure_months for r in worker_tenure(df).collect()}
+    want_flows, want_moves, want_tenure = {}, {}, {}
+    for i, day in enumerate(days):
+        for c in {x[1] for x in at}:
+            now, was = ({e for e, k, j in at if k == c and j == n} for n in (i, i - 1))
+            if now or was:
+                want_flows[day, c] = (len(now), len(now - was), len(now & was), len(was - now))
+        now, was = ({x[:2] for x in at if x[2] == n} for n in (i, i - 1))
+        want_moves[day] = (len({e for e, _ in now}), len({e for e, _ in now - was} & {e for e, _ in was - now}))
+        for e, c in now:
+            want_tenure[e, c, day] = 1 + want_tenure.get((e, c, days[i - 1]), 0) if i and (e, c) in was else 1
+    assert flows == want_flows and moves == want_moves and tenure == want_tenure
+
+
+def test_quality_flags_of_employee_rows_equal_brute_force(spark, dates):
+    rows = _employee_rows(dates)
+    got = sorted(map(str, flag_data_quality_issues(spark.createDataFrame(rows, EMPLOYEE_SCHEMA))[0].select(
+        "employee_id", "client_id", "ref_date", "flag_extreme_change", "flag_multi_client").collect()))
+    emp = {}
+    for _, c, d, n in rows:
+        emp[c, d] = emp.get((c, d), 0) + n
+    want = []
+    for e, c, d, _ in rows:
+        before = [x for k, x in emp if k == c and x < d]
+        prev = emp[c, max(before)] if before else 0
+        several = len({x[1] for x in rows if x[0] == e and x[2] == d and x[1] is not None}) > 1
+        want.append(str(Row(employee_id=e, client_id=c, ref_date=d, flag_extreme_change=prev > 0 and abs(emp[c, d] - prev) / prev > 0.5,
+                            flag_multi_client=e is not None and several)))
+    assert got == sorted(want)
+
+
+@pytest.mark.parametrize("job, dealt", [(lambda df: compute_job_flows(df, ["client_id"]), 1), (job_to_job, 2), (worker_tenure, 1),
+                                        (lambda df: flag_data_quality_issues(df)[1], 2)])
+def test_employee_steps_run_in_parts_that_are_not_coalesced(spark, dates, job, dealt):
+    """Employees come grouped by their keys: without an exchange of its own, a task held three or four hash maps of all its rows."""
+    rows = spark.range(4000).selectExpr("id % 900 AS employee_id", "id % 7 AS client_id", "date'2020-01-12' AS ref_date", "1L AS qualified_employment")
+    df = job(rows.groupBy("employee_id", "client_id", "ref_date").agg(F.sum("qualified_employment").alias("qualified_employment")))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") == dealt
+    assert all(int(n) >= stats.PARTS for n in re.findall(r"hashpartitioning\([^)]*, (\d+)\), REPARTITION_BY_NUM", plan))
