@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelscope.functions.cols import td
-from panelscope.functions.stats import period_index
+from panelscope.functions.stats import period_index, spread
 
 FLOW_COLUMNS = ["hires", "separations", "employment", "continuing_employment",
                 "hire_rate", "separation_rate", "churn_rate", "net_growth_rate"]
@@ -57,24 +57,25 @@ def flows_from_employees(employees: DataFrame, grouping_cols: list[str]) -> Data
     For each (group, employee) the previous and next observed date index come
     from one window; an employee is a hire when absent at the previous date
     (everyone on the first date) and a separation at the next date when absent
-    there. Arrivals, stays and departures are one union and one group-by, so a
+    there. Arrivals, stays and departures come from one pass and one group-by, so a
     group keeps its separations when nobody is left in it, and a NULL group is
     a group. A (group, date) has a row if it has employees or separations.
     """
     g = list(grouping_cols)
     idx = period_index(employees)
-    pres = employees.select(*g, "employee_id", "ref_date").distinct().join(idx, "ref_date")
+    # Distinct rows and window share one exchange; the date index is bounded by the calendar.
+    pres = spread(employees.select(*g, "employee_id", "ref_date"), *g, "employee_id").distinct().join(F.broadcast(idx), "ref_date")
     w = Window.partitionBy(*g, "employee_id").orderBy("_idx")
     pres = pres.select(*g, "_idx", F.lag("_idx").over(w).alias("_pi"), F.lead("_idx").over(w).alias("_ni"))
     cont = F.coalesce(F.col("_pi") == F.col("_idx") - 1, F.lit(False)).cast("int")
     gone = F.col("_ni").isNull() | (F.col("_ni") != F.col("_idx") + 1)
-    here = pres.select(*g, "_idx", F.lit(1).alias("_e"), cont.alias("_c"), F.lit(0).alias("_s"))
-    left = pres.filter(gone).select(*g, (F.col("_idx") + 1).alias("_idx"), F.lit(0).alias("_e"), F.lit(0).alias("_c"),
-                                    F.lit(1).alias("_s"))
-    r = here.unionByName(left).groupBy(*g, "_idx").agg(
+    here = F.struct(F.col("_idx"), F.lit(1).alias("_e"), cont.alias("_c"), F.lit(0).alias("_s"))
+    left = F.struct((F.col("_idx") + 1).alias("_idx"), F.lit(0).alias("_e"), F.lit(0).alias("_c"), F.lit(1).alias("_s"))
+    events = pres.select(*g, F.inline(F.when(gone, F.array(here, left)).otherwise(F.array(here))))
+    r = events.groupBy(*g, "_idx").agg(
         F.sum("_e").alias("employment"), F.sum(F.col("_e") - F.col("_c")).alias("hires"),
         F.sum("_c").alias("continuing_employment"), F.sum("_s").alias("separations"))
-    r = r.join(idx, "_idx")  # departures after the last observed date fall away
+    r = r.join(F.broadcast(idx), "_idx")  # departures after the last observed date fall away
     return _rates(r).select("ref_date", *g, *FLOW_COLUMNS)
 
 
