@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelscope.llm.shingles import U64, mix, slices, text_bytes, word_hashes, word_spans
+from panelscope.llm.shingles import BASE, U64, mix, slices, text_bytes, word_hashes, word_spans
 from panelscope.llm.stash import stash
 from panelscope.session import ensure_checkpoint_dir
 
@@ -50,7 +50,7 @@ PART_WORDS = 1 << 23
 FED_WORDS = 1 << 18  # texts are handed to the trainer together up to so many words
 FALL = 0.02
 STEPS = 64
-HOT = 20_000
+HOT = 1_000_000
 UNIT = 1 << 24
 EDGE = 256  # stands before the first and after the last byte of a word
 BYTES = EDGE + 1
@@ -109,51 +109,105 @@ def unpacked(values: np.ndarray) -> np.ndarray:
     return out.view("<i4").ravel()
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    """Of logits that are bounded (hidden values lie between -1 and 1), so no shift is needed."""
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+class Room:
+    """Arrays that batches use one after the other, so that their memory is not asked for anew each time."""
 
+    def __init__(self):
+        self.held: dict[str, np.ndarray] = {}
+
+    def __call__(self, name: str, shape: tuple[int, ...], dtype: np.dtype) -> np.ndarray:
+        size = math.prod(shape)
+        if name not in self.held or self.held[name].size < size or self.held[name].dtype != dtype:
+            self.held[name] = np.empty(size, dtype)
+        return self.held[name][:size].reshape(shape)
+
+
+def _row_sums(x: np.ndarray) -> np.ndarray:
+    """Columns are added in pairs: rows are too short for a reduction along them. The order of sums is numpy's own for 16 values."""
+    half = x.shape[1] // 2
+    sums = [a + b for a, b in zip(x.T[:half], x.T[half:])]
+    while len(sums) > 1:
+        sums = [a + b for a, b in zip(sums[::2], sums[1::2])]
+    return sums[0]
 
-def forward(net: dict[str, np.ndarray], near: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, ...]:
-    total = net["bias"] + net["embed"][0][near[:, 0]]
-    for k in range(1, len(OFFSETS)):
-        total += net["embed"][k][near[:, k]]
-    hidden = np.tanh(total)
-    second = np.tanh(total + net["digit"][high])
-    return hidden, second, _log_softmax(hidden @ net["high"] + net["high_bias"]), _log_softmax(second @ net["low"] + net["low_bias"])
 
+def _log_softmax(x: np.ndarray, room: Room) -> None:
+    """Of logits that are bounded (hidden values lie between -1 and 1), so no shift is needed; in place."""
+    x -= np.log(_row_sums(np.exp(x, out=room("exp", x.shape, x.dtype))))[:, None]
+
+
+def _tokens(near: np.ndarray, room: Room) -> np.ndarray:
+    """The neighbours by offset, as the integers that index and count without a cast."""
+    out = room("tokens", near.shape[::-1], np.dtype(np.intp))
+    out[:] = near.T
+    return out
 
-def log_probabilities(net: dict[str, np.ndarray], near: np.ndarray, high: np.ndarray, low: np.ndarray) -> np.ndarray:
-    at = np.arange(len(high))
-    _, _, a, b = forward(net, near, high)
+
+def forward(net: dict[str, np.ndarray], tokens: np.ndarray, high: np.ndarray, room: Room) -> tuple[np.ndarray, ...]:
+    """Both hidden layers, and the log-probabilities of all values of both digits; they are the room's until its next batch."""
+    dtype, shape = net["bias"].dtype, (len(high), HIDDEN)
+    hidden, second, part = (room(n, shape, dtype) for n in ("hidden", "second", "part"))
+    np.take(net["embed"][0], tokens[0], axis=0, out=second, mode="clip")  # no index is outside; "raise" would copy
+    second += net["bias"]
+    for k in range(1, len(OFFSETS)):
+        second += np.take(net["embed"][k], tokens[k], axis=0, out=part, mode="clip")
+    np.tanh(second, out=hidden)
+    second += np.take(net["digit"], high, axis=0, out=part, mode="clip")
+    np.tanh(second, out=second)
+    a, b = (room(n, (len(high), CLASSES), dtype) for n in ("a", "b"))
+    for x, layer, name in ((a, hidden, "high"), (b, second, "low")):
+        np.matmul(layer, net[name], out=x)
+        x += net[f"{name}_bias"]
+        _log_softmax(x, room)
+    return hidden, second, a, b
+
+
+def log_probabilities(net: dict[str, np.ndarray], near: np.ndarray, high: np.ndarray, low: np.ndarray, room: Room | None = None) -> np.ndarray:
+    at, room = np.arange(len(high)), room or Room()
+    _, _, a, b = forward(net, _tokens(near, room), high, room)
     return a[at, high] + b[at, low]
 
 
 def gradients(net: dict[str, np.ndarray], near: np.ndarray, high: np.ndarray, low: np.ndarray) -> dict[str, np.ndarray]:
     """Of the mean negative log-probability."""
-    return loss_and_gradients(net, near, high, low)[1]
+    return loss_and_gradients(net, near, high, low, Room())[1]
 
 
-def loss_and_gradients(net: dict[str, np.ndarray], near: np.ndarray, high: np.ndarray, low: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
+def loss_and_gradients(net: dict[str, np.ndarray], near: np.ndarray, high: np.ndarray, low: np.ndarray, room: Room) -> tuple[float, dict[str, np.ndarray]]:
     """The summed negative log-probability, and the gradients of its mean."""
     n = len(high)
-    at = np.arange(n)
-    hidden, second, a, b = forward(net, near, high)
+    at, tokens, high, low = np.arange(n), _tokens(near, room), high.astype(np.intp), low.astype(np.intp)
+    hidden, second, a, b = forward(net, tokens, high, room)
     loss = -float(a[at, high].sum(dtype=np.float64) + b[at, low].sum(dtype=np.float64))
-    da, db = np.exp(a), np.exp(b)
+    da, db = np.exp(a, out=a), np.exp(b, out=b)
     da[at, high] -= 1
     db[at, low] -= 1
     da /= n
     db /= n
-    d_second = (db @ net["low"].T) * (1 - second * second)
-    d_total = (da @ net["high"].T) * (1 - hidden * hidden) + d_second
-    grad = {"bias": d_total.sum(0), "high": hidden.T @ da, "high_bias": da.sum(0), "low": second.T @ db, "low_bias": db.sum(0)}
-    digit, embed = np.zeros_like(net["digit"]), np.zeros_like(net["embed"])
+    grad = {"high": hidden.T @ da, "low": second.T @ db}
+    d_second, d_total = (np.matmul(d, net[w].T, out=room(f"d_{w}", hidden.shape, hidden.dtype)) for d, w in ((db, "low"), (da, "high")))
+    d_second *= _slope(second)
+    d_total *= _slope(hidden)
+    d_total += d_second
+    three = np.concatenate((d_total, da, db), axis=1, out=room("three", (n, HIDDEN + 2 * CLASSES), hidden.dtype)).sum(0)
+    grad |= zip(("bias", "high_bias", "low_bias"), np.split(three, (HIDDEN, HIDDEN + CLASSES)))
+    by_digit, by_token = (room(name, (HIDDEN, n), np.dtype(np.float64)) for name in ("by_digit", "by_token"))
+    by_digit[:], by_token[:] = d_second.T, d_total.T  # bincount adds doubles, a column at a time
+    digit = np.empty((HIDDEN, CLASSES), hidden.dtype)
+    columns = room("columns", (len(OFFSETS), HIDDEN, INPUTS + 1), hidden.dtype)
     for h in range(HIDDEN):
-        digit[:, h] = np.bincount(high, d_second[:, h], CLASSES)
+        digit[h] = np.bincount(high, by_digit[h], CLASSES)
         for k in range(len(OFFSETS)):
-            embed[k, :, h] = np.bincount(near[:, k], d_total[:, h], INPUTS + 1)
-    return loss, grad | {"digit": digit, "embed": embed}
+            columns[k, h] = np.bincount(tokens[k], by_token[h], INPUTS + 1)
+    embed = room("embed", net["embed"].shape, hidden.dtype)
+    embed[:] = columns.transpose(0, 2, 1)
+    return loss, grad | {"digit": np.ascontiguousarray(digit.T), "embed": embed}
+
+
+def _slope(x: np.ndarray) -> np.ndarray:
+    """1 - x * x, in place: the derivative of tanh by its value."""
+    x *= x
+    return np.subtract(1, x, out=x)
 
 
 def no_squares() -> dict[str, np.ndarray]:
@@ -166,14 +220,19 @@ class Trainer:
     def __init__(self, net: dict[str, np.ndarray], squares: dict[str, np.ndarray]):
         self.net, self.squares = net, squares
         self.seen, self.steps, self.loss = 0, 0, 0.0
+        self.room = Room()
 
     def learn(self, near: np.ndarray, high: np.ndarray, low: np.ndarray) -> None:
         for s in range(0, len(high), BATCH):
             e = s + BATCH
-            loss, grad = loss_and_gradients(self.net, near[s:e], high[s:e], low[s:e])
+            loss, grad = loss_and_gradients(self.net, near[s:e], high[s:e], low[s:e], self.room)
             for n, g in grad.items():
-                self.squares[n] += g * g
-                self.net[n] -= RATE * g / np.sqrt(self.squares[n])
+                step = np.multiply(g, g, out=self.room("step", g.shape, g.dtype))
+                self.squares[n] += step
+                np.sqrt(self.squares[n], out=step)
+                g *= RATE
+                g /= step
+                self.net[n] -= g
             self.loss += loss
             self.steps += 1
         self.seen += len(high)
@@ -221,6 +280,13 @@ def spelling_costs(spelling: np.ndarray, raw: np.ndarray, offsets: np.ndarray) -
     return sums[last] - sums[first] + spelling[ends]
 
 
+def _counts(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, of which there are some, and how often each stands."""
+    keys = np.sort(keys)
+    at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[at], np.diff(at, append=len(keys))
+
+
 def _sums(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys and the sum of the counts of each."""
     order = np.argsort(keys, kind="stable")
@@ -253,7 +319,7 @@ def count_words(docs: DataFrame, *, text_col: str = "text") -> Words:
                 inside[first] += 1
                 inside[last] -= 1
                 pairs += np.bincount(codes[np.cumsum(inside[:-1]) > 0], minlength=len(pairs)) + np.bincount(ends, minlength=len(pairs))
-                held.append(_sums(words, np.ones(len(words), np.int64)))
+                held.append(_counts(words))
                 size += len(held[-1][0])
                 if size >= HELD:
                     held = [_sums(np.concatenate([k for k, _ in held]), np.concatenate([c for _, c in held]))]
@@ -393,6 +459,7 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row for each text, with what its hot words cost, and one for each of its other words, with what it costs to spell."""
         net, hot, hot_costs, other, spelling = shared.value
+        room = Room()
         at = TaskContext.get().partitionId() << 40  # rows of the partition so far: the key of a text
         for batch in batches:
             column = batch.column(1)
@@ -400,7 +467,7 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
                 raw, offsets = text_bytes(column.slice(lo, hi - lo))
                 words, rows = word_hashes(raw, offsets)
                 near, high, low = examples(codes_of(words), rows)
-                each = [log_probabilities(net, near[s:s + BATCH], high[s:s + BATCH], low[s:s + BATCH]) for s in range(0, len(high), BATCH)]
+                each = [log_probabilities(net, near[s:s + BATCH], high[s:s + BATCH], low[s:s + BATCH], room) for s in range(0, len(high), BATCH)]
                 total = np.bincount(rows, np.concatenate(each).astype(np.float64), hi - lo) if each else np.zeros(hi - lo)
                 counts = np.bincount(rows, minlength=hi - lo).astype(np.int64)
                 place = np.minimum(np.searchsorted(hot, words), max(len(hot) - 1, 0))
@@ -411,7 +478,7 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
                 yield rows_of(keys, mix(keys.astype(U64)).view(np.int64), np.ones(hi - lo, np.int64), costs, batch.column(0).slice(lo, hi - lo),
                               pa.array(counts), pa.array(total))
                 words, rows, spelled = words[~found], rows[~found], spelling_costs(spelling, raw, offsets)[~found]
-                order = np.lexsort((words, rows))
+                order = np.argsort(words + rows.astype(U64) * BASE)  # brings equal words of a row together
                 words, rows, spelled = words[order], rows[order], spelled[order]
                 if len(words):
                     first = np.flatnonzero(np.concatenate([[True], (words[1:] != words[:-1]) | (rows[1:] != rows[:-1])]))
