@@ -50,7 +50,9 @@ BLOCK_BYTES = 1 << 24
 MAX_KEPT = 30_000
 MAX_KEPT_LENGTH = 48
 #: Characters of texts that are aligned together: their tokens stand in Python lists for a moment.
-STEP = 1 << 18
+STEP = 1 << 19
+#: Characters of stretches that tokenizer A encodes as one text.
+RUN = 1 << 12
 
 BLOCK = "part long, docs array<struct<id:long,n_a:long,n_b:long,n:long,groups:string>>, links binary, pairs binary, counts binary"
 FRAGMENT = "row long, id long, at long, n long, a_head binary, b_head binary, closed binary, a_tail binary, b_tail binary, n_a long, n_b long, links binary"
@@ -148,20 +150,18 @@ class Pair:
         """
         if not stretches:
             return []
-        a, b = self.encode(stretches)
-        flat_a, flat_b = list(chain.from_iterable(a)), list(chain.from_iterable(b))
-        whole = "".join([" " + s for s in stretches]).encode()
-        spelled = b"".join(map(self.a_bytes.__getitem__, flat_a)) == whole == b"".join(map(self.b_bytes.__getitem__, flat_b))
-        n_a, n_b = np.array([len(x) for x in a]), np.array([len(x) for x in b])
+        sizes = np.array([len(s.encode()) + 1 for s in stretches])
+        whole, last = "".join([" " + s for s in stretches]).encode(), np.cumsum(sizes)
+        flat_a = self.encode_runs(stretches)
+        b = self.b.encode(stretches, num_threads=1)
+        flat_b = list(chain.from_iterable(b))
         a_ids, b_ids = np.array(flat_a, np.int64), np.array(flat_b, np.int64)
         a_ends, b_ends = np.cumsum(self.a_sizes[a_ids]), np.cumsum(self.b_sizes[b_ids])
-        a_last, b_last = np.cumsum(n_a) - 1, np.cumsum(n_b) - 1
-        if not (spelled and np.array_equal(a_ends[a_last], b_ends[b_last])):
-            good = [self.tokens(*x) for x in zip(stretches, a, b)]
-            if all(good):  # cannot be: single stretches add up
-                raise AssertionError("tokens of stretches do not add up")
-            rest = iter(self.entries([s for s, g in zip(stretches, good) if g]))
-            return [next(rest) if g else False for g in good]
+        a_last, b_last = np.searchsorted(a_ends, last), np.cumsum([len(x) for x in b]) - 1
+        spelled = b"".join(map(self.a_bytes.__getitem__, flat_a)) == whole == b"".join(map(self.b_bytes.__getitem__, flat_b))
+        if not (spelled and np.array_equal(a_ends[a_last], last) and np.array_equal(b_ends[b_last], last)):
+            return self.entries_apart(stretches)
+        n_a, n_b = np.diff(a_last, prepend=-1), np.diff(b_last, prepend=-1)
         _, ka, kb = np.intersect1d(a_ends, b_ends, assume_unique=True, return_indices=True)
         # an item is a token with what is written behind it; a group's A tokens come before its B tokens
         a_group = np.repeat(np.arange(len(ka)), np.diff(ka, prepend=-1))
@@ -180,6 +180,33 @@ class Pair:
         return [(x, y, k - k0, blob[e0:e - 1], links[k0 * width:k * width])
                 for x, y, k0, k, e0, e in zip(n_a.tolist(), n_b.tolist(), [0] + cuts_, cuts_, [0] + ends, ends)]
 
+    def entries_apart(self, stretches: list[str]) -> list[tuple[int, int, int, bytes, bytes] | bool]:
+        """Entries of stretches of which some are not spelled, or do not add up to the text that they make together."""
+        good = [self.tokens(*x) for x in zip(stretches, *self.encode(stretches))]
+        if all(good) and len(stretches) == 1:  # cannot be: a stretch is its own text
+            raise AssertionError("tokens of a stretch do not add up")
+        rest = [s for s, g in zip(stretches, good) if g]
+        half = len(rest) // 2 if all(good) else len(rest)
+        found = iter(self.entries(rest[:half]) + self.entries(rest[half:]))
+        return [next(found) if g else False for g in good]
+
+    def encode_runs(self, stretches: list[str]) -> list[int]:
+        """A's tokens of all stretches, encoded as texts of about ``RUN`` characters; those with white space at an end are texts of their own."""
+        runs, held, size = [], [], 0
+        for s in stretches:
+            alone = not s or s[0].isspace() or s[-1].isspace()
+            if held and (alone or size >= RUN):
+                runs.append(" " + " ".join(held))
+                held, size = [], 0
+            if alone:
+                runs.append(" " + s)
+            else:
+                held.append(s)
+                size += len(s) + 1
+        if held:
+            runs.append(" " + " ".join(held))
+        return list(chain.from_iterable([e.ids for e in self.a.encode_batch_fast(runs, add_special_tokens=False)]))
+
     def encode(self, stretches: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         return [e.ids for e in self.a.encode_batch_fast([" " + s for s in stretches], add_special_tokens=False)], self.b.encode(stretches)
 

@@ -144,3 +144,23 @@ def test_any_text_equals_the_whole(text):
 
 
 _PAIR = {}
+
+
+def test_stretches_are_encoded_in_few_texts():
+    """Many stretches take few calls' worth of texts, and a stretch that is not spelled takes none of its neighbours along."""
+    with open(A, "rb") as f, open(B, "rb") as g:
+        q = alignment.Pair(f.read(), g.read())
+    seen, words = [], [f"word{i}x" for i in range(3000)] + ["Élan", "五六", "🙂", "don't", "<|endoftext|>", "tab\there"]
+
+    class Counted:
+        def encode_batch_fast(self, texts, add_special_tokens):
+            seen.extend(texts)
+            return whole.encode_batch_fast(texts, add_special_tokens=add_special_tokens)
+
+    whole, q.a = q.a, Counted()
+    found = q.entries(words)
+    assert len(seen) < 20
+    apart = [q.entries([w])[0] for w in words]
+    assert found == apart and all(found)
+    mixed = ["one", "low▁line", " lead", "", "two", "trail ", "　wide", "three"]
+    assert q.entries(mixed) == [q.entries([w])[0] for w in mixed] and [bool(x) for x in q.entries(mixed)] == [True, False, *[bool(q.entries([w])[0]) for w in mixed[2:]]]
