@@ -43,6 +43,8 @@ INPUTS = 4096  # rows of an embedding table; one more stands for places outside
 CLASSES = 16
 HIDDEN = 16
 BATCH = 16384
+ROWS = 4096  # rows of a batch that are worked together, so that they stay in the processor's cache
+SPARE = 16  # columns that arrays of ROWS have more, as rows that lie a power of two apart would drive each other out of the cache
 RATE = 0.1
 BLOCK = 1024
 TASK_GROUPS = 32
@@ -54,6 +56,7 @@ HOT = 1_000_000
 UNIT = 1 << 24
 EDGE = 256  # stands before the first and after the last byte of a word
 BYTES = EDGE + 1
+SPACES = [*range(9, 14), 32]
 HELD = 1 << 20  # counts that a task holds before it hands them on
 
 
@@ -89,13 +92,12 @@ def examples(codes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarra
     """Neighbours (tokens, offsets) and the two digits of each word's class."""
     n = len(codes)
     ids, classes = codes % INPUTS, codes // INPUTS
-    near = np.full((n, len(OFFSETS)), INPUTS, np.int32)
+    near = np.full((len(OFFSETS), n), INPUTS, np.int32)
     for k, off in enumerate(OFFSETS):
         lo, hi = max(0, -off), min(n, n - off)
         if lo < hi:
-            same = rows[lo + off:hi + off] == rows[lo:hi]
-            near[lo:hi, k] = np.where(same, ids[lo + off:hi + off], INPUTS)
-    return near, classes // CLASSES, classes % CLASSES
+            np.copyto(near[k, lo:hi], ids[lo + off:hi + off], where=rows[lo + off:hi + off] == rows[lo:hi])
+    return near.T, classes // CLASSES, classes % CLASSES
 
 
 def packed(codes: np.ndarray) -> np.ndarray:
@@ -104,9 +106,11 @@ def packed(codes: np.ndarray) -> np.ndarray:
 
 
 def unpacked(values: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(values) // 3, 4), np.uint8)
-    out[:, :3] = values.reshape(-1, 3)
-    return out.view("<i4").ravel()
+    out = values[2::3].astype(np.int32)
+    for k in (1, 0):
+        out <<= 8
+        out |= values[k::3]
+    return out
 
 
 class Room:
@@ -122,18 +126,17 @@ class Room:
         return self.held[name][:size].reshape(shape)
 
 
-def _row_sums(x: np.ndarray) -> np.ndarray:
-    """Columns are added in pairs: rows are too short for a reduction along them. The order of sums is numpy's own for 16 values."""
-    half = x.shape[1] // 2
-    sums = [a + b for a, b in zip(x.T[:half], x.T[half:])]
-    while len(sums) > 1:
-        sums = [a + b for a, b in zip(sums[::2], sums[1::2])]
-    return sums[0]
-
+def _log_sums(x: np.ndarray, room: Room) -> np.ndarray:
+    """Of the exponentials in each column of logits that are bounded (hidden values lie between -1 and 1), so no shift is needed.
 
-def _log_softmax(x: np.ndarray, room: Room) -> None:
-    """Of logits that are bounded (hidden values lie between -1 and 1), so no shift is needed; in place."""
-    x -= np.log(_row_sums(np.exp(x, out=room("exp", x.shape, x.dtype))))[:, None]
+    Rows are added in pairs, in numpy's own order for 16 values.
+    """
+    half = len(x) // 2
+    each = np.exp(x, out=room("exp", x.shape, x.dtype))
+    sums = each[:half] + each[half:]
+    while len(sums) > 1:
+        sums = sums[::2] + sums[1::2]
+    return np.log(sums[0])
 
 
 def _tokens(near: np.ndarray, room: Room) -> np.ndarray:
@@ -143,29 +146,42 @@ def _tokens(near: np.ndarray, room: Room) -> np.ndarray:
     return out
 
 
-def forward(net: dict[str, np.ndarray], tokens: np.ndarray, high: np.ndarray, room: Room) -> tuple[np.ndarray, ...]:
-    """Both hidden layers, and the log-probabilities of all values of both digits; they are the room's until its next batch."""
-    dtype, shape = net["bias"].dtype, (len(high), HIDDEN)
-    hidden, second, part = (room(n, shape, dtype) for n in ("hidden", "second", "part"))
-    np.take(net["embed"][0], tokens[0], axis=0, out=second, mode="clip")  # no index is outside; "raise" would copy
-    second += net["bias"]
+def _layers(n: int, dtype: np.dtype, room: Room) -> tuple[np.ndarray, ...]:
+    """Arrays for both hidden layers of ``n`` words, a word a row, and the logits of both digits, a word a column (and columns to spare)."""
+    return (*(room(x, (n, HIDDEN), dtype) for x in ("hidden", "second")), *(room(x, (CLASSES, n + SPARE), dtype) for x in ("a", "b")))
+
+
+def _tables(net: dict[str, np.ndarray], room: Room) -> list[np.ndarray]:
+    """The embeddings by offset; the bias is added to the first, once for each row instead of each word."""
+    return [np.add(net["embed"][0], net["bias"], out=room("table", net["embed"][0].shape, net["bias"].dtype)), *net["embed"][1:]]
+
+
+def forward(net: dict[str, np.ndarray], tables: list[np.ndarray], tokens: np.ndarray, high: np.ndarray, layers: tuple[np.ndarray, ...],
+            room: Room) -> tuple[np.ndarray, np.ndarray]:
+    """Fills the layers of some words; returns what their logits are above the log-probabilities, for both digits."""
+    hidden, second, a, b = layers
+    part = room("part", hidden.shape, hidden.dtype)
+    np.take(tables[0], tokens[0], axis=0, out=second, mode="clip")  # no index is outside; "raise" would copy
     for k in range(1, len(OFFSETS)):
-        second += np.take(net["embed"][k], tokens[k], axis=0, out=part, mode="clip")
+        second += np.take(tables[k], tokens[k], axis=0, out=part, mode="clip")
     np.tanh(second, out=hidden)
     second += np.take(net["digit"], high, axis=0, out=part, mode="clip")
     np.tanh(second, out=second)
-    a, b = (room(n, (len(high), CLASSES), dtype) for n in ("a", "b"))
     for x, layer, name in ((a, hidden, "high"), (b, second, "low")):
-        np.matmul(layer, net[name], out=x)
-        x += net[f"{name}_bias"]
-        _log_softmax(x, room)
-    return hidden, second, a, b
+        np.matmul(net[name].T, layer.T, out=x)
+        x += net[f"{name}_bias"][:, None]
+    return _log_sums(a, room), _log_sums(b, room)
 
 
 def log_probabilities(net: dict[str, np.ndarray], near: np.ndarray, high: np.ndarray, low: np.ndarray, room: Room | None = None) -> np.ndarray:
-    at, room = np.arange(len(high)), room or Room()
-    _, _, a, b = forward(net, _tokens(near, room), high, room)
-    return a[at, high] + b[at, low]
+    room = room or Room()
+    tables, tokens, out = _tables(net, room), _tokens(near, room), np.empty(len(high), net["bias"].dtype)
+    for s in range(0, len(high), ROWS):
+        e = min(s + ROWS, len(high))
+        at, (hidden, second, a, b) = np.arange(e - s), _layers(e - s, out.dtype, room)
+        above_a, above_b = forward(net, tables, tokens[:, s:e], high[s:e], (hidden, second, a[:, :e - s], b[:, :e - s]), room)
+        out[s:e] = (a[high[s:e], at] - above_a) + (b[low[s:e], at] - above_b)
+    return out
 
 
 def gradients(net: dict[str, np.ndarray], near: np.ndarray, high: np.ndarray, low: np.ndarray) -> dict[str, np.ndarray]:
@@ -175,39 +191,52 @@ def gradients(net: dict[str, np.ndarray], near: np.ndarray, high: np.ndarray, lo
 
 def loss_and_gradients(net: dict[str, np.ndarray], near: np.ndarray, high: np.ndarray, low: np.ndarray, room: Room) -> tuple[float, dict[str, np.ndarray]]:
     """The summed negative log-probability, and the gradients of its mean."""
-    n = len(high)
-    at, tokens, high, low = np.arange(n), _tokens(near, room), high.astype(np.intp), low.astype(np.intp)
-    hidden, second, a, b = forward(net, tokens, high, room)
-    loss = -float(a[at, high].sum(dtype=np.float64) + b[at, low].sum(dtype=np.float64))
-    da, db = np.exp(a, out=a), np.exp(b, out=b)
-    da[at, high] -= 1
-    db[at, low] -= 1
-    da /= n
-    db /= n
-    grad = {"high": hidden.T @ da, "low": second.T @ db}
-    d_second, d_total = (np.matmul(d, net[w].T, out=room(f"d_{w}", hidden.shape, hidden.dtype)) for d, w in ((db, "low"), (da, "high")))
-    d_second *= _slope(second)
-    d_total *= _slope(hidden)
-    d_total += d_second
-    three = np.concatenate((d_total, da, db), axis=1, out=room("three", (n, HIDDEN + 2 * CLASSES), hidden.dtype)).sum(0)
+    n, dtype = len(high), net["bias"].dtype
+    tables, tokens, high, low = _tables(net, room), _tokens(near, room), high.astype(np.intp), low.astype(np.intp)
+    hidden, second, a, b = _layers(n, dtype, room)
+    d_seconds, by_token = room("d_seconds", (n, HIDDEN), dtype), room("by_token", (HIDDEN, n + SPARE), np.dtype(np.float64))
+    picked = [(x.ravel(), digit * x.shape[1] + np.arange(n)) for x, digit in ((a, high), (b, low))]
+    chances, three = [np.empty(n, dtype) for _ in picked], np.zeros(HIDDEN + 2 * CLASSES, dtype)
+    for s in range(0, n, ROWS):
+        e = min(s + ROWS, n)
+        layers = hidden[s:e], second[s:e], a[:, s:e], b[:, s:e]
+        above = forward(net, tables, tokens[:, s:e], high[s:e], layers, room)
+        for x, up, (values, places), chance in zip(layers[2:], above, picked, chances):
+            x -= up
+            chance[s:e] = values[places[s:e]]
+            np.exp(x, out=x)
+            values[places[s:e]] -= 1
+            x /= n
+        d_total, d_second = room("d_total", layers[0].shape, dtype), d_seconds[s:e]
+        for d, x, w in ((d_total, layers[2], "high"), (d_second, layers[3], "low")):
+            np.matmul(x.T, net[w].T, out=d)
+        for d, layer in ((d_second, layers[1]), (d_total, layers[0])):
+            d *= np.subtract(1, np.multiply(layer, layer, out=room("part", layer.shape, dtype)), out=room("part", layer.shape, dtype))
+        d_total += d_second
+        rows = room("three", (e - s + 1, len(three)), dtype)  # the sums so far are the first row: rows are added one after the other
+        np.concatenate((d_total, layers[2].T, layers[3].T), axis=1, out=rows[1:])
+        rows[0] = three
+        three = np.einsum("ij->j", rows)
+        by_token[:, s:e] = d_total.T  # bincount adds doubles, a column at a time
+    loss = -float(sum(chance.sum(dtype=np.float64) for chance in chances))
+    grad = {"high": hidden.T @ a[:, :n].T, "low": second.T @ b[:, :n].T}
     grad |= zip(("bias", "high_bias", "low_bias"), np.split(three, (HIDDEN, HIDDEN + CLASSES)))
-    by_digit, by_token = (room(name, (HIDDEN, n), np.dtype(np.float64)) for name in ("by_digit", "by_token"))
-    by_digit[:], by_token[:] = d_second.T, d_total.T  # bincount adds doubles, a column at a time
-    digit = np.empty((HIDDEN, CLASSES), hidden.dtype)
-    columns = room("columns", (len(OFFSETS), HIDDEN, INPUTS + 1), hidden.dtype)
+    columns = room("columns", (len(OFFSETS), HIDDEN, INPUTS + 1), dtype)
     for h in range(HIDDEN):
-        digit[h] = np.bincount(high, by_digit[h], CLASSES)
         for k in range(len(OFFSETS)):
-            columns[k, h] = np.bincount(tokens[k], by_token[h], INPUTS + 1)
-    embed = room("embed", net["embed"].shape, hidden.dtype)
+            columns[k, h] = np.bincount(tokens[k], by_token[h, :n], INPUTS + 1)
+    embed = room("embed", net["embed"].shape, dtype)
     embed[:] = columns.transpose(0, 2, 1)
-    return loss, grad | {"digit": np.ascontiguousarray(digit.T), "embed": embed}
+    return loss, grad | {"digit": _sums_by_digit(d_seconds, high, room), "embed": embed}
 
 
-def _slope(x: np.ndarray) -> np.ndarray:
-    """1 - x * x, in place: the derivative of tanh by its value."""
-    x *= x
-    return np.subtract(1, x, out=x)
+def _sums_by_digit(x: np.ndarray, digits: np.ndarray, room: Room) -> np.ndarray:
+    """The rows of each digit added as doubles. There are few digits, so rows are brought together instead of counted by column."""
+    order = np.argsort(digits.astype(np.uint8), kind="stable")
+    rows = room("rows", x.shape, np.dtype(np.float64))
+    rows[:] = np.take(x, order, axis=0, out=room("ordered", x.shape, x.dtype), mode="clip")
+    ends = np.cumsum(np.bincount(digits, minlength=CLASSES))
+    return np.array([np.ones(e - s) @ rows[s:e] for s, e in zip([0, *ends], ends)], x.dtype)
 
 
 def no_squares() -> dict[str, np.ndarray]:
@@ -222,17 +251,21 @@ class Trainer:
         self.seen, self.steps, self.loss = 0, 0, 0.0
         self.room = Room()
 
+    def _step(self, grad: np.ndarray, squares: np.ndarray, values: np.ndarray) -> None:
+        step = np.multiply(grad, grad, out=self.room("step", grad.shape, grad.dtype))
+        squares += step
+        np.sqrt(squares, out=step)
+        grad *= RATE
+        grad /= step
+        values -= grad
+
     def learn(self, near: np.ndarray, high: np.ndarray, low: np.ndarray) -> None:
         for s in range(0, len(high), BATCH):
             e = s + BATCH
             loss, grad = loss_and_gradients(self.net, near[s:e], high[s:e], low[s:e], self.room)
             for n, g in grad.items():
-                step = np.multiply(g, g, out=self.room("step", g.shape, g.dtype))
-                self.squares[n] += step
-                np.sqrt(self.squares[n], out=step)
-                g *= RATE
-                g /= step
-                self.net[n] -= g
+                for part in zip(g, self.squares[n], self.net[n]) if g.ndim > 2 else [(g, self.squares[n], self.net[n])]:
+                    self._step(*part)
             self.loss += loss
             self.steps += 1
         self.seen += len(high)
@@ -261,25 +294,55 @@ def class_of(words: np.ndarray) -> np.ndarray:
     return (words >> U64(20)) % U64(CLASSES * CLASSES)
 
 
-def _pairs(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Codes of each byte and the one before it in its word, the first and past-the-last byte of the words, and codes of their ends."""
-    lower, first, last = word_spans(raw, offsets)
-    before = np.full(len(lower), EDGE, np.int64)
-    before[1:] = lower[:-1]
-    before[first] = EDGE
-    return before * BYTES + lower, first, last, lower[last - 1].astype(np.int64) * BYTES + EDGE
-
+def _pairs(raw: np.ndarray, offsets: np.ndarray, chosen: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Codes of each byte and the one before it in its word, the first and past-the-last byte of the words, and codes of their ends.
 
-def spelling_costs(spelling: np.ndarray, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Of each word, in order."""
-    if not len(raw):
+    With ``chosen`` these words' bytes alone, one word after the other. Otherwise there are codes of the bytes between words, too.
+    """
+    lower, first, last = word_spans(raw, offsets)
+    if chosen is not None:
+        first, last = first[chosen], last[chosen]
+        ends = np.cumsum(last - first)
+        moved = first - np.concatenate([[0], ends[:-1]])
+        lower = lower[np.arange(ends[-1]) + np.repeat(moved, last - first)]
+        first, last = first - moved, ends
+    codes = np.empty(len(lower), np.int32)
+    codes[:1], codes[1:] = EDGE, lower[:-1]
+    codes[first] = EDGE
+    codes *= BYTES
+    codes += lower
+    return codes, first, last, lower[last - 1].astype(np.int32) * BYTES + EDGE
+
+
+def spelling_costs(spelling: np.ndarray, raw: np.ndarray, offsets: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Of the chosen words (places, in order)."""
+    if not len(chosen):
         return np.zeros(0, np.int64)
-    codes, first, last, ends = _pairs(raw, offsets)
+    codes, first, last, ends = _pairs(raw, offsets, chosen)
     sums = np.zeros(len(codes) + 1, np.int64)
     np.cumsum(spelling[codes], out=sums[1:])
     return sums[last] - sums[first] + spelling[ends]
 
 
+class Places:
+    """Finds hashes among sorted distinct ones. It is kept where those with the same upper bits begin, so a search takes a few steps."""
+
+    def __init__(self, keys: np.ndarray):
+        bits = len(keys).bit_length() + 1
+        self.shift = U64(64 - bits)
+        self.starts = np.searchsorted(keys, np.arange(1 << bits, dtype=U64) << self.shift)
+        self.keys = np.append(keys, ~U64(0))  # no hash is above it
+
+    def find(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The place of each word, at most the number of keys, and whether the word is there."""
+        place = self.starts[(words >> self.shift).view(np.int64)]
+        behind = np.flatnonzero(self.keys[place] < words)
+        while len(behind):
+            place[behind] += 1
+            behind = behind[self.keys[place[behind]] < words[behind]]
+        return place, (self.keys[place] == words) & (place < len(self.keys) - 1)
+
+
 def _counts(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys, of which there are some, and how often each stands."""
     keys = np.sort(keys)
@@ -314,11 +377,8 @@ def count_words(docs: DataFrame, *, text_col: str = "text") -> Words:
                 words, _ = word_hashes(raw, offsets)
                 if not len(words):
                     continue
-                codes, first, last, ends = _pairs(raw, offsets)
-                inside = np.zeros(len(codes) + 1, np.int8)
-                inside[first] += 1
-                inside[last] -= 1
-                pairs += np.bincount(codes[np.cumsum(inside[:-1]) > 0], minlength=len(pairs)) + np.bincount(ends, minlength=len(pairs))
+                codes, _, _, ends = _pairs(raw, offsets)
+                pairs += np.bincount(codes, minlength=len(pairs)) + np.bincount(ends, minlength=len(pairs))
                 held.append(_counts(words))
                 size += len(held[-1][0])
                 if size >= HELD:
@@ -329,6 +389,7 @@ def count_words(docs: DataFrame, *, text_col: str = "text") -> Words:
                         held, size = [], 0
         if held:
             yield rows(False, *_sums(np.concatenate([k for k, _ in held]), np.concatenate([c for _, c in held])))
+        pairs.reshape(BYTES, BYTES)[:, SPACES] = 0  # bytes between words
         codes = np.flatnonzero(pairs)
         yield rows(True, codes, pairs[codes])
 
@@ -459,7 +520,7 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row for each text, with what its hot words cost, and one for each of its other words, with what it costs to spell."""
         net, hot, hot_costs, other, spelling = shared.value
-        room = Room()
+        room, places, hot_costs = Room(), Places(hot), np.append(hot_costs, 0)
         at = TaskContext.get().partitionId() << 40  # rows of the partition so far: the key of a text
         for batch in batches:
             column = batch.column(1)
@@ -470,14 +531,14 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
                 each = [log_probabilities(net, near[s:s + BATCH], high[s:s + BATCH], low[s:s + BATCH], room) for s in range(0, len(high), BATCH)]
                 total = np.bincount(rows, np.concatenate(each).astype(np.float64), hi - lo) if each else np.zeros(hi - lo)
                 counts = np.bincount(rows, minlength=hi - lo).astype(np.int64)
-                place = np.minimum(np.searchsorted(hot, words), max(len(hot) - 1, 0))
-                found = hot[place] == words if len(hot) else np.zeros(len(words), bool)
-                costs = np.zeros(hi - lo, np.int64)
-                np.add.at(costs, rows[found], hot_costs[place[found]])
+                place, found = places.find(words)
+                sums, ends = np.concatenate([[0], np.cumsum(hot_costs[place] * found)]), np.cumsum(counts)
+                costs = sums[ends] - sums[ends - counts]
                 keys = at + np.arange(hi - lo, dtype=np.int64)
                 yield rows_of(keys, mix(keys.astype(U64)).view(np.int64), np.ones(hi - lo, np.int64), costs, batch.column(0).slice(lo, hi - lo),
                               pa.array(counts), pa.array(total))
-                words, rows, spelled = words[~found], rows[~found], spelling_costs(spelling, raw, offsets)[~found]
+                rest = np.flatnonzero(~found)
+                words, rows, spelled = words[rest], rows[rest], spelling_costs(spelling, raw, offsets, rest)
                 order = np.argsort(words + rows.astype(U64) * BASE)  # brings equal words of a row together
                 words, rows, spelled = words[order], rows[order], spelled[order]
                 if len(words):
